@@ -43,17 +43,11 @@ def comparable(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.ArrayType):
         return F.transform(value, lambda item: comparable(item, data_type.elementType))
     if isinstance(data_type, T.StructType):
-        return F.when(value.isNotNull(), comparable_struct(value, data_type))
+        fields = [comparable(value[f.name], f.dataType).alias(f.name) for f in data_type]
+        return F.when(value.isNotNull(), F.struct(*fields))
     return F.to_json(value)
 
 
-def comparable_struct(value: Column, fields: T.StructType) -> Column:
-    """``comparable`` for each field of a struct that is known to be there."""
-    return F.struct(
-        *[comparable(value[field.name], field.dataType).alias(field.name) for field in fields]
-    )
-
-
 def same_value(left: Column, right: Column, data_type: T.DataType) -> Column:
     """Null-safe equality: null equals null, NaN equals NaN, 0.0 equals -0.0."""
     return comparable(left, data_type).eqNullSafe(comparable(right, data_type))
@@ -68,16 +62,27 @@ def value_text(value: Column, data_type: T.DataType) -> Column:
     return value.cast("string")
 
 
-def change_text(new: Column, old: Column, fields: T.StructType) -> Column:
-    """JSON of the fields that differ, ``{"name": ["new", "old"]}``, in schema order."""
-    pairs = []
-    for field in fields:
-        after, before = new[field.name], old[field.name]
-        differs = ~same_value(after, before, field.dataType)
-        texts = F.array(value_text(after, field.dataType), value_text(before, field.dataType))
-        pairs.append(F.when(differs, texts).alias(field.name))
-    # Unchanged fields are null here, and to_json leaves null fields out.
-    return F.to_json(F.struct(*pairs))
+def change_text(pairs: Sequence[tuple[str, Column, Column, T.DataType]]) -> Column:
+    """JSON of the pairs that differ, ``{"name": ["new", "old"]}``, in the order given.
+
+    ``pairs`` holds (name, new value, old value, type).
+    """
+    parts = []
+    for name, new, old, data_type in pairs:
+        texts = F.array(value_text(new, data_type), value_text(old, data_type))
+        parts.append(F.when(~same_value(new, old, data_type), texts).alias(name))
+    # Equal values are null here, and to_json leaves null fields out.
+    return F.to_json(F.struct(*parts))
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
+    """OR of many conditions as a balanced tree: wide tables would nest too deep otherwise."""
+    if not conditions:
+        return F.lit(False)
+    if len(conditions) == 1:
+        return conditions[0]
+    middle = len(conditions) // 2
+    return any_of(conditions[:middle]) | any_of(conditions[middle:])
 
 
 def fingerprint(

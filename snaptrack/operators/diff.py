@@ -3,26 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from snaptrack.functions.compare import change_text
-from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, key_list, ref, refs
+from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, key_list, refs
 from snaptrack.operators.rows import active_rows, close_rows, ensure_history, open_rows
 from snaptrack.plans.align import align
-from snaptrack.plans.pairing import (
-    CREATED,
-    NEW,
-    OLD,
-    event_of,
-    one_row_per_key,
-    pair_versions,
-    prepare_recent,
-    value_fields,
-    versions_differ,
-    with_key,
-)
+from snaptrack.plans.pairing import Pairs, key_guard, pair_versions, prepare_recent, with_key
 
 
 @dataclass(frozen=True)
@@ -35,17 +23,22 @@ class Matched:
     keys: list[str]
     values: list[str]
     meta: MetaColumns
-    on_duplicate: str
-
-    def pairs(self, how: str, run_date: dt.date | str | None = None) -> DataFrame:
-        joined = pair_versions(self.recent, self.active, self.keys, self.values, how, self.meta)
-        return one_row_per_key(
-            joined, self.recent, self.active, self.keys, self.on_duplicate, run_date, self.meta
+    run_date: dt.date | str | None
+    check_recent: bool
+    check_history: bool
+
+    def pairs(self, how: str) -> Pairs:
+        pairs = pair_versions(self.recent, self.active, self.keys, self.values, how, self.meta)
+        if not (self.check_recent or self.check_history):
+            return pairs
+        guard = key_guard(
+            self.recent if self.check_recent else None,
+            self.active if self.check_history else None,
+            self.keys,
+            self.meta,
+            self.run_date,
         )
-
-    def edited(self) -> DataFrame:
-        pairs = self.pairs("inner")
-        return pairs.filter(versions_differ(pairs))
+        return replace(pairs, df=pairs.df.filter(guard))
 
 
 def match(
@@ -58,7 +51,16 @@ def match(
     strict: bool = False,
     on_duplicate: str = "error",
     order_by: KeySpec | None = None,
+    trusted_history: bool = False,
 ) -> Matched:
+    """Align both sides; the options are those of every operator that pairs versions.
+
+    ``strict``           columns on one side only are an error instead of null
+    ``on_duplicate``     a snapshot key that occurs twice: ``error`` fails the query,
+                         ``keep_first`` takes its first row by ``order_by``, ``trust`` leaves
+                         out all checks because the caller knows the keys are unique
+    ``trusted_history``  leave out the check of the history, as for one this package wrote
+    """
     keys = key_list(key)
     history = ensure_history(history, run_date, meta)
     recent, history, values = align(recent, history, keys, meta, strict)
@@ -70,7 +72,9 @@ def match(
         keys=keys,
         values=values,
         meta=meta,
-        on_duplicate=on_duplicate,
+        run_date=run_date,
+        check_recent=on_duplicate == "error",
+        check_history=on_duplicate != "trust" and not trusted_history,
     )
 
 
@@ -102,8 +106,8 @@ def edited_keys(
     **options,
 ) -> DataFrame:
     """Keys whose snapshot row differs from the active version in some value column."""
-    matched = match(recent, history, key, meta, **options)
-    return matched.edited().select(*refs(matched.keys))
+    pairs = match(recent, history, key, meta, **options).pairs("inner")
+    return pairs.edited().select(*refs(pairs.keys))
 
 
 def edited_rows(
@@ -115,8 +119,8 @@ def edited_rows(
     **options,
 ) -> DataFrame:
     """The new version of each edited row, stamped as open."""
-    matched = match(recent, history, key, meta, run_date=run_date, **options)
-    rows = matched.edited().select(*refs(matched.keys), *_fields(NEW, matched.values))
+    pairs = match(recent, history, key, meta, run_date=run_date, **options).pairs("inner")
+    rows = pairs.edited().select(*refs(pairs.keys), *pairs.new_values())
     return open_rows(rows, run_date, meta)
 
 
@@ -130,17 +134,16 @@ def closed_edited_rows(
     **options,
 ) -> DataFrame:
     """The active version of each edited row, closed; with ``log`` what changed in it."""
-    matched = match(recent, history, key, meta, run_date=run_date, **options)
-    edited = matched.edited()
-    rows = edited.select(
-        *refs(matched.keys),
-        *_fields(OLD, matched.values),
-        ref(CREATED).alias(meta.created),
-        *([_log(edited).alias(meta.changes)] if log else []),
+    pairs = match(recent, history, key, meta, run_date=run_date, **options).pairs("inner")
+    rows = pairs.edited().select(
+        *refs(pairs.keys),
+        *pairs.old_values(),
+        pairs.old(meta.created).alias(meta.created),
+        *([pairs.log.alias(meta.changes)] if log else []),
     )
-    closed = close_rows(rows, run_date, meta)
     tail = meta.names if log else meta.names[:3]
-    return closed.select(*refs(matched.keys), *refs(matched.values), *refs(tail))
+    columns = [*pairs.keys, *[field.name for field in pairs.fields], *tail]
+    return close_rows(rows, run_date, meta).select(*refs(columns))
 
 
 def change_log(
@@ -151,9 +154,8 @@ def change_log(
     **options,
 ) -> DataFrame:
     """Key and JSON change log of each edited row."""
-    matched = match(recent, history, key, meta, **options)
-    edited = matched.edited()
-    return edited.select(*refs(matched.keys), _log(edited).alias(meta.changes))
+    pairs = match(recent, history, key, meta, **options).pairs("inner")
+    return pairs.edited().select(*refs(pairs.keys), pairs.log.alias(meta.changes))
 
 
 def classify(
@@ -164,14 +166,5 @@ def classify(
     **options,
 ) -> DataFrame:
     """One row per key and its event: insert, update, unchanged or missing."""
-    matched = match(recent, history, key, meta, **options)
-    pairs = matched.pairs("full")
-    return pairs.select(*refs(matched.keys), event_of(pairs).alias("event"))
-
-
-def _fields(side: str, names: list[str]):
-    return [F.col(side)[name].alias(name) for name in names]
-
-
-def _log(pairs: DataFrame):
-    return change_text(F.col(NEW), F.col(OLD), value_fields(pairs))
+    pairs = match(recent, history, key, meta, **options).pairs("full")
+    return pairs.df.select(*refs(pairs.keys), pairs.event.alias("event"))

@@ -6,20 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from snaptrack.functions.compare import change_text
 from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, date_of, ref, refs
 from snaptrack.operators.checks import any_null
 from snaptrack.operators.diff import Matched, match
 from snaptrack.operators.rows import active_rows, union_all
-from snaptrack.plans.pairing import (
-    CHANGES,
-    CREATED,
-    EDITED,
-    NEW,
-    OLD,
-    event_of,
-    value_fields,
-)
 
 MODES = ("full", "delta")
 MISSING = ("keep", "close", "drop")
@@ -53,7 +43,7 @@ def build_history(
     reports them. History rows are never lost: those without a key or flag are carried over.
     """
     matched = match(recent, history, key, meta, run_date=run_date, **options)
-    frames = [carried_rows(matched, mode), _run(matched, run_date, mode, missing)]
+    frames = [carried_rows(matched, mode), _run(matched, mode, missing)]
     result = union_all(frames)
     return result.orderBy(*refs(matched.keys), meta.created, meta.active) if sort else result
 
@@ -71,7 +61,7 @@ def run_rows(
 ) -> DataFrame:
     """``build_history`` without the rows carried over from earlier runs."""
     matched = match(recent, history, key, meta, run_date=run_date, **options)
-    return _run(matched, run_date, mode, missing)
+    return _run(matched, mode, missing)
 
 
 def carried_rows(matched: Matched, mode: str = "full") -> DataFrame:
@@ -89,9 +79,7 @@ def carried_rows(matched: Matched, mode: str = "full") -> DataFrame:
     return carried
 
 
-def _run(
-    matched: Matched, run_date: dt.date | str | None, mode: str, missing: str
-) -> DataFrame:
+def _run(matched: Matched, mode: str, missing: str) -> DataFrame:
     """Rows written by this run: one full outer join, no second pass over it.
 
     Each pair yields none, one or two rows. Only a short array of constants is exploded; the
@@ -101,11 +89,10 @@ def _run(
         raise ValueError(f"mode must be one of {MODES}")
     if missing not in MISSING:
         raise ValueError(f"missing must be one of {MISSING}")
-    meta = matched.meta
-    how = "full"
-    if mode == "delta" and missing != "close":
-        how = "left"  # rows only the history has cannot appear in the result
-    pairs = matched.pairs(how, run_date)
+    meta, today = matched.meta, date_of(matched.run_date)
+    # A delta that does not close missing rows has none that only the history holds.
+    how = "left" if mode == "delta" and missing != "close" else "full"
+    pairs = matched.pairs(how)
 
     kept = ["kept"] if mode == "full" else []
     rows_of = {
@@ -114,29 +101,30 @@ def _run(
         "unchanged": kept,
         "missing": {"keep": kept, "close": ["ended"], "drop": []}[missing],
     }
-    branches = None
+    branches = F.lit(None).cast("array<string>")
     for event, row_kinds in rows_of.items():
         if row_kinds:
             kinds = F.array(*[F.lit(kind) for kind in row_kinds])
-            hit = F.col("_event") == event
-            branches = F.when(hit, kinds) if branches is None else branches.when(hit, kinds)
-    rows = pairs.withColumn("_event", event_of(pairs)).withColumn("_row", F.explode(branches))
+            branches = F.when(F.col("_event") == event, kinds).otherwise(branches)
+    # explode_outer and a filter: plain explode makes the optimizer push a copy of the whole
+    # comparison below, once per use of the event.
+    rows = pairs.df.withColumn("_event", pairs.event).withColumn("_row", F.explode_outer(branches))
+    if not all(rows_of.values()):
+        rows = rows.filter(F.col("_row").isNotNull())
 
     opened = F.col("_row") == "opened"
-    ended = F.col("_row").isin("closed", "ended")
-    log = change_text(F.col(NEW), F.col(OLD), value_fields(pairs))
+    closed, kept_row = F.col("_row") == "closed", F.col("_row") == "kept"
+    ended = closed | (F.col("_row") == "ended")
     return rows.select(
         *refs(matched.keys),
         *[
-            F.when(opened, F.col(NEW)[name]).otherwise(F.col(OLD)[name]).alias(name)
+            F.when(opened, pairs.new(name)).otherwise(pairs.old(name)).alias(name)
             for name in matched.values
         ],
         (~ended).alias(meta.active),
-        F.when(opened, date_of(run_date)).otherwise(F.col(CREATED)).alias(meta.created),
-        F.when(ended, date_of(run_date))
-        .when(F.col("_row") == "kept", F.col(EDITED))
-        .alias(meta.edited),
-        F.when(F.col("_row") == "closed", log)
-        .when(~opened, F.col(CHANGES))
+        F.when(opened, today).otherwise(pairs.old(meta.created)).alias(meta.created),
+        F.when(ended, today).when(kept_row, pairs.old(meta.edited)).alias(meta.edited),
+        F.when(closed, pairs.log)
+        .when(~opened, pairs.old(meta.changes))
         .alias(meta.changes),
     )

@@ -3,19 +3,77 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from snaptrack.functions.compare import comparable_struct, has_unordered_part
+from snaptrack.functions.compare import any_of, change_text, has_unordered_part, same_value
 from snaptrack.meta import MetaColumns, ref, refs
 from snaptrack.operators.checks import any_null
 
-NEW, OLD = "_new", "_old"
-CREATED, EDITED, CHANGES = "_created", "_edited", "_changes"
-
+NEW, OLD = "_new_", "_old_"
 DUPLICATE_POLICIES = ("error", "keep_first", "trust")
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Snapshot rows beside history rows: key, ``_new_*`` and ``_old_*`` columns.
+
+    The values stay flat columns: packed into structs they made the join about a third slower.
+    """
+
+    df: DataFrame
+    keys: list[str]
+    fields: list[T.StructField]
+    meta: MetaColumns
+
+    @property
+    def in_new(self) -> Column:
+        return F.col(NEW)
+
+    @property
+    def in_old(self) -> Column:
+        return F.col(OLD)
+
+    def new(self, name: str) -> Column:
+        return ref(NEW + name)
+
+    def old(self, name: str) -> Column:
+        return ref(OLD + name)
+
+    @property
+    def differ(self) -> Column:
+        """True where some value differs, null-safe; for pairs with both sides."""
+        return any_of(
+            [~same_value(self.new(f.name), self.old(f.name), f.dataType) for f in self.fields]
+        )
+
+    @property
+    def event(self) -> Column:
+        return (
+            F.when(self.in_old.isNull(), "insert")
+            .when(self.in_new.isNull(), "missing")
+            .when(self.differ, "update")
+            .otherwise("unchanged")
+        )
+
+    @property
+    def log(self) -> Column:
+        """JSON of the values that differ."""
+        return change_text(
+            [(f.name, self.new(f.name), self.old(f.name), f.dataType) for f in self.fields]
+        )
+
+    def new_values(self) -> list[Column]:
+        return [self.new(f.name).alias(f.name) for f in self.fields]
+
+    def old_values(self) -> list[Column]:
+        return [self.old(f.name).alias(f.name) for f in self.fields]
+
+    def edited(self) -> DataFrame:
+        return self.df.filter(self.differ)
+
+
 def pair_versions(
     recent: DataFrame,
     active: DataFrame,
@@ -23,42 +81,19 @@ def pair_versions(
     values: list[str],
     how: str,
     meta: MetaColumns,
-) -> DataFrame:
-    """Key, ``_new`` and ``_old`` value structs (null where a side is absent), old metadata.
-
-    Both inputs are aligned and have no null keys. Uniqueness of the key is the caller's
-    business, see ``one_row_per_key``.
-    """
-    new = recent.select(*refs(keys), F.struct(*refs(values)).alias(NEW))
-    stamps = {meta.created: CREATED, meta.edited: EDITED, meta.changes: CHANGES}
+) -> Pairs:
+    """Join aligned sides without null keys; whether keys repeat is not checked here."""
+    stamps = [name for name in meta.names if name in active.columns]
+    new = recent.select(
+        *refs(keys), F.lit(True).alias(NEW), *[ref(name).alias(NEW + name) for name in values]
+    )
     old = active.select(
         *refs(keys),
-        F.struct(*refs(values)).alias(OLD),
-        *[ref(name).alias(alias) for name, alias in stamps.items() if name in active.columns],
-    )
-    return new.join(old, keys, how)
-
-
-def versions_differ(paired: DataFrame) -> Column:
-    """True where both versions are there and some value differs, null-safe."""
-    fields = paired.schema[NEW].dataType
-    new, old = F.col(NEW), F.col(OLD)
-    if has_unordered_part(fields):
-        new, old = comparable_struct(new, fields), comparable_struct(old, fields)
-    return ~new.eqNullSafe(old)
-
-
-def event_of(paired: DataFrame) -> Column:
-    return (
-        F.when(F.col(OLD).isNull(), "insert")
-        .when(F.col(NEW).isNull(), "missing")
-        .when(versions_differ(paired), "update")
-        .otherwise("unchanged")
+        F.lit(True).alias(OLD),
+        *[ref(name).alias(OLD + name) for name in [*values, *stamps]],
     )
-
-
-def value_fields(paired: DataFrame) -> T.StructType:
-    return paired.schema[NEW].dataType
+    fields = [recent.schema[name] for name in values]
+    return Pairs(new.join(old, keys, how), keys, fields, meta)
 
 
 def with_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -99,63 +134,56 @@ def prepare_recent(
     return first_per_key(matched, keys, order_by)
 
 
-def one_row_per_key(
-    paired: DataFrame,
-    recent: DataFrame,
-    active: DataFrame,
+def key_guard(
+    recent: DataFrame | None,
+    active: DataFrame | None,
     keys: list[str],
-    on_duplicate: str,
+    meta: MetaColumns,
     run_date: dt.date | str | None = None,
-    meta: MetaColumns | None = None,
-) -> DataFrame:
-    """Let ``paired`` run only if no key occurs twice on a side.
+) -> Column:
+    """A condition that is true, or fails the query if a key occurs twice on a given side.
 
-    The check is a scalar subquery over the key columns alone. It ends before the stage
+    It is a scalar subquery over the key columns alone. The subquery ends before the stage
     that joins starts, and counts are combined before its shuffle, so a key that holds a
-    third of the rows fails the query early instead of multiplying in one task. Given a
-    run date, the same pass refuses one older than the newest version.
+    third of the rows fails the query early instead of multiplying in one task. The same pass
+    over the history refuses a run date older than the newest version.
     """
-    if on_duplicate == "trust":
-        return paired
-    sides = [active.select(*refs(keys), F.lit("history").alias("_side"), _newest(meta))]
-    if on_duplicate == "error":
-        nothing = F.lit(None).cast("date").alias("_newest")
-        sides.append(recent.select(*refs(keys), F.lit("snapshot").alias("_side"), nothing))
-    rows = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
-    per_key = rows.groupBy(*refs(keys), "_side").agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("_newest").alias("_newest")
-    )
-    repeated = per_key.groupBy().agg(
-        F.count_if((F.col("_rows") > 1) & (F.col("_side") == "snapshot")).alias("snapshot"),
-        F.count_if((F.col("_rows") > 1) & (F.col("_side") == "history")).alias("history"),
+    one, none, no_date = F.lit(1), F.lit(0), F.lit(None).cast("date")
+    sides = []
+    if recent is not None:
+        sides.append((recent, one, none, no_date))
+    if active is not None:
+        sides.append((active, none, one, ref(meta.created)))
+    rows = [
+        frame.select(*refs(keys), a.alias("_recent"), b.alias("_active"), c.alias("_newest"))
+        for frame, a, b, c in sides
+    ]
+    per_key = (rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])).groupBy(*refs(keys)).agg(
+        F.sum("_recent").alias("recent"),
+        F.sum("_active").alias("active"),
         F.max("_newest").alias("newest"),
     )
-    verdict = F.when(
-        F.col("snapshot") + F.col("history") > 0,
-        F.raise_error(
-            F.concat(
-                F.lit("duplicate keys: "),
-                F.col("snapshot").cast("string"),
-                F.lit(" in the snapshot, "),
-                F.col("history").cast("string"),
-                F.lit(" among the active history rows; see key_violations"),
-            )
-        ).cast("boolean"),
+    found = per_key.groupBy().agg(
+        F.count_if(F.col("recent") > 1).alias("recent"),
+        F.count_if(F.col("active") > 1).alias("active"),
+        F.max("newest").alias("newest"),
+    )
+    repeated = F.concat(
+        F.lit("duplicate keys: "),
+        F.col("recent").cast("string"),
+        F.lit(" in the snapshot, "),
+        F.col("active").cast("string"),
+        F.lit(" among the active history rows; see key_violations"),
     )
+    verdict = F.when(F.col("recent") + F.col("active") > 0, _fail(repeated))
     if run_date is not None:
-        verdict = verdict.when(
-            F.col("newest") > F.lit(str(run_date)).cast("date"),
-            F.raise_error(
-                F.concat(
-                    F.lit(f"run date {run_date} is older than the newest version, "),
-                    F.col("newest").cast("string"),
-                )
-            ).cast("boolean"),
+        late = F.concat(
+            F.lit(f"run date {run_date} is older than the newest version, "),
+            F.col("newest").cast("string"),
         )
-    guard = repeated.select(verdict.otherwise(F.lit(True)).alias("ok"))
-    return paired.filter(guard.scalar())
+        verdict = verdict.when(F.col("newest") > F.lit(str(run_date)).cast("date"), _fail(late))
+    return found.select(verdict.otherwise(F.lit(True)).alias("ok")).scalar()
 
 
-def _newest(meta: MetaColumns | None) -> Column:
-    value = F.lit(None).cast("date") if meta is None else ref(meta.created)
-    return value.alias("_newest")
+def _fail(message: Column) -> Column:
+    return F.raise_error(message).cast("boolean")

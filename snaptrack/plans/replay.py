@@ -35,7 +35,11 @@ def apply_snapshot(
     if not earlier:
         raise ValueError(f"{table.root} has no state before {day}; write a first history")
     before = table.read(spark, earlier[-1])
-    rows = run_rows(recent, before, key, day, table.meta, missing=missing, **options)
+    # What an earlier run wrote has one active row per key; a first history may not.
+    trusted = len(earlier) > 1
+    rows = run_rows(
+        recent, before, key, day, table.meta, missing=missing, trusted_history=trusted, **options
+    )
     _same_types(before, rows)
     table.write(rows, day)
 

@@ -1,0 +1,411 @@
+"""One small case per way a comparison can go wrong."""
+
+import datetime as dt
+import json
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+import snaptrack as st
+
+RUN = "2024-06-01"
+# What raise_error inside a subquery comes out as.
+FAILURE = (PySparkException, Py4JJavaError)
+
+
+def rows(frame, order="k"):
+    return [row.asDict(recursive=True) for row in frame.orderBy(order).collect()]
+
+
+def diff(spark, old, new, schema="k int, a string, b string, c string", key="k", **options):
+    """Event and change log per key."""
+    recent = spark.createDataFrame(new, schema)
+    history = st.ensure_history(spark.createDataFrame(old, schema), "2024-01-01")
+    events = {row[0]: row.event for row in st.classify(recent, history, key, **options).collect()}
+    logs = {
+        row[0]: json.loads(row.changes)
+        for row in st.change_log(recent, history, key, **options).collect()
+    }
+    assert set(logs) == {k for k, event in events.items() if event == "update"}
+    return events, logs
+
+
+@pytest.mark.parametrize(
+    "old, new, log",
+    [
+        (("a", None, "b"), ("a", "b", None), {"b": ["b", None], "c": [None, "b"]}),
+        ((None, "", ""), ("x", "", ""), {"a": ["x", None]}),
+        (("x", "", ""), (None, "", ""), {"a": [None, "x"]}),
+        ((None, None, None), (None, None, None), None),
+        (("", "", ""), (None, "", ""), {"a": [None, ""]}),
+        (("a|b", "", ""), ("a, b", "", ""), {"a": ["a, b", "a|b"]}),
+        (("a;b", "c", ""), ("a", "b;c", ""), {"a": ["a", "a;b"], "b": ["b;c", "c"]}),
+        (("[x]", '"', "a\nb"), ("x", '"', "a\tb"), {"a": ["x", "[x]"], "c": ["a\tb", "a\nb"]}),
+        (("\\", "é", "😀"), ("\\", "e", "😀"), {"b": ["e", "é"]}),
+    ],
+)
+def test_strings_and_nulls(spark, old, new, log):
+    events, logs = diff(spark, [(1, *old)], [(1, *new)])
+    assert events == {1: "unchanged" if log is None else "update"}
+    assert logs == ({} if log is None else {1: log})
+
+
+def test_nan_and_zero_are_equal_to_themselves(spark):
+    nan = float("nan")
+    old = [(1, nan), (2, 0.0), (3, nan), (4, None)]
+    new = [(1, nan), (2, -0.0), (3, 1.0), (4, nan)]
+    events, logs = diff(spark, old, new, "k int, x double")
+    assert events == {1: "unchanged", 2: "unchanged", 3: "update", 4: "update"}
+    assert logs[3] == {"x": ["1.0", "NaN"]} and logs[4] == {"x": ["NaN", None]}
+
+
+def test_key_needs_no_special_name(spark):
+    schema = "order_no string, id int, `odd.name` string"
+    events, logs = diff(
+        spark, [("x", 1, "a"), ("y", 2, "b")], [("x", 1, "c"), ("y", 2, "b")], schema, "order_no"
+    )
+    assert events == {"x": "update", "y": "unchanged"}
+    assert logs == {"x": {"odd.name": ["c", "a"]}}
+
+
+def test_key_with_a_dot_and_history_build(spark):
+    recent = spark.createDataFrame([(1, "n"), (2, "m")], "`a.k` int, `v v` string")
+    history = st.open_rows(spark.createDataFrame([(1, "o")], recent.schema), "2024-01-01")
+    result = st.build_history(recent, history, "a.k", RUN)
+    assert result.columns[:2] == ["a.k", "v v"]
+    assert sorted((r[0], r[1], r[2]) for r in result.collect()) == [
+        (1, "n", True), (1, "o", False), (2, "m", True),
+    ]
+    assert st.timeline(result, "a.k").count() == 3
+    assert st.explode_changes(result, "a.k").collect()[0]["column_name"] == "v v"
+
+
+def test_composite_key(spark):
+    schema = "k int, l string, v int"
+    recent = spark.createDataFrame([(1, "a", 1), (1, "b", 5), (2, "a", 3)], schema)
+    history = st.open_rows(spark.createDataFrame([(1, "a", 1), (1, "b", 2)], schema), "2024-01-01")
+    events = {(r.k, r.l): r.event for r in st.classify(recent, history, ["k", "l"]).collect()}
+    assert events == {(1, "a"): "unchanged", (1, "b"): "update", (2, "a"): "insert"}
+
+
+def test_key_without_values(spark):
+    recent = spark.createDataFrame([(1,), (2,)], "k int")
+    history = st.open_rows(spark.createDataFrame([(1,), (3,)], "k int"), "2024-01-01")
+    events = {r.k: r.event for r in st.classify(recent, history, "k").collect()}
+    assert events == {1: "unchanged", 2: "insert", 3: "missing"}
+
+
+def test_column_order_does_not_count(spark):
+    recent = spark.createDataFrame([("x", 1, "y")], "b string, k int, a string")
+    history = st.open_rows(spark.createDataFrame([(1, "y", "x")], "k int, a string, b string"))
+    assert rows(st.classify(recent, history, "k"))[0]["event"] == "unchanged"
+
+
+def test_added_and_removed_columns(spark):
+    recent = spark.createDataFrame([(1, "x", 7)], "k int, a string, n int")
+    history = st.open_rows(
+        spark.createDataFrame([(1, "x", 2.5)], "k int, a string, gone double"), "2024-01-01"
+    )
+    result = rows(st.build_history(recent, history, "k", RUN), "is_active")
+    assert [(r["n"], r["gone"], r["is_active"]) for r in result] == [
+        (None, 2.5, False), (7, None, True),
+    ]
+    assert json.loads(result[0]["changes"]) == {"n": ["7", None], "gone": [None, "2.5"]}
+    with pytest.raises(ValueError, match="one side only"):
+        st.build_history(recent, history, "k", RUN, strict=True)
+
+
+def test_types_widen_without_loss(spark):
+    recent = spark.createDataFrame([(1, 100.0, "5"), (2, 1.5, "x")], "k bigint, v double, t string")
+    history = st.open_rows(
+        spark.createDataFrame([(1, 100, 5), (2, 100, 6)], "k int, v int, t int"), "2024-01-01"
+    )
+    events = {r.k: r.event for r in st.classify(recent, history, "k").collect()}
+    assert events == {1: "unchanged", 2: "update"}
+    result = st.build_history(recent, history, "k", RUN)
+    assert dict(result.dtypes)["v"] == "double" and dict(result.dtypes)["t"] == "string"
+    assert {r.t for r in result.filter("not is_active").collect()} == {"6"}
+
+
+def test_types_without_a_common_type(spark):
+    recent = spark.createDataFrame([(1, [1])], "k int, v array<int>")
+    history = st.open_rows(spark.createDataFrame([(1, 1)], "k int, v int"))
+    with pytest.raises(ValueError, match="cast one of them"):
+        st.classify(recent, history, "k")
+
+
+def test_nested_values(spark):
+    schema = "k int, m map<string,int>, l array<struct<x:int,y:map<int,string>>>"
+    old = [
+        (1, {"a": 1, "b": 2}, [(1, {1: "p", 2: "q"})]),
+        (2, {"a": 1}, [(1, {1: "p"})]),
+        (3, None, None),
+        (4, {"a": None}, [None]),
+        (5, {}, []),
+    ]
+    new = [
+        (1, {"b": 2, "a": 1}, [(1, {2: "q", 1: "p"})]),
+        (2, {"a": 2}, [(1, {1: "r"})]),
+        (3, {}, None),
+        (4, {"a": None}, [None]),
+        (5, {}, [None]),
+    ]
+    events, logs = diff(spark, old, new, schema)
+    assert events == {1: "unchanged", 2: "update", 3: "update", 4: "unchanged", 5: "update"}
+    assert logs[2] == {
+        "m": ['{"a":2}', '{"a":1}'],
+        "l": ['[{"x":1,"y":{"1":"r"}}]', '[{"x":1,"y":{"1":"p"}}]'],
+    }
+    assert logs[3] == {"m": ["{}", None]}
+
+
+def test_variant_and_binary_values(spark):
+    old = spark.sql("select 1 k, parse_json('{\"a\":1,\"b\":2}') v, X'00ff' x")
+    same = spark.sql("select 1 k, parse_json('{\"b\":2,\"a\":1}') v, X'00ff' x")
+    other = spark.sql("select 1 k, parse_json('{\"a\":3}') v, X'01ff' x")
+    history = st.open_rows(old, "2024-01-01")
+    assert rows(st.classify(same, history, "k"))[0]["event"] == "unchanged"
+    log = json.loads(st.change_log(other, history, "k").collect()[0].changes)
+    assert log == {"v": ['{"a":3}', '{"a":1,"b":2}'], "x": ["Af8=", "AP8="]}
+
+
+def duplicate_frames(spark):
+    schema = "k int, v int"
+    once = spark.createDataFrame([(1, 1), (2, 2)], schema)
+    twice = spark.createDataFrame([(1, 1), (1, 3), (2, 2)], schema)
+    return once, twice
+
+
+def test_duplicate_keys_fail(spark):
+    once, twice = duplicate_frames(spark)
+    for recent, history in ((twice, once), (once, twice)):
+        history = st.open_rows(history, "2024-01-01")
+        for build in (st.build_history, st.edited_rows, st.closed_edited_rows):
+            with pytest.raises(FAILURE, match="duplicate keys"):
+                build(recent, history, "k", RUN).collect()
+        for operator in (st.classify, st.change_log, st.edited_keys):
+            with pytest.raises(FAILURE, match="duplicate keys"):
+                operator(recent, history, "k").collect()
+
+
+def test_keep_first_duplicate(spark):
+    once, twice = duplicate_frames(spark)
+    history = st.open_rows(once, "2024-01-01")
+    options = {"on_duplicate": "keep_first", "order_by": "v"}
+    events = {r.k: r.event for r in st.classify(twice, history, "k", **options).collect()}
+    assert events == {1: "unchanged", 2: "unchanged"}
+    with pytest.raises(ValueError, match="order_by"):
+        st.classify(twice, history, "k", on_duplicate="keep_first")
+    with pytest.raises(FAILURE, match="1 among the active"):
+        st.classify(once, st.open_rows(twice, "2024-01-01"), "k", **options).collect()
+
+
+def test_repeated_ids_do_not_multiply(spark):
+    once, twice = duplicate_frames(spark)
+    assert st.rows_with_keys(once, twice, "k").count() == 2
+    assert st.new_rows(once, st.open_rows(twice), "k").count() == 0
+
+
+def test_key_violations(spark):
+    frame = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, "b"), (None, "c")], "k int, v string"
+    )
+    found = {(r.k, r.violation, r.row_count) for r in st.key_violations(frame, "k").collect()}
+    assert found == {(1, "duplicate_key", 2), (None, "null_key", 3)}
+    closed = st.close_rows(st.open_rows(frame, "2024-01-01"), RUN)
+    assert st.key_violations(closed, "k").count() == 0
+
+
+def test_null_keys(spark):
+    recent = spark.createDataFrame([(None, 1), (1, 1)], "k int, v int")
+    history = st.open_rows(spark.createDataFrame([(None, 5), (1, 1)], "k int, v int"), "2024-01-01")
+    result = rows(st.build_history(recent, history, "k", RUN))
+    # The snapshot row cannot be matched; the history row stays.
+    assert [(r["k"], r["v"], r["is_active"]) for r in result] == [(None, 5, True), (1, 1, True)]
+    assert st.new_rows(recent, history, "k").count() == 0
+
+
+def versions(spark):
+    """Key 1 with two closed versions and an active one, key 2 with closed versions only."""
+    day = dt.date.fromisoformat
+    schema = "k int, v string, is_active boolean, valid_from date, valid_to date, changes string"
+    return spark.createDataFrame(
+        [
+            (1, "a", False, day("2023-01-01"), day("2023-02-01"), '{"v":["b","a"]}'),
+            (1, "b", False, day("2023-02-01"), day("2023-03-01"), '{"v":["c","b"]}'),
+            (1, "c", True, day("2023-03-01"), None, None),
+            (2, "x", False, day("2023-01-01"), day("2023-02-01"), None),
+        ],
+        schema,
+    )
+
+
+def test_closed_versions_stay_and_a_key_can_return(spark):
+    history = versions(spark)
+    recent = spark.createDataFrame([(1, "d"), (2, "x")], "k int, v string")
+    result = st.build_history(recent, history, "k", RUN)
+    before = {tuple(r) for r in history.filter("not is_active").collect()}
+    after = [tuple(r) for r in result.collect()]
+    assert before <= set(after) and len(after) == 6
+    assert {r.k: r.event for r in st.classify(recent, history, "k").collect()} == {
+        1: "update", 2: "insert",
+    }
+
+
+def test_flagless_and_null_flag_rows(spark):
+    frame = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert st.active_rows(frame).count() == 1 and st.closed_rows(frame).count() == 0
+    unknown = versions(spark).selectExpr(
+        "k", "v", "cast(null as boolean) is_active", "valid_from", "valid_to", "changes"
+    )
+    assert st.active_rows(unknown).count() == 0 and st.closed_rows(unknown).count() == 0
+    recent = spark.createDataFrame([(1, "z")], "k int, v string")
+    assert st.build_history(recent, unknown, "k", RUN).count() == 5
+
+
+def test_other_errors_are_not_hidden(spark):
+    frame = spark.createDataFrame([(1, "a")], "k int, is_active string")
+    with pytest.raises(PySparkException):
+        st.active_rows(frame).collect()
+    with pytest.raises(ValueError, match="key columns"):
+        st.classify(frame, frame, "nope")
+
+
+@pytest.mark.parametrize(
+    "mode, missing, expected",
+    [
+        ("full", "keep", [(1, True, None), (2, True, None)]),
+        ("full", "close", [(1, True, None), (2, False, RUN)]),
+        ("full", "drop", [(1, True, None)]),
+        ("delta", "keep", []),
+        ("delta", "close", [(2, False, RUN)]),
+        ("delta", "drop", []),
+    ],
+)
+def test_missing_policies(spark, mode, missing, expected):
+    recent = spark.createDataFrame([(1, "a")], "k int, v string")
+    both = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    history = st.open_rows(both, "2024-01-01")
+    result = st.build_history(recent, history, "k", RUN, mode=mode, missing=missing)
+    found = [
+        (r["k"], r["is_active"], r["valid_to"] and str(r["valid_to"])) for r in rows(result)
+    ]
+    assert found == expected
+
+
+def test_empty_sides(spark):
+    some = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    none = some.limit(0)
+    assert {r.event for r in st.classify(some, none, "k").collect()} == {"insert"}
+    history = st.open_rows(some, "2024-01-01")
+    assert {r.event for r in st.classify(none, history, "k").collect()} == {"missing"}
+    assert st.build_history(none, st.open_rows(none), "k", RUN).count() == 0
+
+
+def test_bad_arguments(spark):
+    frame = spark.createDataFrame([(1, "a")], "k int, v string")
+    for options in ({"mode": "some"}, {"missing": "no"}, {"on_duplicate": "some"}):
+        with pytest.raises(ValueError):
+            st.build_history(frame, frame, "k", RUN, **options)
+    with pytest.raises(ValueError):
+        st.union_all([])
+    with pytest.raises(ValueError):
+        st.classify(frame, frame, [])
+
+
+def test_run_date_must_not_go_back(spark):
+    history = st.open_rows(spark.createDataFrame([(1, "a")], "k int, v string"), "2024-07-01")
+    recent = spark.createDataFrame([(1, "b")], "k int, v string")
+    with pytest.raises(FAILURE, match="older than the newest version"):
+        st.build_history(recent, history, "k", RUN).collect()
+
+
+def test_second_run_changes_nothing(spark):
+    recent = spark.createDataFrame([(1, "d"), (3, "n")], "k int, v string")
+    once = st.build_history(recent, versions(spark), "k", RUN, missing="close")
+    twice = st.build_history(recent, once, "k", RUN, missing="close")
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+
+
+def test_metadata_in_the_snapshot_is_not_data(spark):
+    history = versions(spark)
+    recent = st.open_rows(spark.createDataFrame([(1, "c")], "k int, v string"), RUN)
+    events = {r.k: r.event for r in st.classify(recent, history, "k").collect()}
+    assert events == {1: "unchanged"}
+    assert st.value_columns(recent, "k") == ["v"]
+
+
+def test_as_of_is_half_open(spark):
+    history = versions(spark)
+    states = {
+        day: [r.v for r in st.as_of(history, day).orderBy("k").collect()]
+        for day in ("2022-12-31", "2023-01-01", "2023-01-31", "2023-02-01", "2023-03-01")
+    }
+    assert states == {
+        "2022-12-31": [], "2023-01-01": ["a", "x"], "2023-01-31": ["a", "x"],
+        "2023-02-01": ["b"], "2023-03-01": ["c"],
+    }
+    assert st.as_of(history, "2023-03-01").columns == ["k", "v"]
+    assert st.as_of(history, "2023-03-01", keep_meta=True).columns == history.columns
+
+
+def test_timeline(spark):
+    found = st.timeline(versions(spark), "k").orderBy("k", "version_number").collect()
+    day = dt.date.fromisoformat
+    assert [
+        (r.k, r.v, r.version_number, r.previous_from, r.next_from, r.days_valid) for r in found
+    ] == [
+        (1, "a", 1, None, day("2023-02-01"), 31),
+        (1, "b", 2, day("2023-01-01"), day("2023-03-01"), 28),
+        (1, "c", 3, day("2023-02-01"), None, None),
+        (2, "x", 1, None, None, 31),
+    ]
+
+
+def test_cells_and_counts(spark):
+    history = versions(spark)
+    cells = {
+        (r.k, str(r.valid_to), r.column_name, r.new_value, r.old_value)
+        for r in st.explode_changes(history, "k").collect()
+    }
+    assert cells == {(1, "2023-02-01", "v", "b", "a"), (1, "2023-03-01", "v", "c", "b")}
+    assert [tuple(r) for r in st.column_change_counts(history).collect()] == [("v", 2)]
+
+
+@pytest.mark.parametrize("secure", [False, True])
+def test_fingerprint(spark, secure):
+    frame = spark.createDataFrame(
+        [
+            (1, "a", None, {"x": 1, "y": 2}, 0.0),
+            (2, None, "a", {"x": 1, "y": 2}, 0.0),
+            (3, "a", None, {"y": 2, "x": 1}, -0.0),
+            (4, "a", None, {"y": 2, "x": 2}, 0.0),
+        ],
+        "k int, a string, b string, m map<string,int>, d double",
+    )
+    prints = {
+        r.k: r.fp
+        for r in st.fingerprint(frame, ["a", "b", "m", "d"], "fp", secure=secure).collect()
+    }
+    assert prints[1] == prints[3]
+    assert len({prints[1], prints[2], prints[4]}) == 3
+
+
+def test_union_all_fills_and_sorts(spark):
+    left = spark.createDataFrame([(2, "a")], "k int, v string")
+    right = spark.createDataFrame([("b", 1, 5)], "v string, k int, n int")
+    result = st.union_all([left, right], order_by="k")
+    assert [tuple(r) for r in result.collect()] == [(1, "b", 5), (2, "a", None)]
+
+
+def test_wide_table(spark):
+    """More columns than one generated method holds."""
+    width = 400
+    names = [f"c{i}" for i in range(width)]
+    base = spark.range(20).selectExpr("id as k", *[f"id * {i} as {n}" for i, n in enumerate(names)])
+    recent = base.withColumn("c399", base.c399 + 1)
+    history = st.open_rows(base, "2024-01-01")
+    result = st.build_history(recent, history, "k", RUN)
+    assert result.count() == 40
+    assert st.column_change_counts(result).collect()[0].column_name == "c399"

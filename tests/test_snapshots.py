@@ -1,0 +1,141 @@
+"""Counts and invariants on snapshots derived from orders, and against brute force."""
+
+import random
+
+import pytest
+
+import snaptrack as st
+from tests.conftest import SMALL
+
+RUN, SECOND = "2024-06-01", "2024-07-01"
+
+# Counts of these snapshots at the smallest scale.
+EVENTS = {"insert": 136, "update": 312, "unchanged": 915, "missing": 123}
+
+SNAP_RECENT = """
+select o_orderkey, o_custkey,
+       case when o_orderkey % 7 = 0 then 'X' else o_orderstatus end as o_orderstatus,
+       case when o_orderkey % 13 = 0 then o_totalprice + 1.5 else o_totalprice end as o_totalprice,
+       o_orderdate,
+       case when o_orderkey % 17 = 0 then null else o_orderpriority end as o_orderpriority
+from {orders} where o_orderkey % 11 <> 0
+"""
+HIST = """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       true as is_active, date '2024-01-01' as valid_from, cast(null as date) as valid_to,
+       cast(null as string) as changes
+from {orders} where o_orderkey % 10 <> 0
+union all
+select o_orderkey, o_custkey, 'O', o_totalprice, o_orderdate, o_orderpriority,
+       false, date '2023-01-01', date '2024-01-01',
+       '{{"o_orderstatus":["' || o_orderstatus || '","O"]}}'
+from {orders} where o_orderkey % 10 = 5 and o_orderstatus <> 'O'
+"""
+SNAP_SECOND = """
+select o_orderkey, o_custkey,
+       case when o_orderkey % 23 = 0 then 'Y' else o_orderstatus end as o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority
+from {recent} where o_orderkey % 19 <> 0
+"""
+KEY = "o_orderkey"
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    recent = spark.sql(SNAP_RECENT, orders=orders)
+    return recent, spark.sql(HIST, orders=orders), spark.sql(SNAP_SECOND, recent=recent)
+
+
+def test_event_counts(sides):
+    recent, history, second = sides
+    summary = {r.event: r.key_count for r in st.change_summary(recent, history, KEY).collect()}
+    assert summary == EVENTS
+    assert second.count() == 1292
+
+
+@pytest.mark.parametrize(
+    "mode, missing, count",
+    [
+        ("delta", "keep", 870),
+        ("full", "keep", 1908),
+        ("full", "close", 1908),
+        ("full", "drop", 1785),
+    ],
+)
+def test_row_counts(sides, mode, missing, count):
+    recent, history, _ = sides
+    assert st.build_history(recent, history, KEY, RUN, mode=mode, missing=missing).count() == count
+
+
+def same_rows(left, right):
+    return sorted(map(str, left.select(*right.columns).collect())) == sorted(
+        map(str, right.collect())
+    )
+
+
+def test_invariants(sides):
+    recent, history, second = sides
+    first = st.build_history(recent, history, KEY, RUN, missing="close")
+    after = st.build_history(second, first, KEY, SECOND, missing="close")
+    assert st.key_violations(after, KEY).count() == 0
+    assert same_rows(st.as_of(first, RUN), recent)
+    assert same_rows(st.as_of(after, SECOND), second)
+    assert same_rows(st.as_of(after, RUN), recent)
+    assert same_rows(st.as_of(after, "2024-01-01"), st.as_of(history, "2024-01-01"))
+    closed = {str(r) for r in st.closed_rows(first).collect()}
+    assert closed <= {str(r) for r in st.closed_rows(after).collect()}
+    by_edit = first.filter(f"not is_active and valid_to = date '{RUN}'")
+    assert by_edit.filter("changes is not null").count() == EVENTS["update"]
+    assert by_edit.filter("changes is null").count() == EVENTS["missing"]
+    assert same_rows(
+        st.build_history(second, after, KEY, SECOND, missing="close"), after
+    )
+
+
+def brute_force(new, old, run_date, missing):
+    """The model, written over dicts of key to values; returns (key, values, flag, from, to)."""
+    result = []
+    for key in set(new) | set(old):
+        if key not in old:
+            result.append((key, new[key], True, run_date, None))
+        elif key not in new:
+            if missing != "drop":
+                gone = missing == "close"
+                result.append((key, old[key], not gone, "2024-01-01", run_date if gone else None))
+        elif new[key] == old[key]:
+            result.append((key, old[key], True, "2024-01-01", None))
+        else:
+            result.append((key, old[key], False, "2024-01-01", run_date))
+            result.append((key, new[key], True, run_date, None))
+    return sorted(result, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_against_brute_force(spark, seed):
+    draw = random.Random(seed)
+    words = [None, "", "a", "b", "a;b", "[a]", 'q"', "a|b"]
+
+    def table():
+        keys = draw.sample(range(60), 45)
+        return {k: (draw.choice(words), draw.choice(words), draw.choice([None, 0, 1])) for k in keys}
+
+    old = table()
+    new = {k: (v if draw.random() < 0.5 else table().get(k, v)) for k, v in old.items()}
+    for key in draw.sample(sorted(new), 8):
+        del new[key]
+    new.update({k: v for k, v in table().items() if k not in old})
+    schema = "k int, a string, b string, n int"
+    frames = [
+        spark.createDataFrame([(k, *v) for k, v in side.items()], schema) for side in (new, old)
+    ]
+    history = st.open_rows(frames[1], "2024-01-01")
+    for missing in ("keep", "close", "drop"):
+        found = sorted(
+            (
+                (r.k, (r.a, r.b, r.n), r.is_active, str(r.valid_from), r.valid_to and str(r.valid_to))
+                for r in st.build_history(frames[0], history, "k", RUN, missing=missing).collect()
+            ),
+            key=repr,
+        )
+        assert found == brute_force(new, old, RUN, missing)
