@@ -43,8 +43,7 @@ def build_history(
     reports them. History rows are never lost: those without a key or flag are carried over.
     """
     matched = match(recent, history, key, meta, run_date=run_date, **options)
-    frames = [carried_rows(matched, mode), _run(matched, mode, missing)]
-    result = union_all(frames)
+    result = union_all([carried_rows(matched), _run(matched, mode, missing)])
     return result.orderBy(*refs(matched.keys), meta.created, meta.active) if sort else result
 
 
@@ -64,23 +63,28 @@ def run_rows(
     return _run(matched, mode, missing)
 
 
-def carried_rows(matched: Matched, mode: str = "full") -> DataFrame:
-    """History rows that no snapshot can touch, unchanged.
+def carried_rows(matched: Matched) -> DataFrame:
+    """History rows that are not active, unchanged, whatever the snapshot holds."""
+    flag = F.coalesce(ref(matched.meta.active), F.lit(False))
+    return matched.history.filter(~flag).select(*_columns(matched))
 
-    Two filters rather than one with OR: the first prunes partitions of the flag, the second
-    skips Parquet row groups without null keys.
+
+def keyless_rows(matched: Matched) -> DataFrame:
+    """Active history rows without a key: no snapshot row can match them, so they stay.
+
+    A scan of its own and not part of the join: Parquet skips row groups without null keys,
+    and null keys would all go to one task of the join.
     """
-    history, meta = matched.history, matched.meta
-    columns = refs([*matched.keys, *matched.values, *meta.names])
-    carried = history.filter(~F.coalesce(ref(meta.active), F.lit(False))).select(*columns)
-    if mode == "full":
-        keyless = active_rows(history, meta).filter(any_null(matched.keys))
-        carried = carried.unionByName(keyless.select(*columns))
-    return carried
+    rows = active_rows(matched.history, matched.meta).filter(any_null(matched.keys))
+    return rows.select(*_columns(matched))
+
+
+def _columns(matched: Matched):
+    return refs([*matched.keys, *matched.values, *matched.meta.names])
 
 
 def _run(matched: Matched, mode: str, missing: str) -> DataFrame:
-    """Rows written by this run: one full outer join, no second pass over it.
+    """Rows that are active after the run or closed by it: one join, no second pass over it.
 
     Each pair yields none, one or two rows. Only a short array of constants is exploded; the
     wide values are picked afterwards, so they are not copied into arrays.
@@ -115,7 +119,7 @@ def _run(matched: Matched, mode: str, missing: str) -> DataFrame:
     opened = F.col("_row") == "opened"
     closed, kept_row = F.col("_row") == "closed", F.col("_row") == "kept"
     ended = closed | (F.col("_row") == "ended")
-    return rows.select(
+    written = rows.select(
         *refs(matched.keys),
         *[
             F.when(opened, pairs.new(name)).otherwise(pairs.old(name)).alias(name)
@@ -128,3 +132,4 @@ def _run(matched: Matched, mode: str, missing: str) -> DataFrame:
         .when(~opened, pairs.old(meta.changes))
         .alias(meta.changes),
     )
+    return written.unionByName(keyless_rows(matched)) if mode == "full" else written

@@ -42,10 +42,32 @@ class HistoryTable:
         spark, day = rows.sparkSession, _day(run_date)
         target = table_path(self.root, f"rows/{RUN}={day}")
         rows.write.mode("overwrite").partitionBy(self.meta.active).parquet(target)
+        self._enter(spark, day, rows.schema.json())
+
+    def drop_superseded(self, spark: SparkSession, keep: int = 2) -> None:
+        """Free the active rows of all but the newest ``keep`` runs.
+
+        Each run stores a whole set of active rows and only the newest is part of the state;
+        the one before it is needed to run the newest date again. Closed rows stay, so
+        ``as_of`` still reaches every date.
+        """
+        if keep < 1:
+            raise ValueError("the newest run cannot be dropped")
+        log = self._log(spark)
+        for day in sorted(log)[:-keep]:
+            if log[day] is not None:
+                columns = T.StructType.fromJson(json.loads(log[day]))
+                nothing = spark.createDataFrame([], columns).drop(self.meta.active)
+                # First the log: a run whose rows are going must not be read any more.
+                self._enter(spark, day, None)
+                path = f"rows/{RUN}={day}/{self.meta.active}=true"
+                nothing.write.mode("overwrite").parquet(table_path(self.root, path))
+
+    def _enter(self, spark: SparkSession, day: dt.date, columns: str | None) -> None:
         entry = spark.range(1, numPartitions=1).select(
             date_of(day).alias(RUN),
             F.current_timestamp().alias("written_at"),
-            F.lit(rows.schema.json()).alias("columns"),
+            F.lit(columns).cast("string").alias("columns"),
         )
         entry.write.mode("append").parquet(table_path(self.root, "runs"))
 
@@ -69,23 +91,26 @@ class HistoryTable:
         finished = [day for day in sorted(log) if run_date is None or day <= _day(run_date)]
         if not finished:
             raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
+        if log[finished[-1]] is None:
+            raise ValueError(f"the active rows of run {finished[-1]} were dropped; use as_of")
         columns = T.StructType.fromJson(json.loads(log[finished[-1]]))
         # The schema comes from the log: no footer is read to find it.
         rows = spark.read.schema(columns.add(RUN, T.DateType()))
         rows = rows.parquet(table_path(self.root, "rows"))
-        active, last = ref(self.meta.active), date_of(finished[-1])
+        active, last = F.coalesce(ref(self.meta.active), F.lit(False)), date_of(finished[-1])
         state = (active & (F.col(RUN) == last)) | (~active & (F.col(RUN) <= last))
         return rows.filter(state & wanted).select(*[ref(name) for name in columns.names])
 
     def _log(self, spark: SparkSession) -> dict[dt.date, str]:
-        """Run date to schema, one small row per run; of a repeated run the newest."""
+        """Run date to schema, one small row per run; null where active rows were dropped."""
         try:
             log = spark.read.schema(LOG_SCHEMA).parquet(table_path(self.root, "runs"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
-        newest = log.groupBy(RUN).agg(F.max_by("columns", "written_at").alias("columns"))
+        entry = F.struct("written_at", "columns")
+        newest = log.groupBy(RUN).agg(F.max(entry)["columns"].alias("columns"))
         return {row[RUN]: row["columns"] for row in newest.collect()}
 
 

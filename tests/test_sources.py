@@ -190,3 +190,35 @@ def test_stream_picks_up_what_lands(spark, series, tmp_path):
     land(SECOND, second)
     assert rows(pick_up()) == rows(last)
     assert table.runs(spark) == DAYS
+
+
+def test_superseded_active_rows_can_go(spark, series, tmp_path):
+    base, first, second = series
+    table = st.HistoryTable(str(tmp_path / "h"))
+    snapshots = [(RUN, first), (SECOND, second)]
+    st.replay(spark, snapshots, table, "k", base, BASE, missing="close")
+    for _ in range(2):
+        table.drop_superseded(spark)
+        assert rows(table.read(spark)) == rows(expected(series)[1])
+    with pytest.raises(ValueError, match="use as_of"):
+        table.read(spark, BASE)
+    assert rows(table.as_of(spark, BASE)) == rows(base)
+    assert rows(table.as_of(spark, RUN)) == rows(first)
+    st.apply_snapshot(spark, table, SECOND, second, "k", missing="close")
+    assert rows(table.read(spark)) == rows(expected(series)[1])
+    left = spark.read.parquet(f"{table.root}/rows/run_date={BASE}")
+    assert left.filter("is_active = 'true'").count() == 0
+    with pytest.raises(ValueError):
+        table.drop_superseded(spark, keep=0)
+
+
+def test_rows_without_key_or_flag_survive_runs(spark, series, tmp_path):
+    schema = "k int, v string, is_active boolean, valid_from date"
+    day = DAYS[0]
+    odd = spark.createDataFrame(
+        [(None, "x", True, day), (9, "y", None, day), (1, "a", True, day)], schema
+    )
+    table = st.HistoryTable(str(tmp_path / "h"))
+    snapshots = [(RUN, series[1]), (SECOND, series[2])]
+    result = st.replay(spark, snapshots, table, "k", odd, BASE, missing="close")
+    assert result.filter("k is null or v = 'y'").count() == 2
