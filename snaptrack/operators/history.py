@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, date_of, ref, refs
 from snaptrack.operators.checks import any_null
 from snaptrack.operators.diff import Matched, match
-from snaptrack.operators.rows import active_rows, union_all
+from snaptrack.operators.rows import active_rows, sort_rows, union_all
 
 MODES = ("full", "delta")
 MISSING = ("keep", "close", "drop")
@@ -40,11 +40,11 @@ def build_history(
     ``options``   ``strict``, ``on_duplicate``, ``order_by``, see ``match``
 
     Snapshot rows with a null key cannot be matched and are left out; ``key_violations``
-    reports them. History rows are never lost: those without a key or flag are carried over.
+    reports them. History rows without a key or a flag are carried over.
     """
     matched = match(recent, history, key, meta, run_date=run_date, **options)
     result = union_all([carried_rows(matched), _run(matched, mode, missing)])
-    return result.orderBy(*refs(matched.keys), meta.created, meta.active) if sort else result
+    return sort_rows(result, [*matched.keys, meta.created, meta.active]) if sort else result
 
 
 def run_rows(

@@ -69,4 +69,10 @@ def union_all(frames: Sequence[DataFrame], order_by: KeySpec | None = None) -> D
     if not frames:
         raise ValueError("union_all needs at least one DataFrame")
     result = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return result if order_by is None else result.orderBy(*refs(key_list(order_by)))
+    return result if order_by is None else sort_rows(result, key_list(order_by))
+
+
+def sort_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Global ascending sort. Rows that tie are told apart by a running number, so that the
+    range partitions can split a value that holds much of the table."""
+    return df.orderBy(*refs(names), F.monotonically_increasing_id())

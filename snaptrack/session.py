@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 
+MB = 1024 * 1024
+PARTITION_BYTES = 200 * MB
+MOST_PARTITIONS = 50_000
+MOST_SCAN_TASKS = 100_000
+
+
 def session_conf(shuffle_bytes: int | None = None, cores: int | None = None) -> dict[str, str]:
     """Settings for ``SparkSession.builder.config(map=...)``.
 
-    ``shuffle_bytes`` is the size of the larger side of the diff; the number of shuffle
-    partitions is chosen so that one holds about 200 MB, and never fewer than two per core.
-    AQE merges those that turn out small.
+    ``shuffle_bytes`` is the size of the larger side of the diff. Shuffle partitions hold about
+    200 MB and there are at least two per core; AQE merges those that turn out small. From
+    10 TB on their number stays and they grow instead, to 2 GB at 100 TB: map and reduce tasks
+    multiply to shuffle blocks, and a sort-merge join can spill. Scan tasks grow likewise.
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
@@ -20,6 +27,9 @@ def session_conf(shuffle_bytes: int | None = None, cores: int | None = None) ->
         "spark.sql.maxConcurrentOutputFileWriters": "4",
     }
     if shuffle_bytes is not None or cores is not None:
-        by_size = -(-(shuffle_bytes or 0) // (200 * 1024 * 1024))
+        by_size = min(-(-(shuffle_bytes or 0) // PARTITION_BYTES), MOST_PARTITIONS)
         conf["spark.sql.shuffle.partitions"] = str(max(by_size, 2 * (cores or 0), 1))
+    if shuffle_bytes is not None:
+        scan = max(128 * MB, shuffle_bytes // MOST_SCAN_TASKS)
+        conf["spark.sql.files.maxPartitionBytes"] = str(scan)
     return conf

@@ -87,3 +87,19 @@ def test_closed_rows_of_a_hot_key_do_not_join(spark, hot_history):
 def test_hot_key_in_key_filter(spark, hot_history):
     ids = spark.range(ROWS).selectExpr("if(id % 3 = 0, 0, id + 1000000) as k")
     assert st.rows_with_keys(hot_history, ids, "k").count() == ROWS // 3
+
+
+def test_sort_splits_a_hot_key(spark, hot_history):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        result = st.union_all([hot_history.limit(0), hot_history], order_by="k")
+        assert result.columns == hot_history.columns
+        parts = result.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.k for r in parts] == sorted(r.k for r in parts)
+    sizes = {}
+    for row in parts:
+        sizes[row.part] = sizes.get(row.part, 0) + 1
+    # Four partitions: a third of the rows under one key does not fill one of them.
+    assert max(sizes.values()) < ROWS // 3

@@ -66,8 +66,12 @@ def test_paths_and_store_settings():
 
 def test_session_conf():
     assert "spark.sql.shuffle.partitions" not in st.session_conf()
+    medium = st.session_conf(shuffle_bytes=10**12, cores=400)
+    assert medium["spark.sql.shuffle.partitions"] == "4769"
+    assert medium["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 * 1024)
     large = st.session_conf(shuffle_bytes=10**14, cores=4000)
-    assert int(large["spark.sql.shuffle.partitions"]) > 400_000
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(10**9)
     assert st.session_conf(cores=8)["spark.sql.shuffle.partitions"] == "16"
 
 
