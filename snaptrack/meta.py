@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 KeySpec = str | Sequence[str]
 
@@ -50,6 +50,15 @@ def refs(names: Iterable[str]) -> list[Column]:
     return [ref(name) for name in names]
 
 
+def spelled_as(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Rename columns that differ from ``names`` in case only, unless case counts."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return df
+    wanted = {name.lower(): name for name in names}
+    renamed = {c: wanted[c.lower()] for c in df.columns if wanted.get(c.lower(), c) != c}
+    return df.withColumnsRenamed(renamed) if renamed else df
+
+
 def date_of(day: dt.date | str | None) -> Column:
     """A date literal; the wall-clock date only when no date is given."""
     return F.current_date() if day is None else F.lit(str(day)).cast("date")

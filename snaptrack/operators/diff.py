@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
-from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, key_list, refs
+from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, key_list, refs, spelled_as
 from snaptrack.operators.rows import active_rows, close_rows, ensure_history, open_rows
 from snaptrack.plans.align import align
 from snaptrack.plans.pairing import Pairs, key_guard, pair_versions, prepare_recent, with_key
@@ -62,6 +62,8 @@ def match(
     ``trusted_history``  leave out the check of the history, as for one this package wrote
     """
     keys = key_list(key)
+    recent = spelled_as(recent, [*keys, *meta.names])
+    history = spelled_as(history, [*recent.columns, *meta.names])
     history = ensure_history(history, run_date, meta)
     recent, history, values = align(recent, history, keys, meta, strict)
     order = None if order_by is None else key_list(order_by)

@@ -52,6 +52,9 @@ def ensure_history(
 ) -> DataFrame:
     """Give a raw table its metadata; a table that has the flag keeps what it stores."""
     if meta.active not in df.columns:
+        taken = [name for name in meta.names if name in df.columns]
+        if taken:
+            raise ValueError(f"columns {taken} are named like metadata but {meta.active} is absent")
         df = open_rows(df, run_date, meta)
     types = {meta.created: "date", meta.edited: "date", meta.changes: "string"}
     absent = {name: F.lit(None).cast(t) for name, t in types.items() if name not in df.columns}

@@ -9,25 +9,34 @@ from snaptrack.meta import KeySpec, MetaColumns, key_list, ref
 from snaptrack.operators.rows import value_columns
 
 
+NO_PLAIN_TEXT = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
+
+
 def shared_type(df: DataFrame, name: str, left: T.DataType, right: T.DataType) -> T.DataType:
     """A type that holds the values of both; text when one side is text.
 
-    Nothing is cast to a narrower type, so a stored value never turns into null.
+    No stored value turns into null or loses digits: where no such type exists, it is an
+    error.
     """
     if left == right:
         return left
-    atomic = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
-    if not isinstance(left, atomic) and not isinstance(right, atomic):
-        if isinstance(left, T.StringType) or isinstance(right, T.StringType):
-            return T.StringType()
+    sides = (left, right)
+    problem = ValueError(
+        f"column {name!r} is {left.simpleString()} in the snapshot and "
+        f"{right.simpleString()} in the history; cast one of them first"
+    )
+    if any(isinstance(side, T.StringType) for side in sides):
+        if any(isinstance(side, NO_PLAIN_TEXT) for side in sides):
+            raise problem
+        return T.StringType()
+    exact = any(isinstance(side, (T.LongType, T.DecimalType)) for side in sides)
+    if exact and any(isinstance(side, (T.FloatType, T.DoubleType)) for side in sides):
+        raise problem
     try:
         probe = F.coalesce(F.lit(None).cast(left), F.lit(None).cast(right))
         return df.select(probe.alias(name)).schema[name].dataType
     except AnalysisException as error:
-        raise ValueError(
-            f"column {name!r} is {left.simpleString()} in the snapshot and "
-            f"{right.simpleString()} in the history; cast one of them first"
-        ) from error
+        raise problem from error
 
 
 def align(
@@ -40,14 +49,17 @@ def align(
     """Return both frames with the same value columns and types, and the column names.
 
     Columns follow the snapshot, then those only the history has. A column one side lacks is
-    null there; with ``strict=True`` it is an error. Metadata columns in the snapshot are
-    dropped: the history owns them.
+    null there; with ``strict=True`` it is an error. A snapshot that carries the metadata
+    columns is compared without them: the history owns them.
     """
     keys = key_list(key)
     for side, frame in (("snapshot", recent), ("history", history)):
         absent = [name for name in keys if name not in frame.columns]
         if absent:
             raise ValueError(f"key columns {absent} are not in the {side}")
+    named = [name for name in meta.names if name in recent.columns]
+    if named and not {meta.active, meta.created, meta.edited} <= set(named):
+        raise ValueError(f"snapshot columns {named} are named like metadata; rename the metadata")
     new_values, old_values = value_columns(recent, keys, meta), value_columns(history, keys, meta)
     values = new_values + [name for name in old_values if name not in new_values]
     if strict and set(new_values) != set(old_values):

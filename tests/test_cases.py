@@ -409,3 +409,32 @@ def test_wide_table(spark):
     result = st.build_history(recent, history, "k", RUN)
     assert result.count() == 40
     assert st.column_change_counts(result).collect()[0].column_name == "c399"
+
+
+def test_names_that_differ_in_case(spark):
+    recent = spark.createDataFrame([(1, "a"), (2, "b")], "ID int, Name string")
+    history = st.open_rows(spark.createDataFrame([(1, "a"), (2, "c")], "id int, NAME string"))
+    history = history.withColumnRenamed("is_active", "IS_ACTIVE")
+    events = {r.id: r.event for r in st.classify(recent, history, "id").collect()}
+    assert events == {1: "unchanged", 2: "update"}
+
+
+def test_data_named_like_metadata_is_an_error(spark):
+    recent = spark.createDataFrame([(1, "a")], "k int, changes string")
+    history = st.open_rows(spark.createDataFrame([(1,)], "k int"))
+    with pytest.raises(ValueError, match="named like metadata"):
+        st.classify(recent, history, "k")
+    with pytest.raises(ValueError, match="named like metadata"):
+        st.ensure_history(recent)
+    meta = st.MetaColumns(changes="log")
+    assert st.classify(recent, st.ensure_history(recent, RUN, meta), "k", meta).count() == 1
+
+
+@pytest.mark.parametrize(
+    "new, old", [("bigint", "double"), ("decimal(20,2)", "double"), ("string", "binary")]
+)
+def test_types_that_would_lose_digits(spark, new, old):
+    recent = spark.sql(f"select 1 k, cast('1' as {new}) v")
+    history = st.open_rows(spark.sql(f"select 1 k, cast(cast('1' as string) as {old}) v"))
+    with pytest.raises(ValueError, match="cast one of them"):
+        st.classify(recent, history, "k")
