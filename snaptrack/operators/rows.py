@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, date_of, key_list, ref, refs
 
 
+ID_COPIES = 16
+
+
 def active_rows(df: DataFrame, meta: MetaColumns = DEFAULT_META) -> DataFrame:
     """Current versions. A frame without the flag holds only current rows."""
     return df.filter(ref(meta.active)) if meta.active in df.columns else df
@@ -62,9 +65,17 @@ def ensure_history(
 
 
 def rows_with_keys(df: DataFrame, ids: DataFrame, key: KeySpec) -> DataFrame:
-    """Rows whose key is listed in ``ids``; repeated ids do not multiply rows."""
+    """Rows whose key is listed in ``ids``; repeated ids do not multiply rows.
+
+    An id that fills much of ``ids`` is thinned out before the join: copies of an id that
+    share the remainder of their task number become one. That leaves up to ``ID_COPIES`` rows
+    per id, and as they are not grouped by the key alone, the join shuffles them itself. AQE
+    can then split a key that holds much of ``df``, which it does not do for grouped input.
+    """
     names = key_list(key)
-    return df.join(ids.select(*refs(names)), names, "left_semi").select(*refs(df.columns))
+    remainder = F.pmod(F.spark_partition_id(), F.lit(ID_COPIES))
+    listed = ids.select(*refs(names), remainder.alias("_task")).distinct().drop("_task")
+    return df.join(listed, names, "left_semi").select(*refs(df.columns))
 
 
 def union_all(frames: Sequence[DataFrame], order_by: KeySpec | None = None) -> DataFrame:

@@ -122,3 +122,12 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path, no_broadcast):
     assert len(spark.table("plan_next").inputFiles()) <= 4
     for name in ("plan_recent", "plan_history", "plan_next"):
         spark.sql(f"drop table {name}")
+
+
+def test_key_filter_shuffles_thinned_ids(spark, stored, no_broadcast):
+    """Both inputs of the semi join are plain shuffles, which AQE can split."""
+    recent, table = stored
+    plan = physical(st.rows_with_keys(table.read(spark), recent, ORDERS.key))
+    assert "LeftSemi" in plan and "ReadSchema: struct<o_orderkey:bigint>" in plan
+    above = plan[: plan.index("HashAggregate")]
+    assert count(above, "Exchange") == 2
