@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from snaptrack.meta import KeySpec, MetaColumns, key_list, ref
 from snaptrack.operators.rows import value_columns
@@ -78,7 +78,7 @@ def align(
     return recent.select(*new_columns), history.select(*old_columns, *kept_meta), values
 
 
-def _as(name: str, current: T.DataType | None, target: T.DataType):
+def _as(name: str, current: T.DataType | None, target: T.DataType) -> Column:
     if current is None:
         return F.lit(None).cast(target).alias(name)
     return ref(name) if current == target else ref(name).cast(target).alias(name)

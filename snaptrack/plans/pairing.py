@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -148,20 +149,26 @@ def key_guard(
     third of the rows fails the query early instead of multiplying in one task. The same pass
     over the history refuses a run date older than the newest version.
     """
-    one, none, no_date = F.lit(1), F.lit(0), F.lit(None).cast("date")
-    sides = []
+    keys_of = []
     if recent is not None:
-        sides.append((recent, one, none, no_date))
+        stamps = [F.lit(1), F.lit(0), F.lit(None).cast("date")]
+        keys_of.append((recent, stamps))
     if active is not None:
-        sides.append((active, none, one, ref(meta.created)))
-    rows = [
-        frame.select(*refs(keys), a.alias("_recent"), b.alias("_active"), c.alias("_newest"))
-        for frame, a, b, c in sides
+        stamps = [F.lit(0), F.lit(1), ref(meta.created)]
+        keys_of.append((active, stamps))
+    names = ("_recent", "_active", "_newest")
+    sides = [
+        frame.select(*refs(keys), *[column.alias(name) for column, name in zip(stamps, names)])
+        for frame, stamps in keys_of
     ]
-    per_key = (rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])).groupBy(*refs(keys)).agg(
-        F.sum("_recent").alias("recent"),
-        F.sum("_active").alias("active"),
-        F.max("_newest").alias("newest"),
+    per_key = (
+        reduce(DataFrame.union, sides)
+        .groupBy(*refs(keys))
+        .agg(
+            F.sum("_recent").alias("recent"),
+            F.sum("_active").alias("active"),
+            F.max("_newest").alias("newest"),
+        )
     )
     found = per_key.groupBy().agg(
         F.count_if(F.col("recent") > 1).alias("recent"),

@@ -133,9 +133,9 @@ def timeline(history: str, scenario: Scenario) -> str:
     window = f"over (partition by {key} order by valid_from, valid_to nulls last)"
     columns = ", ".join(scenario.columns)
     return f"""
-select {columns}, {META}, row_number() {window} as version_number,
+select {columns}, {META}, cast(row_number() {window} as integer) as version_number,
        lag(valid_from) {window} as previous_from, lead(valid_from) {window} as next_from,
-       datediff('day', valid_from, valid_to) as days_valid
+       cast(datediff('day', valid_from, valid_to) as integer) as days_valid
 from ({history}) as h"""
 
 
@@ -194,6 +194,9 @@ where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')""
         + " select event, count(*) as key_count from pairs group by event",
         # the history build
         "build_history_full": everything,
+        "run_rows": f"""
+select * from ({everything}) as h
+where is_active or valid_to = date '{RUN_DATE}'""",
         "build_history_delta": built(ORDERS, mode="delta"),
         "build_history_missing_close": built(ORDERS, missing="close"),
         "build_history_missing_drop": built(ORDERS, missing="drop"),
@@ -209,6 +212,7 @@ where place = 1""",
         ),
         "replay": replayed("close"),
         "stream_history": replayed("close"),
+        "history_table_after_first_run": built(ORDERS, missing="close"),
         # reads
         "as_of": f"""
 select {columns} from ({replayed("close")}) as h

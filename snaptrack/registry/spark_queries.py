@@ -191,6 +191,7 @@ def queries() -> dict[str, Query]:
         "change_log": on_orders(lambda new, old: st.change_log(new, old, key)),
         "change_summary": on_orders(lambda new, old: st.change_summary(new, old, key)),
         "build_history_full": built(ORDERS),
+        "run_rows": on_orders(lambda new, old: st.run_rows(new, old, key, RUN_DATE)),
         "build_history_delta": built(ORDERS, mode="delta"),
         "build_history_missing_close": built(ORDERS, missing="close"),
         "build_history_missing_drop": built(ORDERS, missing="drop"),
@@ -200,6 +201,9 @@ def queries() -> dict[str, Query]:
         ),
         "replay": replay,
         "stream_history": stream_history,
+        "history_table_after_first_run": lambda spark, sf_dir: replayed_table(
+            spark, sf_dir
+        ).read(spark, RUN_DATE),
         "as_of": as_of,
         "as_of_history_table": as_of_history_table,
         "timeline": after_run(lambda history: st.timeline(history, key)),
