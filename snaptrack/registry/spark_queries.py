@@ -115,11 +115,11 @@ def build_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "bucketed")
     label = folder.rsplit("-", 1)[-1]
     tables = []
-    for side, rows in (("recent", recent), ("history", history)):
+    for side, rows in (("recent", recent), ("active", st.active_rows(history))):
         name = f"snaptrack_{side}_{label}"
         st.write_bucketed(rows, name, ORDERS.key, buckets=8, path=f"{folder}/{side}")
         tables.append(spark.table(name))
-    return st.build_history(*tables, ORDERS.key, RUN_DATE)
+    return st.union_all([st.closed_rows(history), st.run_rows(*tables, ORDERS.key, RUN_DATE)])
 
 
 def replayed_table(spark: SparkSession, sf_dir: str) -> st.HistoryTable:

@@ -32,4 +32,8 @@ def session_conf(shuffle_bytes: int | None = None, cores: int | None = None) ->
     if shuffle_bytes is not None:
         scan = max(128 * MB, shuffle_bytes // MOST_SCAN_TASKS)
         conf["spark.sql.files.maxPartitionBytes"] = str(scan)
+        # Merge up to full partitions instead of down to the parallelism: each writing task
+        # leaves a file of closed rows, a small share of its input.
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
     return conf

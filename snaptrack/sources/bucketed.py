@@ -17,6 +17,9 @@ def write_bucketed(
 ) -> None:
     """Save ``df`` as table ``name``, bucketed and sorted by ``key``.
 
+    For snapshots and active rows, which have one row per key. Closed rows stay out: a key with
+    very many versions would make one bucket, and so one task, as large as they are.
+
     A join on the key then reads the table without an exchange; two such tables with the same
     number of buckets join without any. Rows are shuffled once so that each bucket is one
     file. ``colocated=True`` skips that for rows that come out of such a join and are in

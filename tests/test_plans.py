@@ -108,19 +108,20 @@ def test_new_rows_read_only_keys_of_the_history(spark, stored):
 
 def test_bucketed_tables_join_without_exchange(spark, tmp_path, no_broadcast):
     recent, history = frames(spark, SMALL, ORDERS)
-    for name, frame in (("plan_recent", recent), ("plan_history", history)):
+    active = st.active_rows(history)
+    for name, frame in (("plan_recent", recent), ("plan_active", active)):
         st.write_bucketed(frame, name, ORDERS.key, 4, f"{tmp_path}/{name}")
-    sides = spark.table("plan_recent"), spark.table("plan_history")
+    sides = spark.table("plan_recent"), spark.table("plan_active")
     result = st.run_rows(*sides, ORDERS.key, RUN_DATE)
     assert count(main_part(result), "Exchange") == 0
     half = st.run_rows(recent, sides[1], ORDERS.key, RUN_DATE)
     assert count(main_part(half), "Exchange") == 1
     # Rows of that join are in their buckets: written back, each bucket is one file again.
-    st.write_bucketed(result, "plan_next", ORDERS.key, 4, f"{tmp_path}/next", colocated=True)
+    st.write_bucketed(st.active_rows(result), "plan_next", ORDERS.key, 4, f"{tmp_path}/next", colocated=True)
     again = st.run_rows(recent, spark.table("plan_next"), ORDERS.key, "2024-07-01")
     assert count(main_part(again), "Exchange") == 1
     assert len(spark.table("plan_next").inputFiles()) <= 4
-    for name in ("plan_recent", "plan_history", "plan_next"):
+    for name in ("plan_recent", "plan_active", "plan_next"):
         spark.sql(f"drop table {name}")
 
 

@@ -1,5 +1,6 @@
 """Counts and invariants on snapshots derived from orders, and against brute force."""
 
+import json
 import random
 
 import pytest
@@ -139,3 +140,39 @@ def test_against_brute_force(spark, seed):
             key=repr,
         )
         assert found == brute_force(new, old, RUN, missing)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_log_is_exact_json(spark, seed):
+    """Any text comes back from the log as it went in."""
+    draw = random.Random(seed)
+    alphabet = [chr(c) for c in (*range(1, 128), 0xA0, 0xE9, 0x2028, 0x4E2D, 0xFFFD, 0x1F600)]
+
+    def text():
+        if draw.random() < 0.2:
+            return None
+        return "".join(draw.choices(alphabet, k=draw.randrange(6)))
+
+    old = {k: (text(), text()) for k in range(400)}
+    new = {k: (text(), b if draw.random() < 0.5 else text()) for k, (_, b) in old.items()}
+    schema = "k int, a string, `b c` string"
+    frames = [
+        spark.createDataFrame([(k, *v) for k, v in side.items()], schema) for side in (new, old)
+    ]
+    history = st.open_rows(frames[1], "2024-01-01")
+    logs = {r.k: json.loads(r.changes) for r in st.change_log(frames[0], history, "k").collect()}
+    assert logs == {
+        k: {
+            name: [new[k][i], old[k][i]]
+            for i, name in enumerate(("a", "b c"))
+            if new[k][i] != old[k][i]
+        }
+        for k in old
+        if new[k] != old[k]
+    }
+    cells = st.explode_changes(
+        st.build_history(frames[0], history, "k", RUN), "k"
+    ).collect()
+    assert {(r.k, r.column_name): [r.new_value, r.old_value] for r in cells} == {
+        (k, name): pair for k, log in logs.items() for name, pair in log.items()
+    }
