@@ -7,27 +7,28 @@ import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from snaptrack.meta import DEFAULT_META, MetaColumns, date_of, ref
+from snaptrack.meta import DEFAULT_META, MetaColumns, date_of, ref, refs
 from snaptrack.operators.reads import as_of
 from snaptrack.sources.files import table_path
 
 RUN = "run_date"
-LOG_SCHEMA = f"{RUN} date, written_at timestamp, columns string"
+LOG_SCHEMA = f"{RUN} date, written_at timestamp, state string, columns string"
+STARTED, FINISHED, DROPPED = "started", "finished", "dropped"
 
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """Layout ``root/rows/run_date=D/<active>=true|false`` plus a log of finished runs.
+    """Layout ``root/rows/run_date=D/<active>=true|false`` plus a log of runs.
 
     A run writes the rows that are active after it and the rows it closed. Rows closed by
     earlier runs stay where they are and are never rewritten, so a daily run does not copy
     the whole past. The state after run D is the active rows of run D and the closed rows of
     all runs up to D; partition pruning reads those directories and no others.
 
-    A run counts once it is in the log. One that dies before is written again under the same
-    date and replaces what it left.
+    A run counts once the log calls it finished. What one that died has left is not read, and
+    writing the same date again replaces it.
     """
 
     root: str
@@ -35,14 +36,29 @@ class HistoryTable:
 
     def runs(self, spark: SparkSession) -> list[dt.date]:
         """Dates of finished runs, oldest first."""
-        return sorted(self._log(spark))
+        return _done(self._log(spark))
 
     def write(self, rows: DataFrame, run_date: dt.date | str) -> None:
         """Store the rows of a run and enter it in the log."""
         spark, day = rows.sparkSession, _day(run_date)
+        if day in self._log(spark):
+            # Its rows are about to go: until the new ones are there it is no finished run.
+            self._enter(spark, day, STARTED)
         target = table_path(self.root, f"rows/{RUN}={day}")
         rows.write.mode("overwrite").partitionBy(self.meta.active).parquet(target)
-        self._enter(spark, day, rows.schema.json())
+        self._enter(spark, day, FINISHED, rows.schema.json())
+
+    def read(self, spark: SparkSession, run_date: dt.date | str | None = None) -> DataFrame:
+        """The history after ``run_date``, or after the newest run."""
+        return self._state(spark, run_date)
+
+    def as_of(self, spark: SparkSession, day: dt.date | str) -> DataFrame:
+        """The table as it was on ``day``.
+
+        A version closed by run D was valid until D at most, so the directories of closed
+        rows up to ``day`` are skipped.
+        """
+        return as_of(self._state(spark, closed_after=day), day, self.meta)
 
     def drop_superseded(self, spark: SparkSession, keep: int = 2) -> None:
         """Free the active rows of all but the newest ``keep`` runs.
@@ -54,64 +70,67 @@ class HistoryTable:
         if keep < 1:
             raise ValueError("the newest run cannot be dropped")
         log = self._log(spark)
-        for day in sorted(log)[:-keep]:
-            if log[day] is not None:
-                columns = T.StructType.fromJson(json.loads(log[day]))
-                nothing = spark.createDataFrame([], columns).drop(self.meta.active)
-                # First the log: a run whose rows are going must not be read any more.
-                self._enter(spark, day, None)
-                path = f"rows/{RUN}={day}/{self.meta.active}=true"
-                nothing.write.mode("overwrite").parquet(table_path(self.root, path))
-
-    def _enter(self, spark: SparkSession, day: dt.date, columns: str | None) -> None:
+        whole = sorted(day for day, entry in log.items() if entry.state == FINISHED)
+        for day in whole[:-keep]:
+            # First the log: a run whose rows are going must not be read any more.
+            self._enter(spark, day, DROPPED)
+            nothing = spark.createDataFrame([], _schema(log[day])).drop(self.meta.active)
+            path = f"rows/{RUN}={day}/{self.meta.active}=true"
+            nothing.write.mode("overwrite").parquet(table_path(self.root, path))
+
+    def _state(
+        self,
+        spark: SparkSession,
+        run_date: dt.date | str | None = None,
+        closed_after: dt.date | str | None = None,
+    ) -> DataFrame:
+        log = self._log(spark)
+        runs = [day for day in _done(log) if run_date is None or day <= _day(run_date)]
+        if not runs:
+            raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
+        newest = runs[-1]
+        if log[newest].state == DROPPED:
+            raise ValueError(f"the active rows of run {newest} were dropped; use as_of")
+        columns = _schema(log[newest])
+        # The schema comes from the log: no footer is read to find it.
+        with_run = T.StructType([*columns.fields, T.StructField(RUN, T.DateType())])
+        rows = spark.read.schema(with_run).parquet(table_path(self.root, "rows"))
+        closing = [day for day in runs if closed_after is None or day > _day(closed_after)]
+        active = F.coalesce(ref(self.meta.active), F.lit(False))
+        state = (active & (F.col(RUN) == date_of(newest))) | (
+            ~active & F.col(RUN).isin([date_of(day) for day in closing])
+        )
+        return rows.filter(state).select(*refs(columns.names))
+
+    def _enter(
+        self, spark: SparkSession, day: dt.date, state: str, columns: str | None = None
+    ) -> None:
         entry = spark.range(1, numPartitions=1).select(
             date_of(day).alias(RUN),
             F.current_timestamp().alias("written_at"),
+            F.lit(state).alias("state"),
             F.lit(columns).cast("string").alias("columns"),
         )
         entry.write.mode("append").parquet(table_path(self.root, "runs"))
 
-    def read(self, spark: SparkSession, run_date: dt.date | str | None = None) -> DataFrame:
-        """The history after ``run_date``, or after the newest run."""
-        return self._state(spark, run_date, F.lit(True)).drop(RUN)
-
-    def as_of(self, spark: SparkSession, day: dt.date | str) -> DataFrame:
-        """The table as it was on ``day``.
-
-        A version closed by run D was valid until D at most, so the directories of closed
-        rows up to ``day`` are skipped.
-        """
-        later = ref(self.meta.active) | (F.col(RUN) > date_of(day))
-        return as_of(self._state(spark, None, later).drop(RUN), day, self.meta)
-
-    def _state(
-        self, spark: SparkSession, run_date: dt.date | str | None, wanted: Column
-    ) -> DataFrame:
-        log = self._log(spark)
-        finished = [day for day in sorted(log) if run_date is None or day <= _day(run_date)]
-        if not finished:
-            raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
-        if log[finished[-1]] is None:
-            raise ValueError(f"the active rows of run {finished[-1]} were dropped; use as_of")
-        columns = T.StructType.fromJson(json.loads(log[finished[-1]]))
-        # The schema comes from the log: no footer is read to find it.
-        rows = spark.read.schema(columns.add(RUN, T.DateType()))
-        rows = rows.parquet(table_path(self.root, "rows"))
-        active, last = F.coalesce(ref(self.meta.active), F.lit(False)), date_of(finished[-1])
-        state = (active & (F.col(RUN) == last)) | (~active & (F.col(RUN) <= last))
-        return rows.filter(state & wanted).select(*[ref(name) for name in columns.names])
-
-    def _log(self, spark: SparkSession) -> dict[dt.date, str]:
-        """Run date to schema, one small row per run; null where active rows were dropped."""
+    def _log(self, spark: SparkSession) -> dict[dt.date, Row]:
+        """The newest entry of each run date: a few small rows per run."""
         try:
             log = spark.read.schema(LOG_SCHEMA).parquet(table_path(self.root, "runs"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
-        entry = F.struct("written_at", "columns")
-        newest = log.groupBy(RUN).agg(F.max(entry)["columns"].alias("columns"))
-        return {row[RUN]: row["columns"] for row in newest.collect()}
+        entry = F.max(F.struct("written_at", "state", "columns")).alias("entry")
+        return {row[RUN]: row["entry"] for row in log.groupBy(RUN).agg(entry).collect()}
+
+
+def _done(log: dict[dt.date, Row]) -> list[dt.date]:
+    return sorted(day for day, entry in log.items() if entry.state != STARTED)
+
+
+def _schema(entry: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry.columns))
 
 
 def _day(value: dt.date | str) -> dt.date:

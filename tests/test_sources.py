@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 import snaptrack as st
 from snaptrack.sources import workspace
@@ -143,6 +144,32 @@ def test_newest_run_can_be_repeated(spark, series, tmp_path):
         st.apply_snapshot(spark, st.HistoryTable(str(tmp_path / "x")), RUN, first, "k")
 
 
+def test_a_repeat_that_dies_does_not_count(spark, series, tmp_path):
+    base, first, second = series
+    table = st.HistoryTable(str(tmp_path / "h"))
+    snapshots = [(RUN, first), (SECOND, second)]
+    st.replay(spark, snapshots, table, "k", base, BASE, missing="close")
+    broken = table.read(spark).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        table.write(broken, SECOND)
+    assert table.runs(spark) == DAYS[:2]
+    assert rows(table.read(spark)) == rows(expected(series)[0])
+    result = st.replay(spark, snapshots, table, "k", missing="close")
+    assert rows(result) == rows(expected(series)[1])
+
+
+def test_what_a_dead_run_left_is_never_read(spark, series, tmp_path):
+    base, first, second = series
+    table = st.HistoryTable(str(tmp_path / "h"))
+    st.replay(spark, [(RUN, first)], table, "k", base, BASE, missing="close")
+    left = table.read(spark).limit(1).drop("is_active")
+    for flag in ("true", "false"):
+        left.write.parquet(f"{table.root}/rows/run_date=2024-06-15/is_active={flag}")
+    result = st.replay(spark, [(SECOND, second)], table, "k", missing="close")
+    assert rows(result) == rows(expected(series)[1])
+    assert rows(table.as_of(spark, "2024-06-20")) == rows(first)
+
+
 def test_stored_types_do_not_drift(spark, series, tmp_path):
     base, first, _ = series
     table = st.HistoryTable(str(tmp_path / "h"))
