@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -18,7 +17,9 @@ def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[8]").config(map=session_conf())
     session = (
         builder.config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
@@ -26,8 +27,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-@pytest.fixture
-def day():
-    return dt.date.fromisoformat

@@ -149,7 +149,7 @@ def test_a_repeat_that_dies_does_not_count(spark, series, tmp_path):
     table = st.HistoryTable(str(tmp_path / "h"))
     snapshots = [(RUN, first), (SECOND, second)]
     st.replay(spark, snapshots, table, "k", base, BASE, missing="close")
-    broken = table.read(spark).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    broken = st.ensure_history(second, SECOND).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
     with pytest.raises(Exception, match="lost"):
         table.write(broken, SECOND)
     assert table.runs(spark) == DAYS[:2]
