@@ -1,6 +1,6 @@
 """snaptrack: version history for tables that only exist as full snapshots."""
 
-from snaptrack.functions.compare import change_text, fingerprint, same_value, value_text
+from snaptrack.functions.compare import fingerprint
 from snaptrack.meta import MetaColumns
 from snaptrack.operators.checks import key_violations
 from snaptrack.operators.diff import (
@@ -54,7 +54,6 @@ __all__ = [
     "build_history",
     "change_log",
     "change_summary",
-    "change_text",
     "classify",
     "close_rows",
     "closed_edited_rows",
@@ -77,14 +76,12 @@ __all__ = [
     "rows_with_keys",
     "run_rows",
     "s3a_conf",
-    "same_value",
     "session_conf",
     "stream_history",
     "table_path",
     "timeline",
     "union_all",
     "value_columns",
-    "value_text",
     "write_bucketed",
     "write_parquet",
 ]

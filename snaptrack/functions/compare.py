@@ -1,15 +1,29 @@
-"""Column expressions to compare, print and fingerprint values of any type.
+"""SQL expressions to compare, print and fingerprint values of any type.
 
-Everything here is a built-in expression, so a diff runs without Python workers.
+Everything here is a built-in expression, so a diff runs without Python workers. The
+expressions are text: a plan over hundreds of columns is then built with one call per select
+and not with dozens per column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from snaptrack.meta import ref
+from snaptrack.meta import quoted
+
+KEEP_NULLS = "map('ignoreNullFields', 'false')"
+
+
+class Pair(NamedTuple):
+    """New and old value of a column, as SQL text."""
+
+    name: str
+    new: str
+    old: str
+    data_type: T.DataType
 
 
 def has_unordered_part(data_type: T.DataType) -> bool:
@@ -23,7 +37,7 @@ def has_unordered_part(data_type: T.DataType) -> bool:
     return False
 
 
-def comparable(value: Column, data_type: T.DataType) -> Column:
+def comparable(value: str, data_type: T.DataType, depth: int = 0) -> str:
     """A form of ``value`` that ``<=>`` accepts; equal values have equal forms.
 
     Maps become arrays of their entries in key order, so the order in which entries were
@@ -31,58 +45,52 @@ def comparable(value: Column, data_type: T.DataType) -> Column:
     """
     if not has_unordered_part(data_type):
         return value
+    item = f"x{depth}"
     if isinstance(data_type, T.MapType):
-        entries = F.transform(
-            F.map_entries(value),
-            lambda entry: F.struct(
-                comparable(entry["key"], data_type.keyType).alias("key"),
-                comparable(entry["value"], data_type.valueType).alias("value"),
-            ),
-        )
-        return F.array_sort(entries)
+        key = comparable(f"{item}.key", data_type.keyType, depth + 1)
+        entry = comparable(f"{item}.value", data_type.valueType, depth + 1)
+        entries = f"transform(map_entries({value}), {item} -> struct({key} as k, {entry} as v))"
+        return f"array_sort({entries})"
     if isinstance(data_type, T.ArrayType):
-        return F.transform(value, lambda item: comparable(item, data_type.elementType))
+        return f"transform({value}, {item} -> {comparable(item, data_type.elementType, depth + 1)})"
     if isinstance(data_type, T.StructType):
-        fields = [comparable(value[f.name], f.dataType).alias(f.name) for f in data_type]
-        return F.when(value.isNotNull(), F.struct(*fields))
-    return F.to_json(value)
+        fields = [
+            f"{comparable(f'{value}.{quoted(field.name)}', field.dataType, depth)} "
+            f"as {quoted(field.name)}"
+            for field in data_type
+        ]
+        return f"if({value} is null, null, struct({', '.join(fields)}))"
+    return f"to_json({value})"
 
 
-def same_value(left: Column, right: Column, data_type: T.DataType) -> Column:
+def same_value(pair: Pair) -> str:
     """Null-safe equality: null equals null, NaN equals NaN, 0.0 equals -0.0."""
-    return comparable(left, data_type).eqNullSafe(comparable(right, data_type))
+    new, old = (comparable(value, pair.data_type) for value in (pair.new, pair.old))
+    return f"({new} <=> {old})"
+
 
+def any_differs(pairs: Sequence[Pair]) -> str:
+    return " or ".join(f"not {same_value(pair)}" for pair in pairs) or "false"
 
-def value_text(value: Column, data_type: T.DataType) -> Column:
+
+def value_text(value: str, data_type: T.DataType) -> str:
     """Text of a value for the change log; null stays null."""
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(value, {"ignoreNullFields": "false"})
+        return f"to_json({value}, {KEEP_NULLS})"
     if isinstance(data_type, T.BinaryType):
-        return F.base64(value)
-    return value.cast("string")
-
+        return f"base64({value})"
+    return f"cast({value} as string)"
 
-def change_text(pairs: Sequence[tuple[str, Column, Column, T.DataType]]) -> Column:
-    """JSON of the pairs that differ, ``{"name": ["new", "old"]}``, in the order given.
 
-    ``pairs`` holds (name, new value, old value, type).
-    """
+def change_text(pairs: Sequence[Pair]) -> str:
+    """JSON of the pairs that differ, ``{"name": ["new", "old"]}``, in the order given."""
     parts = []
-    for name, new, old, data_type in pairs:
-        texts = F.array(value_text(new, data_type), value_text(old, data_type))
-        parts.append(F.when(~same_value(new, old, data_type), texts).alias(name))
+    for pair in pairs:
+        texts = [value_text(value, pair.data_type) for value in (pair.new, pair.old)]
+        changed = f"if({same_value(pair)}, null, array({', '.join(texts)}))"
+        parts.append(f"{changed} as {quoted(pair.name)}")
     # Equal values are null here, and to_json leaves null fields out.
-    return F.to_json(F.struct(*parts))
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    """OR of many conditions as a balanced tree: wide tables would nest too deep otherwise."""
-    if not conditions:
-        return F.lit(False)
-    if len(conditions) == 1:
-        return conditions[0]
-    middle = len(conditions) // 2
-    return any_of(conditions[:middle]) | any_of(conditions[middle:])
+    return f"to_json(struct({', '.join(parts)}))" if parts else "cast(null as string)"
 
 
 def fingerprint(
@@ -95,18 +103,17 @@ def fingerprint(
     """
     values = []
     for column in columns:
-        data_type = df.schema[column].dataType
-        value = comparable(ref(column), data_type)
+        data_type, value = df.schema[column].dataType, quoted(column)
         # Nulls leave a running hash as it is: the flag keeps (a, null) and (null, a) apart.
-        values += [ref(column).isNull(), _one_zero(value, data_type)]
+        values += [f"{value} is null", _one_zero(comparable(value, data_type), data_type)]
     if secure:
-        row = F.struct(*[value.alias(f"c{i}") for i, value in enumerate(values)])
-        return df.withColumn(name, F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256))
-    return df.withColumn(name, F.xxhash64(*values))
+        fields = ", ".join(f"{value} as c{i}" for i, value in enumerate(values))
+        return df.withColumn(name, F.expr(f"sha2(to_json(struct({fields}), {KEEP_NULLS}), 256)"))
+    return df.withColumn(name, F.expr(f"xxhash64({', '.join(values)})"))
 
 
-def _one_zero(value: Column, data_type: T.DataType) -> Column:
+def _one_zero(value: str, data_type: T.DataType) -> str:
     """-0.0 and 0.0 are equal but print differently."""
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.when(value == 0, F.lit(0).cast(data_type)).otherwise(value)
+        return f"if({value} = 0, cast(0 as {data_type.simpleString()}), {value})"
     return value

@@ -41,13 +41,18 @@ def key_list(key: KeySpec) -> list[str]:
     return names
 
 
+def quoted(name: str) -> str:
+    """The name as SQL text; also right for names holding dots or blanks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
-    """Column reference that also works for names holding dots or blanks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
-def refs(names: Iterable[str]) -> list[Column]:
-    return [ref(name) for name in names]
+def refs(names: Iterable[str]) -> list[str]:
+    """Column references for select, groupBy and the like."""
+    return [quoted(name) for name in names]
 
 
 def spelled_as(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -59,6 +64,10 @@ def spelled_as(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.withColumnsRenamed(renamed) if renamed else df
 
 
+def date_text(day: dt.date | str | None) -> str:
+    """A date literal as SQL; the wall-clock date only when no date is given."""
+    return "current_date()" if day is None else f"date '{dt.date.fromisoformat(str(day))}'"
+
+
 def date_of(day: dt.date | str | None) -> Column:
-    """A date literal; the wall-clock date only when no date is given."""
-    return F.current_date() if day is None else F.lit(str(day)).cast("date")
+    return F.expr(date_text(day))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
-from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, key_list, refs, spelled_as
+from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, key_list, quoted, refs, spelled_as
 from snaptrack.operators.rows import active_rows, close_rows, ensure_history, open_rows
 from snaptrack.plans.align import align
 from snaptrack.plans.pairing import Pairs, key_guard, pair_versions, prepare_recent, with_key
@@ -122,7 +122,7 @@ def edited_rows(
 ) -> DataFrame:
     """The new version of each edited row, stamped as open."""
     pairs = match(recent, history, key, meta, run_date=run_date, **options).pairs("inner")
-    rows = pairs.edited().select(*refs(pairs.keys), *pairs.new_values())
+    rows = pairs.edited().selectExpr(*refs(pairs.keys), *pairs.new_values())
     return open_rows(rows, run_date, meta)
 
 
@@ -137,11 +137,11 @@ def closed_edited_rows(
 ) -> DataFrame:
     """The active version of each edited row, closed; with ``log`` what changed in it."""
     pairs = match(recent, history, key, meta, run_date=run_date, **options).pairs("inner")
-    rows = pairs.edited().select(
+    rows = pairs.edited().selectExpr(
         *refs(pairs.keys),
         *pairs.old_values(),
-        pairs.old(meta.created).alias(meta.created),
-        *([pairs.log.alias(meta.changes)] if log else []),
+        f"{pairs.old(meta.created)} as {quoted(meta.created)}",
+        *([f"{pairs.log} as {quoted(meta.changes)}"] if log else []),
     )
     tail = meta.names if log else meta.names[:3]
     columns = [*pairs.keys, *[field.name for field in pairs.fields], *tail]
@@ -157,7 +157,9 @@ def change_log(
 ) -> DataFrame:
     """Key and JSON change log of each edited row."""
     pairs = match(recent, history, key, meta, **options).pairs("inner")
-    return pairs.edited().select(*refs(pairs.keys), pairs.log.alias(meta.changes))
+    return pairs.edited().selectExpr(
+        *refs(pairs.keys), f"{pairs.log} as {quoted(meta.changes)}"
+    )
 
 
 def classify(
@@ -169,4 +171,4 @@ def classify(
 ) -> DataFrame:
     """One row per key and its event: insert, update, unchanged or missing."""
     pairs = match(recent, history, key, meta, **options).pairs("full")
-    return pairs.df.select(*refs(pairs.keys), pairs.event.alias("event"))
+    return pairs.df.selectExpr(*refs(pairs.keys), f"{pairs.event} as event")

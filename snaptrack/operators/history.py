@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, date_of, ref, refs
+from snaptrack.meta import DEFAULT_META, KeySpec, MetaColumns, date_text, quoted, ref, refs
 from snaptrack.operators.checks import any_null
 from snaptrack.operators.diff import Matched, match
 from snaptrack.operators.rows import active_rows, sort_rows, union_all
@@ -93,7 +93,7 @@ def _run(matched: Matched, mode: str, missing: str) -> DataFrame:
         raise ValueError(f"mode must be one of {MODES}")
     if missing not in MISSING:
         raise ValueError(f"missing must be one of {MISSING}")
-    meta, today = matched.meta, date_of(matched.run_date)
+    meta, today = matched.meta, date_text(matched.run_date)
     # A delta that does not close missing rows has none that only the history holds.
     how = "left" if mode == "delta" and missing != "close" else "full"
     pairs = matched.pairs(how)
@@ -105,31 +105,36 @@ def _run(matched: Matched, mode: str, missing: str) -> DataFrame:
         "unchanged": kept,
         "missing": {"keep": kept, "close": ["ended"], "drop": []}[missing],
     }
-    branches = F.lit(None).cast("array<string>")
-    for event, row_kinds in rows_of.items():
-        if row_kinds:
-            kinds = F.array(*[F.lit(kind) for kind in row_kinds])
-            branches = F.when(F.col("_event") == event, kinds).otherwise(branches)
+    branches = " ".join(
+        f"when '{event}' then array({', '.join(map(repr, kinds))})"
+        for event, kinds in rows_of.items()
+        if kinds
+    )
     # explode_outer and a filter: plain explode makes the optimizer push a copy of the whole
     # comparison below, once per use of the event.
-    rows = pairs.df.withColumn("_event", pairs.event).withColumn("_row", F.explode_outer(branches))
+    rows = pairs.df.selectExpr("*", f"{pairs.event} as _event").selectExpr(
+        "*", f"explode_outer(case _event {branches} end) as _row"
+    )
     if not all(rows_of.values()):
-        rows = rows.filter(F.col("_row").isNotNull())
+        rows = rows.filter("_row is not null")
 
-    opened = F.col("_row") == "opened"
-    closed, kept_row = F.col("_row") == "closed", F.col("_row") == "kept"
-    ended = closed | (F.col("_row") == "ended")
-    written = rows.select(
+    created, edited, changes = (
+        pairs.old(name) for name in (meta.created, meta.edited, meta.changes)
+    )
+    stamps = {
+        meta.active: "_row not in ('closed', 'ended')",
+        meta.created: f"if(_row = 'opened', {today}, {created})",
+        meta.edited: f"case when _row in ('closed', 'ended') then {today} "
+        f"when _row = 'kept' then {edited} end",
+        meta.changes: f"case when _row = 'closed' then {pairs.log} "
+        f"when _row <> 'opened' then {changes} end",
+    }
+    written = rows.selectExpr(
         *refs(matched.keys),
         *[
-            F.when(opened, pairs.new(name)).otherwise(pairs.old(name)).alias(name)
-            for name in matched.values
+            f"if(_row = 'opened', {pair.new}, {pair.old}) as {quoted(pair.name)}"
+            for pair in pairs.values
         ],
-        (~ended).alias(meta.active),
-        F.when(opened, today).otherwise(pairs.old(meta.created)).alias(meta.created),
-        F.when(ended, today).when(kept_row, pairs.old(meta.edited)).alias(meta.edited),
-        F.when(closed, pairs.log)
-        .when(~opened, pairs.old(meta.changes))
-        .alias(meta.changes),
+        *[f"{text} as {quoted(name)}" for name, text in stamps.items()],
     )
     return written.unionByName(keyless_rows(matched)) if mode == "full" else written

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from snaptrack.meta import KeySpec, MetaColumns, key_list, ref
+from snaptrack.meta import KeySpec, MetaColumns, key_list, quoted, ref, refs
 from snaptrack.operators.rows import value_columns
 
 
@@ -74,11 +74,11 @@ def align(
         target = shared_type(recent, name, left or right, right or left)
         new_columns.append(_as(name, left, target))
         old_columns.append(_as(name, right, target))
-    kept_meta = [ref(name) for name in meta.names if name in old_types]
+    kept_meta = refs(name for name in meta.names if name in old_types)
     return recent.select(*new_columns), history.select(*old_columns, *kept_meta), values
 
 
-def _as(name: str, current: T.DataType | None, target: T.DataType) -> Column:
+def _as(name: str, current: T.DataType | None, target: T.DataType) -> str | Column:
     if current is None:
         return F.lit(None).cast(target).alias(name)
-    return ref(name) if current == target else ref(name).cast(target).alias(name)
+    return quoted(name) if current == target else ref(name).cast(target).alias(name)

@@ -8,8 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from snaptrack.functions.compare import any_of, change_text, has_unordered_part, same_value
-from snaptrack.meta import MetaColumns, ref, refs
+from snaptrack.functions.compare import Pair, any_differs, change_text, has_unordered_part
+from snaptrack.meta import MetaColumns, date_of, quoted, ref, refs
 from snaptrack.operators.checks import any_null
 
 NEW, OLD = "_new_", "_old_"
@@ -21,6 +21,7 @@ class Pairs:
     """Snapshot rows beside history rows: key, ``_new_*`` and ``_old_*`` columns.
 
     The values stay flat columns: packed into structs they made the join about a third slower.
+    The properties are SQL text over ``df``.
     """
 
     df: DataFrame
@@ -28,51 +29,37 @@ class Pairs:
     fields: list[T.StructField]
     meta: MetaColumns
 
-    @property
-    def in_new(self) -> Column:
-        return F.col(NEW)
-
-    @property
-    def in_old(self) -> Column:
-        return F.col(OLD)
+    def new(self, name: str) -> str:
+        return quoted(NEW + name)
 
-    def new(self, name: str) -> Column:
-        return ref(NEW + name)
-
-    def old(self, name: str) -> Column:
-        return ref(OLD + name)
+    def old(self, name: str) -> str:
+        return quoted(OLD + name)
 
     @property
-    def differ(self) -> Column:
-        """True where some value differs, null-safe; for pairs with both sides."""
-        return any_of(
-            [~same_value(self.new(f.name), self.old(f.name), f.dataType) for f in self.fields]
-        )
+    def values(self) -> list[Pair]:
+        return [Pair(f.name, self.new(f.name), self.old(f.name), f.dataType) for f in self.fields]
 
     @property
-    def event(self) -> Column:
+    def event(self) -> str:
         return (
-            F.when(self.in_old.isNull(), "insert")
-            .when(self.in_new.isNull(), "missing")
-            .when(self.differ, "update")
-            .otherwise("unchanged")
+            f"case when {OLD} is null then 'insert' when {NEW} is null then 'missing' "
+            f"when {any_differs(self.values)} then 'update' else 'unchanged' end"
         )
 
     @property
-    def log(self) -> Column:
+    def log(self) -> str:
         """JSON of the values that differ."""
-        return change_text(
-            [(f.name, self.new(f.name), self.old(f.name), f.dataType) for f in self.fields]
-        )
+        return change_text(self.values)
 
-    def new_values(self) -> list[Column]:
-        return [self.new(f.name).alias(f.name) for f in self.fields]
+    def new_values(self) -> list[str]:
+        return [f"{pair.new} as {quoted(pair.name)}" for pair in self.values]
 
-    def old_values(self) -> list[Column]:
-        return [self.old(f.name).alias(f.name) for f in self.fields]
+    def old_values(self) -> list[str]:
+        return [f"{pair.old} as {quoted(pair.name)}" for pair in self.values]
 
     def edited(self) -> DataFrame:
-        return self.df.filter(self.differ)
+        """Pairs with both sides in which some value differs."""
+        return self.df.filter(any_differs(self.values))
 
 
 def pair_versions(
@@ -85,16 +72,16 @@ def pair_versions(
 ) -> Pairs:
     """Join aligned sides without null keys; whether keys repeat is not checked here."""
     stamps = [name for name in meta.names if name in active.columns]
-    new = recent.select(
-        *refs(keys), F.lit(True).alias(NEW), *[ref(name).alias(NEW + name) for name in values]
-    )
-    old = active.select(
-        *refs(keys),
-        F.lit(True).alias(OLD),
-        *[ref(name).alias(OLD + name) for name in [*values, *stamps]],
-    )
-    fields = [recent.schema[name] for name in values]
-    return Pairs(new.join(old, keys, how), keys, fields, meta)
+    sides = [
+        frame.selectExpr(
+            *refs(keys),
+            f"true as {prefix}",
+            *[f"{quoted(name)} as {quoted(prefix + name)}" for name in names],
+        )
+        for frame, prefix, names in ((recent, NEW, values), (active, OLD, [*values, *stamps]))
+    ]
+    schema = recent.schema
+    return Pairs(sides[0].join(sides[1], keys, how), keys, [schema[name] for name in values], meta)
 
 
 def with_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -188,7 +175,7 @@ def key_guard(
             F.lit(f"run date {run_date} is older than the newest version, "),
             F.col("newest").cast("string"),
         )
-        verdict = verdict.when(F.col("newest") > F.lit(str(run_date)).cast("date"), _fail(late))
+        verdict = verdict.when(F.col("newest") > date_of(run_date), _fail(late))
     return found.select(verdict.otherwise(F.lit(True)).alias("ok")).scalar()
 
 
