@@ -121,8 +121,8 @@ class HistoryTable:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
-        entry = F.max(F.struct("written_at", "state", "columns")).alias("entry")
-        return {row[RUN]: row["entry"] for row in log.groupBy(RUN).agg(entry).collect()}
+        entries = sorted(log.collect(), key=lambda entry: entry.written_at)
+        return {entry[RUN]: entry for entry in entries}
 
 
 def _done(log: dict[dt.date, Row]) -> list[dt.date]:
