@@ -2,28 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session, where one machine is all there is, falls back to a temporary
-    folder; on a cluster the setting is required.
+    Where that is unset, a folder below the warehouse, which every executor reaches too. No
+    setting is changed and no machine-local folder is used.
     """
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="snaptrack-")
-    spark.conf.set(SETTING, root)
-    return root
+    return f"{spark.conf.get(WAREHOUSE).rstrip('/')}/_between_steps"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
