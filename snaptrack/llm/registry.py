@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import quality_rules
+from snaptrack.llm import packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_packing": packing.op5,
     "op7_quality_rules": quality_rules.op7,
 }
 
