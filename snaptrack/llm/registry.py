@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import packing, quality_rules
+from snaptrack.llm import packing, pieces, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pieces": pieces.op3,
     "op5_packing": packing.op5,
     "op7_quality_rules": quality_rules.op7,
 }
