@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import packing, pieces, quality_rules
+from snaptrack.llm import packing, pieces, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces": pieces.op3,
+    "op4_sharding": sharding.op4,
     "op5_packing": packing.op5,
+    "op6_pivot_topk": topk.op6,
     "op7_quality_rules": quality_rules.op7,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_pivot_topk": topk.ORACLE,
     "op7_quality_rules": quality_rules.oracle(),
 }
