@@ -15,6 +15,8 @@ an empty table gives no piece; other columns are not read.
 
 from __future__ import annotations
 
+import base64
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,12 +26,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snaptrack.llm.ragged import bounds, pieces
 from snaptrack.llm.tables import ranked, stored, table
-from snaptrack.llm.units import UnitCache
 
 WINDOWS = (1024, 512, 256)
 END = 0
 STEP_TOKENS = 1 << 19
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+
+# Fixed value: how the rank file's vocabulary splits a text before merging.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -38,45 +44,57 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def unit_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans that a byte-level pattern never joins: cut before a space that precedes a visible
-    ASCII character or one of the two-byte letters, none of which is white space."""
-    follows = np.zeros(256, bool)
-    follows[0x21:0x7F] = True
-    follows[0xC3:0xE0] = True
-    cut = np.zeros(len(data) + 1, bool)
-    cut[: len(data)][:-1] = (data[:-1] == 32) & follows[data[1:]]
-    cut[offsets] = True
-    at = np.flatnonzero(cut)
-    return at[:-1], at[1:]
-
+def encoder(tokenizer: str, ranks: str | None):
+    """Ids of a text as the tokenizer file gives them, without special tokens added.
 
-def encoded(batches, tokenizer: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows with their flat ids and offsets, the end token included."""
+    With ``ranks``, the same vocabulary as a rank file, texts of letters and signs below U+0250
+    take that faster path; their pre-tokens cannot differ. Other texts, and those that spell an
+    added token, take the tokenizer itself.
+    """
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(tokenizer)
+    added = [token.content for token in model.get_added_tokens_decoder().values()]
+
+    def exact(text: str) -> np.ndarray:
+        return np.array(model.encode(text, add_special_tokens=False).ids, np.int32)
+
+    if ranks is None:
+        return exact
+    import tiktoken
 
-    def encode(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [unit.decode("utf-8", "replace") for unit in units]
-        found = [item.ids for item in model.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        ids = (one for item in found for one in item)
-        return np.fromiter(ids, np.int32, int(lengths.sum())), lengths
+    with open(ranks, "rb") as lines:
+        table = {base64.b64decode(key): int(rank) for key, rank in map(bytes.split, lines)}
+    fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
-    cache = UnitCache(encode)
-    for part, data, offsets in pieces(batches):
-        starts, ends = unit_spans(data, offsets)
-        ids, lengths = cache(data, starts, ends) if len(starts) else (np.zeros(0, np.int32),) * 2
-        at = bounds(lengths)[np.searchsorted(starts, offsets)]
-        yield part, np.insert(ids, at[1:], END), at + np.arange(len(at))
+    def encode(text: str) -> np.ndarray:
+        if not text.isascii() and max(text) >= "\u0250" or any(token in text for token in added):
+            return exact(text)
+        return fast.encode_to_numpy(text).astype(np.int32)
 
+    return encode
 
-def tokenized(docs: DataFrame, tokenizer: str, window: int, with_ids: bool = False) -> DataFrame:
+
+def encoded(
+    batches, tokenizer: str, ranks: str | None
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows with their flat ids and offsets, the end token included."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    encode, end = encoder(tokenizer, ranks), np.array([END], np.int32)
+    for part, _, _ in pieces(batches):
+        found = [encode(text or "") for text in part.column("text").to_pylist()]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) + 1
+        joined = np.concatenate([ids for one in found for ids in (one, end)])
+        yield part, joined, bounds(lengths)
+
+
+def tokenized(
+    docs: DataFrame, tokenizer: str, window: int, ranks: str | None, with_ids: bool = False
+) -> DataFrame:
     """Per document ``doc_tokens``, the checksums of its full windows, and its rest."""
 
     def measure(batches):
-        for part, ids, at in encoded(batches, tokenizer):
+        for part, ids, at in encoded(batches, tokenizer, ranks):
             raw = memoryview(ids.astype("<u4"))
             tokens = np.diff(at)
             full, sums, rests = tokens // window, [], []
@@ -154,6 +172,7 @@ def plan(counts: dict[int, int], windows=WINDOWS) -> list[tuple[int, int, list[t
 def pack(
     docs: DataFrame,
     tokenizer: str,
+    ranks: str | None = None,
     windows=WINDOWS,
     step_tokens: int = STEP_TOKENS,
 ) -> DataFrame:
@@ -162,7 +181,7 @@ def pack(
     The table of places has at most a few rows per rest length and is broadcast.
     """
     spark, longest = docs.sparkSession, windows[0]
-    rows = stored(tokenized(docs, tokenizer, longest), "tokens")
+    rows = stored(tokenized(docs, tokenizer, longest, ranks), "tokens")
     totals = rows.groupBy("rest").agg(
         F.count("*").alias("n"), F.sum(F.size("sums")).alias("full")
     ).collect()  # one row per rest length
@@ -232,4 +251,4 @@ def pack(
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(RANKS))

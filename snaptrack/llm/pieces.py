@@ -80,7 +80,8 @@ def double_array(keys: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.nda
             continue
         codes = np.array(sorted(children)) + 1
         low += int(np.argmax(free[low:]))  # the first free slot
-        start = fit(free, codes, low)
+        start = low - int(codes[0]) if len(codes) == 1 else -1
+        start = start if start >= 0 else fit(free, codes, low)
         base[slot] = start
         for code in codes.tolist():
             check[start + code], free[start + code] = slot, False

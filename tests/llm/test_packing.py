@@ -62,12 +62,13 @@ def test_whole_table(spark):
 ODD = [
     None, "", " ", "  a  b", "a\n\nb \n c", "x  y z", "it's we'll don't", "<|endoftext|> a",
     "é ñ ß 漢字 かな", "1 23  4,5.6", "tab\t x", " 　 a \x85 b\x1c c", "word " * 5000,
-    "​ a﻿ b", "a" * 3000, "emoji 🙂 x", "\x00 \x7f b",
+    "​ a﻿ b", "a\x85 b \xa0 c\x1c\x1d d \x0b\x0c e", "ǅ ª º ² ¼ Ǹ ÿ × ÷", "a" * 3000, "emoji 🙂 x", "\x00 \x7f b",
 ]
 
 
-def test_odd_texts(spark):
-    rows = packing.pack(documents(spark, ODD), packing.tokenizer_path()).collect()
+@pytest.mark.parametrize("ranks", [None, packing.tokenizer_path(packing.RANKS)])
+def test_odd_texts(spark, ranks):
+    rows = packing.pack(documents(spark, ODD), packing.tokenizer_path(), ranks).collect()
     check(rows, dict(enumerate(ODD)))
 
 
