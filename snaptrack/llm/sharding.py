@@ -47,27 +47,22 @@ def propagate(linked: DataFrame, capacity: list[int], rounds: int) -> DataFrame:
         free = [capacity[s] - held.get(s, 0) for s in range(shards)]
         is_open = F.element_at(F.array(*[F.lit(room > 0) for room in free]), F.col("shard") + 1)
         votes = state.groupBy("_key", "shard").agg(F.count("*").alias("n"))
-        weight = F.struct(F.col("n"), F.xxhash64("_key", "shard"))
-        goals = votes.withColumn("_open", is_open).groupBy("_key").agg(
-            F.max_by("shard", weight).alias("_top"),
-            F.max_by(F.when(F.col("_open"), F.col("shard")), F.when(F.col("_open"), weight)).alias(
-                "_open_top"
-            ),
-            F.max_by("_open", weight).alias("_top_open"),
-            F.count("*").alias("_spread"),
+        votes = votes.withColumns(
+            {"_weight": F.struct("n", F.xxhash64("_key", "shard")), "_open": is_open}
         )
-        goals = stored(goals.filter("_spread > 1").drop("_spread"), "goals")
-        at_home = (F.col("shard") == F.col("_top")) | F.col("_top").isNull()
-        goal = (
-            F.when(at_home, F.col("shard"))
-            .when(F.col("_top_open"), F.col("_top"))
-            .otherwise(F.coalesce("_open_top", "_top"))
+        best = votes.groupBy("_key").agg(
+            F.max(F.struct("_weight", "_open", "shard")).alias("_top"),
+            F.max(F.when(F.col("_open"), F.struct("_weight", "shard"))).alias("_room"),
+            F.count("*").alias("_spread"),
         )
-        wishes = stored(
-            state.join(goals, "_key", "left").select("_row", "_key", "shard", goal.alias("_goal")),
-            "wishes",
+        goal = F.when(F.col("_top._open"), F.col("_top.shard")).otherwise(F.col("_room.shard"))
+        weight = F.when(F.col("_top._open"), F.col("_top._weight")).otherwise(
+            F.col("_room._weight")
         )
-        movers = wishes.filter("shard <> _goal")
+        # Rows leave for a shard with more of their group only, so no two shards trade for ever.
+        wishes = votes.join(best.filter("_spread > 1"), "_key").filter(weight > F.col("_weight"))
+        wishes = stored(wishes.select("_key", "shard", goal.alias("_goal")), "wishes")
+        movers = stored(state.join(wishes, ["_key", "shard"]), "movers")
         moves = {
             (row["shard"], row["_goal"]): row["count"]
             for row in movers.groupBy("shard", "_goal").count().collect()
@@ -109,12 +104,11 @@ def balanced_shards(rows: DataFrame, shards: int = SHARDS, rounds: int = 2 * SHA
         rows.select("_row").join(settled.select("_row"), "_row", "left_anti"),
         "_rank", [], ["_row"],
     )
-    shard, first = F.lit(None).cast("int"), 0
-    begins = {}
+    shard, first, begins = F, 0, {}
     for s in range(shards):
         begins[s] = first
         first += capacity[s] - kept[s]
-        shard = F.when(shard.isNull() & (F.col("_rank") < first), s).otherwise(shard)
+        shard = shard.when(F.col("_rank") < first, s)
     filled = loose.withColumn("shard", shard)
     offset = by_value(F.col("shard"), {s: kept[s] - begins[s] for s in range(shards)})
     filled = filled.select("_row", "shard", (F.col("_rank") + offset).alias("slot"))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from snaptrack.llm.tables import stored, table
+from snaptrack.llm.tables import ranked, stored, table
 
 K = 10
 SCALE = 1024
@@ -125,22 +125,15 @@ def top_k(
     width = max(sorted(set(lengths)), key=lengths.count)
     chosen = np.array([row["v"] for row in first if len(row["v"]) == width], np.int64)
     rows = rows.filter(F.size("v") == width)
-    numbered = rows.filter(is_query).withColumn("_at", F.monotonically_increasing_id())
-    queries = stored(packed(numbered.drop("_at"), query_block, chosen), "queries")
-    queries = stored(
-        queries.select(
-            F.row_number().over(Window.orderBy(F.xxhash64("ids"), "ids")).alias("block"), "ids",
-        ).join(
-            queries.withColumnsRenamed({"ids": "q_ids", "rows": "q_rows", "table": "q_table"}),
-            F.col("ids") == F.col("q_ids"),
-        ).drop("ids"),
-        "queries",
-    )
+    queries = stored(packed(rows.filter(is_query), query_block, chosen), "queries")
+    queries = ranked(queries, "block", [], ["ids"])
+    names = {"ids": "q_ids", "rows": "q_rows", "table": "q_table"}
+    queries = stored(queries.withColumnsRenamed(names), "queries")
     blocks = queries.count()
     if not blocks:
         return empty
     candidates = packed(rows, candidate_block, chosen).withColumn(
-        "block", F.explode(F.sequence(F.lit(1), F.lit(blocks)))
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     )
 
     def search(batches) -> Iterator[pa.RecordBatch]:
