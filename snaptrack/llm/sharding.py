@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation.
 
 Documents that share a key are linked. Every linked document starts on a shard of its own hash;
-each round it votes for the shard where most of its group is, and moves there under quotas: as
-many documents cross from a to b as from b to a, and beyond that only into free room. Documents
+each round it votes for the shard where most of its group is, and moves there under quotas: a
+shard takes in as many documents as leave it, and beyond that only what its free room holds. Documents
 without a link fill the shards at the end, so counts differ by one at most (law ``rows``).
 
 A round is an aggregation by (group, shard), a join back and a ranking of the movers; the driver
@@ -22,13 +22,24 @@ SHARDS = 16
 
 
 def quotas(moves: dict[tuple[int, int], int], free: list[int]) -> dict[tuple[int, int], int]:
-    """Moves allowed from shard to shard: swaps, and what fits into the free room."""
-    room, allowed = list(free), {}
-    for (source, target), count in sorted(moves.items(), key=lambda item: (-item[1], item[0])):
-        swaps = min(count, moves.get((target, source), 0))
-        more = max(0, min(count - swaps, room[target]))
-        room[target] -= more
-        allowed[source, target] = swaps + more
+    """Moves allowed from shard to shard: no shard gains more than its free room on balance.
+
+    All moves are allowed at first; what comes into a shard beyond its room and what leaves it is
+    cut, the largest flow first, until every shard agrees.
+    """
+    allowed, changed = dict(moves), True
+    while changed:
+        changed = False
+        for shard, room in enumerate(free):
+            coming = sum(n for (_, target), n in allowed.items() if target == shard)
+            going = sum(n for (source, _), n in allowed.items() if source == shard)
+            over = min(coming, coming - going - room)
+            flows = sorted(pair for pair in allowed if pair[1] == shard)
+            for pair in sorted(flows, key=allowed.get, reverse=True):
+                cut = min(max(over, 0), allowed[pair])
+                allowed[pair] -= cut
+                over -= cut
+                changed |= cut > 0
     return allowed
 
 
@@ -38,17 +49,22 @@ def by_value(column: Column, values: dict[int, int]) -> Column:
 
 
 def propagate(linked: DataFrame, capacity: list[int], rounds: int) -> DataFrame:
-    """``_row, _key, shard`` after the last round that moves anything."""
+    """``_row, _key, shard`` after the last round that moves anything.
+
+    Every other round looks for shards with free room alone, for groups too large for one. Ties
+    are broken anew every two rounds, so a pair that cannot meet on one shard tries the other.
+    """
     spark, shards = linked.sparkSession, len(capacity)
     start = F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("int")
     state = stored(linked.select("_row", "_key", start.alias("shard")), "shards")
-    for _ in range(rounds):
+    idle = 0
+    for turn in range(rounds):
         held = {row["shard"]: row["count"] for row in state.groupBy("shard").count().collect()}
         free = [capacity[s] - held.get(s, 0) for s in range(shards)]
-        is_open = F.element_at(F.array(*[F.lit(room > 0) for room in free]), F.col("shard") + 1)
+        is_open = F.element_at(F.array(*[F.lit(turn % 2 == 0 or room > 0) for room in free]), F.col("shard") + 1)
         votes = state.groupBy("_key", "shard").agg(F.count("*").alias("n"))
         votes = votes.withColumns(
-            {"_weight": F.struct("n", F.xxhash64("_key", "shard")), "_open": is_open}
+            {"_weight": F.struct("n", F.xxhash64("_key", "shard", F.lit(turn // 2))), "_open": is_open}
         )
         best = votes.groupBy("_key").agg(
             F.max(F.struct("_weight", "_open", "shard")).alias("_top"),
@@ -68,8 +84,11 @@ def propagate(linked: DataFrame, capacity: list[int], rounds: int) -> DataFrame:
             for row in movers.groupBy("shard", "_goal").count().collect()
         }
         allowed = {pair: n for pair, n in quotas(moves, free).items() if n}
-        if not allowed:
+        idle = 0 if allowed else idle + 1
+        if idle == 2 or not moves and turn % 2 == 0:
             break
+        if not allowed:
+            continue
         limits = spark.createDataFrame(
             [(a, b, n) for (a, b), n in allowed.items()], "shard int, _goal int, _most long"
         )
