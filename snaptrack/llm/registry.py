@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import packing, pieces, quality_rules, sharding, topk
+from snaptrack.llm import jaccard, packing, pieces, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces": pieces.op3,
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": packing.op5,
     "op6_pivot_topk": topk.op6,
     "op7_quality_rules": quality_rules.op7,
+    "op8_ngram_jaccard": jaccard.op8,
 }
 
 ORACLES: dict[str, str] = {
     "op6_pivot_topk": topk.ORACLE,
     "op7_quality_rules": quality_rules.oracle(),
+    "op8_ngram_jaccard": jaccard.ORACLE,
 }
