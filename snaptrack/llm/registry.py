@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import jaccard, packing, pieces, quality_rules, sharding, topk
+from snaptrack.llm import chunks, jaccard, packing, pieces, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces": pieces.op3,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pivot_topk": topk.op6,
     "op7_quality_rules": quality_rules.op7,
     "op8_ngram_jaccard": jaccard.op8,
+    "op9_chunk_dedup": chunks.op9,
 }
 
 ORACLES: dict[str, str] = {
