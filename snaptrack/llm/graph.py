@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from snaptrack.llm.tables import stored
 
@@ -46,6 +46,42 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def block_pairs(members: DataFrame, key: str, block: int) -> DataFrame:
+    """Rows dealt to pairs of blocks in which every two members of a key that may need a test meet.
+
+    ``members`` are stored rows with ``key, node, comp, _main``: members of the component
+    ``_main`` need no test among themselves. Blocks hold about ``block`` nodes; a key whose
+    members are all of one component has none. A row's ``inside, i, j`` name its pair.
+    """
+    is_main = F.col("comp") == F.col("_main")
+    sizes = members.groupBy(key).agg(
+        F.count_if(is_main).alias("_in"), F.count_if(~is_main).alias("_out")
+    ).filter("_out > 0")
+    sizes = sizes.select(
+        key, F.ceil(F.col("_in") / block).alias("_ins"), F.ceil(F.col("_out") / block).alias("_outs")
+    )
+    count = F.when(is_main, F.col("_ins")).otherwise(F.col("_outs"))
+    met = members.join(stored(sizes, "blocks"), key).withColumns(
+        {"_inside": is_main, "_block": F.pmod(F.xxhash64("node"), count)}
+    )
+
+    def each(upto: str, pair) -> Column:
+        every = F.sequence(F.lit(0).cast("long"), F.col(upto) - 1)
+        return F.when(F.col(upto) > 0, F.transform(every, pair)).otherwise(
+            F.array().cast("array<struct<inside:boolean,i:bigint,j:bigint>>")
+        )
+
+    def place(inside: bool, i, j) -> Column:
+        return F.struct(F.lit(inside).alias("inside"), i.alias("i"), j.alias("j"))
+
+    own = F.col("_block")
+    outer = each("_outs", lambda j: place(False, F.least(j, own), F.greatest(j, own)))
+    to_main = each("_ins", lambda j: place(True, own, j))
+    from_main = each("_outs", lambda i: place(True, i, own))
+    places = F.when(F.col("_inside"), from_main).otherwise(F.concat(outer, to_main))
+    return met.withColumn("at", F.explode(places)).select(key, "at.*", "node", "comp")
+
+
 def task_totals(
     df: DataFrame,
     update: Callable[[Iterator[pa.RecordBatch], np.ndarray], None],

@@ -10,7 +10,8 @@ pairs that remain.
 A rare n-gram shared by few nodes gives its pairs directly. One shared by more (a group of near
 copies) is first joined to its most typical node alone; what that links is one component, and
 pairs inside a component need no test. The nodes outside the main component then meet all others
-in blocks, whose product is taken in one task per block pair. No pair is lost: each pair of nodes
+in blocks: one task per block pair takes the product of the rare columns, and that of all columns
+for the nodes that remain. No pair is lost: each pair of nodes
 that shares a rare n-gram is tested, or already connected.
 
 Defined results: a text without words has an empty set and is linked with nothing; fewer words
@@ -27,14 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snaptrack.llm.graph import components, task_totals
+from snaptrack.llm.graph import block_pairs, components, task_totals
 from snaptrack.llm.ragged import SpanHasher, bounds, lowered, mixed, pieces, words
 from snaptrack.llm.tables import stored, table
 
 COUNTERS = 1 << 18
 MARKS = 1 << 22
-FEW = 16
+FEW = 128
 BLOCK = 256
+COLUMNS = 8192
 FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -190,27 +192,48 @@ def tested(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def overlaps(lists) -> np.ndarray:
+    """Sizes of all pairwise intersections: the product of the incidence matrix with itself."""
+    columns = np.unique(np.concatenate(lists.to_list()), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(lists)), lists.map(len))
+    total = np.zeros((len(lists), len(lists)), np.float32)
+    for low in range(0, int(columns.max()) + 1, COLUMNS):
+        inside = (columns >= low) & (columns < low + COLUMNS)
+        block = np.zeros((len(lists), COLUMNS), np.float32)
+        block[owner[inside], columns[inside] - low] = 1
+        total += block @ block.T
+    return total
+
+
+def block_candidates(percent: int):
+    """The rows of a block pair that some other row may link with, by sizes and rare n-grams."""
+
+    def run(key, rows):
+        n, comp = rows["n"].to_numpy(), rows["comp"].to_numpy()
+        total, low = n[:, None] + n[None], np.minimum(n[:, None], n[None])
+        high = total - low
+        outside = -(-percent * high // 100) - 1
+        needed = np.maximum(1, -(-percent * total // (100 + percent)) - outside)
+        open_pair = (low * 100 >= high * percent) & (overlaps(rows["rare"]) >= needed)
+        open_pair &= comp[:, None] != comp[None]
+        return rows.loc[open_pair.any(axis=1), ["gram", "inside", "i", "j", "node", "comp"]]
+
+    return run
+
+
 def block_links(percent: int):
     """Links of a block pair from the product of its incidence matrices, as few as connect."""
 
     def run(key, rows):
         import pandas as pd
 
-        rows = rows.sort_values(["left", "node"], ascending=[False, True], ignore_index=True)
-        grams, columns = np.unique(np.concatenate(rows["grams"].to_list()), return_inverse=True)
+        rows = rows.sort_values("node", ignore_index=True)
         sizes = rows["grams"].map(len).to_numpy()
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        overlap = np.zeros((len(rows), len(rows)), np.float32)
-        for low in range(0, len(grams), 8192):
-            inside = (columns >= low) & (columns < low + 8192)
-            block = np.zeros((len(rows), min(8192, len(grams) - low)), np.float32)
-            block[owner[inside], columns[inside] - low] = 1
-            overlap += block @ block.T
+        overlap = overlaps(rows["grams"])
         union = sizes[:, None] + sizes[None] - overlap
         a, b = np.nonzero(np.triu(overlap * 100 >= union * percent, 1))
-        top = list(range(len(rows)))
-        first = {}  # rows of one component are connected already
-        for i, comp in enumerate(rows["comp"].tolist()):
+        top, first = list(range(len(rows))), {}
+        for i, comp in enumerate(rows["comp"].tolist()):  # connected already
             top[i] = first.setdefault(comp, i)
 
         def root(i):
@@ -259,47 +282,12 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     marked = many.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     main = comps.select(F.col("node").alias("hub"), F.col("comp").alias("_main"))
     marked = marked.join(main, "hub", "left").withColumn("_main", F.coalesce("_main", "hub"))
-    marked = stored(marked.select("gram", "node", "n", "comp", "_main"), "marked")
-    is_main = F.col("comp") == F.col("_main")
-    spread = marked.groupBy("gram").agg(
-        F.count_if(is_main).alias("_in"), F.count_if(~is_main).alias("_out")
-    ).filter("_out > 0")
-    blocks = spread.select(
-        "gram", F.ceil(F.col("_in") / BLOCK).alias("_ins"), F.ceil(F.col("_out") / BLOCK).alias("_outs")
-    )
-    met = marked.join(stored(blocks, "blocks"), "gram").withColumns(
-        {
-            "_inside": is_main,
-            "_block": F.pmod(F.xxhash64("node"), F.when(is_main, F.col("_ins")).otherwise(F.col("_outs"))),
-        }
-    )
-    others = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("_outs") - 1),
-        lambda j: F.struct(
-            F.lit(False).alias("inside"), F.least(j, "_block").alias("i"), F.greatest(j, "_block").alias("j"),
-            (j >= F.col("_block")).alias("left"),
-        ),
-    )
-    to_main = F.when(
-        F.col("_ins") > 0,
-        F.transform(
-            F.sequence(F.lit(0).cast("long"), F.col("_ins") - 1),
-            lambda j: F.struct(
-                F.lit(True).alias("inside"), F.col("_block").alias("i"), j.alias("j"),
-                F.lit(True).alias("left"),
-            ),
-        ),
-    ).otherwise(F.array().cast("array<struct<inside:boolean,i:bigint,j:bigint,left:boolean>>"))
-    from_main = F.transform(
-        F.sequence(F.lit(0).cast("long"), F.col("_outs") - 1),
-        lambda i: F.struct(
-            F.lit(True).alias("inside"), i.alias("i"), F.col("_block").alias("j"),
-            F.lit(False).alias("left"),
-        ),
+    marked = stored(marked.select("gram", "node", "comp", "_main"), "marked")
+    met = block_pairs(marked, "gram", BLOCK).join(nodes.select("node", "n", "rare"), "node")
+    met = met.groupBy("gram", "inside", "i", "j").applyInPandas(
+        block_candidates(percent),
+        "gram long, inside boolean, i long, j long, node long, comp long",
     )
-    met = met.withColumn(
-        "at", F.explode(F.when(F.col("_inside"), from_main).otherwise(F.concat(others, to_main)))
-    ).select("gram", "at.*", "node", "n", "comp")
 
     few = shared.filter(F.col("m") <= FEW).join(comps, "node", "left")
     few = few.select("gram", F.struct("node", "n", F.coalesce("comp", "node").alias("comp")).alias("x"))

@@ -60,6 +60,7 @@ def test_near_copies(spark, size, percent):
 
 def test_large_group_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "FEW", 3)
     texts = near_copies(3, 1, 200, 40, 5) + near_copies(4, 3, 30, 25, 3)
     assert run(spark, texts) == brute(texts, 3, 90)
 
