@@ -25,8 +25,8 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = column.fill_null("")
-    column = column.cast(pa.large_string())
+        column = column.fill_null(b"" if pa.types.is_large_binary(column.type) else "")
+    column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if offsets else None
     if at is None or data is None:
