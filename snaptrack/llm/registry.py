@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import chunks, jaccard, lines, packing, pieces, quality_rules, sharding, topk
+from snaptrack.llm import chunks, jaccard, lines, packing, pieces, quality_model, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
+    "op2_quality_model": quality_model.op2,
     "op3_pieces": pieces.op3,
     "op4_sharding": sharding.op4,
     "op5_packing": packing.op5,
