@@ -289,20 +289,23 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
         "gram long, inside boolean, i long, j long, node long, comp long",
     )
 
-    few = shared.filter(F.col("m") <= FEW).join(comps, "node", "left")
-    few = few.select("gram", F.struct("node", "n", F.coalesce("comp", "node").alias("comp")).alias("x"))
+    few = shared.filter(F.col("m") <= FEW).select("gram", F.struct("node", "n").alias("x"))
     listed = few.groupBy("gram").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     x, y = F.col("x"), F.col("y")
-    close = (x["comp"] != y["comp"]) & sizes_fit(x["n"], y["n"], percent)
     pairs = (
         listed.select(F.posexplode("xs").alias("i", "x"), "xs")
         .select("x", F.explode(F.slice("xs", F.col("i") + 2, F.lit(FEW))).alias("y"))
-        .filter(close)
+        .filter(sizes_fit(x["n"], y["n"], percent))
         .groupBy(x["node"].alias("a"), y["node"].alias("b"))
         .agg(F.count("*").alias("c"), F.first(x["n"]).alias("n"), F.first(y["n"]).alias("hub_n"))
         .filter(F.col("c") >= least_common(n, hub_n, percent))
     )
     pairs = stored(pairs.select("a", "b"), "pairs")
+    for side in "ab":
+        known = comps.select(F.col("node").alias(side), F.col("comp").alias(f"_{side}"))
+        pairs = pairs.join(known, side, "left")
+    apart = F.coalesce("_a", "a") != F.coalesce("_b", "b")
+    pairs = stored(pairs.filter(apart).select("a", "b"), "pairs")
     met = stored(met, "met")
     ends = pairs.selectExpr("a as node").union(pairs.selectExpr("b as node"))
     sets = sets_of(docs, nodes, ends.union(met.select("node")).distinct(), size)
