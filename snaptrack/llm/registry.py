@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import chunks, jaccard, lines, packing, pieces, quality_model, quality_rules, sharding, topk
+from snaptrack.llm import chunks, jaccard, licenses, lines, packing, pieces, quality_model, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": quality_rules.op7,
     "op8_ngram_jaccard": jaccard.op8,
     "op9_chunk_dedup": chunks.op9,
+    "op10_license_scan": licenses.op10,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,82 @@
+"""Quality rules against SQL and a plain version."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+from snaptrack.llm import quality_rules
+from tests.compare import duck_rows, spark_rows
+from tests.llm.cases import documents
+from tests.llm.test_packing import ODD
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def words_of(text):
+    for c in SPACES:
+        text = text.replace(c, " ")
+    return [word for word in text.split(" ") if word]
+
+
+def plain(text):
+    text = text or ""
+    words = words_of(text)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(8)}
+    lines = [line for line in text.split("\n") if words_of(line)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in quality_rules.SYMBOLS for c in text),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(repeated),
+        "n_lines": len(lines),
+    }
+
+
+REPEATS = [
+    "a b c d e f g h " * 3, "a " * 30, "x " * 8, "x " * 9, "a b c d e f g h i j " * 2 + "k",
+    "one\n\none\n two\none \n \n", "the of and to in " * 5, "#$% | <a> &amp; *", "word " * 40000,
+    " ".join(f"w{i % 37}" for i in range(100)), "the " + " ".join(f"w{i} of" for i in range(40)),
+]
+
+
+def test_matches_plain_version(spark):
+    texts = [*ODD, *REPEATS]
+    rows = {r["doc_id"]: r.asDict() for r in quality_rules.apply_rules(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        expected = plain(text)
+        assert {name: rows[i][name] for name in expected} == expected
+        failed = expected["n_words"] < 20 or 100 * expected["n_repeat_words"] > 30 * expected["n_words"]
+        assert rows[i]["base_failed"] == failed and not (failed and rows[i]["kept"])
+
+
+@pytest.mark.parametrize("extra", [[], REPEATS + ODD])
+def test_matches_sql(spark, extra, tmp_path):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if extra:
+        path = f"{tmp_path}/documents.parquet"
+        documents(spark, extra).toPandas().to_parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{path}'")
+    rows = quality_rules.op7(spark, path.rsplit("/", 1)[0])
+    assert spark_rows(rows) == duck_rows(duck, quality_rules.oracle())
+
+
+def test_passing_keeps_columns_and_good_rows(spark):
+    good = "the " + " ".join(f"word{i} of" for i in range(40))
+    rows = documents(spark, [good, good, None, "bad ### " * 30]).selectExpr(
+        "doc_id", "text", "1 as n_words", "2 as _words", "3 as kept"
+    )
+    found = quality_rules.passing(rows)
+    assert found.columns == rows.columns
+    assert sorted(r["doc_id"] for r in found.collect()) == [0, 1]
+    assert quality_rules.passing(documents(spark, [])).collect() == []
+
+
+def test_plan_is_native(spark):
+    rows = quality_rules.op7(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Exchange", "Arrow"))
