@@ -341,6 +341,20 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return full.select(columns).union(empty.select(columns))
 
 
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that carry their component's id: one of each group, and all without words.
+
+    Rows of one id share their fate: they stay if one of them names its group, equal ones once.
+    """
+    groups = stored(jaccard_components(docs, size, percent), "groups")
+    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = stored(keep.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")), "keep")
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    if keep.filter("_n > 1").limit(1).count():
+        return kept.dropDuplicates(["doc_id", "text"])
+    return kept
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 

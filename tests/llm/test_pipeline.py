@@ -1,0 +1,86 @@
+"""The pipeline against the plain versions of its stages, on a small fixture."""
+
+import random
+
+import corpus_pipeline
+from snaptrack.llm import lines, quality_rules
+from tests.llm import test_chunks, test_jaccard, test_lines, test_packing
+from tests.llm.cases import SCHEMA, documents
+from tests.llm.test_packing import ODD
+from tests.llm.test_quality_rules import REPEATS, plain as counts, words_of
+
+
+def fixture():
+    rng = random.Random(9)
+    stop = ["the", "of", "and", "to", "in"]
+    word = lambda: rng.choice(stop) if rng.random() < 0.3 else f"w{rng.randrange(5000)}"
+    sentence = lambda n: " ".join(word() for _ in range(n))
+    passage = sentence(70)
+    shared = sentence(14)
+    texts = []
+    for i in range(40):
+        parts = [sentence(rng.randrange(15, 60)) for _ in range(3)]
+        if i % 4 == 0:
+            parts.insert(rng.randrange(3), sentence(5) + " " + passage + " " + sentence(5))
+        if i % 3 == 0:
+            parts.insert(rng.randrange(3), shared)
+        texts.append("\n".join(parts))
+    texts += texts[:6]  # copies
+    for text in texts[6:14]:  # near copies
+        words = text.split(" ")
+        words[len(words) // 2] = "changed"
+        texts.append(" ".join(words).replace("\n", " "))
+    return texts + ODD + REPEATS + ["$$$ ### " * 40]
+
+
+def kept_by_rules(text):
+    found = counts(text)
+    words, n = words_of(text or ""), found["n_words"]
+    if n < 20 or 100 * found["n_repeat_words"] > 30 * n:
+        return False
+    values = {
+        **found, "n_stop_words": sum(word in set(quality_rules.stop_words()) for word in words)
+    }
+    return all(
+        rule.low <= eval(rule.value, {}, values) <= rule.high for rule in quality_rules.RULES
+    )
+
+
+def plain(texts):
+    rows = [(i, text) for i, text in enumerate(texts) if kept_by_rules(text)]
+    gone = test_lines.plain([text for _, text in rows])
+    cut = [
+        (i, "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[n]), bool(gone[n]))
+        for n, (i, text) in enumerate(rows)
+    ]
+    rows = [(i, text) for i, text, changed in cut if not changed or words_of(text)]
+    groups = {i: comp for i, _, comp in test_jaccard.brute([text for _, text in rows], 5, 80)}
+    rows = [row for n, row in enumerate(rows) if groups[n] == n]
+    rest = test_chunks.plain([text for _, text in rows])
+    return {i: new for (i, old), new in zip(rows, rest) if new == old or words_of(new)}
+
+
+def test_stages_match_plain_versions(spark, tmp_path):
+    texts = fixture()
+    docs = documents(spark, texts)
+    columns = docs.columns
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = f"{tmp_path}/{k}"
+        stage(spark, docs, str(tmp_path)).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if k < 4:
+            assert docs.columns == columns
+            before = {row["doc_id"]: row["text"] for row in docs.collect()}
+    expected = plain(texts)
+    assert before == expected
+    assert 0 < len(expected) < 45
+    test_packing.check(docs.collect(), expected)
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_line_threshold_is_the_operators():
+    assert lines.EDITS == 2
