@@ -32,12 +32,13 @@ from snaptrack.operators.rows import (
 )
 from snaptrack.plans.replay import apply_snapshot, replay
 from snaptrack.session import session_conf
-from snaptrack.sources.bucketed import write_bucketed
+from snaptrack.sources.bucketed import buckets_for, write_bucketed
 from snaptrack.sources.files import (
     ingest,
     read_csv,
     read_json,
     read_parquet,
+    rejected_rows,
     s3a_conf,
     table_path,
     write_parquet,
@@ -51,6 +52,7 @@ __all__ = [
     "active_rows",
     "apply_snapshot",
     "as_of",
+    "buckets_for",
     "build_history",
     "change_log",
     "change_summary",
@@ -72,6 +74,7 @@ __all__ = [
     "read_csv",
     "read_json",
     "read_parquet",
+    "rejected_rows",
     "replay",
     "rows_with_keys",
     "run_rows",

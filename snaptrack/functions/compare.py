@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from snaptrack.meta import quoted
 
 KEEP_NULLS = "map('ignoreNullFields', 'false')"
+DROP_NULLS = "map('ignoreNullFields', 'true')"
 
 
 class Pair(NamedTuple):
@@ -89,8 +90,8 @@ def change_text(pairs: Sequence[Pair]) -> str:
         texts = [value_text(value, pair.data_type) for value in (pair.new, pair.old)]
         changed = f"if({same_value(pair)}, null, array({', '.join(texts)}))"
         parts.append(f"{changed} as {quoted(pair.name)}")
-    # Equal values are null here, and to_json leaves null fields out.
-    return f"to_json(struct({', '.join(parts)}))" if parts else "cast(null as string)"
+    # Equal values are null here, and their fields are left out whatever the session says.
+    return f"to_json(struct({', '.join(parts)}), {DROP_NULLS})" if parts else "cast(null as string)"
 
 
 def fingerprint(
@@ -105,15 +106,30 @@ def fingerprint(
     for column in columns:
         data_type, value = df.schema[column].dataType, quoted(column)
         # Nulls leave a running hash as it is: the flag keeps (a, null) and (null, a) apart.
-        values += [f"{value} is null", _one_zero(comparable(value, data_type), data_type)]
+        values += [f"{value} is null", hashable(value, data_type)]
     if secure:
         fields = ", ".join(f"{value} as c{i}" for i, value in enumerate(values))
         return df.withColumn(name, F.expr(f"sha2(to_json(struct({fields}), {KEEP_NULLS}), 256)"))
     return df.withColumn(name, F.expr(f"xxhash64({', '.join(values)})"))
 
 
-def _one_zero(value: str, data_type: T.DataType) -> str:
-    """-0.0 and 0.0 are equal but print differently."""
+def hashable(value: str, data_type: T.DataType, depth: int = 0) -> str:
+    """``comparable`` with one zero at any depth: -0.0 and 0.0 are equal but print differently."""
+    item = f"z{depth}"
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return f"if({value} = 0, cast(0 as {data_type.simpleString()}), {value})"
-    return value
+    if isinstance(data_type, T.ArrayType):
+        return f"transform({value}, {item} -> {hashable(item, data_type.elementType, depth + 1)})"
+    if isinstance(data_type, T.MapType):
+        key = hashable(f"{item}.key", data_type.keyType, depth + 1)
+        entry = hashable(f"{item}.value", data_type.valueType, depth + 1)
+        entries = f"transform(map_entries({value}), {item} -> struct({key} as k, {entry} as v))"
+        return f"array_sort({entries})"
+    if isinstance(data_type, T.StructType):
+        fields = [
+            f"{hashable(f'{value}.{quoted(field.name)}', field.dataType, depth)} "
+            f"as {quoted(field.name)}"
+            for field in data_type
+        ]
+        return f"if({value} is null, null, struct({', '.join(fields)}))"
+    return comparable(value, data_type, depth)

@@ -52,6 +52,9 @@ def parser() -> argparse.ArgumentParser:
     daily.add_argument("--table", required=True, help="root of the stored history")
     daily.add_argument("--base", help="first history, needed while the table is empty")
     daily.add_argument("--base-date", help="date of --base, default the day before the run")
+    daily.add_argument(
+        "--free-superseded", type=int, metavar="N", help="free the active rows of all but N runs"
+    )
     return jobs
 
 
@@ -79,7 +82,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         first_day = args.base_date or str(day_before)
         table.write(ensure_history(read_parquet(spark, args.base), first_day, meta), first_day)
     apply_snapshot(spark, table, args.run_date, recent, args.key, args.missing)
-    table.drop_superseded(spark)
+    if args.free_superseded is not None:
+        table.drop_superseded(spark, args.free_superseded)
 
 
 if __name__ == "__main__":

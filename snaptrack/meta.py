@@ -64,9 +64,16 @@ def spelled_as(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.withColumnsRenamed(renamed) if renamed else df
 
 
+def as_day(value: dt.date | str) -> dt.date:
+    """A date from a date, a point in time or ISO text of either."""
+    if isinstance(value, dt.datetime):
+        return value.date()
+    return value if isinstance(value, dt.date) else dt.datetime.fromisoformat(value).date()
+
+
 def date_text(day: dt.date | str | None) -> str:
     """A date literal as SQL; the wall-clock date only when no date is given."""
-    return "current_date()" if day is None else f"date '{dt.date.fromisoformat(str(day))}'"
+    return "current_date()" if day is None else f"date '{as_day(day)}'"
 
 
 def date_of(day: dt.date | str | None) -> Column:

@@ -81,10 +81,15 @@ def match(
 
 
 def new_keys(
-    recent: DataFrame, history: DataFrame, key: KeySpec, meta: MetaColumns = DEFAULT_META
+    recent: DataFrame,
+    history: DataFrame,
+    key: KeySpec,
+    meta: MetaColumns = DEFAULT_META,
+    **options,
 ) -> DataFrame:
     """Keys of the snapshot that have no active version."""
-    return new_rows(recent, history, key, None, meta).select(*refs(key_list(key)))
+    pairs = match(recent, history, key, meta, **options).pairs("left")
+    return pairs.inserted().select(*refs(pairs.keys))
 
 
 def new_rows(
@@ -93,11 +98,16 @@ def new_rows(
     key: KeySpec,
     run_date: dt.date | str | None = None,
     meta: MetaColumns = DEFAULT_META,
+    **options,
 ) -> DataFrame:
-    """Snapshot rows without an active version, stamped as open."""
-    keys = key_list(key)
-    known = active_rows(history, meta).select(*refs(keys))
-    return open_rows(with_key(recent, keys).join(known, keys, "left_anti"), run_date, meta)
+    """Snapshot rows without an active version, stamped as open.
+
+    They take the way of every other pair: types are aligned and keys checked, so the pieces of
+    a delta put together are the delta.
+    """
+    pairs = match(recent, history, key, meta, run_date=run_date, **options).pairs("left")
+    rows = pairs.inserted().selectExpr(*refs(pairs.keys), *pairs.new_values())
+    return open_rows(rows, run_date, meta)
 
 
 def edited_keys(

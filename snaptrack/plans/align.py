@@ -29,6 +29,8 @@ def shared_type(df: DataFrame, name: str, left: T.DataType, right: T.DataType) -
         if any(isinstance(side, NO_PLAIN_TEXT) for side in sides):
             raise problem
         return T.StringType()
+    if {type(left), type(right)} == {T.IntegerType, T.FloatType}:
+        return T.DoubleType()  # a float cannot hold every int, whatever the session widens to
     exact = any(isinstance(side, (T.LongType, T.DecimalType)) for side in sides)
     if exact and any(isinstance(side, (T.FloatType, T.DoubleType)) for side in sides):
         raise problem

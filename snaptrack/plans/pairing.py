@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from snaptrack.functions.compare import Pair, any_differs, change_text, has_unordered_part
+from snaptrack.functions.compare import Pair, any_differs, change_text, comparable
 from snaptrack.meta import MetaColumns, date_of, quoted, ref, refs
 from snaptrack.operators.checks import any_null
 
@@ -57,6 +57,10 @@ class Pairs:
     def old_values(self) -> list[str]:
         return [f"{pair.old} as {quoted(pair.name)}" for pair in self.values]
 
+    def inserted(self) -> DataFrame:
+        """Snapshot rows of a left join that have no active version."""
+        return self.df.filter(f"{OLD} is null")
+
     def edited(self) -> DataFrame:
         """Pairs with both sides in which some value differs."""
         return self.df.filter(any_differs(self.values))
@@ -94,14 +98,14 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFr
 
     Spark keeps the first row of a key in each task before the shuffle (window group
     limit), so copies of one key do not pile up in one task. Rows that tie in ``order_by``
-    are ordered by their other columns.
+    are ordered by their other columns, maps and variants by their comparable form.
     """
     others = [
-        field.name
+        F.expr(comparable(quoted(field.name), field.dataType))
         for field in df.schema
-        if field.name not in (*keys, *order_by) and not has_unordered_part(field.dataType)
+        if field.name not in (*keys, *order_by)
     ]
-    window = Window.partitionBy(*refs(keys)).orderBy(*refs(order_by), *refs(others))
+    window = Window.partitionBy(*refs(keys)).orderBy(*refs(order_by), *others)
     return df.withColumn("_place", F.row_number().over(window)).filter("_place = 1").drop("_place")
 
 

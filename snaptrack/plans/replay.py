@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.meta import KeySpec
+from snaptrack.meta import KeySpec, as_day
 from snaptrack.operators.history import run_rows
 from snaptrack.operators.rows import ensure_history
 from snaptrack.sources.history_table import HistoryTable
@@ -25,9 +25,15 @@ def apply_snapshot(
     """Run one snapshot against the state before its date and store the result.
 
     Running the newest date again replaces that run, so the same snapshot and date change
-    nothing, and a corrected snapshot corrects the run.
+    nothing, and a corrected snapshot corrects the run. The stored state is always whole: there
+    is no ``mode``, and rows that are gone are kept or closed, as a dropped row could not be
+    found ``as_of`` an earlier date.
     """
-    day = dt.date.fromisoformat(str(run_date))
+    if "mode" in options:
+        raise ValueError("a stored history is always built in full; mode cannot be chosen")
+    if missing == "drop":
+        raise ValueError("a stored history keeps or closes missing rows; drop would lose the past")
+    day = as_day(run_date)
     runs = table.runs(spark)
     earlier = [run for run in runs if run < day]
     if runs and runs[-1] > day:
@@ -35,13 +41,13 @@ def apply_snapshot(
     if not earlier:
         raise ValueError(f"{table.root} has no state before {day}; write a first history")
     before = table.read(spark, earlier[-1])
-    # What an earlier run wrote has one active row per key; a first history may not.
-    trusted = len(earlier) > 1
+    # What run_rows wrote has one active row per key; what a caller wrote may not.
+    trusted = table.checked(spark, earlier[-1])
     rows = run_rows(
         recent, before, key, day, table.meta, missing=missing, trusted_history=trusted, **options
     )
     _same_types(before, rows)
-    table.write(rows, day)
+    table.write(rows, day, checked=True)
 
 
 def _same_types(before: DataFrame, after: DataFrame) -> None:
@@ -72,12 +78,17 @@ def replay(
     the step before wrote, so plans do not grow with the number of snapshots. Dates that are
     already in the table are skipped: a replay that was cut off goes on where it stopped.
     """
+    series = sorted(((as_day(day), recent) for day, recent in snapshots), key=lambda item: item[0])
+    days = [day for day, _ in series]
+    repeated = sorted({str(day) for day in days if days.count(day) > 1})
+    if repeated:
+        raise ValueError(f"several snapshots are dated {repeated}; a date has one state")
     if not table.runs(spark):
         if base is None or base_date is None:
             raise ValueError("an empty history table needs base and base_date")
         table.write(ensure_history(base, base_date, table.meta), base_date)
-    finished = {str(day) for day in table.runs(spark)}
-    for run_date, recent in sorted(snapshots, key=lambda item: str(item[0])):
-        if str(run_date) not in finished:
-            apply_snapshot(spark, table, run_date, recent, key, missing, **options)
+    finished = set(table.runs(spark))
+    for day, recent in series:
+        if day not in finished:
+            apply_snapshot(spark, table, day, recent, key, missing, **options)
     return table.read(spark)

@@ -155,6 +155,10 @@ def oracle_sql() -> dict[str, str]:
         "read_parquet": "select * from orders",
         "read_csv": "select * from customer",
         "read_json": "select * from events",
+        "read_csv_documents": "select * from documents",
+        "read_csv_pages": "select * from pages",
+        "read_csv_inferred": "select * from part",
+        "read_json_inferred": "select * from customer",
         "ingest_roundtrip": "select * from part",
         "write_parquet_partitioned": "select * from supplier",
         # row operators
@@ -212,6 +216,11 @@ where place = 1""",
         ),
         "replay": replayed("close"),
         "stream_history": replayed("close"),
+        "replay_events": built(EVENTS),
+        "pieces_equal_delta": built(ORDERS, mode="delta"),
+        "pieces_equal_delta_customer": built(CUSTOMER, mode="delta"),
+        "fingerprint_embeddings": pairs(EMBEDDINGS)
+        + " select count(*) as differing_rows from pairs where event = 'update'",
         "history_table_after_first_run": built(ORDERS, missing="close"),
         # reads
         "as_of": f"""

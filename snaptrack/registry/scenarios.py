@@ -185,11 +185,16 @@ from {{table}} where event_type = 'click'
 LINEITEM = Scenario(
     table="lineitem",
     key=("l_orderkey", "l_linenumber"),
-    values=("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"),
+    values=(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    ),
     history=f"""
 select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_suppkey) as l_suppkey,
        min(l_quantity) as l_quantity, min(l_extendedprice) as l_extendedprice,
-       min(l_returnflag) as l_returnflag, min(l_shipdate) as l_shipdate, {OPEN}
+       min(l_discount) as l_discount, min(l_tax) as l_tax,
+       min(l_returnflag) as l_returnflag, min(l_linestatus) as l_linestatus,
+       min(l_shipdate) as l_shipdate, {OPEN}
 from {{table}} where l_shipdate < date '2001-01-01' group by l_orderkey, l_linenumber
 """,
 )

@@ -114,12 +114,15 @@ def build_history_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent, history = frames(spark, sf_dir, ORDERS)
     folder = new_folder(spark, "bucketed")
     label = folder.rsplit("-", 1)[-1]
-    tables = []
-    for side, rows in (("recent", recent), ("active", st.active_rows(history))):
-        name = f"snaptrack_{side}_{label}"
-        st.write_bucketed(rows, name, ORDERS.key, buckets=8, path=f"{folder}/{side}")
-        tables.append(spark.table(name))
-    return st.union_all([st.closed_rows(history), st.run_rows(*tables, ORDERS.key, RUN_DATE)])
+    buckets = st.buckets_for(table(spark, sf_dir, "orders"))
+    names = [f"snaptrack_{side}_{label}" for side in ("recent", "active")]
+    for name, rows in zip(names, (recent, st.active_rows(history))):
+        st.write_bucketed(rows, name, ORDERS.key, buckets, path=f"{folder}/{name}")
+    run = st.run_rows(*map(spark.table, names), ORDERS.key, RUN_DATE)
+    run.write.parquet(f"{folder}/run")
+    for name in names:
+        spark.sql(f"drop table {name}")
+    return st.union_all([st.closed_rows(history), st.read_parquet(spark, f"{folder}/run")])
 
 
 def replayed_table(spark: SparkSession, sf_dir: str) -> st.HistoryTable:
@@ -154,16 +157,84 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         dated.write.mode("append").parquet(f"{folder}/landing")
     return st.stream_history(
         spark, f"{folder}/landing", dated.schema, "snapshot_date", f"{folder}/landed",
-        store, ORDERS.key, missing="close",
+        store, ORDERS.key, missing="close", complete_until=SECOND_DATE,
     )
 
 
+def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over a stored history: the operator reads its input twice."""
+    store = st.HistoryTable(new_folder(spark, "timeline"))
+    store.write(built(ORDERS)(spark, sf_dir), RUN_DATE)
+    return st.timeline(store.read(spark), ORDERS.key)
+
+
+def read_csv_whole(name: str, **options) -> Query:
+    """A table written as CSV and read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, path = table(spark, sf_dir, name), new_folder(spark, "csv")
+        rows.write.options(header=True, escape='"').csv(path)
+        return st.read_csv(spark, path, rows.schema, escape='"', **options)
+
+    return query
+
+
+def read_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, path = table(spark, sf_dir, "part"), new_folder(spark, "csv")
+    rows.write.option("header", True).csv(path)
+    return st.read_csv(spark, path)
+
+
+def read_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, path = table(spark, sf_dir, "customer"), new_folder(spark, "json")
+    rows.write.json(path)
+    return st.read_json(spark, path)
+
+
+def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a table with a timestamp and text, the last one repeated."""
+    recent, history = frames(spark, sf_dir, EVENTS)
+    store = st.HistoryTable(new_folder(spark, "events"))
+    days = (RUN_DATE, SECOND_DATE, "2024-08-01")
+    st.replay(spark, [(day, recent) for day in days], store, EVENTS.key, history, BASE_DATE)
+    st.apply_snapshot(spark, store, days[-1], recent, EVENTS.key)
+    return store.read(spark)
+
+
+def pieces_equal_delta(scenario: Scenario) -> Query:
+    """The delta put together from its four operators."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        new, old = frames(spark, sf_dir, scenario)
+        pieces = (st.closed_edited_rows, st.edited_rows, st.new_rows)
+        return st.union_all(
+            [st.closed_rows(old), *[piece(new, old, scenario.key, RUN_DATE) for piece in pieces]]
+        )
+
+    return query
+
+
+def fingerprint_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secure hashes that differ between the snapshot and the active rows."""
+    recent, history = frames(spark, sf_dir, EMBEDDINGS)
+    sides = [
+        st.fingerprint(rows, EMBEDDINGS.values, name, secure=True).select(*EMBEDDINGS.key, name)
+        for rows, name in ((recent, "new_print"), (st.active_rows(history), "old_print"))
+    ]
+    differing = F.count_if(F.col("new_print") != F.col("old_print"))
+    return sides[0].join(sides[1], list(EMBEDDINGS.key)).agg(differing.alias("differing_rows"))
+
+
 def queries() -> dict[str, Query]:
     key = ORDERS.key
     result = {
         "read_parquet": read_parquet,
         "read_csv": read_csv,
         "read_json": read_json,
+        "read_csv_documents": read_csv_whole("documents", multi_line=True),
+        "read_csv_pages": read_csv_whole("pages", multi_line=True),
+        "read_csv_inferred": read_csv_inferred,
+        "read_json_inferred": read_json_inferred,
         "ingest_roundtrip": ingest_roundtrip,
         "write_parquet_partitioned": write_parquet_partitioned,
         "active_rows": on_history(st.active_rows),
@@ -200,13 +271,17 @@ def queries() -> dict[str, Query]:
             LINEITEM, on_duplicate="keep_first", order_by="l_shipdate"
         ),
         "replay": replay,
+        "replay_events": replay_events,
+        "pieces_equal_delta": pieces_equal_delta(ORDERS),
+        "pieces_equal_delta_customer": pieces_equal_delta(CUSTOMER),
+        "fingerprint_embeddings": fingerprint_embeddings,
         "stream_history": stream_history,
         "history_table_after_first_run": lambda spark, sf_dir: replayed_table(
             spark, sf_dir
         ).read(spark, RUN_DATE),
         "as_of": as_of,
         "as_of_history_table": as_of_history_table,
-        "timeline": after_run(lambda history: st.timeline(history, key)),
+        "timeline": timeline,
         "explode_changes": after_run(lambda history: st.explode_changes(history, key)),
         "column_change_counts": after_run(st.column_change_counts),
         "key_violations": lambda spark, sf_dir: st.key_violations(

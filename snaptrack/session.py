@@ -4,18 +4,20 @@ from __future__ import annotations
 
 
 MB = 1024 * 1024
-PARTITION_BYTES = 200 * MB
-MOST_PARTITIONS = 50_000
-MOST_SCAN_TASKS = 100_000
 
 
-def session_conf(shuffle_bytes: int | None = None, cores: int | None = None) -> dict[str, str]:
+def session_conf(
+    shuffle_bytes: int | None = None,
+    cores: int | None = None,
+    partition_bytes: int = 200 * MB,
+    scan_bytes: int = 128 * MB,
+) -> dict[str, str]:
     """Settings for ``SparkSession.builder.config(map=...)``.
 
     ``shuffle_bytes`` is the size of the larger side of the diff. Shuffle partitions hold about
-    200 MB and there are at least two per core; AQE merges those that turn out small. From
-    10 TB on their number stays and they grow instead, to 2 GB at 100 TB: map and reduce tasks
-    multiply to shuffle blocks, and a sort-merge join can spill. Scan tasks grow likewise.
+    ``partition_bytes`` at any size and there are at least two per core; AQE merges those that
+    turn out small. Scan tasks read ``scan_bytes``. Map and reduce tasks multiply to shuffle
+    blocks, so from some 10 TB on larger values of both are worth a try.
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
@@ -27,13 +29,12 @@ def session_conf(shuffle_bytes: int | None = None, cores: int | None = None) ->
         "spark.sql.maxConcurrentOutputFileWriters": "4",
     }
     if shuffle_bytes is not None or cores is not None:
-        by_size = min(-(-(shuffle_bytes or 0) // PARTITION_BYTES), MOST_PARTITIONS)
+        by_size = -(-(shuffle_bytes or 0) // partition_bytes)
         conf["spark.sql.shuffle.partitions"] = str(max(by_size, 2 * (cores or 0), 1))
     if shuffle_bytes is not None:
-        scan = max(128 * MB, shuffle_bytes // MOST_SCAN_TASKS)
-        conf["spark.sql.files.maxPartitionBytes"] = str(scan)
+        conf["spark.sql.files.maxPartitionBytes"] = str(scan_bytes)
         # Merge up to full partitions instead of down to the parallelism: each writing task
         # leaves a file of closed rows, a small share of its input.
         conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
-        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(partition_bytes)
     return conf

@@ -7,6 +7,15 @@ from pyspark.sql import DataFrame
 from snaptrack.meta import KeySpec, key_list, refs
 
 
+BUCKET_BYTES = 200 * 1024 * 1024
+
+
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """How many buckets of about ``bucket_bytes`` the rows fill, by the planner's estimate."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // bucket_bytes))
+
+
 def write_bucketed(
     df: DataFrame,
     name: str,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from snaptrack.meta import ref
+
 Schema = T.StructType | str
 
 
@@ -15,17 +17,51 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name.lstrip('/')}"
 
 
-def read_csv(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
-    """CSV with a header row. Without a schema Spark reads the files once more to infer it."""
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: Schema | None = None,
+    multi_line: bool = False,
+    **options: str,
+) -> DataFrame:
+    """CSV with a header row. Without a schema Spark reads the files once more to infer it.
+
+    A cell that does not parse fails the query, and so does a header that names other columns
+    than the schema: either would be taken for an edit by the next diff. ``rejected_rows`` lists
+    such rows. Values with line breaks need ``multi_line``; files are then not split, so a task
+    reads a whole file. ``options`` are those of Spark's reader.
+    """
+    reader = spark.read.options(header=True, mode="FAILFAST", multiLine=multi_line)
+    if schema is None:
+        reader = reader.option("inferSchema", True)
+    else:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.options(**options).csv(path)
+
+
+def read_json(
+    spark: SparkSession, path: str, schema: Schema | None = None, **options: str
+) -> DataFrame:
+    """One JSON object per line; a line that does not parse fails the query."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.option("mode", "FAILFAST").options(**options).json(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
-    """One JSON object per line."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+def rejected_rows(
+    spark: SparkSession,
+    path: str,
+    schema: Schema,
+    format: str = "csv",
+    multi_line: bool = False,
+    name: str = "rejected",
+) -> DataFrame:
+    """The CSV or JSON rows that do not parse with ``schema``: the cells that do, and as column
+    ``name`` the raw text. Spark refuses a select of the raw text alone."""
+    parsed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.schema(T.StructType([*parsed.fields, T.StructField(name, T.StringType())]))
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=name, multiLine=multi_line)
+    rows = reader.option("header", True).csv(path) if format == "csv" else reader.json(path)
+    return rows.filter(ref(name).isNotNull())
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -37,21 +73,23 @@ def write_parquet(
 ) -> None:
     """Write ``df`` to ``path``, replacing what is there.
 
-    A target that ``df`` itself reads is refused: overwriting deletes the files before the
-    job has read them.
+    An overwrite goes to a new folder beside the target and takes its place when it is whole, so
+    the rows may come from the target itself and a job that fails leaves the target as it was.
+    The exchange is a delete and a rename, which stores without renames carry out as a copy.
     """
-    if mode == "overwrite":
-        target = _plain(path)
-        for source in df.inputFiles():
-            if _plain(source) == target or _plain(source).startswith(target + "/"):
-                raise ValueError(f"{path} is read by the rows that would replace it")
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-
-
-def _plain(path: str) -> tuple[str, str] | str:
-    parts = urlsplit(unquote(path))
-    scheme = "" if parts.scheme in ("", "file") else f"{parts.scheme}://{parts.netloc}"
-    return scheme + "/" + parts.path.strip("/")
+    if mode != "overwrite":
+        df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+        return
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(fresh)
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    target, source = paths(path), paths(fresh)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"{fresh} holds the rows; it could not be renamed to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def s3a_conf(
@@ -79,10 +117,11 @@ def ingest(
     root: str,
     schema: Schema | None = None,
     format: str = "csv",
+    **options,
 ) -> dict[str, str]:
     """Seed Parquet tables from raw files: ``{name: source path}`` to ``root/name``.
 
-    Returns ``{name: written path}``.
+    ``options`` go to the reader. Returns ``{name: written path}``.
     """
     readers = {"csv": read_csv, "json": read_json}
     if format not in readers:
@@ -90,5 +129,5 @@ def ingest(
     written = {}
     for name, source in tables.items():
         written[name] = table_path(root, name)
-        write_parquet(readers[format](spark, source, schema), written[name])
+        write_parquet(readers[format](spark, source, schema, **options), written[name])
     return written

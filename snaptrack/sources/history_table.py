@@ -4,31 +4,36 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from snaptrack.meta import DEFAULT_META, MetaColumns, date_of, ref, refs
+from snaptrack.meta import DEFAULT_META, MetaColumns, as_day, date_of, ref, refs
 from snaptrack.operators.reads import as_of
 from snaptrack.sources.files import table_path
 
-RUN = "run_date"
-LOG_SCHEMA = f"{RUN} date, written_at timestamp, state string, columns string"
-STARTED, FINISHED, DROPPED = "started", "finished", "dropped"
+RUN, ATTEMPT = "run_date", "attempt"
+LOG_SCHEMA = (
+    f"{RUN} date, written_at timestamp, state string, columns string, {ATTEMPT} string, "
+    "checked boolean"
+)
+FINISHED, DROPPED = "finished", "dropped"
 
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """Layout ``root/rows/run_date=D/<active>=true|false`` plus a log of runs.
+    """Layout ``root/rows/run_date=D/attempt=A/<active>=true|false`` plus a log of runs.
 
     A run writes the rows that are active after it and the rows it closed. Rows closed by
     earlier runs stay where they are and are never rewritten, so a daily run does not copy
     the whole past. The state after run D is the active rows of run D and the closed rows of
     all runs up to D; partition pruning reads those directories and no others.
 
-    A run counts once the log calls it finished. What one that died has left is not read, and
-    writing the same date again replaces it.
+    Every write goes to an attempt folder of its own and counts once the log names that folder,
+    so rows may come from the run they replace, and what a write that died has left is never
+    read. The folder that a repeated date replaces stays on disk unread.
     """
 
     root: str
@@ -38,15 +43,27 @@ class HistoryTable:
         """Dates of finished runs, oldest first."""
         return _done(self._log(spark))
 
-    def write(self, rows: DataFrame, run_date: dt.date | str) -> None:
-        """Store the rows of a run and enter it in the log."""
-        spark, day = rows.sparkSession, _day(run_date)
-        if day in self._log(spark):
-            # Its rows are about to go: until the new ones are there it is no finished run.
-            self._enter(spark, day, STARTED)
-        target = table_path(self.root, f"rows/{RUN}={day}")
-        rows.write.mode("overwrite").partitionBy(self.meta.active).parquet(target)
-        self._enter(spark, day, FINISHED, rows.schema.json())
+    def write(self, rows: DataFrame, run_date: dt.date | str, checked: bool = False) -> None:
+        """Store the rows of a run and enter it in the log.
+
+        ``checked`` says that the rows hold one active version per key, as those of ``run_rows``
+        do; a run on top of others checks the keys again.
+        """
+        taken = [name for name in rows.columns if name.lower() in (RUN, ATTEMPT)]
+        if taken:
+            raise ValueError(f"columns {taken} are named like the table's folders; rename them")
+        if self.meta.active not in rows.columns:
+            raise ValueError(f"rows have no column {self.meta.active!r}; see ensure_history")
+        day, attempt = as_day(run_date), uuid.uuid4().hex
+        rows.write.partitionBy(self.meta.active).parquet(self._folder(day, attempt))
+        self._enter(rows.sparkSession, day, FINISHED, rows.schema.json(), attempt, checked)
+
+    def checked(self, spark: SparkSession, run_date: dt.date) -> bool:
+        """Whether the rows of a run are known to hold one active version per key."""
+        return bool(self._log(spark)[run_date].checked)
+
+    def _folder(self, day: dt.date, attempt: str) -> str:
+        return table_path(self.root, f"rows/{RUN}={day}/{ATTEMPT}={attempt}")
 
     def read(self, spark: SparkSession, run_date: dt.date | str | None = None) -> DataFrame:
         """The history after ``run_date``, or after the newest run."""
@@ -73,10 +90,11 @@ class HistoryTable:
         whole = sorted(day for day, entry in log.items() if entry.state == FINISHED)
         for day in whole[:-keep]:
             # First the log: a run whose rows are going must not be read any more.
-            self._enter(spark, day, DROPPED)
-            nothing = spark.createDataFrame([], _schema(log[day])).drop(self.meta.active)
-            path = f"rows/{RUN}={day}/{self.meta.active}=true"
-            nothing.write.mode("overwrite").parquet(table_path(self.root, path))
+            entry = log[day]
+            self._enter(spark, day, DROPPED, entry.columns, entry.attempt, entry.checked)
+            nothing = spark.createDataFrame([], _schema(entry)).drop(self.meta.active)
+            path = f"{self._folder(day, entry.attempt)}/{self.meta.active}=true"
+            nothing.write.mode("overwrite").parquet(path)
 
     def _state(
         self,
@@ -85,7 +103,7 @@ class HistoryTable:
         closed_after: dt.date | str | None = None,
     ) -> DataFrame:
         log = self._log(spark)
-        runs = [day for day in _done(log) if run_date is None or day <= _day(run_date)]
+        runs = [day for day in _done(log) if run_date is None or day <= as_day(run_date)]
         if not runs:
             raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
         newest = runs[-1]
@@ -93,9 +111,13 @@ class HistoryTable:
             raise ValueError(f"the active rows of run {newest} were dropped; use as_of")
         columns = _schema(log[newest])
         # The schema comes from the log: no footer is read to find it.
-        with_run = T.StructType([*columns.fields, T.StructField(RUN, T.DateType())])
-        rows = spark.read.schema(with_run).parquet(table_path(self.root, "rows"))
-        closing = [day for day in runs if closed_after is None or day > _day(closed_after)]
+        folders = [T.StructField(RUN, T.DateType()), T.StructField(ATTEMPT, T.StringType())]
+        closing = [day for day in runs if closed_after is None or day > as_day(closed_after)]
+        # One folder per run that matters, and no other is listed.
+        reader = spark.read.schema(T.StructType([*columns.fields, *folders]))
+        rows = reader.option("basePath", table_path(self.root, "rows")).parquet(
+            *[self._folder(day, log[day].attempt) for day in sorted({*closing, newest})]
+        )
         active = F.coalesce(ref(self.meta.active), F.lit(False))
         state = (active & (F.col(RUN) == date_of(newest))) | (
             ~active & F.col(RUN).isin([date_of(day) for day in closing])
@@ -103,13 +125,21 @@ class HistoryTable:
         return rows.filter(state).select(*refs(columns.names))
 
     def _enter(
-        self, spark: SparkSession, day: dt.date, state: str, columns: str | None = None
+        self,
+        spark: SparkSession,
+        day: dt.date,
+        state: str,
+        columns: str,
+        attempt: str,
+        checked: bool,
     ) -> None:
         entry = spark.range(1, numPartitions=1).select(
             date_of(day).alias(RUN),
             F.current_timestamp().alias("written_at"),
             F.lit(state).alias("state"),
-            F.lit(columns).cast("string").alias("columns"),
+            F.lit(columns).alias("columns"),
+            F.lit(attempt).alias(ATTEMPT),
+            F.lit(checked).alias("checked"),
         )
         entry.write.mode("append").parquet(table_path(self.root, "runs"))
 
@@ -126,12 +156,8 @@ class HistoryTable:
 
 
 def _done(log: dict[dt.date, Row]) -> list[dt.date]:
-    return sorted(day for day, entry in log.items() if entry.state != STARTED)
+    return sorted(log)
 
 
 def _schema(entry: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(entry.columns))
-
-
-def _day(value: dt.date | str) -> dt.date:
-    return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)

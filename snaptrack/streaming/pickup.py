@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import datetime as dt
 
-from snaptrack.meta import KeySpec, ref
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from snaptrack.meta import KeySpec, as_day, date_of, ref
 from snaptrack.plans.replay import apply_snapshot
 from snaptrack.sources.files import table_path
 from snaptrack.sources.history_table import HistoryTable
 
+APPLIED = "day date, rows long"
+
 
 def land_files(
     spark: SparkSession,
@@ -25,9 +30,12 @@ def land_files(
     """
     files = spark.readStream.format(format).schema(schema)
     if format == "csv":
-        files = files.option("header", True)
+        files = files.options(header=True, enforceSchema=False)
+    if format in ("csv", "json"):
+        files = files.option("mode", "FAILFAST")
     query = (
         files.load(landing)
+        .withColumn(date_column, ref(date_column).cast("date"))
         .writeStream.format("parquet")
         .partitionBy(date_column)
         .option("path", table_path(landed, "rows"))
@@ -43,27 +51,63 @@ def stream_history(
     landing: str,
     schema: T.StructType | str,
     date_column: str,
-    landed: str,
+    landed: str | None,
     table: HistoryTable,
     key: KeySpec,
     format: str = "parquet",
     missing: str = "keep",
+    *,
+    complete_until: dt.date | str,
     **options,
 ) -> DataFrame:
     """Land new files, then apply each snapshot date newer than the last run, oldest first.
 
-    ``table`` holds its first history already. A date counts as complete when it is picked
-    up; rows that land for it later stay in the landed table, and ``apply_snapshot`` can run
-    the newest date again with them.
+    A snapshot may arrive in parts, so only dates up to ``complete_until`` are applied; the
+    caller says which snapshots are whole, later dates wait. Rows without a date, and rows that
+    land for a date already applied, are an error: a part left out would close its keys.
+
+    ``table`` holds its first history already. With ``landed=None`` the landing folder is
+    partitioned by ``date_column`` already and is read where it is, without a copy; rows that
+    land late are then not noticed.
     """
-    land_files(spark, landing, schema, date_column, landed, format)
-    rows = spark.read.parquet(table_path(landed, "rows"))
+    runs = table.runs(spark)
+    if not runs:
+        raise ValueError(f"{table.root} has no state yet; write a first history")
+    if landed is None:
+        rows = spark.read.schema(schema).format(format).load(landing)
+    else:
+        land_files(spark, landing, schema, date_column, landed, format)
+        try:
+            rows = spark.read.parquet(table_path(landed, "rows"))
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return table.read(spark)
     rows = rows.withColumn(date_column, ref(date_column).cast("date"))
-    last = table.runs(spark)[-1]
-    # One value per snapshot; the filter leaves only partitions that have not been applied.
-    pending = rows.filter(ref(date_column) > F.lit(str(last)).cast("date"))
-    dates = pending.select(ref(date_column)).distinct().collect()
-    for day in sorted(row[0] for row in dates):
-        recent = rows.filter(ref(date_column) == F.lit(str(day)).cast("date")).drop(date_column)
-        apply_snapshot(spark, table, day, recent, key, missing, **options)
+    # One row per snapshot: the calendar bounds it.
+    counts = {row[0]: row[1] for row in rows.groupBy(ref(date_column)).count().collect()}
+    if None in counts:
+        raise ValueError(f"{counts[None]} landed rows have no {date_column}")
+    applied = _applied(spark, landed) if landed else {}
+    late = sorted(str(day) for day, n in applied.items() if counts.get(day, n) != n)
+    if late:
+        raise ValueError(f"rows landed for dates that are applied already: {late}")
+    for day in sorted(counts):
+        if runs[-1] < day <= as_day(complete_until):
+            recent = rows.filter(ref(date_column) == date_of(day)).drop(date_column)
+            apply_snapshot(spark, table, day, recent, key, missing, **options)
+            if landed:
+                entry = spark.createDataFrame([(day, counts[day])], APPLIED)
+                entry.coalesce(1).write.mode("append").parquet(table_path(landed, "applied"))
     return table.read(spark)
+
+
+def _applied(spark: SparkSession, landed: str) -> dict[dt.date, int]:
+    """How many rows each applied snapshot had."""
+    try:
+        found = spark.read.schema(APPLIED).parquet(table_path(landed, "applied")).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {row["day"]: row["rows"] for row in found}

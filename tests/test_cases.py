@@ -438,3 +438,58 @@ def test_types_that_would_lose_digits(spark, new, old):
     history = st.open_rows(spark.sql(f"select 1 k, cast(cast('1' as string) as {old}) v"))
     with pytest.raises(ValueError, match="cast one of them"):
         st.classify(recent, history, "k")
+
+
+@pytest.mark.parametrize("setting", ["true", "false"])
+def test_log_holds_edits_only_whatever_the_session_says(spark, setting):
+    old = spark.createDataFrame([(1, 1, None, "c")], "k int, a int, b string, c string")
+    new = spark.createDataFrame([(1, 5, None, "c")], "k int, a int, b string, c string")
+    name = "spark.sql.jsonGenerator.ignoreNullFields"
+    spark.conf.set(name, setting)
+    try:
+        found = st.change_log(new, st.ensure_history(old, "2024-01-01"), "k").collect()
+    finally:
+        spark.conf.unset(name)
+    assert [row["changes"] for row in found] == ['{"a":["5","1"]}']
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_int_against_float_is_exact(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        new = spark.createDataFrame([(1, 16777217)], "k int, v int")
+        old = spark.createDataFrame([(1, 16777216.0)], "k int, v float")
+        found = st.classify(new, st.ensure_history(old, "2024-01-01"), "k").collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert [row["event"] for row in found] == ["update"]
+
+
+def test_secure_fingerprint_of_nested_zeros(spark):
+    schema = "k int, a array<double>, s struct<x:float, m:map<string,double>>"
+    rows = [(1, [0.0], (0.0, {"p": -0.0, "q": 1.0})), (2, [-0.0], (-0.0, {"q": 1.0, "p": 0.0}))]
+    frame = spark.createDataFrame(rows, schema)
+    for secure in (True, False):
+        prints = st.fingerprint(frame, ["a", "s"], "p", secure=secure).select("p").collect()
+        assert prints[0] == prints[1]
+
+
+def test_keep_first_orders_maps(spark):
+    rows = [(1, 1, {"b": 2, "a": 1}), (1, 1, {"a": 0}), (1, 1, {"c": 0})]
+    old = st.ensure_history(spark.createDataFrame([(1, 1, {"a": 0})], "k int, o int, m map<string,int>"), "2024-01-01")
+    for order in ((0, 1, 2), (2, 1, 0), (1, 0, 2)):
+        new = spark.createDataFrame([rows[i] for i in order], "k int, o int, m map<string,int>")
+        found = st.classify(new, old, "k", on_duplicate="keep_first", order_by="o").collect()
+        assert [row["event"] for row in found] == ["unchanged"]
+
+
+def test_inserts_take_the_way_of_all_pairs(spark):
+    old = st.ensure_history(spark.createDataFrame([(1, "a")], "k bigint, v string"), "2024-01-01")
+    new = spark.createDataFrame([("1", "a"), ("x", "b")], "k string, v string")
+    assert [row["k"] for row in st.new_keys(new, old, "k").collect()] == ["x"]
+    assert st.new_rows(new, old, "k", "2024-06-01").count() == 1
+    twice = spark.createDataFrame([(2, "a"), (2, "b")], "k bigint, v string")
+    with pytest.raises(Exception, match="duplicate keys"):
+        st.new_rows(twice, old, "k", "2024-06-01").collect()
+    kept = st.new_rows(twice, old, "k", "2024-06-01", on_duplicate="keep_first", order_by="v")
+    assert [row["v"] for row in kept.collect()] == ["a"]

@@ -36,3 +36,6 @@ def test_seed_build_and_extend(spark, tmp_path):
     expected = st.build_history(now, history, "id", "2024-06-01", missing="close")
     assert rows(table.read(spark)) == rows(expected)
     assert rows(table.as_of(spark, "2024-05-31")) == rows(base)
+    assert rows(table.read(spark, "2024-05-31")) == rows(history)  # nothing is freed unasked
+    jobs.run(spark, [*daily, *diff, "--free-superseded", "1"])
+    assert rows(table.as_of(spark, "2024-05-31")) == rows(base)
