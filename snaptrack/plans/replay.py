@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.meta import KeySpec, as_day
+from snaptrack.meta import KeySpec, as_day, key_list
 from snaptrack.operators.history import run_rows
 from snaptrack.operators.rows import ensure_history
 from snaptrack.sources.history_table import HistoryTable
@@ -40,14 +40,16 @@ def apply_snapshot(
         raise ValueError(f"run date {day} is older than the newest run, {runs[-1]}")
     if not earlier:
         raise ValueError(f"{table.root} has no state before {day}; write a first history")
-    before = table.read(spark, earlier[-1])
     # What run_rows wrote has one active row per key; what a caller wrote may not.
     trusted = table.checked(spark, earlier[-1])
-    rows = run_rows(
-        recent, before, key, day, table.meta, missing=missing, trusted_history=trusted, **options
-    )
-    _same_types(before, rows)
-    table.write(rows, day, checked=True)
+    if table.key is not None and key_list(table.key) != key_list(key):
+        raise ValueError(f"the table is bucketed by {key_list(table.key)}, the run has {key}")
+    with table.active_rows(spark, earlier[-1]) as before:
+        rows = run_rows(
+            recent, before, key, day, table.meta, missing=missing, trusted_history=trusted, **options
+        )
+        _same_types(before, rows)
+        table.write(rows, day, checked=True)
 
 
 def _same_types(before: DataFrame, after: DataFrame) -> None:

@@ -217,6 +217,7 @@ where place = 1""",
         "replay": replayed("close"),
         "stream_history": replayed("close"),
         "replay_events": built(EVENTS),
+        "replay_bucketed": replayed("close"),
         "pieces_equal_delta": built(ORDERS, mode="delta"),
         "pieces_equal_delta_customer": built(CUSTOMER, mode="delta"),
         "fingerprint_embeddings": pairs(EMBEDDINGS)

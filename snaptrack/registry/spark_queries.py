@@ -201,6 +201,15 @@ def replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark)
 
 
+def replay_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replay over a history stored in buckets of the key."""
+    recent, history = frames(spark, sf_dir, ORDERS)
+    buckets = st.buckets_for(table(spark, sf_dir, "orders"))
+    store = st.HistoryTable(new_folder(spark, "bucketed"), key=ORDERS.key, buckets=buckets)
+    snapshots = [(RUN_DATE, recent), (SECOND_DATE, second_frame(spark, sf_dir, ORDERS))]
+    return st.replay(spark, snapshots, store, ORDERS.key, history, BASE_DATE, missing="close")
+
+
 def pieces_equal_delta(scenario: Scenario) -> Query:
     """The delta put together from its four operators."""
 
@@ -272,6 +281,7 @@ def queries() -> dict[str, Query]:
         ),
         "replay": replay,
         "replay_events": replay_events,
+        "replay_bucketed": replay_bucketed,
         "pieces_equal_delta": pieces_equal_delta(ORDERS),
         "pieces_equal_delta_customer": pieces_equal_delta(CUSTOMER),
         "fingerprint_embeddings": fingerprint_embeddings,

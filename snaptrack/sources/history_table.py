@@ -5,19 +5,30 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from snaptrack.meta import DEFAULT_META, MetaColumns, as_day, date_of, ref, refs
+from snaptrack.meta import (
+    DEFAULT_META,
+    KeySpec,
+    MetaColumns,
+    as_day,
+    date_of,
+    key_list,
+    ref,
+    refs,
+)
 from snaptrack.operators.reads import as_of
 from snaptrack.sources.files import table_path
 
 RUN, ATTEMPT = "run_date", "attempt"
 LOG_SCHEMA = (
     f"{RUN} date, written_at timestamp, state string, columns string, {ATTEMPT} string, "
-    "checked boolean"
+    "checked boolean, buckets int"
 )
 FINISHED, DROPPED = "finished", "dropped"
 
@@ -34,10 +45,17 @@ class HistoryTable:
     Every write goes to an attempt folder of its own and counts once the log names that folder,
     so rows may come from the run they replace, and what a write that died has left is never
     read. The folder that a repeated date replaces stays on disk unread.
+
+    With ``key`` and ``buckets`` every run is stored in that many buckets of the key. The next run
+    then reads the active rows in their buckets and shuffles its snapshot alone. Take as many
+    buckets as shuffle partitions or more, or Spark may prefer to shuffle both sides. The buckets
+    are described to the session's own catalog for the time of a run; no metastore is needed.
     """
 
     root: str
     meta: MetaColumns = DEFAULT_META
+    key: KeySpec | None = None
+    buckets: int | None = None
 
     def runs(self, spark: SparkSession) -> list[dt.date]:
         """Dates of finished runs, oldest first."""
@@ -54,9 +72,40 @@ class HistoryTable:
             raise ValueError(f"columns {taken} are named like the table's folders; rename them")
         if self.meta.active not in rows.columns:
             raise ValueError(f"rows have no column {self.meta.active!r}; see ensure_history")
-        day, attempt = as_day(run_date), uuid.uuid4().hex
-        rows.write.partitionBy(self.meta.active).parquet(self._folder(day, attempt))
-        self._enter(rows.sparkSession, day, FINISHED, rows.schema.json(), attempt, checked)
+        spark, day, attempt = rows.sparkSession, as_day(run_date), uuid.uuid4().hex
+        folder, columns = self._folder(day, attempt), rows.schema.json()
+        # Unchecked rows may hold very many versions of a key, too many for one bucket.
+        buckets = self.buckets if checked else None
+        if buckets is None:
+            rows.write.partitionBy(self.meta.active).parquet(folder)
+        else:
+            name, keys = f"snaptrack_{attempt}", key_list(self.key)
+            writer = rows.write.partitionBy(self.meta.active).option("path", folder)
+            writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+            spark.sql(f"drop table {name}")  # the files stay
+        self._enter(spark, day, FINISHED, columns, attempt, checked, buckets)
+
+    @contextmanager
+    def active_rows(self, spark: SparkSession, run_date: dt.date) -> Iterator[DataFrame]:
+        """The active rows of a run, in their buckets if it was stored so."""
+        entry = self._log(spark)[run_date]
+        if entry.buckets is None or self.key is None:
+            yield self.read(spark, run_date)
+            return
+        stored = T.StructType([f for f in _schema(entry) if f.name != self.meta.active])
+        ddl = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(stored.json()).toDDL()
+        name = f"snaptrack_{entry.attempt}_{uuid.uuid4().hex[:8]}"
+        keys = ", ".join(refs(key_list(self.key)))
+        path = f"{self._folder(run_date, entry.attempt)}/{self.meta.active}=true"
+        spark.sql(
+            f"create table {name} ({ddl}) using parquet clustered by ({keys}) sorted by ({keys}) "
+            f"into {entry.buckets} buckets location '{path}'"
+        )
+        try:
+            rows = spark.table(name).withColumn(self.meta.active, F.lit(True))
+            yield rows.select(*refs(_schema(entry).names))
+        finally:
+            spark.sql(f"drop table {name}")
 
     def checked(self, spark: SparkSession, run_date: dt.date) -> bool:
         """Whether the rows of a run are known to hold one active version per key."""
@@ -91,7 +140,9 @@ class HistoryTable:
         for day in whole[:-keep]:
             # First the log: a run whose rows are going must not be read any more.
             entry = log[day]
-            self._enter(spark, day, DROPPED, entry.columns, entry.attempt, entry.checked)
+            self._enter(
+                spark, day, DROPPED, entry.columns, entry.attempt, entry.checked, entry.buckets
+            )
             nothing = spark.createDataFrame([], _schema(entry)).drop(self.meta.active)
             path = f"{self._folder(day, entry.attempt)}/{self.meta.active}=true"
             nothing.write.mode("overwrite").parquet(path)
@@ -132,6 +183,7 @@ class HistoryTable:
         columns: str,
         attempt: str,
         checked: bool,
+        buckets: int | None,
     ) -> None:
         entry = spark.range(1, numPartitions=1).select(
             date_of(day).alias(RUN),
@@ -140,6 +192,7 @@ class HistoryTable:
             F.lit(columns).alias("columns"),
             F.lit(attempt).alias(ATTEMPT),
             F.lit(checked).alias("checked"),
+            F.lit(buckets).cast("int").alias("buckets"),
         )
         entry.write.mode("append").parquet(table_path(self.root, "runs"))
 

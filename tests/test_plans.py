@@ -103,7 +103,7 @@ def test_new_rows_read_only_keys_of_the_history(spark, stored):
     recent, table = stored
     plan = physical(st.new_rows(recent, table.read(spark), ORDERS.key, RUN_DATE))
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
-    assert "LeftAnti" in plan
+    assert "LeftOuter" in plan
 
 
 def test_bucketed_tables_join_without_exchange(spark, tmp_path, no_broadcast):
@@ -132,3 +132,22 @@ def test_key_filter_shuffles_thinned_ids(spark, stored, no_broadcast):
     assert "LeftSemi" in plan and "ReadSchema: struct<o_orderkey:bigint>" in plan
     above = plan[: plan.index("HashAggregate")]
     assert count(above, "Exchange") == 2
+
+
+def test_daily_run_shuffles_the_snapshot_only(spark, tmp_path, no_broadcast):
+    recent, history = frames(spark, SMALL, ORDERS)
+    table = st.HistoryTable(f"{tmp_path}/h", key=ORDERS.key, buckets=4)
+    table.write(st.ensure_history(history, "2024-01-01"), "2024-01-01")
+    st.apply_snapshot(spark, table, RUN_DATE, recent, ORDERS.key, missing="close")
+    plain = st.HistoryTable(f"{tmp_path}/h")
+    with table.active_rows(spark, table.runs(spark)[-1]) as before:
+        rows = st.run_rows(recent, before, ORDERS.key, "2024-07-01", trusted_history=True)
+        assert count(main_part(rows), "Exchange") == 1
+        assert sorted(map(str, before.collect())) == sorted(
+            map(str, st.active_rows(plain.read(spark)).collect())
+        )
+    # The first run on top of unbucketed rows leaves more files, any later one these.
+    st.apply_snapshot(spark, table, "2024-07-01", recent, ORDERS.key, missing="close")
+    files = [f for f in st.active_rows(plain.read(spark)).inputFiles() if "2024-07-01" in f]
+    assert len(files) <= 5  # a file per bucket, and one for rows without a key
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("snaptrack_")]
