@@ -20,6 +20,24 @@ def distance(a, b):
     return row[-1]
 
 
+def near(a, b, edits):
+    """``distance(a, b) <= edits`` from the cells beside the diagonal."""
+    row = {j: j for j in range(min(edits, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - edits), min(len(b), i + edits) + 1):
+            options = [row.get(j, edits + 1) + 1, new.get(j - 1, edits + 1) + 1]
+            if j:
+                options.append(row.get(j - 1, edits + 1) + (x != b[j - 1]))
+            else:
+                options.append(i)
+            new[j] = min(options)
+        row = new
+        if min(row.values(), default=edits + 1) > edits:
+            return False
+    return row.get(len(b), edits + 1) <= edits
+
+
 def plain(texts, edits=lines.EDITS):
     """Numbers of the lines that go, per text."""
     places = [
@@ -32,7 +50,7 @@ def plain(texts, edits=lines.EDITS):
     comp = {line: k for k, line in enumerate(distinct)}
     for i, a in enumerate(distinct):
         for b in distinct[:i]:
-            if abs(len(a) - len(b)) <= edits and comp[a] != comp[b] and distance(a, b) <= edits:
+            if abs(len(a) - len(b)) <= edits and comp[a] != comp[b] and near(a, b, edits):
                 old, new = comp[a], comp[b]
                 comp = {k: new if v == old else v for k, v in comp.items()}
     first, gone = {}, {i: [] for i in range(len(texts))}
@@ -114,4 +132,6 @@ def test_automaton(edits):
         np.frombuffer(b"".join(spans), np.uint8), at[:800], sizes[:800], at[800:1600],
         sizes[800:], edits,
     )
-    assert found.tolist() == [distance(x, y) <= edits for x, y in zip(spans, spans[800:])]
+    expected = [distance(x, y) <= edits for x, y in zip(spans, spans[800:])]
+    assert found.tolist() == expected
+    assert [near(x, y, edits) for x, y in zip(spans, spans[800:])] == expected
