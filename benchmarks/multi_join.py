@@ -1,13 +1,11 @@
-"""The obvious way to build a delta history, as a yardstick: one join per question.
+"""A textbook delta history as a yardstick: one full outer join, one union branch per event.
 
-Rows are compared through one text of all their values, and the change log is put together
-row by row in Python. Kept for timing only; it misses edits that shift nulls.
+Values are compared column by column and the log is built-in JSON, so it computes what
+``build_history(mode="delta")`` does. Each branch filters the join on its own.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, functions as F
 
 import snaptrack as st
@@ -15,33 +13,28 @@ import snaptrack as st
 
 def build_history(recent: DataFrame, history: DataFrame, key: str, run_date: str) -> DataFrame:
     values = st.value_columns(recent, key)
-    active = st.active_rows(history)
-    as_text = F.concat_ws(";", *values)
-
-    new_ids = recent.join(active, key, "left_anti").select(key)
-    texts = recent.select(key, as_text.alias("new_text")).join(
-        active.select(key, as_text.alias("old_text")), key
+    new = recent.select(key, F.struct(*values).alias("n"))
+    old = st.active_rows(history).select(
+        key, F.struct(*values).alias("o"), "valid_from", "valid_to"
     )
-    edited_ids = texts.filter("new_text <> old_text").select(key)
-
-    @F.udf("string")
-    def describe(new, old):
-        changed = {n: [str(new[n]), str(old[n])] for n in values if new[n] != old[n]}
-        return json.dumps(changed)
-
-    new_edited, old_edited = recent.join(edited_ids, key), active.join(edited_ids, key)
-    logs = (
-        new_edited.select(key, F.struct(*values).alias("new"))
-        .join(old_edited.select(key, F.struct(*values).alias("old")), key)
-        .select(key, describe("new", "old").alias("changes"))
+    pairs = new.join(old, key, "full_outer")
+    inserts = pairs.filter("o is null").select(key, "n.*")
+    edits = pairs.filter("n is not null and o is not null and not n <=> o")
+    changed = [
+        F.when(
+            ~F.col(f"n.{name}").eqNullSafe(F.col(f"o.{name}")),
+            F.array(F.col(f"n.{name}").cast("string"), F.col(f"o.{name}").cast("string")),
+        ).alias(name)
+        for name in values
+    ]
+    closed = edits.select(
+        key, "o.*", "valid_from", "valid_to", F.to_json(F.struct(*changed)).alias("changes")
     )
-    closed = st.close_rows(old_edited.drop("changes"), run_date).join(logs, key)
     return st.union_all(
         [
             st.closed_rows(history),
-            closed,
-            st.open_rows(new_edited, run_date),
-            st.open_rows(recent.join(new_ids, key), run_date),
-        ],
-        order_by=key,
+            st.close_rows(closed, run_date),
+            st.open_rows(edits.select(key, "n.*"), run_date),
+            st.open_rows(inserts, run_date),
+        ]
     )
