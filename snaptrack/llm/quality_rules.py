@@ -42,6 +42,7 @@ RULES = (
     Rule("mean word length", "word_chars / n_words", 2, 14),
     Rule("symbols per word", "n_symbols / n_words", 0, 0.1),
     Rule("share of stop words", "n_stop_words / n_words", 0.06, 1),
+    Rule("share of words like the one before", "n_same_words / n_words", 0, 0.3),
     Rule("share of repeated lines", "n_dup_lines / n_lines", 0, 0.5),
 )
 BASE_FAILED = "n_words < 20 or 100 * n_repeat_words > 30 * n_words"
@@ -60,7 +61,7 @@ def verdict_sql(rules: Sequence[Rule] = RULES) -> str:
 
 def base_columns(df: DataFrame) -> DataFrame:
     """The row with its counts: ``n_words, word_chars, n_symbols, n_lines, n_dup_lines,
-    n_repeat_words, n_stop_words``.
+    n_repeat_words, n_stop_words, n_same_words``.
 
     A word counts as repeated if it lies in an 8-word window found twice or more in the text.
     Windows are compared by 64-bit hash; texts without a repeated window skip the sort. Arrays
@@ -112,8 +113,11 @@ def base_columns(df: DataFrame) -> DataFrame:
         F.lit(0).cast("long"),
         lambda total, step: total + step,
     )
+    same = F.filter(
+        "_hashes", lambda h, i: F.coalesce(h == F.get("_hashes", i - 1), F.lit(False))
+    )
     return (
-        hashed.withColumn("_windows", windows)
+        hashed.withColumns({"_windows": windows, "n_same_words": F.size(same).cast("long")})
         .withColumn("_sorted", in_order)
         .withColumn("_found", found)
         .withColumn("n_repeat_words", F.when(F.size("_found") > 0, covered).otherwise(F.lit(0)))
@@ -122,7 +126,7 @@ def base_columns(df: DataFrame) -> DataFrame:
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-EXTRA = ("n_lines", "n_stop_words")
+EXTRA = ("n_lines", "n_stop_words", "n_same_words")
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -168,8 +172,10 @@ counts as (
          (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
          coalesce(covered.n, 0)::bigint as n_repeat_words,
          len(ls)::bigint as n_lines,
-         len(list_filter(w, lambda x: x in ({listed})))::bigint as n_stop_words
+         len(list_filter(w, lambda x: x in ({listed})))::bigint as n_stop_words,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1]))::bigint as n_same_words
   from base left join covered using (r))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       {BASE_FAILED} as base_failed, {verdict_sql()} as kept, n_lines, n_stop_words
+       {BASE_FAILED} as base_failed, {verdict_sql()} as kept, n_lines, n_stop_words,
+       n_same_words
 from counts"""

@@ -33,6 +33,7 @@ def plain(text):
         "n_dup_lines": len(lines) - len(set(lines)),
         "n_repeat_words": len(repeated),
         "n_lines": len(lines),
+        "n_same_words": sum(a == b for a, b in zip(words, words[1:])),
     }
 
 
