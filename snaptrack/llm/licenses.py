@@ -3,13 +3,14 @@
 A paragraph is a line with a word. Its features are the hashed words and word pairs of its lower
 case form, each of weight one over the root of their number. A multinomial logistic regression
 tells licence families and ``unknown`` apart; a held-back part of its rows sets the temperature of
-the probabilities. A prediction counts if its probability reaches ``CERTAIN`` and a template of the
-family shares ``SHARE`` of its features with the paragraph.
+the probabilities. A prediction is confirmed if its probability reaches ``CERTAIN`` and a template
+of the family shares ``SHARE`` of its words and word pairs with the paragraph.
 
 The model is fitted on the driver on the templates, on variants of them, and on the paragraphs of
 ``SAMPLE`` documents, the first in the order of a hash, that match no template. Scoring is one
-projection over all paragraphs: an upper bound of what any family can gain over ``unknown`` comes
-first, and only paragraphs that pass it get the probabilities of all families.
+projection over all paragraphs. Two bounds come first: a few words of each template without which
+no paragraph can share enough of it, and the most any family can gain over ``unknown``. Only
+paragraphs that pass both get the probabilities of all families; no other one could be confirmed.
 
 Defined results: one row per document id (rows of one id, null too, are one document); a null or
 empty text has no paragraph and no licence; an empty table gives no row; other columns are not
@@ -18,12 +19,13 @@ read.
 
 from __future__ import annotations
 
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snaptrack.llm.tables import has_word, lines_of, table
+from snaptrack.llm.tables import has_word, lines_of, once, table
 
 SLOTS = 2048
 SAMPLE = 256
@@ -99,20 +101,27 @@ class Model(NamedTuple):
     temperature: float
 
 
-def slots_of(text: Column) -> tuple[Column, Column]:
-    """The words of a paragraph, and from a column ``_hashes`` of their hashes its slots."""
-    plain = F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")
-    hashes = F.transform(F.array_remove(F.split(plain, " "), ""), lambda word: F.xxhash64(word))
+def with_words(paragraphs: DataFrame) -> DataFrame:
+    plain = F.regexp_replace(F.lower("paragraph"), "[^a-z0-9]+", " ")
+    return once(paragraphs, "_words", F.array_remove(F.split(plain, " "), ""))
+
+
+def grams_of_words() -> tuple[Column, Column, Column]:
+    """Hashes of the ``_words``; from them, as ``_hashes``, hashes of words and pairs; from those,
+    as ``_grams``, the slots."""
+    hashes = F.transform("_words", lambda word: F.xxhash64(word))
     after = F.slice("_hashes", 2, F.greatest(F.size("_hashes"), F.lit(1)))
     pairs = F.zip_with("_hashes", after, lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
-    both = F.concat(F.col("_hashes"), F.array_compact(pairs))
-    slots = F.array_distinct(F.transform(both, lambda h: F.pmod(h, F.lit(SLOTS)).cast("int")))
-    return hashes, slots
+    grams = F.array_distinct(F.concat(F.col("_hashes"), F.array_compact(pairs)))
+    slots = F.transform("_grams", lambda h: F.pmod(h, F.lit(SLOTS)).cast("int"))
+    return hashes, grams, F.array_distinct(slots)
 
 
 def with_slots(paragraphs: DataFrame) -> DataFrame:
-    hashes, slots = slots_of(F.col("paragraph"))
-    return paragraphs.withColumn("_hashes", hashes).withColumn("_slots", slots).drop("_hashes")
+    """``_grams`` and ``_slots`` from ``_words``."""
+    hashes, grams, slots = grams_of_words()
+    rows = once(once(paragraphs, "_hashes", hashes), "_grams", grams)
+    return once(rows, "_slots", slots).drop("_hashes", "_words")
 
 
 def constant(values: np.ndarray) -> Column:
@@ -128,10 +137,27 @@ def total(values: np.ndarray) -> Column:
     )
 
 
-def numbered(spark: SparkSession, texts: list[str]) -> list[list[int]]:
-    """Slots of a few texts, by the expressions that score the corpus."""
+def numbered(spark: SparkSession, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+    """Slots and grams of a few texts, by the expressions that score the corpus."""
     rows = spark.createDataFrame(list(enumerate(texts)), "i long, paragraph string")
-    return [row["_slots"] for row in with_slots(rows).orderBy("i").collect()]
+    found = with_slots(with_words(rows)).orderBy("i").collect()
+    return [(row["_slots"], row["_grams"]) for row in found]
+
+
+def needed_words(common: dict[str, int]) -> list[str]:
+    """Words, rare ones first, so that each template without its own loses too much to match."""
+    found = set()
+    for texts in TEMPLATES.values():
+        for text in texts:
+            words = text.split()
+            grams = {(a,) for a in words} | set(zip(words, words[1:]))
+            gone = set()
+            for word in sorted(set(words), key=lambda w: (common.get(w, 0), -len(w), w)):
+                if sum(not gone & set(gram) for gram in grams) < SHARE * len(grams):
+                    break
+                gone.add(word)
+            found |= gone
+    return sorted(found)
 
 
 def matrix(slots: list[list[int]]) -> np.ndarray:
@@ -154,13 +180,15 @@ def variants(rng: np.random.Generator, words: list[str], filler: list[str]) -> l
     return out
 
 
-def training_rows(docs: DataFrame) -> tuple[list[str], list[str]]:
-    """Texts and families: variants of the templates and a bounded sample of the corpus."""
+def training_rows(docs: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """Texts and families: variants of the templates and a bounded sample of the corpus; and the
+    words to look for first."""
     rng = np.random.default_rng(7)
     few = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     lines = few.select(F.explode(lines_of(F.col("text"))).alias("line")).filter(has_word(F.col("line")))
     lines = lines.select(F.substring("line", 1, 2000).alias("line"))
     found = [row["line"] for row in lines.orderBy(F.xxhash64("line"), "line").limit(MOST_ROWS).collect()]
+    common = Counter(word for text in found for word in text.lower().split())
     filler = sorted({word for text in [*found[:200], *NO_LICENCE] for word in text.lower().split()})
     texts, families = [], []
     for family, templates in TEMPLATES.items():
@@ -170,7 +198,7 @@ def training_rows(docs: DataFrame) -> tuple[list[str], list[str]]:
     others = [" ".join(rng.choice(filler, rng.integers(3, 60))) for _ in range(200)]
     spread = [text for sentence in NO_LICENCE for text in variants(rng, sentence.split(), filler)]
     others += found + spread
-    return texts + others, families + [UNKNOWN] * len(others)
+    return texts + others, families + [UNKNOWN] * len(others), needed_words(common)
 
 
 def fitted(x: np.ndarray, y: np.ndarray, families: list[str], steps: int = 200) -> Model:
@@ -205,38 +233,42 @@ def fitted(x: np.ndarray, y: np.ndarray, families: list[str], steps: int = 200)
     return Model(families, parts[0].T.round(4), parts[1].round(4), float(temperature))
 
 
-def train(docs: DataFrame) -> tuple[Model, dict[str, list[list[int]]]]:
-    """The model, and the slots of the templates."""
+def train(docs: DataFrame) -> tuple[Model, dict[str, list[list[int]]], list[str]]:
+    """The model, the grams of the templates, and the words to look for first."""
     spark = docs.sparkSession
     families = [*TEMPLATES, UNKNOWN]
     flat = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
-    slots: dict[str, list[list[int]]] = {family: [] for family in TEMPLATES}
-    for (family, _), found in zip(flat, numbered(spark, [text for _, text in flat])):
-        slots[family].append(found)
-    texts, names = training_rows(docs)
+    templates: dict[str, list[list[int]]] = {family: [] for family in TEMPLATES}
+    for (family, _), (_, grams) in zip(flat, numbered(spark, [text for _, text in flat])):
+        templates[family].append(grams)
+    texts, names, needed = training_rows(docs)
     rows = numbered(spark, texts)
-    every = [set(found) for group in slots.values() for found in group]
+    every = [set(found) for group in templates.values() for found in group]
     keep = [
-        i for i, (found, name) in enumerate(zip(rows, names))
+        i for i, ((_, found), name) in enumerate(zip(rows, names))
         if name != UNKNOWN or all(len(t.intersection(found)) < SHARE * len(t) for t in every)
     ]
-    x = matrix([rows[i] for i in keep])
+    x = matrix([rows[i][0] for i in keep])
     y = np.array([families.index(names[i]) for i in keep])
-    return fitted(x, y, families), slots
+    return fitted(x, y, families), templates, needed
 
 
-def scored(paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]]) -> DataFrame:
+def scored(
+    paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]], needed: list[str]
+) -> DataFrame:
     """The paragraphs that some family may win, with ``family, probability, template``."""
+    listed = F.split(F.lit(" ".join(needed)), " ")
+    rows = with_words(paragraphs).filter(F.arrays_overlap("_words", listed))
     root = F.sqrt(F.size("_slots").cast("double"))
     gain = (model.weights[:-1] - model.weights[-1]).max(0)
     reach = float((model.bias[:-1] - model.bias[-1]).max())
-    rows = with_slots(paragraphs).filter(F.size("_slots") > 0).withColumn("_bound", total(gain))
+    rows = once(with_slots(rows), "_bound", total(gain))
     rows = rows.filter(F.col("_bound") / root + F.lit(reach) > -1e-3)
     logits = [
         ((total(w) / root + F.lit(float(b))) / F.lit(model.temperature)).alias(f"_{i}")
         for i, (w, b) in enumerate(zip(model.weights, model.bias))
     ]
-    rows = rows.select("*", *logits)
+    rows = once(rows, "_logits", F.struct(*logits)).select("*", "_logits.*")
     names = [f"_{i}" for i in range(len(model.families))]
     best = F.greatest(*[F.struct(F.col(n).alias("v"), F.lit(f).alias("f")) for n, f in zip(names, model.families)])
     rows = rows.withColumn("_best", best)
@@ -244,7 +276,7 @@ def scored(paragraphs: DataFrame, model: Model, templates: dict[str, list[list[i
     match = F
     for family, found in templates.items():
         shares = [
-            F.size(F.array_intersect("_slots", F.split(F.lit(",".join(map(str, t))), ",").cast("array<int>")))
+            F.size(F.array_intersect("_grams", F.split(F.lit(",".join(map(str, t))), ",").cast("array<long>")))
             / F.lit(float(len(t)))
             for t in found
         ]
@@ -257,9 +289,9 @@ def scored(paragraphs: DataFrame, model: Model, templates: dict[str, list[list[i
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: its paragraphs, its licence families, and every prediction."""
-    model, templates = train(docs)
+    model, templates, needed = train(docs)
     lines = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "paragraph"))
-    found = scored(lines, model, templates).withColumn(
+    found = scored(lines, model, templates, needed).withColumn(
         "confirmed", (F.col("probability") >= CERTAIN) & (F.col("template") >= SHARE)
     )
     fields = ["line", "family", "probability", "template", "confirmed"]

@@ -80,7 +80,7 @@ def line_keys(data, starts, ends, edits: int, hasher: SpanHasher) -> np.ndarray:
         low = starts + np.where(good, at, 0)
         high = low + np.where(good, width, 0)
         spans = (sums[high] - sums[low]) * hasher.inverses[low]
-        named = np.uint64(i + 1) * np.uint64(0xD1B54A32D192ED03) + length.astype(np.uint64)
+        named = np.uint64((i + 1) * 0xD1B54A32D192ED03 % (1 << 64)) + length.astype(np.uint64)
         keys.append(np.where(good, mixed(mixed(spans) + mixed(named)) | np.uint64(1), np.uint64(0)))
     return np.stack(keys, axis=1) if keys else np.zeros((len(starts), 0), np.uint64)
 

@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snaptrack.llm.tables import has_word, lines_of, table, words_of
+from snaptrack.llm.tables import has_word, lines_of, once, table, words_of
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -139,7 +139,9 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 def passing(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``df`` that every rule keeps, with the columns of ``df`` alone."""
     whole = df.select(F.struct("*").alias("_row"), "text")
-    return base_columns(whole).filter(F.expr(verdict_sql(rules))).select("_row.*")
+    return once(base_columns(whole), "_kept", F.expr(verdict_sql(rules))).filter("_kept").select(
+        "_row.*"
+    )
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

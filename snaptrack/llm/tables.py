@@ -23,6 +23,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that later filters and projections read and never compute again.
+
+    The optimizer copies a plain column's expression into every filter above it; the output of a
+    generator it leaves where it is.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` as an array; null text has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
