@@ -204,7 +204,9 @@ def test_keep_first_duplicate(spark):
 def test_repeated_ids_do_not_multiply(spark):
     once, twice = duplicate_frames(spark)
     assert st.rows_with_keys(once, twice, "k").count() == 2
-    assert st.new_rows(once, st.open_rows(twice), "k").count() == 0
+    with pytest.raises(Exception, match="duplicate keys"):
+        st.new_rows(once, st.open_rows(twice), "k").count()
+    assert st.new_rows(once, st.open_rows(twice), "k", on_duplicate="trust").count() == 0
 
 
 def test_key_violations(spark):
