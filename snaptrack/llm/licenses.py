@@ -25,7 +25,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snaptrack.llm.tables import has_word, lines_of, once, table
+from snaptrack.llm.tables import first_ids, has_word, lines_of, once, table
 
 SLOTS = 2048
 SAMPLE = 256
@@ -184,7 +184,8 @@ def training_rows(docs: DataFrame) -> tuple[list[str], list[str], list[str]]:
     """Texts and families: variants of the templates and a bounded sample of the corpus; and the
     words to look for first."""
     rng = np.random.default_rng(7)
-    few = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    chosen = F.broadcast(first_ids(docs, SAMPLE).distinct())
+    few = docs.select("doc_id", "text").join(chosen, "doc_id")
     lines = few.select(F.explode(lines_of(F.col("text"))).alias("line")).filter(has_word(F.col("line")))
     lines = lines.select(F.substring("line", 1, 2000).alias("line"))
     found = [row["line"] for row in lines.orderBy(F.xxhash64("line"), "line").limit(MOST_ROWS).collect()]

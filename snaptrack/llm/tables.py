@@ -32,6 +32,21 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
+def first_ids(docs: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` ids in the order of a hash.
+
+    Where there are many more, only hashes low enough to be among the first leave the scan, so
+    that the one task which orders them reads a few times ``count`` rows at any size.
+    """
+    ids, place = docs.select("doc_id"), F.xxhash64("doc_id")
+    rows = ids.count()
+    if rows > 4 * count:
+        low = ids.filter(place < -(1 << 63) + (1 << 64) * 4 * count // rows)
+        if low.limit(count).count() == count:
+            ids = low
+    return ids.orderBy(place, "doc_id").limit(count)
+
+
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` as an array; null text has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
