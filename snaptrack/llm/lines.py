@@ -16,8 +16,12 @@ A key of few lines gives its pairs directly. One of more (a template's lines) is
 one of them; the lines that are not linked with it meet all others in blocks.
 
 Defined results: null and empty texts stay; repeated lines inside a document go like others;
-rows of one id, null too, count as one document and share its fate line by line; every row gives
-one row with the columns of its input; an empty table gives none.
+rows of one id, null too, have no order among themselves: each loses only lines of its own, and
+copies at the very place (doc_id, line number) of the first line stay with it; every row gives one
+row with the columns of its input; an empty table gives none.
+
+A row is known by its id and a digest of its text. Rows that agree in both are equal, hold the same
+lines at the same places and lose the same ones, so no row number has to be stored.
 """
 
 from __future__ import annotations
@@ -91,6 +95,11 @@ def bounds64(hasher: SpanHasher, data: np.ndarray) -> np.ndarray:
     return sums
 
 
+def text_digest():
+    """Tells rows of one id apart; evaluated alike wherever a row's lines are looked up."""
+    return F.xxhash64("text")
+
+
 def described(docs: DataFrame, edits: int) -> DataFrame:
     """One row per line that takes part: its place, digest and keys."""
 
@@ -112,6 +121,7 @@ def described(docs: DataFrame, edits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids[owner]),
+                    part.column("row").take(pa.array(owner)),
                     pa.array(number.astype(np.int32)),
                     pa.array(d1.view(np.int64)),
                     pa.array(d2.view(np.int64)),
@@ -120,11 +130,11 @@ def described(docs: DataFrame, edits: int) -> DataFrame:
                         pa.array(keys[order].ravel().view(np.int64)),
                     ),
                 ],
-                ["id", "line", "d1", "d2", "keys"],
+                ["id", "row", "line", "d1", "d2", "keys"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "id long, line int, d1 long, d2 long, keys array<long>"
+    return docs.select("doc_id", "text", text_digest().alias("row")).mapInArrow(
+        run, "id long, row long, line int, d1 long, d2 long, keys array<long>"
     )
 
 
@@ -360,7 +370,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, edits: int) -> DataFrame:
-    """``id`` and the numbers of the lines that go."""
+    """``id, row`` and the numbers of the lines that go."""
     lines = stored(described(docs, edits), "lines")
     near = near_lines(docs, lines, edits)
     first = lines.groupBy("d1", "d2").agg(
@@ -372,18 +382,21 @@ def dropped_lines(docs: DataFrame, edits: int) -> DataFrame:
     classes = repeated.join(stored(kept, "kept"), "comp", "left").select(
         "d1", "d2", F.coalesce("_first", "first").alias("first")
     )
-    gone = lines.select("id", "line", "d1", "d2").join(stored(classes, "classes"), ["d1", "d2"])
-    return gone.filter(F.struct("id", "line") != F.col("first")).groupBy("id").agg(
+    gone = lines.select("id", "row", "line", "d1", "d2").join(stored(classes, "classes"), ["d1", "d2"])
+    return gone.filter(F.struct("id", "line") != F.col("first")).groupBy("id", "row").agg(
         F.array_sort(F.collect_set("line")).alias("dropped")
     )
 
 
 def deduplicated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The rows of ``docs`` without their repeated lines, with ``_lines`` and ``_dropped``."""
-    whole = docs.select(F.struct("*").alias("_row"), "doc_id", F.col("text").alias("_text"))
-    gone = dropped_lines(docs, edits).withColumnRenamed("id", "_id")
+    whole = docs.select(
+        F.struct("*").alias("_row"), "doc_id", F.col("text").alias("_text"), text_digest().alias("_digest")
+    )
+    gone = dropped_lines(docs, edits).withColumnsRenamed({"id": "_id", "row": "_of"})
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    rows = whole.join(gone, key == F.col("_id"), "left").select(
+    own = (key == F.col("_id")) & (F.col("_digest") == F.col("_of"))
+    rows = whole.join(gone, own, "left").select(
         "_row", "_text", F.split("_text", "\n").alias("_split"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("_dropped"),
     )

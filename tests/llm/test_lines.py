@@ -135,3 +135,19 @@ def test_automaton(edits):
     expected = [distance(x, y) <= edits for x, y in zip(spans, spans[800:])]
     assert found.tolist() == expected
     assert [near(x, y, edits) for x, y in zip(spans, spans[800:])] == expected
+
+
+@pytest.mark.parametrize("same_id", ["cast(null as long)", "7L"])
+def test_rows_of_one_id_lose_only_their_own_lines(spark, same_id):
+    copy, texts = "a line that is copied into another row", []
+    unique = [[f"{row} {n} " + chr(97 + row) * 20 + chr(104 + n) * 20 for n in range(4)] for row in range(4)]
+    for row, own in enumerate(unique):
+        own.insert(row, copy)  # at another number in each
+        texts.append("\n".join([*own, "tiny"]))
+    rows = documents(spark, texts + [texts[2]]).selectExpr(f"{same_id} as doc_id", "text")
+    found = sorted((r["text"], r["_dropped"]) for r in lines.deduplicated(rows).collect())
+    expected = [(texts[0], [])]
+    for row in (1, 2, 2, 3):
+        left = [x for x in texts[row].split("\n") if x != copy]
+        expected.append(("\n".join(left), [row]))
+    assert found == sorted(expected)
