@@ -1,9 +1,12 @@
 """License scan: a trained paragraph classifier in built-in expressions.
 
-A paragraph is a line with a word. Its features are the hashed words and word pairs of its lower
-case form, each of weight one over the root of their number. A multinomial logistic regression
-tells licence families and ``unknown`` apart; a held-back part of its rows sets the temperature of
-the probabilities. A prediction is confirmed if its probability reaches ``CERTAIN`` and a template
+A paragraph is a line with a word, or a window of neighbouring lines of a block: a notice wrapped
+over lines is seen whole, whatever signs its lines begin with. A block ends at a line without a word
+of a-z or digits. Windows of ``WIDTHS`` lines begin at every line; one is reported only if it is
+confirmed and no narrower one inside it is confirmed for the same family. A paragraph's features
+are the hashed words and word pairs of its lower case form, each of weight one over the root of
+their number. A multinomial logistic regression tells licence families and ``unknown`` apart; a
+held-back part of its rows sets the temperature of the probabilities. A prediction is confirmed if its probability reaches ``CERTAIN`` and a template
 of the family shares ``SHARE`` of its words and word pairs with the paragraph.
 
 The model is fitted on the driver on the templates, on variants of them, and on the paragraphs of
@@ -33,6 +36,7 @@ MOST_ROWS = 2048
 VARIANTS = 40
 CERTAIN = 0.5
 SHARE = 0.6
+WIDTHS = (2, 3, 4, 6)
 UNKNOWN = "unknown"
 
 # Notices of public licences, in lower case without signs.
@@ -101,9 +105,52 @@ class Model(NamedTuple):
     temperature: float
 
 
+def plain_words(text: Column) -> Column:
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " "), "")
+
+
 def with_words(paragraphs: DataFrame) -> DataFrame:
-    plain = F.regexp_replace(F.lower("paragraph"), "[^a-z0-9]+", " ")
-    return once(paragraphs, "_words", F.array_remove(F.split(plain, " "), ""))
+    return once(paragraphs, "_words", plain_words(F.col("paragraph")))
+
+
+def paragraphs_of(docs: DataFrame, needed: list[str]) -> DataFrame:
+    """``doc_id, line, last, _words`` of the lines and windows that hold a needed word.
+
+    A document's words are found once; windows are slices of them, made only where one of their
+    lines holds a needed word.
+    """
+    listed = F.split(F.lit(" ".join(needed)), " ")
+    texts = docs.select("doc_id", lines_of(F.col("text")).alias("_texts"))
+    rows = once(texts, "_lines", F.transform("_texts", plain_words)).drop("_texts")
+    rows = once(rows, "_hits", F.transform("_lines", lambda words: F.arrays_overlap(words, listed)))
+    rows = rows.filter(F.exists("_hits", lambda hit: hit))
+    most = max(WIDTHS)
+
+    def ahead(name: str, i: Column) -> Column:
+        return F.slice(name, i + 1, F.lit(most))
+
+    near = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.size("_lines") - 1),
+            lambda i: F.when(
+                F.exists(ahead("_hits", i), lambda hit: hit),
+                F.struct(i.alias("line"), ahead("_lines", i).alias("group")),
+            ),
+        ),
+        lambda found: found.isNotNull(),
+    )
+    rows = rows.select("doc_id", F.explode(near).alias("_near")).select("doc_id", "_near.*")
+    empty = F.array_position(F.transform("group", lambda words: F.size(words) == 0), True)
+    room = F.when(empty > 0, empty - 1).otherwise(F.size("group")).cast("int")
+    rows = once(rows, "_room", room)
+    widths = F.filter(F.array(F.lit(1), *map(F.lit, WIDTHS)), lambda n: n <= F.col("_room"))
+    # the rest of a block is a window too
+    widths = F.array_distinct(F.concat(widths, F.filter(F.array("_room"), lambda n: n > 0)))
+    rows = rows.select("doc_id", "line", "group", F.explode(widths).alias("_width"))
+    rows = once(rows, "_words", F.flatten(F.slice("group", F.lit(1), F.col("_width"))))
+    return rows.filter(F.arrays_overlap("_words", listed)).select(
+        "doc_id", "line", (F.col("line") + F.col("_width") - 1).alias("last"), "_words"
+    )
 
 
 def grams_of_words() -> tuple[Column, Column, Column]:
@@ -255,11 +302,10 @@ def train(docs: DataFrame) -> tuple[Model, dict[str, list[list[int]]], list[str]
 
 
 def scored(
-    paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]], needed: list[str]
+    paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]]
 ) -> DataFrame:
     """The paragraphs that some family may win, with ``family, probability, template``."""
-    listed = F.split(F.lit(" ".join(needed)), " ")
-    rows = with_words(paragraphs).filter(F.arrays_overlap("_words", listed))
+    rows, kept = paragraphs, [name for name in paragraphs.columns if name != "_words"]
     root = F.sqrt(F.size("_slots").cast("double"))
     gain = (model.weights[:-1] - model.weights[-1]).max(0)
     reach = float((model.bias[:-1] - model.bias[-1]).max())
@@ -283,7 +329,7 @@ def scored(
         ]
         match = match.when(F.col("_best.f") == family, F.greatest(*shares) if len(shares) > 1 else shares[0])
     return rows.select(
-        *paragraphs.columns, F.col("_best.f").alias("family"),
+        *kept, F.col("_best.f").alias("family"),
         F.round(F.lit(1.0) / mass, 6).alias("probability"), match.otherwise(F.lit(0.0)).alias("template"),
     ).filter(F.col("family") != UNKNOWN)
 
@@ -291,11 +337,10 @@ def scored(
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: its paragraphs, its licence families, and every prediction."""
     model, templates, needed = train(docs)
-    lines = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "paragraph"))
-    found = scored(lines, model, templates, needed).withColumn(
+    found = scored(paragraphs_of(docs, needed), model, templates).withColumn(
         "confirmed", (F.col("probability") >= CERTAIN) & (F.col("template") >= SHARE)
-    )
-    fields = ["line", "family", "probability", "template", "confirmed"]
+    ).filter("line = last or confirmed")
+    fields = ["line", "last", "family", "probability", "template", "confirmed"]
     hits = found.select("doc_id", F.lit(0).cast("long").alias("n"), F.struct(*fields).alias("hit"))
     kind = dict(hits.dtypes)["hit"]
     every = docs.select(
@@ -304,13 +349,25 @@ def scan(docs: DataFrame) -> DataFrame:
         F.lit(None).cast(kind).alias("hit"),
     )
     sure = F.filter("predictions", lambda hit: hit["confirmed"])
+
+    def narrowest(hits: Column) -> Column:
+        def inside(hit, other):
+            return (
+                other["confirmed"] & (other["family"] == hit["family"])
+                & (other["line"] >= hit["line"]) & (other["last"] <= hit["last"])
+                & (other["last"] - other["line"] < hit["last"] - hit["line"])
+            )
+
+        return F.filter(
+            hits, lambda hit: (hit["line"] == hit["last"]) | ~F.exists(hits, lambda other: inside(hit, other))
+        )
     return (
         every.unionByName(hits).groupBy("doc_id")
         .agg(F.sum("n").alias("n_paragraphs"), F.array_sort(F.collect_list("hit")).alias("predictions"))
         .select(
             "doc_id", "n_paragraphs",
             F.array_sort(F.array_distinct(F.transform(sure, lambda hit: hit["family"]))).alias("licenses"),
-            "predictions",
+            narrowest(F.col("predictions")).alias("predictions"),
         )
     )
 

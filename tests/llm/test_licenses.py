@@ -55,3 +55,41 @@ def test_plan_is_native(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+WRAPPED = {
+    "bsd-3-clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+ * Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+ * Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "gpl-3.0": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "apache-2.0": """// Licensed under the Apache License,
+// Version 2.0 (the "License");
+// you may not use this file except in
+// compliance with the License.""",
+    "mit": """Permission is hereby granted, free of charge, to any
+person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in
+the Software without restriction""",
+}
+
+
+def test_notices_wrapped_over_lines(spark):
+    texts = [f"A title\n\n{text}\nmore text of the file" for text in WRAPPED.values()]
+    parted = WRAPPED["bsd-3-clause"].split("\n")[:2]
+    texts.append("\n\n".join(parted))  # two blocks
+    rows = {row["doc_id"]: row for row in licenses.scan(documents(spark, texts)).collect()}
+    for i, family in enumerate(WRAPPED):
+        assert rows[i]["licenses"] == [family]
+        assert all(hit["confirmed"] for hit in rows[i]["predictions"] if hit["last"] > hit["line"])
+    first = [hit for hit in rows[0]["predictions"] if hit["confirmed"]][0]
+    assert (first["line"], first["last"]) == (2, 3)
+    assert rows[4]["licenses"] == []
