@@ -7,7 +7,9 @@ confirmed and no narrower one inside it is confirmed for the same family. A para
 are the hashed words and word pairs of its lower case form, each of weight one over the root of
 their number. A multinomial logistic regression tells licence families and ``unknown`` apart; a
 held-back part of its rows sets the temperature of the probabilities. A prediction is confirmed if its probability reaches ``CERTAIN`` and a template
-of the family shares ``SHARE`` of its words and word pairs with the paragraph.
+of the family shares ``SHARE`` of its words and word pairs with the paragraph, which must hold what
+tells the family from its likes (``REQUIRED``: lesser, affero, version numbers, sa, nc); its
+template share is 0 otherwise.
 
 The model is fitted on the driver on the templates, on variants of them, and on the paragraphs of
 ``SAMPLE`` documents, the first in the order of a hash, that match no template. Scoring is one
@@ -22,6 +24,7 @@ read.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from typing import NamedTuple
 
@@ -62,11 +65,55 @@ TEMPLATES = {
         " of the gnu general public license",
         "you should have received a copy of the gnu general public license along with this"
         " program",
+        "this program is free software you can redistribute it and or modify it under the terms"
+        " of the gnu general public license as published by the free software foundation either"
+        " version 3 of the license or at your option any later version",
     ),
-    "bsd-3-clause": (
-        "licensed under the bsd 3 clause license",
+    "gpl-2.0": (
+        "this work is licensed under the gnu general public license version 2",
+        "this program is free software you can redistribute it and or modify it under the terms"
+        " of the gnu general public license as published by the free software foundation either"
+        " version 2 of the license or at your option any later version",
+        "under the terms of the gnu general public license version 2 as published by the free"
+        " software foundation",
+    ),
+    "lgpl-3.0": (
+        "this work is licensed under the gnu lesser general public license version 3",
+        "this program is free software you can redistribute it and or modify it under the terms"
+        " of the gnu lesser general public license as published by the free software foundation"
+        " either version 3 of the license or at your option any later version",
+    ),
+    "lgpl-2.1": (
+        "this work is licensed under the gnu lesser general public license version 2 1",
+        "this library is free software you can redistribute it and or modify it under the terms"
+        " of the gnu lesser general public license as published by the free software foundation"
+        " either version 2 1 of the license or at your option any later version",
+    ),
+    "agpl-3.0": (
+        "this work is licensed under the gnu affero general public license version 3",
+        "this program is free software you can redistribute it and or modify it under the terms"
+        " of the gnu affero general public license as published by the free software foundation"
+        " either version 3 of the license or at your option any later version",
+    ),
+    "mpl-2.0": (
+        "licensed under the mozilla public license version 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at http"
+        " mozilla org mpl 2 0",
+    ),
+    "isc": (
+        "licensed under the isc license",
+        "permission to use copy modify and or distribute this software for any purpose with or"
+        " without fee is hereby granted provided that the above copyright notice and this"
+        " permission notice appear in all copies",
+    ),
+    "bsd": (  # how the texts of both BSD licences begin
         "redistribution and use in source and binary forms with or without modification are"
         " permitted provided that the following conditions are met",
+    ),
+    "bsd-2-clause": ("licensed under the bsd 2 clause license",),
+    "bsd-3-clause": (
+        "licensed under the bsd 3 clause license",
         "neither the name of the copyright holder nor the names of its contributors may be used"
         " to endorse or promote products derived from this software",
     ),
@@ -74,6 +121,31 @@ TEMPLATES = {
         "licensed under cc by 4 0",
         "this work is licensed under a creative commons attribution 4 0 international license",
     ),
+    "cc-by-sa-4.0": (
+        "licensed under cc by sa 4 0",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international"
+        " license",
+    ),
+    "cc-by-nd-4.0": (
+        "licensed under cc by nd 4 0",
+        "this work is licensed under a creative commons attribution noderivatives 4 0"
+        " international license",
+    ),
+    "cc-by-nc-sa-4.0": (
+        "licensed under cc by nc sa 4 0",
+        "this work is licensed under a creative commons attribution noncommercial sharealike 4 0"
+        " international license",
+    ),
+    "cc-by-nc-nd-4.0": (
+        "licensed under cc by nc nd 4 0",
+        "this work is licensed under a creative commons attribution noncommercial noderivatives"
+        " 4 0 international license",
+    ),
+    "cc0-1.0": (
+        "licensed under cc0 1 0",
+        "to the extent possible under law the author has waived all copyright and related or"
+        " neighboring rights to this work under cc0 1 0 universal public domain dedication",
+    ),
     "cc-by-nc-4.0": (
         "licensed under cc by nc 4 0",
         "this work is licensed under a creative commons attribution noncommercial 4 0"
@@ -85,6 +157,30 @@ TEMPLATES = {
     ),
 }
 
+# Words and word pairs that tell a family from its likes. A paragraph is confirmed
+# only if it holds one of each group; a family without an entry has no likes in the list.
+REQUIRED = {
+    "apache-2.0": (("apache",), ("2", "v2", "version 2")),
+    "mit": (("mit", "granted free", "substantial portions"),),
+    "gpl-3.0": (("gnu general", "gpl"), ("version 3", "v3", "gpl 3")),
+    "gpl-2.0": (("gnu general", "gpl"), ("version 2", "v2", "gpl 2")),
+    "lgpl-3.0": (("lesser", "lgpl"), ("version 3", "v3", "lgpl 3")),
+    "lgpl-2.1": (("lesser", "lgpl"), ("version 2", "v2", "lgpl 2"), ("2 1", "v2 1")),
+    "agpl-3.0": (("affero", "agpl"), ("version 3", "v3", "agpl 3")),
+    "mpl-2.0": (("mozilla", "mpl"), ("2 0", "v2 0", "mpl 2")),
+    "isc": (("isc", "without fee"),),
+    "bsd": (("redistribution and",),),
+    "bsd-2-clause": (("2 clause",),),
+    "bsd-3-clause": (("3 clause", "neither the"),),
+    "cc-by-4.0": (("by 4", "attribution 4"),),
+    "cc-by-sa-4.0": (("by sa", "attribution sharealike"), ("sa 4", "sharealike 4")),
+    "cc-by-nd-4.0": (("by nd", "attribution noderivatives"), ("nd 4", "noderivatives 4")),
+    "cc-by-nc-4.0": (("nc 4", "noncommercial 4"),),
+    "cc-by-nc-sa-4.0": (("nc sa", "noncommercial sharealike"), ("sa 4", "sharealike 4")),
+    "cc-by-nc-nd-4.0": (("nc nd", "noncommercial noderivatives"), ("nd 4", "noderivatives 4")),
+    "cc0-1.0": (("cc0",), ("cc0 1", "1 0")),
+}
+
 # Sentences about licences that grant none.
 NO_LICENCE = (
     "the driving license was renewed last week in the town hall",
@@ -191,6 +287,13 @@ def numbered(spark: SparkSession, texts: list[str]) -> list[tuple[list[int], lis
     return [(row["_slots"], row["_grams"]) for row in found]
 
 
+def required_grams(spark: SparkSession) -> list[list[list[int]]]:
+    """The groups of ``REQUIRED`` as grams, per family in the order of the templates."""
+    names = sorted({gram for groups in REQUIRED.values() for group in groups for gram in group})
+    last = {name: grams[-1] for name, (_, grams) in zip(names, numbered(spark, names))}  # a pair comes last
+    return [[[last[gram] for gram in group] for group in REQUIRED.get(family, ())] for family in TEMPLATES]
+
+
 def needed_words(common: dict[str, int]) -> list[str]:
     """Words, rare ones first, so that each template without its own loses too much to match."""
     found = set()
@@ -302,7 +405,8 @@ def train(docs: DataFrame) -> tuple[Model, dict[str, list[list[int]]], list[str]
 
 
 def scored(
-    paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]]
+    paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]],
+    required: list[list[list[int]]],
 ) -> DataFrame:
     """The paragraphs that some family may win, with ``family, probability, template``."""
     rows, kept = paragraphs, [name for name in paragraphs.columns if name != "_words"]
@@ -320,24 +424,29 @@ def scored(
     best = F.greatest(*[F.struct(F.col(n).alias("v"), F.lit(f).alias("f")) for n, f in zip(names, model.families)])
     rows = rows.withColumn("_best", best)
     mass = sum((F.exp(F.col(n) - F.col("_best.v")) for n in names), F.lit(0.0))
-    match = F
-    for family, found in templates.items():
-        shares = [
-            F.size(F.array_intersect("_grams", F.split(F.lit(",".join(map(str, t))), ",").cast("array<long>")))
-            / F.lit(float(len(t)))
-            for t in found
-        ]
-        match = match.when(F.col("_best.f") == family, F.greatest(*shares) if len(shares) > 1 else shares[0])
+    def literal(values: list) -> Column:  # folded once; indexed by the family's number
+        return F.from_json(F.lit(json.dumps(values)), "array<array<array<long>>>")
+
+    def share(found: Column) -> Column:
+        return F.size(F.array_intersect("_grams", found)) / F.size(found).cast("double")
+
+    place = F.array_position(F.split(F.lit(" ".join(model.families)), " "), F.col("_best.f")).cast("int")
+    shares = F.array_max(F.transform(F.element_at(literal([*templates.values(), []]), place), share))
+    told = F.forall(
+        F.element_at(literal([*required, []]), place), lambda group: F.arrays_overlap("_grams", group)
+    )
+    match = F.when(told, shares).otherwise(F.lit(0.0))
     return rows.select(
         *kept, F.col("_best.f").alias("family"),
-        F.round(F.lit(1.0) / mass, 6).alias("probability"), match.otherwise(F.lit(0.0)).alias("template"),
+        F.round(F.lit(1.0) / mass, 6).alias("probability"), match.alias("template"),
     ).filter(F.col("family") != UNKNOWN)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: its paragraphs, its licence families, and every prediction."""
     model, templates, needed = train(docs)
-    found = scored(paragraphs_of(docs, needed), model, templates).withColumn(
+    required = required_grams(docs.sparkSession)
+    found = scored(paragraphs_of(docs, needed), model, templates, required).withColumn(
         "confirmed", (F.col("probability") >= CERTAIN) & (F.col("template") >= SHARE)
     ).filter("line = last or confirmed")
     fields = ["line", "last", "family", "probability", "template", "confirmed"]
@@ -349,6 +458,14 @@ def scan(docs: DataFrame) -> DataFrame:
         F.lit(None).cast(kind).alias("hit"),
     )
     sure = F.filter("predictions", lambda hit: hit["confirmed"])
+    families = F.transform(sure, lambda hit: hit["family"])
+    named = F.filter(
+        families, lambda family: (family != "bsd") | ~F.array_contains(families, "bsd-3-clause")
+    )
+
+    def bsd(family: Column) -> Column:
+        """A BSD text without the third clause anywhere is the text of two clauses."""
+        return F.when(family == "bsd", "bsd-2-clause").otherwise(family)
 
     def narrowest(hits: Column) -> Column:
         def inside(hit, other):
@@ -366,7 +483,7 @@ def scan(docs: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n_paragraphs"), F.array_sort(F.collect_list("hit")).alias("predictions"))
         .select(
             "doc_id", "n_paragraphs",
-            F.array_sort(F.array_distinct(F.transform(sure, lambda hit: hit["family"]))).alias("licenses"),
+            F.array_sort(F.array_distinct(F.transform(named, bsd))).alias("licenses"),
             narrowest(F.col("predictions")).alias("predictions"),
         )
     )

@@ -93,3 +93,51 @@ def test_notices_wrapped_over_lines(spark):
     first = [hit for hit in rows[0]["predictions"] if hit["confirmed"]][0]
     assert (first["line"], first["last"]) == (2, 3)
     assert rows[4]["licenses"] == []
+
+
+FREE = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} License "
+    "as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+)
+CREATIVE = "This work is licensed under a Creative Commons {} 4.0 International License."
+OTHERS = {
+    FREE.format("program", "Lesser General Public", "3"): ["lgpl-3.0"],
+    FREE.format("library", "Lesser General Public", "2.1"): ["lgpl-2.1"],
+    FREE.format("program", "Affero General Public", "3"): ["agpl-3.0"],
+    FREE.format("program", "General Public", "2"): ["gpl-2.0"],
+    FREE.format("program", "General Public", "3"): ["gpl-3.0"],
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+    "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.": ["mpl-2.0"],
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.": ["isc"],
+    "Licensed under the BSD 2-Clause License": ["bsd-2-clause"],
+    "Redistribution and use in source and binary forms, with or without modification,\nare permitted provided that the "
+    "following conditions are met:\n\n1. Redistributions of source code must retain the notice.": ["bsd-2-clause"],
+    "Licensed under the BSD 3-Clause License": ["bsd-3-clause"],
+    CREATIVE.format("Attribution"): ["cc-by-4.0"],
+    CREATIVE.format("Attribution-ShareAlike"): ["cc-by-sa-4.0"],
+    CREATIVE.format("Attribution-NonCommercial"): ["cc-by-nc-4.0"],
+    CREATIVE.format("Attribution-NoDerivatives"): ["cc-by-nd-4.0"],
+    CREATIVE.format("Attribution-NonCommercial-ShareAlike"): ["cc-by-nc-sa-4.0"],
+    CREATIVE.format("Attribution-NonCommercial-NoDerivatives"): ["cc-by-nc-nd-4.0"],
+    "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"],
+    "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
+    "work under CC0 1.0 Universal.": ["cc0-1.0"],
+    # the likes of families that are not listed
+    "You should have received a copy of the GNU General Public License along with this program.": [],
+    FREE.format("program", "Lesser General Public", "9"): [],
+    "This work is licensed under a Creative Commons Attribution 3.0 International License.": [],
+}
+
+
+def test_families_that_differ_by_a_word(spark):
+    rows = {row["doc_id"]: row for row in licenses.scan(documents(spark, list(OTHERS))).collect()}
+    assert {text: rows[i]["licenses"] for i, text in enumerate(OTHERS)} == OTHERS
+
+
+def test_every_template_passes_its_own_test():
+    for family, texts in licenses.TEMPLATES.items():
+        words = [text.split() for text in texts]
+        grams = [{*w, *(" ".join(p) for p in zip(w, w[1:]))} for w in words]
+        groups = licenses.REQUIRED.get(family, ())
+        assert any(all(g & set(group) for group in groups) for g in grams)
