@@ -2,7 +2,8 @@
 
 Lines of ``MIN_BYTES`` UTF-8 bytes or more that differ by at most ``edits`` byte edits are one
 class with all they reach; the class keeps its first line in the order of (doc_id, line number),
-every other one goes. Shorter lines always stay.
+every other one goes. Shorter lines stay, or with ``short`` go if they hold a word and equal an
+earlier line: the digests find them, the edit join never sees them. The query and the pipeline set it.
 
 A line of n bytes is split into ``edits + 1`` even segments. If two lines are within the
 threshold, one segment of the shorter is a substring of the longer, at a place that the lengths
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snaptrack.llm.graph import block_pairs, components, task_totals
-from snaptrack.llm.ragged import SpanHasher, bounds, flat, mixed, pieces, take
+from snaptrack.llm.ragged import SPACE, SpanHasher, bounds, flat, mixed, pieces, take
 from snaptrack.llm.tables import has_word, stored, table
 
 EDITS = 2
@@ -100,8 +101,8 @@ def text_digest():
     return F.xxhash64("text")
 
 
-def described(docs: DataFrame, edits: int) -> DataFrame:
-    """One row per line that takes part: its place, digest and keys."""
+def described(docs: DataFrame, edits: int, short: bool) -> DataFrame:
+    """One row per line that takes part: its place, digest and keys; short lines have no keys."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         first, second, third = (SpanHasher(seed) for seed in (21, 22, 23))
@@ -109,10 +110,14 @@ def described(docs: DataFrame, edits: int) -> DataFrame:
             starts, ends, counts = line_spans(data, offsets)
             owner = np.repeat(np.arange(len(counts)), counts)
             number = np.arange(len(starts)) - np.repeat(bounds(counts)[:-1], counts)
-            long = ends - starts >= MIN_BYTES
-            starts, ends, owner, number = (x[long] for x in (starts, ends, owner, number))
+            meant = ends - starts >= MIN_BYTES
+            if short:
+                solid = bounds(~SPACE[data])
+                meant |= solid[ends] > solid[starts]
+            starts, ends, owner, number = (x[meant] for x in (starts, ends, owner, number))
             d1, d2 = first(data, starts, ends), second(data, starts, ends)
             fresh = np.unique(d1, return_index=True)[1]
+            fresh = fresh[ends[fresh] - starts[fresh] >= MIN_BYTES]
             keys = line_keys(data, starts[fresh], ends[fresh], edits, third)
             lengths = np.zeros(len(starts), np.int64)
             lengths[fresh] = keys.shape[1]
@@ -369,9 +374,9 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     return stored(texts.select("node", "d1", "d2").join(comps, "node").drop("node"), "near")
 
 
-def dropped_lines(docs: DataFrame, edits: int) -> DataFrame:
+def dropped_lines(docs: DataFrame, edits: int, short: bool) -> DataFrame:
     """``id, row`` and the numbers of the lines that go."""
-    lines = stored(described(docs, edits), "lines")
+    lines = stored(described(docs, edits, short), "lines")
     near = near_lines(docs, lines, edits)
     first = lines.groupBy("d1", "d2").agg(
         F.min(F.struct("id", "line")).alias("first"), F.max(F.struct("id", "line")).alias("last")
@@ -388,12 +393,12 @@ def dropped_lines(docs: DataFrame, edits: int) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def deduplicated(docs: DataFrame, edits: int = EDITS, short: bool = False) -> DataFrame:
     """The rows of ``docs`` without their repeated lines, with ``_lines`` and ``_dropped``."""
     whole = docs.select(
         F.struct("*").alias("_row"), "doc_id", F.col("text").alias("_text"), text_digest().alias("_digest")
     )
-    gone = dropped_lines(docs, edits).withColumnsRenamed({"id": "_id", "row": "_of"})
+    gone = dropped_lines(docs, edits, short).withColumnsRenamed({"id": "_id", "row": "_of"})
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     own = (key == F.col("_id")) & (F.col("_digest") == F.col("_of"))
     rows = whole.join(gone, own, "left").select(
@@ -412,15 +417,15 @@ def deduplicated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """The documents without repeated lines; one left without a word goes."""
-    rows = deduplicated(docs, edits)
+    """The documents without repeated lines of any length; one left without a word goes."""
+    rows = deduplicated(docs, edits, short=True)
     untouched = F.size("_dropped") == 0
     left = has_word(F.coalesce("text", F.lit("")))
     return rows.filter(untouched | left).drop("_lines", "_dropped")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
     return rows.select(
         "doc_id", F.col("_lines").alias("n_lines"), F.size("_dropped").cast("long").alias("n_dropped"),
         F.col("_dropped").alias("dropped"), "text",

@@ -151,3 +151,13 @@ def test_rows_of_one_id_lose_only_their_own_lines(spark, same_id):
         left = [x for x in texts[row].split("\n") if x != copy]
         expected.append(("\n".join(left), [row]))
     assert found == sorted(expected)
+
+
+def test_short_lines_go_if_equal(spark, tmp_path):
+    texts = ["Menu\n\nabc\n }\nshare", "other\nMenu\n\n \nabd\n }", "Menu\nMenu \nabc"]
+    expected = ["Menu\n\nabc\n }\nshare", "other\n\n \nabd", "Menu "]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["text"] for r in lines.op1(spark, str(tmp_path)).collect()}
+    assert [found[i] for i in range(3)] == expected
+    found = {r["doc_id"]: r["text"] for r in lines.without_repeats(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(3)] == expected
