@@ -1,11 +1,15 @@
 """Line dedup by a segment-partition edit join.
 
-Lines of ``MIN_BYTES`` UTF-8 bytes or more that differ by at most ``edits`` byte edits are one
+Lines of ``MIN_BYTES`` UTF-8 bytes or more that differ by at most ``edits`` edits are one
 class with all they reach; the class keeps its first line in the order of (doc_id, line number),
 every other one goes. Shorter lines stay, or with ``short`` go if they hold a word and equal an
 earlier line: the digests find them, the edit join never sees them. The query and the pipeline set it.
 
-A line of n bytes is split into ``edits + 1`` even segments. If two lines are within the
+Edits count bytes, or characters with ``whole``, as the query and the pipeline set it: then an accent
+is one edit in any script. ``MIN_BYTES`` counts bytes in both, so no line that took part by bytes is
+left out by characters, and lines within some edits by bytes are so by characters.
+
+A line of n units is split into ``edits + 1`` even segments. If two lines are within the
 threshold, one segment of the shorter is a substring of the longer, at a place that the lengths
 allow. So each line probes, for each length it could match, the few substrings that segments of
 that length may equal; the probes at its own segments are its index entries. Keys met by one line
@@ -34,7 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snaptrack.llm.graph import block_pairs, components, task_totals
-from snaptrack.llm.ragged import SPACE, SpanHasher, bounds, flat, mixed, pieces, take
+from snaptrack.llm.ragged import (
+    BASE, SPACE, SpanHasher, bounds, characters, flat, mixed, pieces, take
+)
 from snaptrack.llm.tables import has_word, stored, table
 
 EDITS = 2
@@ -70,8 +76,10 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda probe: (probe[0] > 0 or probe[2] != 0, probe))
 
 
-def line_keys(data, starts, ends, edits: int, hasher: SpanHasher) -> np.ndarray:
-    """Lines x probes; 0 where a probe does not apply."""
+def line_keys(
+    data, starts, ends, edits: int, hasher: SpanHasher, least: int = MIN_BYTES
+) -> np.ndarray:
+    """Lines x probes; 0 where a probe does not apply. Lines have ``least`` units or more."""
     size, keys = ends - starts, []
     hasher.grow(len(data) + 1)
     sums = bounds64(hasher, data)
@@ -81,7 +89,7 @@ def line_keys(data, starts, ends, edits: int, hasher: SpanHasher) -> np.ndarray:
         plain = edits + 1 - longer
         at = i * base + np.maximum(0, i - plain) + shift
         width = base + (i >= plain)
-        good = (at >= 0) & (at + width <= size) & (length >= MIN_BYTES)
+        good = (at >= 0) & (at + width <= size) & (length >= least)
         low = starts + np.where(good, at, 0)
         high = low + np.where(good, width, 0)
         spans = (sums[high] - sums[low]) * hasher.inverses[low]
@@ -92,7 +100,12 @@ def line_keys(data, starts, ends, edits: int, hasher: SpanHasher) -> np.ndarray:
 
 def bounds64(hasher: SpanHasher, data: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(hasher.codes[data] * hasher.powers[: len(data)], out=sums[1:])
+    if data.dtype == np.uint8:
+        codes = hasher.codes[data]
+    else:  # the same for the same number
+        codes = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE) + np.uint64(hasher.seed)
+        codes = mixed(codes)
+    np.cumsum(codes * hasher.powers[: len(data)], out=sums[1:])
     return sums
 
 
@@ -101,7 +114,7 @@ def text_digest():
     return F.xxhash64("text")
 
 
-def described(docs: DataFrame, edits: int, short: bool) -> DataFrame:
+def described(docs: DataFrame, edits: int, short: bool, whole: bool) -> DataFrame:
     """One row per line that takes part: its place, digest and keys; short lines have no keys."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -118,7 +131,10 @@ def described(docs: DataFrame, edits: int, short: bool) -> DataFrame:
             d1, d2 = first(data, starts, ends), second(data, starts, ends)
             fresh = np.unique(d1, return_index=True)[1]
             fresh = fresh[ends[fresh] - starts[fresh] >= MIN_BYTES]
-            keys = line_keys(data, starts[fresh], ends[fresh], edits, third)
+            units, least = (data, starts[fresh], ends[fresh]), MIN_BYTES
+            if whole:
+                units, least = characters(*units), MIN_BYTES // 4
+            keys = line_keys(*units, edits, third, least)
             lengths = np.zeros(len(starts), np.int64)
             lengths[fresh] = keys.shape[1]
             order = np.argsort(fresh)
@@ -258,7 +274,7 @@ def automaton(a, sizes_a, b, sizes_b, edits: int) -> np.ndarray:
 
 
 def padded(data, starts, sizes) -> np.ndarray:
-    out = np.zeros((len(starts), int(sizes.max(initial=0)) + 1), np.uint8)
+    out = np.zeros((len(starts), int(sizes.max(initial=0)) + 1), data.dtype)
     rows = np.repeat(np.arange(len(starts)), sizes)
     out[rows, np.arange(len(rows)) - np.repeat(bounds(sizes)[:-1], sizes)] = take(
         data, starts, sizes
@@ -267,7 +283,7 @@ def padded(data, starts, sizes) -> np.ndarray:
 
 
 def within(data, starts_a, sizes_a, starts_b, sizes_b, edits: int) -> np.ndarray:
-    """Which pairs of byte spans are within ``edits`` edits."""
+    """Which pairs of spans of bytes or characters are within ``edits`` edits."""
     result = np.zeros(len(starts_a), bool)
     order = np.argsort(np.maximum(sizes_a, sizes_b), kind="stable")
     order = order[np.abs(sizes_a - sizes_b)[order] <= edits]
@@ -299,7 +315,7 @@ def within(data, starts_a, sizes_a, starts_b, sizes_b, edits: int) -> np.ndarray
     return result
 
 
-def tested(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+def tested(pairs: DataFrame, texts: DataFrame, edits: int, whole: bool) -> DataFrame:
     """The pairs ``a, b`` of nodes whose lines are within the threshold."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -307,27 +323,35 @@ def tested(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
             for low in range(0, batch.num_rows, 4096):
                 part = batch.slice(low, 4096)
                 (x, at), (y, bt) = (flat(part.column(c).cast(pa.large_binary())) for c in "xy")
-                good = within(
-                    np.concatenate([x, y]), at[:-1], np.diff(at), bt[:-1] + len(x), np.diff(bt), edits
+                data, starts, ends = (
+                    np.concatenate([x, y]), np.concatenate([at[:-1], bt[:-1] + len(x)]),
+                    np.concatenate([at[1:], bt[1:] + len(x)]),
                 )
+                if whole:
+                    data, starts, ends = characters(data, starts, ends)
+                (a, b), (m, n) = np.split(starts, 2), np.split(ends - starts, 2)
+                good = within(data, a, m, b, n, edits)
                 yield part.select(["a", "b"]).filter(pa.array(good))
 
     left = texts.select(F.col("node").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("node").alias("b"), F.col("line").alias("y"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    close = F.abs(F.length("x") - F.length("y")) <= edits
+    close = F.abs(F.length("x") - F.length("y")) <= edits * (4 if whole else 1)
     return joined.filter(close).mapInArrow(run, "a long, b long")
 
 
-def block_links(edits: int):
+def block_links(edits: int, whole: bool):
     """Links among the lines of a block pair that are not in one component."""
 
     def run(key, rows):
         import pandas as pd
 
         data = np.frombuffer(b"".join(rows["line"]), np.uint8)
-        sizes = rows["line"].map(len).to_numpy()
-        starts, comp, node = bounds(sizes)[:-1], rows["comp"].to_numpy(), rows["node"].to_numpy()
+        at = bounds(rows["line"].map(len).to_numpy())
+        starts, ends, comp, node = at[:-1], at[1:], rows["comp"].to_numpy(), rows["node"].to_numpy()
+        if whole:
+            data, starts, ends = characters(data, starts, ends)
+        sizes = ends - starts
         close = np.abs(sizes[:, None] - sizes[None]) <= edits
         a, b = np.nonzero(np.triu(close & (comp[:, None] != comp[None]), 1))
         good = within(data, starts[a], sizes[a], starts[b], sizes[b], edits)
@@ -336,7 +360,7 @@ def block_links(edits: int):
     return run
 
 
-def near_lines(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
+def near_lines(docs: DataFrame, lines: DataFrame, edits: int, whole: bool) -> DataFrame:
     """``d1, d2, comp`` of the lines that some other line is linked with."""
     entries = shared_keys(lines, edits)
     texts = texts_of(docs, stored(entries.select("d1").distinct(), "needed"))
@@ -357,7 +381,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     many = members.filter(F.col("m") > FEW)
     stars = many.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     pairs = stored(pairs.union(stars).distinct(), "pairs")
-    found = stored(tested(pairs, texts, edits), "links")
+    found = stored(tested(pairs, texts, edits, whole), "links")
     comps = stored(components(found), "components")
     main = comps.select(F.col("node").alias("hub"), F.col("comp").alias("_main"))
     marked = many.join(comps, "node", "left").join(main, "hub", "left").select(
@@ -368,16 +392,16 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
         texts.select("node", "line"), "node"
     )
     more = met.groupBy("key", "inside", "i", "j").applyInPandas(
-        block_links(edits), "a long, b long"
+        block_links(edits, whole), "a long, b long"
     )
     comps = components(found.union(more))
     return stored(texts.select("node", "d1", "d2").join(comps, "node").drop("node"), "near")
 
 
-def dropped_lines(docs: DataFrame, edits: int, short: bool) -> DataFrame:
+def dropped_lines(docs: DataFrame, edits: int, short: bool, whole: bool) -> DataFrame:
     """``id, row`` and the numbers of the lines that go."""
-    lines = stored(described(docs, edits, short), "lines")
-    near = near_lines(docs, lines, edits)
+    lines = stored(described(docs, edits, short, whole), "lines")
+    near = near_lines(docs, lines, edits, whole)
     first = lines.groupBy("d1", "d2").agg(
         F.min(F.struct("id", "line")).alias("first"), F.max(F.struct("id", "line")).alias("last")
     )
@@ -393,15 +417,17 @@ def dropped_lines(docs: DataFrame, edits: int, short: bool) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, edits: int = EDITS, short: bool = False) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, edits: int = EDITS, short: bool = False, whole: bool = False
+) -> DataFrame:
     """The rows of ``docs`` without their repeated lines, with ``_lines`` and ``_dropped``."""
-    whole = docs.select(
+    each = docs.select(
         F.struct("*").alias("_row"), "doc_id", F.col("text").alias("_text"), text_digest().alias("_digest")
     )
-    gone = dropped_lines(docs, edits, short).withColumnsRenamed({"id": "_id", "row": "_of"})
+    gone = dropped_lines(docs, edits, short, whole).withColumnsRenamed({"id": "_id", "row": "_of"})
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     own = (key == F.col("_id")) & (F.col("_digest") == F.col("_of"))
-    rows = whole.join(gone, own, "left").select(
+    rows = each.join(gone, own, "left").select(
         "_row", "_text", F.split("_text", "\n").alias("_split"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("_dropped"),
     )
@@ -418,14 +444,15 @@ def deduplicated(docs: DataFrame, edits: int = EDITS, short: bool = False) -> Da
 
 def without_repeats(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The documents without repeated lines of any length; one left without a word goes."""
-    rows = deduplicated(docs, edits, short=True)
+    rows = deduplicated(docs, edits, short=True, whole=True)
     untouched = F.size("_dropped") == 0
     left = has_word(F.coalesce("text", F.lit("")))
     return rows.filter(untouched | left).drop("_lines", "_dropped")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = deduplicated(docs, short=True, whole=True)
     return rows.select(
         "doc_id", F.col("_lines").alias("n_lines"), F.size("_dropped").cast("long").alias("n_dropped"),
         F.col("_dropped").alias("dropped"), "text",

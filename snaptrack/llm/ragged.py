@@ -53,10 +53,28 @@ def pieces(batches, most: int = 1 << 21, column: str = "text"):
             yield batch.slice(low, high - low), data[part[0] : part[-1]], part - part[0]
 
 
+def characters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """One number per UTF-8 character, its bytes folded together, and the spans in characters.
+    ASCII is its own; a byte that begins no character belongs to the one before in its span."""
+    if not len(data) or data.max() < 128:
+        return data, starts, ends
+    begins = (data & 0xC0) != 0x80
+    begins[starts[starts < len(data)]] = True
+    at = np.flatnonzero(begins)
+    sizes = np.diff(np.append(at, len(data)))
+    points = data[at].astype(np.uint32)
+    for k in range(1, 4):
+        more = np.flatnonzero(sizes > k)
+        points[more] = points[more] << np.uint32(6) | (data[at[more] + k] & 0x3F)
+    places = bounds(begins)
+    return points, places[starts], places[ends]
+
+
 class SpanHasher:
     """64-bit hashes of byte spans from one running sum; equal bytes give equal hashes."""
 
     def __init__(self, seed: int = 1):
+        self.seed = seed
         self.base = np.uint64((BASE + 2 * seed) | 1)
         self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
         self.codes = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE) + np.uint64(seed))

@@ -161,3 +161,26 @@ def test_short_lines_go_if_equal(spark, tmp_path):
     assert [found[i] for i in range(3)] == expected
     found = {r["doc_id"]: r["text"] for r in lines.without_repeats(documents(spark, texts)).collect()}
     assert [found[i] for i in range(3)] == expected
+
+
+@pytest.mark.parametrize("few", [lines.FEW, 1])  # 1: all keys go through blocks
+def test_edits_count_characters(spark, monkeypatch, few):
+    monkeypatch.setattr(lines, "FEW", few)
+    rng = random.Random(6)
+    bases = ["".join(rng.choice("abcé漢字 🙂ñ") for _ in range(rng.randrange(30, 60))) for _ in range(40)]
+    texts = bases + ["déjà vu au café de la gare du nord à midi", "deja vu au café de la gare du nord à midi"]
+    for base in bases:
+        for edits in (1, 2, 4):
+            data = list(base)
+            for at in rng.sample(range(len(data)), edits):
+                data[at] = rng.choice("漢🙂") if rng.random() < 0.5 else data[at] + "字"
+            texts.append("".join(data))
+    rows = lines.deduplicated(documents(spark, texts), short=True, whole=True).collect()
+    comp = list(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            if near(a, b, lines.EDITS):
+                comp = [comp[j] if c == comp[i] else c for c in comp]
+    kept = {min(i for i, c in enumerate(comp) if c == group) for group in comp}
+    assert {row["doc_id"] for row in rows if not row["_dropped"]} == kept
+    assert len(kept) < 90
