@@ -194,12 +194,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learnt(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``text, y`` of at most ``sample`` labelled documents that are not held out."""
+    """``text, y`` of at most ``sample`` labelled documents that are not held out; of rows
+    of one id the one with the smallest text hash, so that an id on many rows gives one."""
     known = labels.select("doc_id", F.col("quality").alias("y")).filter("y in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("_other"))
     known = known.filter((F.col("y") == F.col("_other")) & ~held_out(F.col("doc_id")))
     chosen = known.select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("row"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").select("row.text", "row.y")
 
 
 def scored(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:

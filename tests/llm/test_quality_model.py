@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from snaptrack.llm import quality_model
 from tests.llm.cases import documents
 from tests.llm.test_packing import ODD
@@ -56,3 +58,12 @@ def test_temperature_calibrates():
     calibrated = quality_model.loss(net.logits(x[2000:]) / net.temperature, y[2000:])
     assert calibrated <= quality_model.loss(raw.logits(x[2000:]), y[2000:]) + 1e-9
     assert abs(scores.mean() - y[2000:].mean()) < 0.08
+
+
+def test_a_repeated_id_gives_one_row(spark):
+    ids = [i for i in range(40) if spark.range(i, i + 1).select(~quality_model.held_out(F.col("id"))).first()[0]][:4]
+    rows = [(ids[0], f"text {n}") for n in range(50)] + [(i, f"own {i}") for i in ids[1:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    found = [row["text"] for row in quality_model.learnt(docs, labels, sample=4).collect()]
+    assert len(found) == 4 and sum(text.startswith("text ") for text in found) == 1
