@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import chunks, jaccard, licenses, lines, packing, pieces, quality_model, quality_rules, sharding, topk
+from snaptrack.llm import chunks, jaccard, licenses, lines, negatives, packing, pieces, quality_model, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": jaccard.op8,
     "op9_chunk_dedup": chunks.op9,
     "op10_license_scan": licenses.op10,
+    "op11_hard_negatives": negatives.op11,
 }
 
 ORACLES: dict[str, str] = {
     "op6_pivot_topk": topk.ORACLE,
     "op7_quality_rules": quality_rules.oracle(),
     "op8_ngram_jaccard": jaccard.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
 }
