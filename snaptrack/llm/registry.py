@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import chunks, jaccard, licenses, lines, negatives, packing, pieces, quality_model, quality_rules, sharding, topk
+from snaptrack.llm import chunks, conversations, jaccard, licenses, lines, negatives, packing, pieces, quality_model, quality_rules, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunk_dedup": chunks.op9,
     "op10_license_scan": licenses.op10,
     "op11_hard_negatives": negatives.op11,
+    "op12_conversation_repair": conversations.op12,
 }
 
 ORACLES: dict[str, str] = {
