@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaptrack.llm import chunks, conversations, jaccard, licenses, lines, negatives, packing, pieces, quality_model, quality_rules, sharding, topk
+from snaptrack.llm import (
+    chunks,
+    conversations,
+    jaccard,
+    language_model,
+    licenses,
+    lines,
+    negatives,
+    packing,
+    pieces,
+    quality_model,
+    quality_rules,
+    sharding,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": lines.op1,
@@ -21,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": licenses.op10,
     "op11_hard_negatives": negatives.op11,
     "op12_conversation_repair": conversations.op12,
+    "op13_language_model": language_model.op13,
 }
 
 ORACLES: dict[str, str] = {
