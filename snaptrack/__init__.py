@@ -2,7 +2,7 @@
 
 from snaptrack.functions.compare import fingerprint
 from snaptrack.meta import MetaColumns
-from snaptrack.operators.checks import key_violations
+from snaptrack.operators.checks import history_violations, key_violations
 from snaptrack.operators.diff import (
     change_log,
     classify,
@@ -18,6 +18,7 @@ from snaptrack.operators.reads import (
     change_summary,
     column_change_counts,
     explode_changes,
+    join_as_of,
     timeline,
 )
 from snaptrack.operators.rows import (
@@ -30,6 +31,7 @@ from snaptrack.operators.rows import (
     union_all,
     value_columns,
 )
+from snaptrack.plans.late import insert_snapshot
 from snaptrack.plans.replay import apply_snapshot, replay
 from snaptrack.session import session_conf
 from snaptrack.sources.bucketed import buckets_for, write_bucketed
@@ -44,11 +46,13 @@ from snaptrack.sources.files import (
     write_parquet,
 )
 from snaptrack.sources.history_table import HistoryTable
+from snaptrack.sources.run_log import StaleRun
 from snaptrack.streaming.pickup import stream_history
 
 __all__ = [
     "HistoryTable",
     "MetaColumns",
+    "StaleRun",
     "active_rows",
     "apply_snapshot",
     "as_of",
@@ -66,7 +70,10 @@ __all__ = [
     "ensure_history",
     "explode_changes",
     "fingerprint",
+    "history_violations",
     "ingest",
+    "insert_snapshot",
+    "join_as_of",
     "key_violations",
     "new_keys",
     "new_rows",

@@ -25,6 +25,60 @@ def as_of(
     return rows if keep_meta else rows.drop(*meta.names)
 
 
+def join_as_of(
+    facts: DataFrame,
+    history: DataFrame,
+    key: KeySpec,
+    on: str,
+    meta: MetaColumns = DEFAULT_META,
+) -> DataFrame:
+    """Each fact with the values its key had on the day of the column ``on``.
+
+    Adds the values of the version that was valid on that day and its created and edited dates;
+    they are null where there was none, and for facts without a key or a day. Facts and history
+    have the key columns in common and no others. Where versions overlap, which is an error of the
+    history (see ``history_violations``), the one that began last counts.
+
+    There is no join on a range. The distinct days of a key's facts, which the calendar bounds,
+    are put among its versions in order of time, and the last version before each day is carried
+    down to it. The facts then join on key and day, so a key that holds much of them spreads over
+    tasks: that join has one row per key and day on its other side, and AQE splits the facts.
+    """
+    keys = key_list(key)
+    values = [name for name in history.columns if name not in (*keys, *meta.names)]
+    added = [*values, meta.created, meta.edited]
+    clash = sorted(set(facts.columns) & set(added))
+    if clash:
+        raise ValueError(f"columns {clash} are in the facts and in the history; rename them")
+    names = [f"_k{i}" for i in range(len(keys))]
+    day = F.to_date(ref(on))
+
+    def known(rows: DataFrame) -> DataFrame:
+        return rows.filter(" and ".join(f"{name} is not null" for name in [*names, "_day"]))
+
+    renamed = [ref(key).alias(name) for key, name in zip(keys, names)]
+    days = known(facts.select(*renamed, day.alias("_day"))).distinct()
+    version = F.struct(*[ref(name).alias(f"_v{i}") for i, name in enumerate(added)])
+    versions = known(history.select(*renamed, ref(meta.created).alias("_day"), version.alias("_version")))
+    both = days.select("*", F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"))
+    # Versions of a day come before the facts of that day.
+    order = Window.partitionBy(*names).orderBy(
+        "_day", F.col("_version").isNull(), F.asc_nulls_last(f"_version._v{len(added) - 1}")
+    )
+    last = F.last("_version", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    carried = (
+        both.unionByName(versions)
+        .withColumns({"_last": last, "_is_day": F.col("_version").isNull()})
+        .filter("_is_day")
+    )
+    ended = F.col(f"_last._v{len(added) - 1}")
+    valid = carried.filter(ended.isNull() | (ended > F.col("_day"))).select(*names, "_day", "_last")
+    same = [ref(key) == F.col(name) for key, name in zip(keys, names)]
+    return facts.join(valid, [*same, day == F.col("_day")], "left").select(
+        *refs(facts.columns), *[F.col(f"_last._v{i}").alias(name) for i, name in enumerate(added)]
+    )
+
+
 def timeline(history: DataFrame, key: KeySpec, meta: MetaColumns = DEFAULT_META) -> DataFrame:
     """Add version_number, previous_from, next_from and days_valid to each version.
 

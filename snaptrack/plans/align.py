@@ -84,3 +84,14 @@ def _as(name: str, current: T.DataType | None, target: T.DataType) -> str | Colu
     if current is None:
         return F.lit(None).cast(target).alias(name)
     return quoted(name) if current == target else ref(name).cast(target).alias(name)
+
+
+def same_types(before: DataFrame, after: DataFrame) -> None:
+    """Files of all runs are read with one schema: columns may be added, not change type."""
+    types = {field.name: field.dataType for field in after.schema}
+    for field in before.schema:
+        if types[field.name] != field.dataType:
+            raise ValueError(
+                f"column {field.name!r} is stored as {field.dataType.simpleString()} but the "
+                f"snapshot makes it {types[field.name].simpleString()}; cast the snapshot"
+            )

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from snaptrack.meta import KeySpec, as_day, key_list
 from snaptrack.operators.history import run_rows
 from snaptrack.operators.rows import ensure_history
+from snaptrack.plans.align import same_types
+from snaptrack.plans.late import insert_snapshot
 from snaptrack.sources.history_table import HistoryTable
+from snaptrack.sources.run_log import RUN
 
 
 def apply_snapshot(
@@ -20,6 +23,7 @@ def apply_snapshot(
     recent: DataFrame,
     key: KeySpec,
     missing: str = "keep",
+    late: bool = False,
     **options,
 ) -> None:
     """Run one snapshot against the state before its date and store the result.
@@ -28,6 +32,10 @@ def apply_snapshot(
     nothing, and a corrected snapshot corrects the run. The stored state is always whole: there
     is no ``mode``, and rows that are gone are kept or closed, as a dropped row could not be
     found ``as_of`` an earlier date.
+
+    A date older than the newest run is an error, unless ``late`` allows to insert the snapshot,
+    see ``insert_snapshot``. A run that another job has overtaken raises ``StaleRun``; nothing is
+    lost by running it again.
     """
     if "mode" in options:
         raise ValueError("a stored history is always built in full; mode cannot be chosen")
@@ -35,32 +43,24 @@ def apply_snapshot(
         raise ValueError("a stored history keeps or closes missing rows; drop would lose the past")
     day = as_day(run_date)
     runs = table.runs(spark)
-    earlier = [run for run in runs if run < day]
+    if late and runs and runs[0] < day < runs[-1]:
+        insert_snapshot(spark, table, day, recent, key, missing, **options)
+        return
     if runs and runs[-1] > day:
         raise ValueError(f"run date {day} is older than the newest run, {runs[-1]}")
-    if not earlier:
+    base = table.base(spark, day)
+    if base is None:
         raise ValueError(f"{table.root} has no state before {day}; write a first history")
-    # What run_rows wrote has one active row per key; what a caller wrote may not.
-    trusted = table.checked(spark, earlier[-1])
     if table.key is not None and key_list(table.key) != key_list(key):
         raise ValueError(f"the table is bucketed by {key_list(table.key)}, the run has {key}")
-    with table.active_rows(spark, earlier[-1]) as before:
+    with table.active_rows(spark, base[RUN]) as before:
+        # What run_rows wrote has one active row per key; what a caller wrote may not.
+        trusted = bool(base.checked)
         rows = run_rows(
             recent, before, key, day, table.meta, missing=missing, trusted_history=trusted, **options
         )
-        _same_types(before, rows)
-        table.write(rows, day, checked=True)
-
-
-def _same_types(before: DataFrame, after: DataFrame) -> None:
-    """Files of all runs are read with one schema: columns may be added, not change type."""
-    types = {field.name: field.dataType for field in after.schema}
-    for field in before.schema:
-        if types[field.name] != field.dataType:
-            raise ValueError(
-                f"column {field.name!r} is stored as {field.dataType.simpleString()} but the "
-                f"snapshot makes it {types[field.name].simpleString()}; cast the snapshot"
-            )
+        same_types(before, rows)
+        table.write(rows, day, checked=True, base=base, missing=missing)
 
 
 def replay(
@@ -78,7 +78,8 @@ def replay(
     ``base`` is the history to start from, raw or with metadata, and ``base_date`` the date
     it was taken; both are needed only while the table is empty. Each step reads the files
     the step before wrote, so plans do not grow with the number of snapshots. Dates that are
-    already in the table are skipped: a replay that was cut off goes on where it stopped.
+    already in the table are skipped: a replay that was cut off goes on where it stopped. With
+    ``late=True`` dates between runs that are in the table are inserted.
     """
     series = sorted(((as_day(day), recent) for day, recent in snapshots), key=lambda item: item[0])
     days = [day for day, _ in series]

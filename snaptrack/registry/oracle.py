@@ -5,13 +5,16 @@ from __future__ import annotations
 from snaptrack.registry.scenarios import (
     CONVERSATIONS,
     CUSTOMER,
+    CUSTOMER_JANUARY,
     DOCUMENTS,
     EMBEDDINGS,
     EVENTS,
+    JANUARY_RUNS,
     LINEITEM,
     ORDERS,
     PAGES,
     PART,
+    PERIODS,
     RUN_DATE,
     SCENARIOS,
     SECOND_DATE,
@@ -139,6 +142,52 @@ select {columns}, {META}, cast(row_number() {window} as integer) as version_numb
 from ({history}) as h"""
 
 
+def joined_as_of() -> str:
+    """The events beside the version whose interval holds their day."""
+    scenario = CUSTOMER_JANUARY
+    first = built(
+        scenario, missing="close", run_date=JANUARY_RUNS[0], recent=source(scenario.second, scenario)
+    )
+    history = built(scenario, missing="close", run_date=JANUARY_RUNS[1], history=first)
+    values = ", ".join(f"h.{v}" for v in (*scenario.values, "valid_from", "valid_to"))
+    return f"""
+select e.event_id, e.ts, e.user_id as c_custkey, e.event_type, e.value, e.props, {values}
+from events e left join ({history}) as h
+  on h.c_custkey = e.user_id and h.valid_from <= cast(e.ts as date)
+ and (h.valid_to is null or h.valid_to > cast(e.ts as date))"""
+
+
+def violations(key: str) -> str:
+    """Every pair of periods of a key is not compared: the latest end so far decides."""
+    return f"""
+with p as (
+  select {key}, valid_from, valid_to, is_active, count(*) as row_count
+  from ({PERIODS.format(table="events")}) as e where user_id is not null group by all),
+flags as (
+  select {key}, valid_from, valid_to, unnest([
+           case when valid_from is null then 'no_start' end,
+           case when valid_to < valid_from then 'reversed' end,
+           case when is_active and valid_to is not null then 'active_with_end' end,
+           case when not is_active and valid_to is null then 'closed_without_end' end]) as violation,
+         cast(null as date) as until, row_count
+  from p),
+spans as (
+  select {key}, valid_from, valid_to, coalesce(valid_to, date '9999-12-31') as stop,
+         sum(row_count)::bigint as row_count
+  from p where valid_from is not null and (valid_to is null or valid_to >= valid_from) group by all),
+seen as (
+  select *, greatest(max(stop) over (
+    partition by {key} order by valid_from, valid_to nulls last
+    rows between unbounded preceding and 1 preceding),
+    case when row_count > 1 then stop end) as until
+  from spans)
+select * from flags where violation is not null
+union all
+select {key}, valid_from, valid_to, case when valid_from < until then 'overlap' else 'gap' end,
+       nullif(until, date '9999-12-31'), row_count
+from seen where valid_from <> until"""
+
+
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(ORDERS.columns)
     news = ", ".join(f"n_{v} as {v}" for v in ORDERS.values)
@@ -215,6 +264,12 @@ select {', '.join(LINEITEM.columns)} from (
 where place = 1""",
         ),
         "replay": replayed("close"),
+        "overlapping_runs": replayed("close"),
+        "replay_late": replayed("close"),
+        "replay_corrected": replayed("close"),
+        "join_as_of": joined_as_of(),
+        "history_violations": violations("user_id, event_type"),
+        "history_violations_user": violations("user_id"),
         "stream_history": replayed("close"),
         "replay_events": built(EVENTS),
         "replay_bucketed": replayed("close"),

@@ -199,6 +199,34 @@ from {{table}} where l_shipdate < date '2001-01-01' group by l_orderkey, l_linen
 """,
 )
 
+# A history of three runs in the month of the events: customers as of the days they acted on.
+CUSTOMER_JANUARY = Scenario(
+    table="customer",
+    key=CUSTOMER.key,
+    values=CUSTOMER.values,
+    history=CUSTOMER.history,
+    second="""
+select c_custkey, upper(c_name) as c_name, c_nationkey,
+       case when c_mktsegment = 'BUILDING' then c_acctbal + 1 else c_acctbal end as c_acctbal,
+       c_mktsegment
+from {table} where c_nationkey <> 11
+""",
+)
+JANUARY_RUNS = ("2024-01-11", "2024-01-21")
+
+# Periods of users as events state them: with overlaps, gaps, reversed dates and wrong flags.
+PERIODS = """
+select user_id, event_type, event_type in ('view', 'error') as is_active,
+       case when event_type = 'click' and value > 200 then null
+            else cast(ts as date) end as valid_from,
+       case when event_type in ('view', 'error') and value < 400 then null
+            when event_type = 'signup' and value > 100 then null
+            when value > 50 then date '2024-01-15'
+            when event_type = 'purchase' then date '2024-01-20' else date '2024-02-01' end as valid_to,
+       cast(null as varchar(10)) as changes
+from {table}
+"""
+
 SCENARIOS = {
     scenario.table: scenario
     for scenario in (

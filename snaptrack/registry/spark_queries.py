@@ -11,13 +11,16 @@ from snaptrack.registry.scenarios import (
     BASE_DATE,
     CONVERSATIONS,
     CUSTOMER,
+    CUSTOMER_JANUARY,
     DOCUMENTS,
     EMBEDDINGS,
     EVENTS,
+    JANUARY_RUNS,
     LINEITEM,
     ORDERS,
     PAGES,
     PART,
+    PERIODS,
     RUN_DATE,
     SCENARIOS,
     SECOND_DATE,
@@ -210,6 +213,71 @@ def replay_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.replay(spark, snapshots, store, ORDERS.key, history, BASE_DATE, missing="close")
 
 
+def started(spark: SparkSession, sf_dir: str) -> tuple[st.HistoryTable, DataFrame, DataFrame]:
+    """A stored history of one run and two snapshots to follow."""
+    recent, history = frames(spark, sf_dir, ORDERS)
+    store = st.HistoryTable(new_folder(spark, "started"))
+    store.write(st.ensure_history(history, BASE_DATE), BASE_DATE, checked=True)
+    return store, recent, second_frame(spark, sf_dir, ORDERS)
+
+
+def overlapping_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily jobs at once: the later one has read its state before the earlier is finished.
+    It is refused and run again."""
+    store, recent, second = started(spark, sf_dir)
+    base = store.base(spark, SECOND_DATE)
+    with store.active_rows(spark, base["run_date"]) as before:
+        rows = st.run_rows(second, before, ORDERS.key, SECOND_DATE, missing="close")
+        st.apply_snapshot(spark, store, RUN_DATE, recent, ORDERS.key, missing="close")
+        try:
+            store.write(rows, SECOND_DATE, checked=True, base=base, missing="close")
+        except st.StaleRun:
+            st.apply_snapshot(spark, store, SECOND_DATE, second, ORDERS.key, missing="close")
+    return store.read(spark)
+
+
+def replay_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of the first date arrives after that of the second."""
+    store, recent, second = started(spark, sf_dir)
+    for day, rows in ((SECOND_DATE, second), (RUN_DATE, recent)):
+        st.apply_snapshot(spark, store, day, rows, ORDERS.key, missing="close", late=True)
+    return store.read(spark)
+
+
+def replay_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first date is applied with the wrong snapshot, and corrected after the second."""
+    store, recent, second = started(spark, sf_dir)
+    for day, rows in ((RUN_DATE, second), (SECOND_DATE, second), (RUN_DATE, recent)):
+        st.apply_snapshot(spark, store, day, rows, ORDERS.key, missing="close", late=True)
+    return store.read(spark)
+
+
+def customers_of_january(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent, history = frames(spark, sf_dir, CUSTOMER_JANUARY)
+    store = st.HistoryTable(new_folder(spark, "january"))
+    second = second_frame(spark, sf_dir, CUSTOMER_JANUARY)
+    return st.replay(
+        spark, zip(JANUARY_RUNS, (second, recent)), store, CUSTOMER_JANUARY.key, history, BASE_DATE,
+        missing="close",
+    )
+
+
+def join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with its user's customer row as it was on that day."""
+    facts = table(spark, sf_dir, "events").withColumnRenamed("user_id", "c_custkey")
+    return st.join_as_of(facts, customers_of_january(spark, sf_dir), "c_custkey", "ts")
+
+
+def history_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    periods = spark.sql(PERIODS, table=table(spark, sf_dir, "events"))
+    return st.history_violations(periods, ["user_id", "event_type"])
+
+
+def history_violations_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    periods = spark.sql(PERIODS, table=table(spark, sf_dir, "events"))
+    return st.history_violations(periods, "user_id")
+
+
 def pieces_equal_delta(scenario: Scenario) -> Query:
     """The delta put together from its four operators."""
 
@@ -285,6 +353,12 @@ def queries() -> dict[str, Query]:
         "pieces_equal_delta": pieces_equal_delta(ORDERS),
         "pieces_equal_delta_customer": pieces_equal_delta(CUSTOMER),
         "fingerprint_embeddings": fingerprint_embeddings,
+        "overlapping_runs": overlapping_runs,
+        "replay_late": replay_late,
+        "replay_corrected": replay_corrected,
+        "join_as_of": join_as_of,
+        "history_violations": history_violations,
+        "history_violations_user": history_violations_user,
         "stream_history": stream_history,
         "history_table_after_first_run": lambda spark, sf_dir: replayed_table(
             spark, sf_dir

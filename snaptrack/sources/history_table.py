@@ -9,7 +9,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from snaptrack.meta import (
@@ -24,13 +23,7 @@ from snaptrack.meta import (
 )
 from snaptrack.operators.reads import as_of
 from snaptrack.sources.files import table_path
-
-RUN, ATTEMPT = "run_date", "attempt"
-LOG_SCHEMA = (
-    f"{RUN} date, written_at timestamp, state string, columns string, {ATTEMPT} string, "
-    "checked boolean, buckets int"
-)
-FINISHED, DROPPED = "finished", "dropped"
+from snaptrack.sources.run_log import ATTEMPT, DROPPED, FINISHED, LEFT_OUT, RUN, RunLog, StaleRun
 
 
 @dataclass(frozen=True)
@@ -46,6 +39,11 @@ class HistoryTable:
     so rows may come from the run they replace, and what a write that died has left is never
     read. The folder that a repeated date replaces stays on disk unread.
 
+    An entry also names the attempt it was built on, and a state is read along that chain. A run
+    that was built on a state which is no longer the newest before its date is refused
+    (``StaleRun``). Two jobs that pass that check at the same moment are found when they look
+    again after their entries: the chain holds one, ``run_log`` names the other.
+
     With ``key`` and ``buckets`` every run is stored in that many buckets of the key. The next run
     then reads the active rows in their buckets and shuffles its snapshot alone. Take as many
     buckets as shuffle partitions or more, or Spark may prefer to shuffle both sides. The buckets
@@ -57,25 +55,56 @@ class HistoryTable:
     key: KeySpec | None = None
     buckets: int | None = None
 
+    def log(self, spark: SparkSession) -> RunLog:
+        return RunLog.read(spark, self._log_path())
+
     def runs(self, spark: SparkSession) -> list[dt.date]:
-        """Dates of finished runs, oldest first."""
-        return _done(self._log(spark))
+        """Dates of the runs that the newest state is made of, oldest first."""
+        return [entry[RUN] for entry in self.log(spark).chain()]
+
+    def run_log(self, spark: SparkSession) -> DataFrame:
+        """``run_date, attempt, base_date, status`` of every attempt, see ``RunLog.statuses``."""
+        schema = f"{RUN} date, {ATTEMPT} string, base_date date, status string"
+        return spark.createDataFrame(self.log(spark).statuses(), schema)
 
-    def write(self, rows: DataFrame, run_date: dt.date | str, checked: bool = False) -> None:
+    def base(self, spark: SparkSession, run_date: dt.date | str) -> Row | None:
+        """The run that one of ``run_date`` builds on."""
+        earlier = [e for e in self.log(spark).chain() if e[RUN] < as_day(run_date)]
+        return earlier[-1] if earlier else None
+
+    def write(
+        self,
+        rows: DataFrame,
+        run_date: dt.date | str,
+        checked: bool = False,
+        base: Row | None = None,
+        missing: str | None = None,
+    ) -> None:
         """Store the rows of a run and enter it in the log.
 
         ``checked`` says that the rows hold one active version per key, as those of ``run_rows``
-        do; a run on top of others checks the keys again.
+        do; a run on top of others checks the keys again. ``base`` is the entry of the state that
+        the rows were built on, by default the newest before the date; ``missing`` is what was
+        done with rows that the snapshot lacked, which a later correction must know.
         """
+        spark, day = rows.sparkSession, as_day(run_date)
+        base = base or self.base(spark, day)
+        attempt = self.store(rows, day, checked)
+        self._refuse_stale(spark, day, base)
+        self.enter(spark, day, attempt, rows, checked, base, missing)
+        self._find_overlap(spark, day, attempt, base)
+
+    def store(self, rows: DataFrame, day: dt.date, checked: bool) -> str:
+        """Write rows to a new attempt of a run, which no state reads before it is entered."""
         taken = [name for name in rows.columns if name.lower() in (RUN, ATTEMPT)]
         if taken:
             raise ValueError(f"columns {taken} are named like the table's folders; rename them")
         if self.meta.active not in rows.columns:
             raise ValueError(f"rows have no column {self.meta.active!r}; see ensure_history")
-        spark, day, attempt = rows.sparkSession, as_day(run_date), uuid.uuid4().hex
-        folder, columns = self._folder(day, attempt), rows.schema.json()
+        spark, attempt = rows.sparkSession, uuid.uuid4().hex
+        folder = self._folder(day, attempt)
         # Unchecked rows may hold very many versions of a key, too many for one bucket.
-        buckets = self.buckets if checked else None
+        buckets = self._buckets(checked)
         if buckets is None:
             rows.write.partitionBy(self.meta.active).parquet(folder)
         else:
@@ -83,12 +112,69 @@ class HistoryTable:
             writer = rows.write.partitionBy(self.meta.active).option("path", folder)
             writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
             spark.sql(f"drop table {name}")  # the files stay
-        self._enter(spark, day, FINISHED, columns, attempt, checked, buckets)
+        return attempt
+
+    def enter(
+        self,
+        spark: SparkSession,
+        day: dt.date,
+        attempt: str,
+        rows: DataFrame,
+        checked: bool,
+        base: Row | None,
+        missing: str | None,
+        state: str = FINISHED,
+    ) -> None:
+        """Enter a stored attempt in the log, from which moment on it counts."""
+        self.log(spark).write(
+            spark,
+            self._log_path(),
+            run_date=day,
+            attempt=attempt,
+            state=state,
+            columns=rows.schema.json(),
+            checked=checked,
+            buckets=self._buckets(checked),
+            base_date=base and base[RUN],
+            base_attempt=base and base[ATTEMPT],
+            missing=missing,
+        )
+
+    def _buckets(self, checked: bool) -> int | None:
+        return self.buckets if checked else None
+
+    def _refuse_stale(self, spark: SparkSession, day: dt.date, base: Row | None) -> None:
+        """What was stored is entered only if its base is still the newest state before it."""
+        now = self.base(spark, day)
+        if (now and now[ATTEMPT]) != (base and base[ATTEMPT]):
+            raise StaleRun(
+                f"the run of {day} was built on {_name(base)}, but the newest run before it is "
+                f"now {_name(now)}; run it again"
+            )
+        newest = self.log(spark).head()
+        if newest is not None and newest[RUN] > day:
+            raise StaleRun(f"a run of {newest[RUN]} was finished before that of {day}")
+
+    def _find_overlap(
+        self, spark: SparkSession, day: dt.date, attempt: str, base: Row | None
+    ) -> None:
+        """Two jobs may have passed ``_refuse_stale`` at once; the log now shows both."""
+        log = self.log(spark)
+        if all((e[RUN], e[ATTEMPT]) != (day, attempt) for e in log.chain()):
+            raise StaleRun(f"the run of {day} was overtaken by another; see run_log")
+        since = base[RUN] if base else None
+        missed = [
+            str(date)
+            for date, _, _, status in log.statuses()
+            if status == LEFT_OUT and date < day and (since is None or date > since)
+        ]
+        if missed:
+            raise StaleRun(f"runs of {missed} overlapped that of {day} and are left out")
 
     @contextmanager
     def active_rows(self, spark: SparkSession, run_date: dt.date) -> Iterator[DataFrame]:
         """The active rows of a run, in their buckets if it was stored so."""
-        entry = self._log(spark)[run_date]
+        entry = self.log(spark).chain(run_date)[-1]
         if entry.buckets is None or self.key is None:
             yield self.read(spark, run_date)
             return
@@ -107,13 +193,12 @@ class HistoryTable:
         finally:
             spark.sql(f"drop table {name}")
 
-    def checked(self, spark: SparkSession, run_date: dt.date) -> bool:
-        """Whether the rows of a run are known to hold one active version per key."""
-        return bool(self._log(spark)[run_date].checked)
-
     def _folder(self, day: dt.date, attempt: str) -> str:
         return table_path(self.root, f"rows/{RUN}={day}/{ATTEMPT}={attempt}")
 
+    def _log_path(self) -> str:
+        return table_path(self.root, "runs")
+
     def read(self, spark: SparkSession, run_date: dt.date | str | None = None) -> DataFrame:
         """The history after ``run_date``, or after the newest run."""
         return self._state(spark, run_date)
@@ -126,6 +211,10 @@ class HistoryTable:
         """
         return as_of(self._state(spark, closed_after=day), day, self.meta)
 
+    def open_after(self, spark: SparkSession, day: dt.date | str) -> DataFrame:
+        """Versions that were still valid after ``day``, those of later runs included."""
+        return self._state(spark, closed_after=day)
+
     def drop_superseded(self, spark: SparkSession, keep: int = 2) -> None:
         """Free the active rows of all but the newest ``keep`` runs.
 
@@ -135,16 +224,13 @@ class HistoryTable:
         """
         if keep < 1:
             raise ValueError("the newest run cannot be dropped")
-        log = self._log(spark)
-        whole = sorted(day for day, entry in log.items() if entry.state == FINISHED)
-        for day in whole[:-keep]:
+        whole = [entry for entry in self.log(spark).chain() if entry.state == FINISHED]
+        for entry in whole[:-keep]:
             # First the log: a run whose rows are going must not be read any more.
-            entry = log[day]
-            self._enter(
-                spark, day, DROPPED, entry.columns, entry.attempt, entry.checked, entry.buckets
-            )
+            values = entry.asDict() | {"state": DROPPED}
+            self.log(spark).write(spark, self._log_path(), **values)
             nothing = spark.createDataFrame([], _schema(entry)).drop(self.meta.active)
-            path = f"{self._folder(day, entry.attempt)}/{self.meta.active}=true"
+            path = f"{self._folder(entry[RUN], entry[ATTEMPT])}/{self.meta.active}=true"
             nothing.write.mode("overwrite").parquet(path)
 
     def _state(
@@ -153,63 +239,33 @@ class HistoryTable:
         run_date: dt.date | str | None = None,
         closed_after: dt.date | str | None = None,
     ) -> DataFrame:
-        log = self._log(spark)
-        runs = [day for day in _done(log) if run_date is None or day <= as_day(run_date)]
-        if not runs:
+        chain = self.log(spark).chain(as_day(run_date) if run_date is not None else None)
+        if not chain:
             raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
-        newest = runs[-1]
-        if log[newest].state == DROPPED:
-            raise ValueError(f"the active rows of run {newest} were dropped; use as_of")
-        columns = _schema(log[newest])
+        newest = chain[-1]
+        if newest.state == DROPPED:
+            raise ValueError(f"the active rows of run {newest[RUN]} were dropped; use as_of")
+        columns = _schema(newest)
         # The schema comes from the log: no footer is read to find it.
         folders = [T.StructField(RUN, T.DateType()), T.StructField(ATTEMPT, T.StringType())]
-        closing = [day for day in runs if closed_after is None or day > as_day(closed_after)]
+        closing = [
+            entry for entry in chain if closed_after is None or entry[RUN] > as_day(closed_after)
+        ]
+        used = closing if newest in closing else [*closing, newest]
         # One folder per run that matters, and no other is listed.
         reader = spark.read.schema(T.StructType([*columns.fields, *folders]))
         rows = reader.option("basePath", table_path(self.root, "rows")).parquet(
-            *[self._folder(day, log[day].attempt) for day in sorted({*closing, newest})]
+            *[self._folder(entry[RUN], entry[ATTEMPT]) for entry in used]
         )
         active = F.coalesce(ref(self.meta.active), F.lit(False))
-        state = (active & (F.col(RUN) == date_of(newest))) | (
-            ~active & F.col(RUN).isin([date_of(day) for day in closing])
+        state = (active & (F.col(RUN) == date_of(newest[RUN]))) | (
+            ~active & F.col(RUN).isin([date_of(entry[RUN]) for entry in closing])
         )
         return rows.filter(state).select(*refs(columns.names))
 
-    def _enter(
-        self,
-        spark: SparkSession,
-        day: dt.date,
-        state: str,
-        columns: str,
-        attempt: str,
-        checked: bool,
-        buckets: int | None,
-    ) -> None:
-        entry = spark.range(1, numPartitions=1).select(
-            date_of(day).alias(RUN),
-            F.current_timestamp().alias("written_at"),
-            F.lit(state).alias("state"),
-            F.lit(columns).alias("columns"),
-            F.lit(attempt).alias(ATTEMPT),
-            F.lit(checked).alias("checked"),
-            F.lit(buckets).cast("int").alias("buckets"),
-        )
-        entry.write.mode("append").parquet(table_path(self.root, "runs"))
-
-    def _log(self, spark: SparkSession) -> dict[dt.date, Row]:
-        """The newest entry of each run date: a few small rows per run."""
-        try:
-            log = spark.read.schema(LOG_SCHEMA).parquet(table_path(self.root, "runs"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        entries = sorted(log.collect(), key=lambda entry: entry.written_at)
-        return {entry[RUN]: entry for entry in entries}
-
 
-def _done(log: dict[dt.date, Row]) -> list[dt.date]:
-    return sorted(log)
+def _name(entry: Row | None) -> str:
+    return f"that of {entry[RUN]} (attempt {entry[ATTEMPT][:8]})" if entry else "nothing"
 
 
 def _schema(entry: Row) -> T.StructType:
