@@ -22,17 +22,18 @@ SHARDS = 16
 
 
 def quotas(moves: dict[tuple[int, int], int], free: list[int]) -> dict[tuple[int, int], int]:
-    """Moves allowed from shard to shard: no shard gains more than its free room on balance.
+    """Moves allowed from shard to shard, as many as can be: no shard gains more than its free room
+    on balance, and one that holds too much takes in nothing before it has given that away.
 
-    All moves are allowed at first; what comes into a shard beyond its room and what leaves it is
-    cut, the largest flow first, until every shard agrees.
+    First what comes into a shard beyond its room and what leaves it is cut, the largest flow
+    first, until every shard agrees. Then moves are given back and shifted along circles on which
+    more moves are won than lost, until there is none: 16 shards have few.
     """
     allowed, changed = dict(moves), True
     while changed:
         changed = False
         for shard, room in enumerate(free):
-            coming = sum(n for (_, target), n in allowed.items() if target == shard)
-            going = sum(n for (source, _), n in allowed.items() if source == shard)
+            coming, going = _flows(allowed, shard)
             over = min(coming, coming - going - room)
             flows = sorted(pair for pair in allowed if pair[1] == shard)
             for pair in sorted(flows, key=allowed.get, reverse=True):
@@ -40,9 +41,56 @@ def quotas(moves: dict[tuple[int, int], int], free: list[int]) -> dict[tuple[int
                 allowed[pair] -= cut
                 over -= cut
                 changed |= cut > 0
+    while circle := _gaining_circle(moves, allowed, free):
+        amount = min(limit for _, _, limit in circle)
+        for pair, sign, _ in circle:
+            if pair is not None:
+                allowed[pair] += sign * amount
     return allowed
 
 
+def _flows(allowed: dict[tuple[int, int], int], shard: int) -> tuple[int, int]:
+    coming = sum(n for (_, target), n in allowed.items() if target == shard)
+    going = sum(n for (source, _), n in allowed.items() if source == shard)
+    return coming, going
+
+
+def _gaining_circle(moves, allowed, free) -> list[tuple[tuple[int, int] | None, int, int]]:
+    """Changes ``(pair, sign, limit)`` along a circle that wins moves, or none (Bellman-Ford).
+
+    The circle may lead through a pool: any shard may give more rows than it takes, and take as
+    many more as its room lets it.
+    """
+    pool, steps = len(free), []
+    most = sum(moves.values()) + 1
+    for shard, room in enumerate(free):
+        coming, going = _flows(allowed, shard)
+        slack = room + going - coming
+        steps.append((pool, shard, 0, None, 0, most if slack >= 0 else -slack))
+        if slack > 0:
+            steps.append((shard, pool, 0, None, 0, slack))
+        for pair in sorted(moves):
+            if pair[1] == shard and slack >= 0 and allowed[pair] < moves[pair]:
+                steps.append((*pair, 1, pair, 1, moves[pair] - allowed[pair]))
+            if pair[1] == shard and allowed[pair] > 0:
+                steps.append((shard, pair[0], -1, pair, -1, allowed[pair]))
+    gain, last = [0] * (pool + 1), [None] * (pool + 1)
+    for _ in range(pool + 2):
+        moved = None
+        for step in steps:
+            if gain[step[0]] + step[2] > gain[step[1]]:
+                gain[step[1]], last[step[1]], moved = gain[step[0]] + step[2], step, step[1]
+        if moved is None:
+            return []
+    for _ in range(pool + 1):
+        moved = last[moved][0]
+    circle, at = [], moved
+    while not circle or at != moved:
+        circle.append(last[at][3:])
+        at = last[at][0]
+    return circle
+
+
 def by_value(column: Column, values: dict[int, int]) -> Column:
     """A number looked up by shard."""
     return F.create_map(*[F.lit(x) for item in values.items() for x in item])[column]

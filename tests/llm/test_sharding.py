@@ -1,6 +1,8 @@
 """Balance, slots and kept groups of the sharding."""
 
+import itertools
 import os
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -60,10 +62,43 @@ def test_empty_repeated_and_clashing(spark):
     assert max(Counter(r["shard"] for r in found).values()) == 2
 
 
+def lawful(allowed, free):
+    """No shard gains more than its room; one beyond its room takes nothing in before it has given."""
+    for shard, room in enumerate(free):
+        coming = sum(n for (_, b), n in allowed.items() if b == shard)
+        going = sum(n for (a, _), n in allowed.items() if a == shard)
+        if coming > max(0, going + room):
+            return False
+    return True
+
+
 def test_quotas_swap_and_fill():
     moves = {(0, 1): 5, (1, 0): 3, (2, 1): 4}
-    assert sharding.quotas(moves, [0, 3, 0]) == {(0, 1): 2, (1, 0): 3, (2, 1): 4}
+    found = sharding.quotas(moves, [0, 3, 0])
+    assert lawful(found, [0, 3, 0]) and sum(found.values()) == 9
     assert sharding.quotas({(0, 1): 7, (1, 2): 7, (2, 0): 7}, [0, 0, 0]) == {
         (0, 1): 7, (1, 2): 7, (2, 0): 7
     }
     assert sharding.quotas({(0, 1): 7}, [0, -2]) == {(0, 1): 0}
+
+
+def test_quotas_allow_as_many_moves_as_any():
+    rng = random.Random(2)
+    for _ in range(150):
+        pairs = [(a, b) for a in range(3) for b in range(3) if a != b and rng.random() < 0.7]
+        moves = {pair: rng.randrange(1, 4) for pair in pairs}
+        free = [rng.randrange(0, 4) for _ in range(3)]
+        found = sharding.quotas(moves, free)
+        assert lawful(found, free) and all(0 <= found[p] <= moves[p] for p in pairs)
+        choices = (dict(zip(pairs, n)) for n in itertools.product(*(range(moves[p] + 1) for p in pairs)))
+        assert sum(found.values()) == max(sum(c.values()) for c in choices if lawful(c, free))
+
+
+def test_quotas_of_full_shards_are_lawful():
+    rng = random.Random(3)
+    for _ in range(200):
+        pairs = [(a, b) for a in range(16) for b in range(16) if a != b and rng.random() < 0.4]
+        moves = {pair: rng.randrange(1, 10_000) for pair in pairs}
+        free = [rng.randrange(-3000, 3000) for _ in range(16)]
+        found = sharding.quotas(moves, free)
+        assert lawful(found, free) and all(0 <= found[p] <= moves[p] for p in pairs)
