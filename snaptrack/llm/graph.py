@@ -90,35 +90,48 @@ def task_totals(
     merge=np.add,
 ) -> np.ndarray:
     """One array of ``size`` numbers over all rows: ``update`` fills one per task, ``merge`` joins
-    them. Tasks send blocks of the array, which are merged one at a time; the size is fixed."""
+    them. Tasks send blocks of the array, without empty ones and as places and values where few are
+    set; blocks are merged one at a time, and the size is fixed. Zeros must not count in ``merge``."""
     part = size // BLOCKS
+    kind = np.dtype(dtype)
+
+    def sparse(values: np.ndarray) -> tuple[bytes, bytes]:
+        at = np.flatnonzero(values)
+        if 0 < len(at) * (4 + kind.itemsize) < part * kind.itemsize:
+            return at.astype(np.int32).tobytes(), values[at].tobytes()
+        return b"", values.tobytes()
+
+    def batch_of(found: dict[int, tuple[bytes, bytes]]):
+        cells = list(zip(*found.values()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.int32()), *(pa.array(list(c), pa.binary()) for c in cells)],
+            ["block", "places", "sums"],
+        )
 
     def fill(batches):
         total = np.zeros(size, dtype)
         update(batches, total)
-        cells = [total[i * part : (i + 1) * part].tobytes() for i in range(BLOCKS)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(BLOCKS), pa.int32()), pa.array(cells, pa.binary())], ["block", "sums"]
-        )
+        blocks = total[: part * BLOCKS].reshape(BLOCKS, part)
+        found = {int(i): sparse(blocks[i]) for i in np.flatnonzero(blocks.any(1))}
+        if found:
+            yield batch_of(found)
 
     def join(batches):
         found: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, cell in zip(batch.column("block").to_pylist(), batch.column("sums")):
-                values = np.frombuffer(cell.as_buffer(), dtype)
-                found[block] = merge(found[block], values) if block in found else values
+            for block, places, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                if block not in found:
+                    found[block] = np.zeros(part, dtype)
+                at = np.frombuffer(places, np.int32) if places else slice(None)
+                found[block][at] = merge(found[block][at], np.frombuffer(sums, dtype))
         if found:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found.keys(), pa.int32()),
-                    pa.array([x.tobytes() for x in found.values()], pa.binary()),
-                ],
-                ["block", "sums"],
-            )
-
-    schema = "block int, sums binary"
+            yield batch_of({block: sparse(values) for block, values in found.items()})
+
+    schema = "block int, places binary, sums binary"
     rows = df.mapInArrow(fill, schema).repartition(BLOCKS, "block").mapInArrow(join, schema)
     total = np.zeros(size, dtype)
     for row in rows.collect():  # BLOCKS rows of a fixed size
-        total[row["block"] * part : (row["block"] + 1) * part] = np.frombuffer(row["sums"], dtype)
+        target = total[row["block"] * part : (row["block"] + 1) * part]
+        at = np.frombuffer(row["places"], np.int32) if row["places"] else slice(None)
+        target[at] = np.frombuffer(row["sums"], dtype)
     return total
