@@ -20,13 +20,10 @@ all pairs at once.
 A key of few lines gives its pairs directly. One of more (a template's lines) is first joined to
 one of them; the lines that are not linked with it meet all others in blocks.
 
-Defined results: null and empty texts stay; repeated lines inside a document go like others;
-rows of one id, null too, have no order among themselves: each loses only lines of its own, and
-copies at the very place (doc_id, line number) of the first line stay with it; every row gives one
-row with the columns of its input; an empty table gives none.
-
-A row is known by its id and a digest of its text. Rows that agree in both are equal, hold the same
-lines at the same places and lose the same ones, so no row number has to be stored.
+Defined results: null and empty texts stay; repeated lines inside a document go like others; rows of
+one id, null too, are rows of their own, ordered by line number and then by a hash of their text, so
+that one line of each class is left whatever the ids; every row gives one row with the columns of
+its input; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -41,7 +38,7 @@ from snaptrack.llm.graph import block_pairs, components, task_totals
 from snaptrack.llm.ragged import (
     BASE, SPACE, SpanHasher, bounds, characters, flat, mixed, pieces, take
 )
-from snaptrack.llm.tables import has_word, stored, table
+from snaptrack.llm.tables import has_word, stored, table, told_apart
 
 EDITS = 2
 MIN_BYTES = 32
@@ -49,6 +46,7 @@ MARKS = 1 << 24
 FEW = 64
 BLOCK = 256
 NO_ID = -(1 << 63)
+COPY = "_copy"
 CELLS = 1 << 22
 
 
@@ -109,11 +107,6 @@ def bounds64(hasher: SpanHasher, data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def text_digest():
-    """Tells rows of one id apart; evaluated alike wherever a row's lines are looked up."""
-    return F.xxhash64("text")
-
-
 def described(docs: DataFrame, edits: int, short: bool, whole: bool) -> DataFrame:
     """One row per line that takes part: its place, digest and keys; short lines have no keys."""
 
@@ -154,7 +147,7 @@ def described(docs: DataFrame, edits: int, short: bool, whole: bool) -> DataFram
                 ["id", "row", "line", "d1", "d2", "keys"],
             )
 
-    return docs.select("doc_id", "text", text_digest().alias("row")).mapInArrow(
+    return docs.select("doc_id", "text", F.col(COPY).alias("row")).mapInArrow(
         run, "id long, row long, line int, d1 long, d2 long, keys array<long>"
     )
 
@@ -399,12 +392,11 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int, whole: bool) -> Da
 
 
 def dropped_lines(docs: DataFrame, edits: int, short: bool, whole: bool) -> DataFrame:
-    """``id, row`` and the numbers of the lines that go."""
+    """``id, row`` and the numbers of the lines that go; ``docs`` have a ``COPY`` column."""
     lines = stored(described(docs, edits, short, whole), "lines")
     near = near_lines(docs, lines, edits, whole)
-    first = lines.groupBy("d1", "d2").agg(
-        F.min(F.struct("id", "line")).alias("first"), F.max(F.struct("id", "line")).alias("last")
-    )
+    place = F.struct("id", "line", "row")
+    first = lines.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.join(near, ["d1", "d2"], "left")
     repeated = stored(first.filter("first <> last or comp is not null").drop("last"), "repeated")
     kept = repeated.filter("comp is not null").groupBy("comp").agg(F.min("first").alias("_first"))
@@ -412,7 +404,7 @@ def dropped_lines(docs: DataFrame, edits: int, short: bool, whole: bool) -> Data
         "d1", "d2", F.coalesce("_first", "first").alias("first")
     )
     gone = lines.select("id", "row", "line", "d1", "d2").join(stored(classes, "classes"), ["d1", "d2"])
-    return gone.filter(F.struct("id", "line") != F.col("first")).groupBy("id", "row").agg(
+    return gone.filter(place != F.col("first")).groupBy("id", "row").agg(
         F.array_sort(F.collect_set("line")).alias("dropped")
     )
 
@@ -421,12 +413,11 @@ def deduplicated(
     docs: DataFrame, edits: int = EDITS, short: bool = False, whole: bool = False
 ) -> DataFrame:
     """The rows of ``docs`` without their repeated lines, with ``_lines`` and ``_dropped``."""
-    each = docs.select(
-        F.struct("*").alias("_row"), "doc_id", F.col("text").alias("_text"), text_digest().alias("_digest")
-    )
-    gone = dropped_lines(docs, edits, short, whole).withColumnsRenamed({"id": "_id", "row": "_of"})
+    known = told_apart(docs, COPY)
+    each = known.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.col("text").alias("_text"), COPY)
+    gone = dropped_lines(known, edits, short, whole).withColumnsRenamed({"id": "_id", "row": "_of"})
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    own = (key == F.col("_id")) & (F.col("_digest") == F.col("_of"))
+    own = (key == F.col("_id")) & (F.col(COPY) == F.col("_of"))
     rows = each.join(gone, own, "left").select(
         "_row", "_text", F.split("_text", "\n").alias("_split"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("_dropped"),
