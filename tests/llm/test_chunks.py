@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from snaptrack.llm import chunks
 from tests.llm.cases import documents
@@ -32,29 +33,42 @@ def plain_chunks(text):
 
 
 def plain(texts, min_words=chunks.MIN_WORDS):
+    """Runs of chunks in which every next pair, or a long chunk alone, is held by an earlier text."""
     cut = [plain_chunks(text or "") for text in texts]
+    bounds = [np.cumsum([0, *map(len, found)]) for found in cut]
+    starts = [
+        [j for j in range(len(d)) if d[j] not in SPACES and (j == 0 or d[j - 1] in SPACES)]
+        for d in ((text or "").encode() for text in texts)
+    ]
+
+    def words_in(i, a, b):
+        return sum(a <= j < b for j in starts[i])
+
     holders = defaultdict(set)
     for i, found in enumerate(cut):
-        for chunk in found:
-            holders[chunk].add(i)
+        for k in range(len(found)):
+            if k:
+                holders[found[k - 1], found[k]].add(i)
+            if words_in(i, bounds[i][k], bounds[i][k + 1]) >= min_words:
+                holders[found[k]].add(i)
     out = []
     for i, (text, found) in enumerate(zip(texts, cut)):
-        data, at, kept, run = (text or "").encode(), 0, b"", []
-        starts = [
-            j for j in range(len(data))
-            if data[j] not in SPACES and (j == 0 or data[j - 1] in SPACES)
-        ]
-        for chunk in [*found, None]:
-            if chunk is not None and min(holders[chunk]) != i:
-                run.append(chunk)
-                continue
-            size = sum(map(len, run))
-            if sum(at <= j < at + size for j in starts) < min_words:
-                kept += b"".join(run)
-            at, run = at + size, []
-            if chunk is not None:
-                kept += chunk
-                at += len(chunk)
+        runs = []
+        for k in range(len(found)):
+            pair = k and min(holders[found[k - 1], found[k]]) < i
+            alone = found[k] in holders and min(holders[found[k]]) < i
+            if pair and runs and runs[-1][1] == k:
+                runs[-1][1] = k + 1
+            elif pair:
+                runs.append([k - 1, k + 1])
+            elif alone:
+                runs.append([k, k + 1])
+        kept, at, edge = b"", 0, bounds[i]
+        for low, high in runs:
+            if words_in(i, edge[low], edge[high]) >= min_words:
+                kept += b"".join(found[at:low])
+                at = high
+        kept += b"".join(found[at:])
         out.append(None if text is None else kept.decode())
     return out
 
@@ -117,7 +131,8 @@ def test_odd_rows(spark):
         "cast(null as long) as doc_id", "text", "1 as id", "2 as digest", "3 as foreign", "4 as owner"
     )
     found = chunks.deduplicated(rows).collect()
-    assert [r["text"] for r in found] == [text, text] and found[0]["owner"] == 4
+    assert sorted(r["text"] for r in found) == ["", text] and found[0]["owner"] == 4
+    assert [r["_cut"]["owners"] for r in found if not r["text"]] == [[None]]
     assert chunks.deduplicated(rows).columns == [*rows.columns, "_cut"]
 
 
@@ -131,3 +146,28 @@ def test_small_pieces_change_nothing():
         alone = chunks.cuts(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
         inside = together[(together >= start) & (together <= stop)] - start
         assert alone.tolist() == inside.tolist()
+
+
+@pytest.mark.parametrize("same_id", ["cast(null as long)", "7L"])
+def test_rows_of_one_id_are_documents_of_their_own(spark, same_id):
+    """A third of the rows under one id, or under none: one holder of a passage keeps it."""
+    rng = random.Random(17)
+    passage = " ".join(words(rng, 60))
+    texts = [" ".join([*words(rng, 30), passage, *words(rng, 30)]) for _ in range(20)]
+    whole = " ".join(words(rng, 60))
+    rows = documents(spark, [*texts, whole, whole, whole]).selectExpr(f"{same_id} as doc_id", "text")
+    found = [r["text"] for r in chunks.deduplicated(rows).collect()]
+    inner = " ".join(passage.split()[10:50])
+    assert len(found) == 23 and sum(inner in text for text in found) == 1
+    assert found.count(whole) == 1 and found.count("") == 2
+
+
+def test_no_run_is_put_together_from_many_documents(spark):
+    """Independent words of a Zipf law share short chunks, and no passage."""
+    rng = np.random.default_rng(4)
+    weights = 1 / np.arange(1, 2001) ** 1.2
+    drawn = rng.choice(2000, (2500, 300), p=weights / weights.sum())
+    names = [f"{chr(97 + i % 26)}{i}" for i in range(2000)]
+    texts = [" ".join(names[w] for w in row) for row in drawn]
+    rows = run(spark, texts)
+    assert sum(row["_cut"]["removed_words"] > 0 for row in rows) == 0
