@@ -30,10 +30,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snaptrack.llm.graph import block_pairs, components, task_totals
 from snaptrack.llm.ragged import SpanHasher, bounds, lowered, mixed, pieces, words
-from snaptrack.llm.tables import stored, table
+from snaptrack.llm.tables import stored, table, told_apart
 
 COUNTERS = 1 << 18
 MARKS = 1 << 22
+COPY = "_copy"
 FEW = 128
 BLOCK = 256
 COLUMNS = 8192
@@ -84,7 +85,9 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """Per document its set size, digest, rarest n-grams and how frequent those are."""
+    """Per document its set size, digest, rarest n-grams and how frequent those are; ``copy``
+    tells apart the rows of one id, where ``docs`` have one."""
+    copy = F.col(COPY) if COPY in docs.columns else F.lit(0).cast("long")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
@@ -102,6 +105,7 @@ def described(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> D
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").cast(pa.int64()),
+                    part.column("copy"),
                     pa.array(sizes),
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
@@ -111,11 +115,11 @@ def described(docs: DataFrame, size: int, percent: int, counts: np.ndarray) -> D
                     ),
                     pa.array(typical, pa.float64()),
                 ],
-                ["doc_id", "n", "d1", "d2", "rare", "typical"],
+                ["doc_id", "copy", "n", "d1", "d2", "rare", "typical"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, d1 long, d2 long, rare array<long>, typical double"
+    return docs.select("doc_id", copy.alias("copy"), "text").mapInArrow(
+        run, "doc_id long, copy long, n long, d1 long, d2 long, rare array<long>, typical double"
     )
 
 
@@ -318,8 +322,9 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFra
     )
 
 
-def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per document."""
+def jaccard_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, copy, n, comp, component_id``, one row per document; those without a set have no
+    ``comp`` and their own id."""
     rows = stored(described(docs, size, percent, frequencies(docs, size)), "described")
     nodes = (
         rows.filter("n > 0").groupBy("d1", "d2")
@@ -334,25 +339,36 @@ def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     named = nodes.select("node", "d1", "d2", "rep").join(comps, "node", "left")
     named = stored(named.withColumn("comp", F.coalesce("comp", "node")), "named")
     lowest = stored(named.groupBy("comp").agg(F.min("rep").alias("component_id")), "lowest")
-    named = stored(named.join(lowest, "comp").select("d1", "d2", "component_id"), "named")
-    full = rows.filter("n > 0").select("doc_id", "n", "d1", "d2").join(named, ["d1", "d2"])
-    empty = rows.filter("n = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    named = stored(named.join(lowest, "comp").select("d1", "d2", "comp", "component_id"), "named")
+    full = rows.filter("n > 0").join(named, ["d1", "d2"])
+    empty = rows.filter("n = 0").withColumns(
+        {"comp": F.lit(None).cast("long"), "component_id": F.col("doc_id")}
+    )
+    columns = ["doc_id", "copy", "n", "comp", "component_id"]
     return full.select(columns).union(empty.select(columns))
 
 
+def jaccard_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, component_id``, one row per document."""
+    groups = jaccard_groups(docs.select("doc_id", "text"), size, percent)
+    return groups.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that carry their component's id: one of each group, and all without words.
+    """One document of each group, that of the smallest id, and all without words.
 
-    Rows of one id share their fate: they stay if one of them names its group, equal ones once.
+    A null id is larger than any other; rows of one id are told apart by a hash of their text.
     """
-    groups = stored(jaccard_components(docs, size, percent), "groups")
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = stored(keep.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")), "keep")
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
-    if keep.filter("_n > 1").limit(1).count():
-        return kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    known = told_apart(docs, COPY)
+    groups = stored(jaccard_groups(known.select("doc_id", COPY, "text"), size, percent), "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")
+    first = groups.filter("comp is not null").groupBy("comp").agg(F.min(order).alias("first"))
+    keep = first.select("first.doc_id", "first.copy").union(
+        groups.filter("comp is null").select("doc_id", "copy")
+    )
+    keep = stored(keep.toDF("_id", "_of"), "keep")
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(COPY) == F.col("_of"))
+    return known.join(keep, own, "left_semi").select(*docs.columns)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

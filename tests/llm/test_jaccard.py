@@ -95,3 +95,25 @@ def test_bound_of_common_rare_ngrams():
             overlap = -(-90 * (x + y) // 190)
             outside = max(-(-90 * n // 100) - 1 for n in (x, y))
             assert overlap - outside <= min(x, y)
+
+
+@pytest.mark.parametrize("same_id", ["cast(null as long)", "7L", "if(doc_id % 3 = 0, null, if(doc_id % 3 = 1, 7L, doc_id))"])
+def test_one_of_each_group_whatever_the_ids(spark, same_id):
+    """Copies and near copies under one id, or none: one of each group stays, and all others."""
+    rng = random.Random(12)
+    texts, groups = [], []
+    for group in range(6):
+        words = [f"g{group}w{i}" for i in range(100)]
+        for copy in range(7):
+            changed = list(words)
+            changed[copy if copy < 3 else 0] = f"x{copy if copy < 3 else 0}"
+            texts.append(" ".join(changed))
+            groups.append(group)
+    texts += [None, "", "few words", "few words"]
+    rows = documents(spark, texts).selectExpr(f"{same_id} as doc_id", "text", "source", "1 as copy", "2 as comp")
+    found = jaccard.one_of_each(rows)
+    assert found.columns == rows.columns
+    kept = [row["text"] for row in found.collect()]
+    for group in range(6):
+        assert sum(bool(text) and text.split()[-1] == f"g{group}w99" for text in kept) == 1
+    assert kept.count(None) == kept.count("") == kept.count("few words") == 1 and len(kept) == 9
