@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snaptrack.llm.graph import task_totals
 from snaptrack.llm.ragged import SPACE, SpanHasher, lowered, mixed, pieces
-from snaptrack.llm.tables import table
+from snaptrack.llm.tables import first_ids, stored, table
 
 SLOTS = 1 << 13
 WIDTH = 64
@@ -199,7 +199,8 @@ def learnt(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     known = labels.select("doc_id", F.col("quality").alias("y")).filter("y in (0, 1)")
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("_other"))
     known = known.filter((F.col("y") == F.col("_other")) & ~held_out(F.col("doc_id")))
-    chosen = known.select("doc_id", "y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = stored(known.select("doc_id", "y"), "labels")
+    chosen = known.join(F.broadcast(first_ids(known, sample)), "doc_id")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("row"))
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").select("row.text", "row.y")
