@@ -2,8 +2,10 @@
 
 A paragraph is a line with a word, or a window of neighbouring lines of a block: a notice wrapped
 over lines is seen whole, whatever signs its lines begin with. A block ends at a line without a word
-of a-z or digits. Windows of ``WIDTHS`` lines begin at every line; one is reported only if it is
-confirmed and no narrower one inside it is confirmed for the same family. A paragraph's features
+of a-z or digits. Windows of ``WIDTHS`` lines begin at every line, and where lines are short, windows
+of as many lines as hold ``TARGETS`` words: the longest has room for every template at one word a
+line. A window is reported only if it is confirmed and no narrower one inside it is confirmed for
+the same family. A paragraph's features
 are the hashed words and word pairs of its lower case form, each of weight one over the root of
 their number. A multinomial logistic regression tells licence families and ``unknown`` apart; a
 held-back part of its rows sets the temperature of the probabilities. A prediction is confirmed if its probability reaches ``CERTAIN`` and a template
@@ -12,14 +14,17 @@ tells the family from its likes (``REQUIRED``: lesser, affero, version numbers,
 template share is 0 otherwise.
 
 The model is fitted on the driver on the templates, on variants of them, and on the paragraphs of
-``SAMPLE`` documents, the first in the order of a hash, that match no template. Scoring is one
+``SAMPLE`` document ids, the first in the order of a hash, that match no template: at most
+``MOST_ROWS`` lines of at most ``TAUGHT_CHARS`` characters, the first in the order of a hash. Scoring is one
 projection over all paragraphs. Two bounds come first: a few words of each template without which
 no paragraph can share enough of it, and the most any family can gain over ``unknown``. Only
 paragraphs that pass both get the probabilities of all families; no other one could be confirmed.
 
-Defined results: one row per document id (rows of one id, null too, are one document); a null or
-empty text has no paragraph and no licence; an empty table gives no row; other columns are not
-read.
+The rows and the scored paragraphs are written before they are put together: what a caller does
+with the result, a filter too, reads these tables.
+
+Defined results: one row per row, whatever its id; a null or empty text has no paragraph and no
+licence; an empty table gives no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snaptrack.llm.tables import first_ids, has_word, lines_of, once, table
+from snaptrack.llm.tables import first_ids, has_word, lines_of, once, stored, table
 
 SLOTS = 2048
 SAMPLE = 256
@@ -39,7 +44,9 @@ MOST_ROWS = 2048
 VARIANTS = 40
 CERTAIN = 0.5
 SHARE = 0.6
+TAUGHT_CHARS = 2000
 WIDTHS = (2, 3, 4, 6)
+TARGETS = (12, 24, 48)
 UNKNOWN = "unknown"
 
 # Notices of public licences, in lower case without signs.
@@ -210,42 +217,66 @@ def with_words(paragraphs: DataFrame) -> DataFrame:
 
 
 def paragraphs_of(docs: DataFrame, needed: list[str]) -> DataFrame:
-    """``doc_id, line, last, _words`` of the lines and windows that hold a needed word.
+    """``_row, line, last, _words`` of the lines and windows that hold a needed word.
 
     A document's words are found once; windows are slices of them, made only where one of their
-    lines holds a needed word.
+    lines holds a needed word. A line takes along the lines after it up to the widest window: six,
+    or as many more as it takes to reach the largest number of words.
     """
     listed = F.split(F.lit(" ".join(needed)), " ")
-    texts = docs.select("doc_id", lines_of(F.col("text")).alias("_texts"))
+    texts = docs.select("_row", lines_of(F.col("text")).alias("_texts"))
     rows = once(texts, "_lines", F.transform("_texts", plain_words)).drop("_texts")
     rows = once(rows, "_hits", F.transform("_lines", lambda words: F.arrays_overlap(words, listed)))
     rows = rows.filter(F.exists("_hits", lambda hit: hit))
-    most = max(WIDTHS)
-
-    def ahead(name: str, i: Column) -> Column:
-        return F.slice(name, i + 1, F.lit(most))
+    least, most, room = max(WIDTHS), max(TARGETS), F.size("_lines")
+    rows = once(rows, "_sizes", F.transform("_lines", lambda words: F.size(words)))
+
+    def reach(i: Column) -> Column:
+        """The number of lines from line i on that hold the largest number of words."""
+        taken = F.aggregate(
+            F.slice("_sizes", i + 1, F.lit(most)),
+            F.struct(F.lit(0).alias("words"), F.lit(0).alias("lines")),
+            lambda so_far, n: F.struct(
+                (so_far["words"] + n).alias("words"),
+                (so_far["lines"] + F.when(so_far["words"] < most, 1).otherwise(0)).alias("lines"),
+            ),
+        )
+        return F.greatest(taken["lines"], F.lit(least))
 
     near = F.filter(
         F.transform(
-            F.sequence(F.lit(0), F.size("_lines") - 1),
+            F.sequence(F.lit(0), room - 1),
             lambda i: F.when(
-                F.exists(ahead("_hits", i), lambda hit: hit),
-                F.struct(i.alias("line"), ahead("_lines", i).alias("group")),
+                F.exists(F.slice("_hits", i + 1, F.lit(most)), lambda hit: hit),
+                F.struct(i.alias("line"), F.slice("_lines", i + 1, reach(i)).alias("group")),
             ),
         ),
         lambda found: found.isNotNull(),
     )
-    rows = rows.select("doc_id", F.explode(near).alias("_near")).select("doc_id", "_near.*")
+    rows = rows.select("_row", F.explode(near).alias("_near")).select("_row", "_near.*")
     empty = F.array_position(F.transform("group", lambda words: F.size(words) == 0), True)
     room = F.when(empty > 0, empty - 1).otherwise(F.size("group")).cast("int")
-    rows = once(rows, "_room", room)
-    widths = F.filter(F.array(F.lit(1), *map(F.lit, WIDTHS)), lambda n: n <= F.col("_room"))
-    # the rest of a block is a window too
-    widths = F.array_distinct(F.concat(widths, F.filter(F.array("_room"), lambda n: n > 0)))
-    rows = rows.select("doc_id", "line", "group", F.explode(widths).alias("_width"))
+    rows = rows.select("_row", "line", F.slice("group", F.lit(1), room).alias("group"))
+    rows = rows.filter(F.exists("group", lambda words: F.arrays_overlap(words, listed)))
+    sizes = F.transform("group", lambda words: F.size(words))
+    sums = F.aggregate(
+        sizes, F.array(F.lit(0)), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n))
+    )
+    rows = once(rows, "_sums", sums)
+    room = F.size("group")
+    widths = F.filter(F.array(F.lit(1), *map(F.lit, WIDTHS)), lambda n: n <= room)
+    # Lines until so many words are reached; and the rest of a block is a window too.
+    wider = F.transform(
+        F.array(*map(F.lit, TARGETS)),
+        lambda goal: F.least(F.size(F.filter("_sums", lambda total: total < goal)), room),
+    )
+    wider = F.filter(wider, lambda n: n > least)
+    rest = F.filter(F.array(F.least(room, F.lit(least))), lambda n: n > 0)
+    widths = F.array_distinct(F.concat(widths, rest, wider))
+    rows = rows.select("_row", "line", "group", F.explode(widths).alias("_width"))
     rows = once(rows, "_words", F.flatten(F.slice("group", F.lit(1), F.col("_width"))))
     return rows.filter(F.arrays_overlap("_words", listed)).select(
-        "doc_id", "line", (F.col("line") + F.col("_width") - 1).alias("last"), "_words"
+        "_row", "line", (F.col("line") + F.col("_width") - 1).alias("last"), "_words"
     )
 
 
@@ -337,7 +368,7 @@ def training_rows(docs: DataFrame) -> tuple[list[str], list[str], list[str]]:
     chosen = F.broadcast(first_ids(docs, SAMPLE).distinct())
     few = docs.select("doc_id", "text").join(chosen, "doc_id")
     lines = few.select(F.explode(lines_of(F.col("text"))).alias("line")).filter(has_word(F.col("line")))
-    lines = lines.select(F.substring("line", 1, 2000).alias("line"))
+    lines = lines.filter(F.length("line") <= TAUGHT_CHARS)
     found = [row["line"] for row in lines.orderBy(F.xxhash64("line"), "line").limit(MOST_ROWS).collect()]
     common = Counter(word for text in found for word in text.lower().split())
     filler = sorted({word for text in [*found[:200], *NO_LICENCE] for word in text.lower().split()})
@@ -444,19 +475,16 @@ def scored(
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: its paragraphs, its licence families, and every prediction."""
+    docs = stored(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text"), "documents")
     model, templates, needed = train(docs)
     required = required_grams(docs.sparkSession)
     found = scored(paragraphs_of(docs, needed), model, templates, required).withColumn(
         "confirmed", (F.col("probability") >= CERTAIN) & (F.col("template") >= SHARE)
     ).filter("line = last or confirmed")
     fields = ["line", "last", "family", "probability", "template", "confirmed"]
-    hits = found.select("doc_id", F.lit(0).cast("long").alias("n"), F.struct(*fields).alias("hit"))
-    kind = dict(hits.dtypes)["hit"]
-    every = docs.select(
-        "doc_id",
-        F.size(F.filter(lines_of(F.col("text")), has_word)).cast("long").alias("n"),
-        F.lit(None).cast(kind).alias("hit"),
-    )
+    found = stored(found.select("_row", F.struct(*fields).alias("hit")), "paragraphs")
+    hits = found.groupBy("_row").agg(F.array_sort(F.collect_list("hit")).alias("predictions"))
+    none = F.array().cast(hits.schema["predictions"].dataType)
     sure = F.filter("predictions", lambda hit: hit["confirmed"])
     families = F.transform(sure, lambda hit: hit["family"])
     named = F.filter(
@@ -478,9 +506,10 @@ def scan(docs: DataFrame) -> DataFrame:
         return F.filter(
             hits, lambda hit: (hit["line"] == hit["last"]) | ~F.exists(hits, lambda other: inside(hit, other))
         )
+    count = F.size(F.filter(lines_of(F.col("text")), has_word)).cast("long")
     return (
-        every.unionByName(hits).groupBy("doc_id")
-        .agg(F.sum("n").alias("n_paragraphs"), F.array_sort(F.collect_list("hit")).alias("predictions"))
+        docs.join(hits, "_row", "left")
+        .select("doc_id", count.alias("n_paragraphs"), F.coalesce("predictions", none).alias("predictions"))
         .select(
             "doc_id", "n_paragraphs",
             F.array_sort(F.array_distinct(F.transform(named, bsd))).alias("licenses"),

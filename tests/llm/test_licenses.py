@@ -1,6 +1,9 @@
 """The license scan against the notices planted in the table, and awkward rows."""
 
 import os
+import time
+
+from pyspark.sql import functions as F
 
 from snaptrack.llm import licenses
 from tests.llm.cases import documents
@@ -47,8 +50,53 @@ def test_empty_repeated_null_and_clashing(spark):
         "cast(null as long) as doc_id", "text", "1 as line", "2 as family", "3 as n", "4 as hit"
     )
     found = licenses.scan(rows).collect()
-    assert len(found) == 1 and found[0]["n_paragraphs"] == 3
-    assert found[0]["licenses"] == ["all-rights-reserved"]
+    assert [r["n_paragraphs"] for r in found] == [1, 1, 1]
+    assert all(r["licenses"] == ["all-rights-reserved"] for r in found)
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    """A third of the rows under one id and a third under none: each keeps its own predictions."""
+    texts = ["All rights reserved.", "Nothing here.", "Released under the MIT License."] * 20
+    rows = spark.createDataFrame([([None, 7, i][i % 3], t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = licenses.scan(rows).collect()
+    named = sorted((r["doc_id"] is None, r["licenses"]) for r in found)
+    assert named == sorted([(True, ["all-rights-reserved"]), (False, []), (False, ["mit"])] * 20)
+
+
+def test_the_result_can_be_filtered_joined_and_sorted(spark):
+    """The plan of a filter does not grow: what is filtered are written tables."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = licenses.scan(docs)
+    begin = time.monotonic()
+    few = found.filter("doc_id < 300").join(docs.select("doc_id", "lang"), "doc_id").orderBy("doc_id")
+    rows = few.filter(F.size("licenses") > 0).collect()
+    assert time.monotonic() - begin < 30 and rows
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 50_000
+
+
+def test_notices_at_any_number_of_words_a_line(spark):
+    notices = {
+        "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met:",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files",
+        "apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+        "except in compliance with the License.",
+    }
+    texts, expected = [], []
+    for family, notice in notices.items():
+        words = notice.split()
+        for wide in (1, 2, 3, 4, 5, 9):
+            lines = [" ".join(words[i : i + wide]) for i in range(0, len(words), wide)]
+            texts.append("\n".join(["first words", "of a file", *lines, "and the rest", "of the block"]))
+            expected.append([family])
+    rows = {row["doc_id"]: row for row in licenses.scan(documents(spark, texts)).collect()}
+    assert [rows[i]["licenses"] for i in range(len(texts))] == expected
+
+
+def test_the_widest_window_holds_every_template():
+    longest = max(len(text.split()) for texts in licenses.TEMPLATES.values() for text in texts)
+    assert longest <= max(licenses.TARGETS)
 
 
 def test_plan_is_native(spark):
