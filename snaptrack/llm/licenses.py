@@ -20,8 +20,8 @@ projection over all paragraphs. Two bounds come first: a few words of each templ
 no paragraph can share enough of it, and the most any family can gain over ``unknown``. Only
 paragraphs that pass both get the probabilities of all families; no other one could be confirmed.
 
-The rows and the scored paragraphs are written before they are put together: what a caller does
-with the result, a filter too, reads these tables.
+The scored paragraphs are written before they are put together: what a caller does with the result,
+a filter too, reads that table and the documents.
 
 Defined results: one row per row, whatever its id; a null or empty text has no paragraph and no
 licence; an empty table gives no row; other columns are not read.
@@ -36,7 +36,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snaptrack.llm.tables import first_ids, has_word, lines_of, once, stored, table
+from snaptrack.llm.tables import first_ids, has_word, lines_of, once, stored, table, told_apart
 
 SLOTS = 2048
 SAMPLE = 256
@@ -475,7 +475,8 @@ def scored(
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: its paragraphs, its licence families, and every prediction."""
-    docs = stored(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text"), "documents")
+    docs = told_apart(docs.select("doc_id", "text"), "_copy")
+    docs = docs.withColumn("_row", F.struct("doc_id", "_copy"))
     model, templates, needed = train(docs)
     required = required_grams(docs.sparkSession)
     found = scored(paragraphs_of(docs, needed), model, templates, required).withColumn(
