@@ -39,6 +39,7 @@ QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 2048
 SORTED = 1 << 15
 SUMMARIES = 256
+MOST_KNOWN = 1024
 CHUNK = 256
 MARGIN = 1e-6
 
@@ -107,21 +108,20 @@ def best_rows(query, query_row, bound, floor, block, k):
 
 
 def grouped(vectors: DataFrame, pivots: np.ndarray, block: int) -> DataFrame:
-    """Blocks of at most ``block`` rows that have one nearest pivot, their distances to all pivots,
-    and the least and largest of these."""
+    """Blocks of at most ``block`` rows in the order of their nearest pivots and the distance to it,
+    their distances to all pivots, and the least and largest of these."""
 
     def blocks(ids, keys, rows):
         table = distances(rows, pivots)
         near = table.argmin(1)
         order = np.lexsort((table[np.arange(len(rows)), near], near))
-        for group in np.split(order, np.flatnonzero(np.diff(near[order])) + 1):
-            for start in range(0, len(group), block):
-                part = group[start : start + block]
-                norms = (rows[part] ** 2).sum(1).max().astype(float)
-                yield [
-                    ids[part], keys[part], rows[part], table[part],
-                    np.concatenate([table[part].min(0), table[part].max(0), [norms]]),
-                ]
+        for start in range(0, len(order), block):
+            part = order[start : start + block]
+            norms = (rows[part] ** 2).sum(1).max().astype(float)
+            yield [
+                ids[part], keys[part], rows[part], table[part],
+                np.concatenate([table[part].min(0), table[part].max(0), [norms]]),
+            ]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -260,17 +260,23 @@ def top_k(
     names = {name: f"q_{name}" for name in ("ids", "keys", "rows", "table", "floors")}
 
     def search(batches) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}  # the k-th scores found in this task
         for batch in batches:
             for cells in batch.to_pylist():
                 block, query = arrays_of(cells), arrays_of(cells, "q_")
-                floors = np.frombuffer(cells["q_floors"], np.int64)
-                out = []
+                if cells["block"] not in known:
+                    if len(known) >= MOST_KNOWN:
+                        known.clear()
+                    known[cells["block"]] = np.frombuffer(cells["q_floors"], np.int64).copy()
+                floors, out = known[cells["block"]], []
                 for low in range(0, len(floors), 64):
                     part = slice(low, low + 64)
                     bound = upper_bounds(query["rows"][part], query["table"][part], block["rows"], block["table"])
                     for q, row in enumerate(bound, low):
                         key, name = query["keys"][q], query["ids"][q]
                         scores, found, seen = best_rows(query["rows"][q], key, row, floors[q], block, k)
+                        if len(scores) == k:
+                            floors[q] = max(floors[q], scores[-1])
                         if evaluated:
                             scores, found = np.array([seen]), np.zeros(1, np.int64)
                         out.append((np.full(len(found), key), np.full(len(found), name), found, scores))
