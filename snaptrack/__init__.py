@@ -31,6 +31,7 @@ from snaptrack.operators.rows import (
     union_all,
     value_columns,
 )
+from snaptrack.operators.versions import coalesce_versions, rebuild_versions, thin_versions
 from snaptrack.plans.late import insert_snapshot
 from snaptrack.plans.replay import apply_snapshot, replay
 from snaptrack.session import session_conf
@@ -46,6 +47,7 @@ from snaptrack.sources.files import (
     write_parquet,
 )
 from snaptrack.sources.history_table import HistoryTable
+from snaptrack.sources.pointer import free_replaced, replace_parquet
 from snaptrack.sources.run_log import StaleRun
 from snaptrack.streaming.pickup import stream_history
 
@@ -64,12 +66,14 @@ __all__ = [
     "close_rows",
     "closed_edited_rows",
     "closed_rows",
+    "coalesce_versions",
     "column_change_counts",
     "edited_keys",
     "edited_rows",
     "ensure_history",
     "explode_changes",
     "fingerprint",
+    "free_replaced",
     "history_violations",
     "ingest",
     "insert_snapshot",
@@ -81,7 +85,9 @@ __all__ = [
     "read_csv",
     "read_json",
     "read_parquet",
+    "rebuild_versions",
     "rejected_rows",
+    "replace_parquet",
     "replay",
     "rows_with_keys",
     "run_rows",
@@ -89,6 +95,7 @@ __all__ = [
     "session_conf",
     "stream_history",
     "table_path",
+    "thin_versions",
     "timeline",
     "union_all",
     "value_columns",

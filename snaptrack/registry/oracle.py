@@ -188,6 +188,35 @@ select {key}, valid_from, valid_to, case when valid_from < until then 'overlap'
 from seen where valid_from <> until"""
 
 
+def coalesced() -> str:
+    """Islands of versions that follow each other and differ in no column but the one left out."""
+    kept = [v for v in ORDERS.values if v != "o_orderpriority"]
+    same = " and ".join(f"{v} is not distinct from lag({v}) over w" for v in kept)
+    firsts = ", ".join(f"arg_min(coalesce({{'x': {v}}}), place).x as {v}" for v in kept)
+    return f"""
+with h as (
+  select * replace (case when changes is not null then
+           nullif(json_merge_patch(changes::json, '{{"o_orderpriority":null}}')::varchar, '{{}}') end as changes),
+         (valid_from, coalesce(valid_to, date '9999-12-31')) as place
+  from ({replayed("close")}) as r),
+marked as (
+  select *, case when lag(valid_to) over w = valid_from and {same} then 0 else 1 end as starts
+  from h window w as (partition by o_orderkey order by valid_from, valid_to nulls last)),
+islands as (
+  select *, sum(starts) over (partition by o_orderkey order by valid_from, valid_to nulls last) as island
+  from marked)
+select o_orderkey, {firsts}, arg_max({{'x': is_active}}, place).x as is_active,
+       min(valid_from) as valid_from, arg_max({{'x': valid_to}}, place).x as valid_to,
+       arg_max({{'x': changes}}, place).x as changes
+from islands group by o_orderkey, island"""
+
+
+def built_from_active(scenario: Scenario) -> str:
+    """The history after a run on the active rows alone: every edit of it is in its log."""
+    history = f"select * from ({source(scenario.history, scenario)}) as h where is_active"
+    return built(scenario, missing="close", history=history)
+
+
 def oracle_sql() -> dict[str, str]:
     columns = ", ".join(ORDERS.columns)
     news = ", ".join(f"n_{v} as {v}" for v in ORDERS.values)
@@ -264,6 +293,16 @@ select {', '.join(LINEITEM.columns)} from (
 where place = 1""",
         ),
         "replay": replayed("close"),
+        "replaced_parquet": "select * from supplier",
+        "rejected_rows": """
+select c_custkey, cast(null as integer) as c_nationkey, c_name,
+       c_custkey || ',' || c_mktsegment || ',' || c_name as rejected
+from customer where c_acctbal < 0""",
+        "versions_without_priority": coalesced(),
+        "rebuild_versions": built_from_active(ORDERS),
+        "rebuild_versions_events": built_from_active(EVENTS),
+        "rebuild_versions_embeddings": f"""
+select * exclude (changes) from ({built_from_active(EMBEDDINGS)}) as h""",
         "overlapping_runs": replayed("close"),
         "replay_late": replayed("close"),
         "replay_corrected": replayed("close"),

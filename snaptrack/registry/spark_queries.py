@@ -278,6 +278,45 @@ def history_violations_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.history_violations(periods, "user_id")
 
 
+def replaced_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice, the second time by rows computed from its own."""
+    rows, path = table(spark, sf_dir, "supplier"), new_folder(spark, "replaced")
+    st.replace_parquet(rows.withColumn("s_acctbal", F.lit(0.0)), path, partition_by=["s_nationkey"])
+    balances = rows.select("s_suppkey", "s_acctbal")
+    own = st.read_parquet(spark, path).drop("s_acctbal").join(balances, "s_suppkey")
+    st.replace_parquet(own, path, partition_by=["s_nationkey"])
+    st.free_replaced(spark, path, keep=1)
+    return st.read_parquet(spark, path)
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose segment is written where a number is due."""
+    rows, path = table(spark, sf_dir, "customer"), new_folder(spark, "raw")
+    number = F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).otherwise(F.col("c_nationkey").cast("string"))
+    raw = rows.select("c_custkey", number.alias("c_nationkey"), "c_name")
+    raw.write.option("header", True).csv(path)
+    schema = "c_custkey bigint, c_nationkey int, c_name string"
+    return st.rejected_rows(spark, path, schema).select("c_custkey", "c_nationkey", "c_name", "rejected")
+
+
+def versions_without_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = [name for name in ORDERS.values if name != "o_orderpriority"]
+    return st.coalesce_versions(replayed_table(spark, sf_dir).read(spark), ORDERS.key, kept)
+
+
+def rebuilt(scenario: Scenario) -> Query:
+    """A history of which the edited versions have lost their values, put together from its log."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        recent, history = frames(spark, sf_dir, scenario)
+        built_ = st.build_history(recent, st.active_rows(history), scenario.key, RUN_DATE, missing="close")
+        path = new_folder(spark, "thin")
+        st.thin_versions(built_, scenario.key).write.parquet(path)
+        return st.rebuild_versions(spark.read.schema(built_.schema).parquet(path), scenario.key)
+
+    return query
+
+
 def pieces_equal_delta(scenario: Scenario) -> Query:
     """The delta put together from its four operators."""
 
@@ -353,6 +392,13 @@ def queries() -> dict[str, Query]:
         "pieces_equal_delta": pieces_equal_delta(ORDERS),
         "pieces_equal_delta_customer": pieces_equal_delta(CUSTOMER),
         "fingerprint_embeddings": fingerprint_embeddings,
+        "replaced_parquet": replaced_parquet,
+        "rejected_rows": rejected_rows,
+        "versions_without_priority": versions_without_priority,
+        "rebuild_versions": rebuilt(ORDERS),
+        "rebuild_versions_events": rebuilt(EVENTS),
+        # Text of floating-point lists is each engine's own; the values are not.
+        "rebuild_versions_embeddings": lambda spark, sf_dir: rebuilt(EMBEDDINGS)(spark, sf_dir).drop("changes"),
         "overlapping_runs": overlapping_runs,
         "replay_late": replay_late,
         "replay_corrected": replay_corrected,

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from snaptrack.meta import ref
+from snaptrack.sources.pointer import current_folder
 
 Schema = T.StructType | str
 
@@ -65,7 +66,9 @@ def rejected_rows(
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet table: plain files, or the folder that the table's newest pointer names."""
+    current = current_folder(spark, path)
+    return spark.read.parquet(current or path)
 
 
 def write_parquet(
@@ -75,7 +78,8 @@ def write_parquet(
 
     An overwrite goes to a new folder beside the target and takes its place when it is whole, so
     the rows may come from the target itself and a job that fails leaves the target as it was.
-    The exchange is a delete and a rename, which stores without renames carry out as a copy.
+    The exchange is a delete and a rename, which stores without renames carry out as a copy; who
+    reads meanwhile may find nothing. ``replace_parquet`` has no such moment.
     """
     if mode != "overwrite":
         df.write.mode(mode).partitionBy(*partition_by).parquet(path)

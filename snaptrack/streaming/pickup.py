@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -12,7 +14,7 @@ from snaptrack.plans.replay import apply_snapshot
 from snaptrack.sources.files import table_path
 from snaptrack.sources.history_table import HistoryTable
 
-APPLIED = "day date, rows long"
+APPLIED = "day date, rows long, files int"
 
 
 def land_files(
@@ -75,21 +77,28 @@ def stream_history(
         raise ValueError(f"{table.root} has no state yet; write a first history")
     if landed is None:
         rows = spark.read.schema(schema).format(format).load(landing)
+        rows = rows.withColumn(date_column, ref(date_column).cast("date"))
+        files, applied = {}, {}
     else:
         land_files(spark, landing, schema, date_column, landed, format)
-        try:
-            rows = spark.read.parquet(table_path(landed, "rows"))
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        rows = _landed_rows(spark, schema, date_column, landed)
+        if rows is None:
             return table.read(spark)
-    rows = rows.withColumn(date_column, ref(date_column).cast("date"))
+        files, applied = _files_per_day(rows, date_column), _applied(spark, landed)
+    late = sorted(str(day) for day, (_, n) in applied.items() if n is not None and files[str(day)] != n)
+    if late:
+        raise ValueError(f"rows landed for dates that are applied already: {late}")
+    # Files of days before the last run are listed and not opened; a day that was applied by an
+    # older version is counted once more, as its files were not noted.
+    counted = ref(date_column).isNull() | (ref(date_column) > date_of(runs[-1]))
+    unknown = [date_of(day) for day, (_, n) in applied.items() if n is None]
+    if unknown:
+        counted |= ref(date_column).isin(unknown)
     # One row per snapshot: the calendar bounds it.
-    counts = {row[0]: row[1] for row in rows.groupBy(ref(date_column)).count().collect()}
+    counts = {row[0]: row[1] for row in rows.filter(counted).groupBy(ref(date_column)).count().collect()}
     if None in counts:
         raise ValueError(f"{counts[None]} landed rows have no {date_column}")
-    applied = _applied(spark, landed) if landed else {}
-    late = sorted(str(day) for day, n in applied.items() if counts.get(day, n) != n)
+    late = sorted(str(day) for day, (n, known) in applied.items() if known is None and counts.get(day, n) != n)
     if late:
         raise ValueError(f"rows landed for dates that are applied already: {late}")
     for day in sorted(counts):
@@ -97,17 +106,39 @@ def stream_history(
             recent = rows.filter(ref(date_column) == date_of(day)).drop(date_column)
             apply_snapshot(spark, table, day, recent, key, missing, **options)
             if landed:
-                entry = spark.createDataFrame([(day, counts[day])], APPLIED)
+                entry = spark.createDataFrame([(day, counts[day], files[str(day)])], APPLIED)
                 entry.coalesce(1).write.mode("append").parquet(table_path(landed, "applied"))
     return table.read(spark)
 
 
-def _applied(spark: SparkSession, landed: str) -> dict[dt.date, int]:
-    """How many rows each applied snapshot had."""
+def _landed_rows(
+    spark: SparkSession, schema: T.StructType | str, date_column: str, landed: str
+) -> DataFrame | None:
+    """What has landed so far, with the schema the caller states: no file is opened to find it."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    dated = [T.StructField(f.name, T.DateType() if f.name == date_column else f.dataType) for f in fields]
+    try:
+        rows = spark.read.schema(T.StructType(dated)).parquet(table_path(landed, "rows"))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return rows
+
+
+def _files_per_day(rows: DataFrame, date_column: str) -> Counter[str]:
+    """How many files each day has, by the names of their folders."""
+    mark = f"{date_column}="
+    folders = [part for path in rows.inputFiles() for part in path.split("/") if part.startswith(mark)]
+    return Counter(unquote(folder.removeprefix(mark)) for folder in folders)
+
+
+def _applied(spark: SparkSession, landed: str) -> dict[dt.date, tuple[int, int | None]]:
+    """How many rows and files each applied snapshot had."""
     try:
         found = spark.read.schema(APPLIED).parquet(table_path(landed, "applied")).collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    return {row["day"]: row["rows"] for row in found}
+    return {row["day"]: (row["rows"], row["files"]) for row in found}
