@@ -13,6 +13,7 @@ from snaptrack.operators.diff import (
     new_rows,
 )
 from snaptrack.operators.history import build_history, run_rows
+from snaptrack.operators.moves import classify_with_moves, moved_keys
 from snaptrack.operators.reads import (
     as_of,
     change_summary,
@@ -31,6 +32,7 @@ from snaptrack.operators.rows import (
     union_all,
     value_columns,
 )
+from snaptrack.operators.summaries import merge_summaries, run_summaries
 from snaptrack.operators.versions import coalesce_versions, rebuild_versions, thin_versions
 from snaptrack.plans.late import insert_snapshot
 from snaptrack.plans.replay import apply_snapshot, replay
@@ -63,6 +65,7 @@ __all__ = [
     "change_log",
     "change_summary",
     "classify",
+    "classify_with_moves",
     "close_rows",
     "closed_edited_rows",
     "closed_rows",
@@ -79,6 +82,8 @@ __all__ = [
     "insert_snapshot",
     "join_as_of",
     "key_violations",
+    "merge_summaries",
+    "moved_keys",
     "new_keys",
     "new_rows",
     "open_rows",
@@ -91,6 +96,7 @@ __all__ = [
     "replay",
     "rows_with_keys",
     "run_rows",
+    "run_summaries",
     "s3a_conf",
     "session_conf",
     "stream_history",

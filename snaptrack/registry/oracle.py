@@ -6,6 +6,7 @@ from snaptrack.registry.scenarios import (
     CONVERSATIONS,
     CUSTOMER,
     CUSTOMER_JANUARY,
+    CUSTOMER_RENUMBERED,
     DOCUMENTS,
     EMBEDDINGS,
     EVENTS,
@@ -211,6 +212,23 @@ select o_orderkey, {firsts}, arg_max({{'x': is_active}}, place).x as is_active,
 from islands group by o_orderkey, island"""
 
 
+def moves() -> str:
+    """CTEs that end with ``moved``: rows of equal values, numbered by key on either side."""
+    scenario = CUSTOMER_RENUMBERED
+    values = scenario.values
+    sides = [
+        f"{name} as (select c_custkey, {', '.join(f'{mark}_{v} as {v}' for v in values)}, "
+        f"row_number() over (partition by {', '.join(f'{mark}_{v}' for v in values)} order by c_custkey) as place "
+        f"from pairs where event = '{event}')"
+        for name, mark, event in (("came", "n", "insert"), ("went", "o", "missing"))
+    ]
+    same = " and ".join(f"came.{v} is not distinct from went.{v}" for v in values)
+    return f"""{pairs(scenario)},
+{', '.join(sides)},
+moved as (select came.c_custkey, went.c_custkey as previous_c_custkey
+          from came join went on came.place = went.place and {same})"""
+
+
 def built_from_active(scenario: Scenario) -> str:
     """The history after a run on the active rows alone: every edit of it is in its log."""
     history = f"select * from ({source(scenario.history, scenario)}) as h where is_active"
@@ -303,6 +321,19 @@ from customer where c_acctbal < 0""",
         "rebuild_versions_events": built_from_active(EVENTS),
         "rebuild_versions_embeddings": f"""
 select * exclude (changes) from ({built_from_active(EMBEDDINGS)}) as h""",
+        "moved_keys": moves() + " select * from moved",
+        "classify_with_moves": moves()
+        + """
+select p.c_custkey, case when m.c_custkey is not null then 'moved' else event end as event,
+       m.previous_c_custkey
+from pairs p left join moved m on m.c_custkey = p.c_custkey
+where event <> 'missing' or p.c_custkey not in (select previous_c_custkey from moved)""",
+        "merged_summaries": f"""
+select column_name, count(*) as edit_count, true as keys_near,
+       case when column_name in ('o_custkey', 'o_totalprice') then true end as median_near
+from (select unnest(json_keys(changes)) as column_name from ({replayed("close")}) as h
+      where valid_to >= date '{RUN_DATE}' and changes is not null) as c
+group by column_name""",
         "overlapping_runs": replayed("close"),
         "replay_late": replayed("close"),
         "replay_corrected": replayed("close"),

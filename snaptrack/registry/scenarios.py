@@ -212,6 +212,17 @@ select c_custkey, upper(c_name) as c_name, c_nationkey,
 from {table} where c_nationkey <> 11
 """,
 )
+# Customers of one nation were renumbered; without names and balances many are alike.
+CUSTOMER_RENUMBERED = Scenario(
+    table="customer",
+    key=CUSTOMER.key,
+    values=("c_nationkey", "c_mktsegment"),
+    history=f"""
+select case when c_nationkey < 8 then -c_custkey - 1 else c_custkey end as c_custkey, c_nationkey,
+       case when c_acctbal < 0 then null else c_mktsegment end as c_mktsegment, {OPEN}
+from {{table}} where c_mktsegment <> 'MACHINERY'
+""",
+)
 JANUARY_RUNS = ("2024-01-11", "2024-01-21")
 
 # Periods of users as events state them: with overlaps, gaps, reversed dates and wrong flags.

@@ -12,6 +12,7 @@ from snaptrack.registry.scenarios import (
     CONVERSATIONS,
     CUSTOMER,
     CUSTOMER_JANUARY,
+    CUSTOMER_RENUMBERED,
     DOCUMENTS,
     EMBEDDINGS,
     EVENTS,
@@ -317,6 +318,35 @@ def rebuilt(scenario: Scenario) -> Query:
     return query
 
 
+def moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.moved_keys(*frames(spark, sf_dir, CUSTOMER_RENUMBERED), CUSTOMER_RENUMBERED.key)
+
+
+def classify_with_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return st.classify_with_moves(*frames(spark, sf_dir, CUSTOMER_RENUMBERED), CUSTOMER_RENUMBERED.key)
+
+
+def merged_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries stored by run and merged for a range; the estimates are held against exact counts
+    of the same history, and must lie within three standard errors."""
+    history, path = replayed_table(spark, sf_dir).read(spark), new_folder(spark, "summaries")
+    st.run_summaries(history, ORDERS.key).write.partitionBy("run_date").parquet(path)
+    merged = st.merge_summaries(st.read_parquet(spark, path), RUN_DATE, SECOND_DATE, quantiles=[0.5])
+    cells = st.explode_changes(history, ORDERS.key).filter(F.col("valid_to") >= F.lit(RUN_DATE).cast("date"))
+    exact = cells.groupBy("column_name").agg(F.countDistinct(*ORDERS.key).alias("exact"))
+    difference = F.expr("try_cast(new_value as double) - try_cast(old_value as double)")
+    middle = merged.select("column_name", F.col("differences")[0].alias("median"))
+    ranks = cells.join(middle, "column_name").groupBy("column_name").agg(
+        F.avg((difference < F.col("median")).cast("double")).alias("below"),
+        F.avg((difference <= F.col("median")).cast("double")).alias("upto"),
+    )
+    near = F.abs(F.col("key_count") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return merged.join(exact, "column_name").join(ranks, "column_name").select(
+        "column_name", "edit_count", near.alias("keys_near"),
+        ((F.col("below") <= 0.55) & (F.col("upto") >= 0.45)).alias("median_near"),
+    )
+
+
 def pieces_equal_delta(scenario: Scenario) -> Query:
     """The delta put together from its four operators."""
 
@@ -399,6 +429,9 @@ def queries() -> dict[str, Query]:
         "rebuild_versions_events": rebuilt(EVENTS),
         # Text of floating-point lists is each engine's own; the values are not.
         "rebuild_versions_embeddings": lambda spark, sf_dir: rebuilt(EMBEDDINGS)(spark, sf_dir).drop("changes"),
+        "moved_keys": moved_keys,
+        "classify_with_moves": classify_with_moves,
+        "merged_summaries": merged_summaries,
         "overlapping_runs": overlapping_runs,
         "replay_late": replay_late,
         "replay_corrected": replay_corrected,
