@@ -608,3 +608,111 @@ def repaired(rows: DataFrame) -> DataFrame:
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(damaged(table(spark, sf_dir, "conversations")))
+
+
+def _oracle() -> str:
+    """The same by a search over states, row by row and letter by letter."""
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    far = "{'c': 1000000000, 'a': ''}"
+
+    def after(state: str, cost: str, edits: str) -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edits}'}}"
+
+    def first(*choices: str) -> str:
+        return f"list_sort([{', '.join(choices)}])[1]"
+
+    def may(condition: str, choice: str) -> str:
+        return f"case when {condition} then {choice} else {far} end"
+
+    inserted = [
+        "s[1]",
+        "s[2]",
+        first("s[3]", *(after(f"s[{i}]", "2", "I") for i in (1, 2, 4))),
+        first("s[4]", after("s[3]", "2", "I"), *(after(f"s[{i}]", "4", "II") for i in (1, 2))),
+    ]
+    free, late = "o.fault in ('.', 't')", "case when o.fault = 't' then 1 else 0 end"
+    kept = f"({late})"
+    again = f"(2 + {late})"
+    moved = [
+        after("i[1]", "3", "D"),
+        first(after("i[2]", "3", "D"), may(f"{free} and o.initial = 's'", after("i[1]", kept, "K"))),
+        first(
+            after("i[3]", "3", "D"),
+            *(may(free, after(f"i[{j}]", again, "R")) for j in (1, 2, 4)),
+            *(may(f"{free} and o.initial = 'u'", after(f"i[{j}]", kept, "K")) for j in (1, 2, 4)),
+        ),
+        first(
+            after("i[4]", "3", "D"),
+            may(free, after("i[3]", again, "R")),
+            may(f"{free} and o.initial = 'a'", after("i[3]", kept, "K")),
+        ),
+    ]
+    ended = first("s[1]", after("s[2]", "4", "II"), after("s[3]", "2", "I"), "s[4]")
+    return f"""
+with recursive
+k as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name
+  from conversations),
+h as (
+  select *, xor(list_reduce(
+    list_prepend(4294967295::ubigint, list_transform(string_split(name, ''), lambda c: ascii(c)::ubigint)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda j: j::ubigint)),
+      lambda v, j: xor(v >> 1, case when v & 1 = 1 then 3988292384::ubigint else 0::ubigint end))),
+    4294967295::ubigint) % 20 as hit
+  from k),
+d as (
+  select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+         case when hit = 1 then '' when hit = 2 then translate(text, '.!?', '') else text end as text
+  from h, unnest(case when hit = 3 then [0, 1] else [0] end) as t(copy) where hit <> 0),
+n as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, substr(text, 1, {HEAD}),
+           sha256(strlen(role)::varchar || ':' || role || text)) as n
+  from d),
+o as (
+  select *, case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'x' end as initial,
+         case when trim(text, {blanks}) = '' then 'b'
+              when row_number() over (partition by conv_id, role, text order by n) > 1 then 'd'
+              when right(rtrim(text, {blanks}), 1) in ('.', '!', '?') then '.' else 't' end as fault
+  from n),
+convs as (
+  select c.conv_id, count(o.n) as size,
+         coalesce(max(o.turn) - min(o.turn) + 1 - count(distinct o.turn), 0) as gaps,
+         coalesce(count_if(o.fault = 'b'), 0) as blank, coalesce(count_if(o.fault = 'd'), 0) as duplicate,
+         coalesce(count_if(o.fault = 't'), 0) as truncated
+  from (select distinct conv_id from conversations) c
+  left join o on o.conv_id is not distinct from c.conv_id group by c.conv_id),
+bad as (
+  select a.conv_id, count(*) as illegal from o a join o b
+    on a.conv_id is not distinct from b.conv_id and b.n = a.n + 1
+  where a.initial || b.initial not in ('su', 'ua', 'au') group by a.conv_id),
+dp as (
+  select conv_id, 0::bigint as n, [{{'c': 0, 'a': ''}}, {far}, {far}, {far}] as s from convs
+  union all
+  select conv_id, n, [{', '.join(moved)}] as s
+  from (select dp.conv_id, o.n, o, [{', '.join(inserted)}] as i
+        from dp join o on o.conv_id is not distinct from dp.conv_id and o.n = dp.n + 1) as p),
+best as (
+  select convs.*, {ended} as top from convs join dp
+    on dp.conv_id is not distinct from convs.conv_id and dp.n = convs.size),
+lines as (
+  select conv_id, top.a as audit, 0 as place, 0::bigint as n, 0 as state, null::varchar as written from best
+  union all
+  select l.conv_id, l.audit, l.place + 1, l.n + (e <> 'I')::int,
+         case when e = 'D' then l.state when e = 'K' and o.initial = 's' then 1
+              when e = 'K' and o.initial = 'u' then 2 when e = 'K' then 3
+              when l.state = 2 then 3 else 2 end,
+         case when e = 'D' then l.written else
+           coalesce(l.written || chr(10), '') || case when e = 'K' then o.role
+             when l.state = 2 then 'assistant' else 'user' end || ':' ||
+           case when e = 'I' then '' else o.text end end
+  from (select *, substr(audit, place + 1, 1) as e from lines where place < length(audit)) as l
+  left join o on o.conv_id is not distinct from l.conv_id and o.n = l.n + 1)
+select best.conv_id, gaps::bigint as gaps, blank::bigint as blank, duplicate::bigint as duplicate,
+       truncated::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, top.c::bigint as cost,
+       top.a as audit, sha256(coalesce(written, '')) as repaired_sha256
+from best left join bad on bad.conv_id is not distinct from best.conv_id
+join lines on lines.conv_id is not distinct from best.conv_id and lines.place = length(top.a)"""
+
+
+ORACLE = _oracle()

@@ -43,4 +43,5 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": quality_rules.oracle(),
     "op8_ngram_jaccard": jaccard.ORACLE,
     "op11_hard_negatives": negatives.ORACLE,
+    "op12_conversation_repair": conversations.ORACLE,
 }

@@ -6,10 +6,12 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from snaptrack.llm import conversations as cv
+from tests.compare import duck_rows, spark_rows
 from tests.conftest import SMALL
 
 SCHEMA = "conv_id long, turn long, role string, text string, seg string, kind int, audit string"
@@ -111,6 +113,19 @@ def test_drawn_conversations(spark):
     check(spark, rows + drawn(rng, None, 40, texts))
 
 
+def test_drawn_conversations_match_the_sql(spark, tmp_path):
+    rng = random.Random(21)
+    texts = ["Yes.", "No!", "cut off", " ", "", None, "été", "\n\t", "a b.", "1", "2.", "x" * 70 + "1.", "x" * 70 + "2."]
+    rows = [row for conv in range(250) for row in drawn(rng, conv, rng.randrange(9), texts)]
+    rows += drawn(rng, None, 9, texts)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    found = spark_rows(cv.op12(spark, str(tmp_path)))
+    assert found == duck_rows(duck, cv.ORACLE) and len(found[1]) > 200
+
+
 def test_one_conversation_with_most_rows(spark, monkeypatch):
     monkeypatch.setattr(cv, "SEGMENT_ROWS", 16)
     rng = random.Random(8)
