@@ -10,8 +10,9 @@ are the hashed words and word pairs of its lower case form, each of weight one o
 their number. A multinomial logistic regression tells licence families and ``unknown`` apart; a
 held-back part of its rows sets the temperature of the probabilities. A prediction is confirmed if its probability reaches ``CERTAIN`` and a template
 of the family shares ``SHARE`` of its words and word pairs with the paragraph, which must hold what
-tells the family from its likes (``REQUIRED``: lesser, affero, version numbers, sa, nc); its
-template share is 0 otherwise.
+tells the family from its likes (``REQUIRED``: lesser, affero, version numbers, sa, nc) and nothing
+that takes the grant back (``DENIED``: not licensed, no longer released); its template share is 0
+otherwise. Identifiers of the SPDX list are templates like others.
 
 The model is fitted on the driver on the templates, on variants of them, and on the paragraphs of
 ``SAMPLE`` document ids, the first in the order of a hash, that match no template: at most
@@ -158,6 +159,24 @@ TEMPLATES = {
         "this work is licensed under a creative commons attribution noncommercial 4 0"
         " international license",
     ),
+    "bsl-1.0": (
+        "distributed under the boost software license version 1 0",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy"
+        " of the software and accompanying documentation covered by this license",
+    ),
+    "epl-2.0": (
+        "licensed under the eclipse public license version 2 0",
+        "this program and the accompanying materials are made available under the terms of the"
+        " eclipse public license 2 0",
+    ),
+    "eupl-1.2": (
+        "licensed under the eupl version 1 2",
+        "licensed under the european union public licence version 1 2",
+    ),
+    "unlicense": (
+        "released under the unlicense",
+        "this is free and unencumbered software released into the public domain",
+    ),
     "all-rights-reserved": (
         "all rights reserved",
         "no part of this work may be reproduced without the written permission of the publisher",
@@ -186,7 +205,47 @@ REQUIRED = {
     "cc-by-nc-sa-4.0": (("nc sa", "noncommercial sharealike"), ("sa 4", "sharealike 4")),
     "cc-by-nc-nd-4.0": (("nc nd", "noncommercial noderivatives"), ("nd 4", "noderivatives 4")),
     "cc0-1.0": (("cc0",), ("cc0 1", "1 0")),
+    "bsl-1.0": (("boost", "bsl", "or organization"),),
+    "epl-2.0": (("eclipse", "epl"), ("2 0", "epl 2", "v2 0", "v 2")),
+    "eupl-1.2": (("eupl", "european union"), ("1 2", "v1 2")),
+    "unlicense": (("unlicense", "unencumbered"),),
+}
+
+# Identifiers as they follow "SPDX-License-Identifier:", in lower case without signs.
+IDENTIFIERS = {
+    "apache-2.0": ("apache 2 0",),
+    "mit": ("mit",),
+    "gpl-3.0": ("gpl 3 0 only", "gpl 3 0 or later"),
+    "gpl-2.0": ("gpl 2 0 only", "gpl 2 0 or later"),
+    "lgpl-3.0": ("lgpl 3 0 only", "lgpl 3 0 or later"),
+    "lgpl-2.1": ("lgpl 2 1 only", "lgpl 2 1 or later"),
+    "agpl-3.0": ("agpl 3 0 only", "agpl 3 0 or later"),
+    "mpl-2.0": ("mpl 2 0",),
+    "isc": ("isc",),
+    "bsd-2-clause": ("bsd 2 clause",),
+    "bsd-3-clause": ("bsd 3 clause",),
+    "cc-by-4.0": ("cc by 4 0",),
+    "cc-by-sa-4.0": ("cc by sa 4 0",),
+    "cc-by-nd-4.0": ("cc by nd 4 0",),
+    "cc-by-nc-4.0": ("cc by nc 4 0",),
+    "cc-by-nc-sa-4.0": ("cc by nc sa 4 0",),
+    "cc-by-nc-nd-4.0": ("cc by nc nd 4 0",),
+    "cc0-1.0": ("cc0 1 0",),
+    "bsl-1.0": ("bsl 1 0",),
+    "epl-2.0": ("epl 2 0",),
+    "eupl-1.2": ("eupl 1 2",),
+    "unlicense": ("unlicense",),
 }
+TEMPLATES = {
+    family: (*texts, *(f"spdx license identifier {name}" for name in IDENTIFIERS.get(family, ())))
+    for family, texts in TEMPLATES.items()
+}
+
+# Word pairs that take back a grant; a paragraph that holds one is not confirmed.
+DENIED = (
+    "not licensed", "not released", "not under", "never licensed", "never released",
+    "longer licensed", "longer released", "nor licensed", "not covered", "not available",
+)
 
 # Sentences about licences that grant none.
 NO_LICENCE = (
@@ -318,6 +377,10 @@ def numbered(spark: SparkSession, texts: list[str]) -> list[tuple[list[int], lis
     return [(row["_slots"], row["_grams"]) for row in found]
 
 
+def denied_grams(spark: SparkSession) -> list[int]:
+    return [grams[-1] for _, grams in numbered(spark, list(DENIED))]  # a pair comes last
+
+
 def required_grams(spark: SparkSession) -> list[list[list[int]]]:
     """The groups of ``REQUIRED`` as grams, per family in the order of the templates."""
     names = sorted({gram for groups in REQUIRED.values() for group in groups for gram in group})
@@ -437,7 +500,7 @@ def train(docs: DataFrame) -> tuple[Model, dict[str, list[list[int]]], list[str]
 
 def scored(
     paragraphs: DataFrame, model: Model, templates: dict[str, list[list[int]]],
-    required: list[list[list[int]]],
+    required: list[list[list[int]]], denied: list[int],
 ) -> DataFrame:
     """The paragraphs that some family may win, with ``family, probability, template``."""
     rows, kept = paragraphs, [name for name in paragraphs.columns if name != "_words"]
@@ -466,7 +529,8 @@ def scored(
     told = F.forall(
         F.element_at(literal([*required, []]), place), lambda group: F.arrays_overlap("_grams", group)
     )
-    match = F.when(told, shares).otherwise(F.lit(0.0))
+    taken_back = F.arrays_overlap("_grams", F.from_json(F.lit(json.dumps(denied)), "array<long>"))
+    match = F.when(told & ~taken_back, shares).otherwise(F.lit(0.0))
     return rows.select(
         *kept, F.col("_best.f").alias("family"),
         F.round(F.lit(1.0) / mass, 6).alias("probability"), match.alias("template"),
@@ -478,8 +542,8 @@ def scan(docs: DataFrame) -> DataFrame:
     docs = told_apart(docs.select("doc_id", "text"), "_copy")
     docs = docs.withColumn("_row", F.struct("doc_id", "_copy"))
     model, templates, needed = train(docs)
-    required = required_grams(docs.sparkSession)
-    found = scored(paragraphs_of(docs, needed), model, templates, required).withColumn(
+    required, denied = required_grams(docs.sparkSession), denied_grams(docs.sparkSession)
+    found = scored(paragraphs_of(docs, needed), model, templates, required, denied).withColumn(
         "confirmed", (F.col("probability") >= CERTAIN) & (F.col("template") >= SHARE)
     ).filter("line = last or confirmed")
     fields = ["line", "last", "family", "probability", "template", "confirmed"]

@@ -171,6 +171,23 @@ OTHERS = {
     "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"],
     "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
     "work under CC0 1.0 Universal.": ["cc0-1.0"],
+    "Distributed under the Boost Software License, Version 1.0.": ["bsl-1.0"],
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+    "which is available at https://www.eclipse.org/legal/epl-2.0/": ["epl-2.0"],
+    "Licensed under the EUPL, Version 1.2 only": ["eupl-1.2"],
+    "This is free and unencumbered software released into the public domain.": ["unlicense"],
+    "// SPDX-License-Identifier: Apache-2.0": ["apache-2.0"],
+    "# SPDX-License-Identifier: MIT": ["mit"],
+    "/* SPDX-License-Identifier: GPL-2.0-or-later */": ["gpl-2.0"],
+    "SPDX-License-Identifier: LGPL-2.1-only": ["lgpl-2.1"],
+    "SPDX-License-Identifier: BSD-3-Clause": ["bsd-3-clause"],
+    "SPDX-License-Identifier: CC-BY-SA-4.0": ["cc-by-sa-4.0"],
+    "SPDX-License-Identifier: EPL-2.0": ["epl-2.0"],
+    # what is not granted
+    "This file is NOT licensed under the MIT license.": [],
+    "The tool is no longer released under the MIT License.": [],
+    "The second part was never licensed under the Apache License, Version 2.0.": [],
+    "SPDX-License-Identifier: LicenseRef-Proprietary": [],
     # the likes of families that are not listed
     "You should have received a copy of the GNU General Public License along with this program.": [],
     FREE.format("program", "Lesser General Public", "9"): [],
