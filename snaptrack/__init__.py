@@ -35,6 +35,7 @@ from snaptrack.operators.rows import (
 from snaptrack.operators.summaries import merge_summaries, run_summaries
 from snaptrack.operators.versions import coalesce_versions, rebuild_versions, thin_versions
 from snaptrack.plans.late import insert_snapshot
+from snaptrack.plans.partial import apply_changes
 from snaptrack.plans.replay import apply_snapshot, replay
 from snaptrack.session import session_conf
 from snaptrack.sources.bucketed import buckets_for, write_bucketed
@@ -58,6 +59,7 @@ __all__ = [
     "MetaColumns",
     "StaleRun",
     "active_rows",
+    "apply_changes",
     "apply_snapshot",
     "as_of",
     "buckets_for",

@@ -335,6 +335,7 @@ from (select unnest(json_keys(changes)) as column_name from ({replayed("close")}
       where valid_to >= date '{RUN_DATE}' and changes is not null) as c
 group by column_name""",
         "overlapping_runs": replayed("close"),
+        "replay_changes": replayed("close"),
         "replay_late": replayed("close"),
         "replay_corrected": replayed("close"),
         "join_as_of": joined_as_of(),

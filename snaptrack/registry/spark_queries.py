@@ -237,6 +237,19 @@ def overlapping_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark)
 
 
+def replay_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on what has changed alone, the second one with the keys that are gone."""
+    recent, history = frames(spark, sf_dir, ORDERS)
+    second, key = second_frame(spark, sf_dir, ORDERS), list(ORDERS.key)
+    store = st.HistoryTable(new_folder(spark, "changes"), key=ORDERS.key, parts=8)
+    store.write(st.ensure_history(history, BASE_DATE), BASE_DATE, checked=True)
+    for day, rows in ((RUN_DATE, recent), (SECOND_DATE, second)):
+        events = st.classify(rows, store.read(spark), key).filter("event <> 'unchanged'")
+        changes = events.join(rows, key, "left").withColumn("gone", F.col("event") == "missing").drop("event")
+        st.apply_changes(spark, store, day, changes, key, deleted="gone")
+    return store.read(spark)
+
+
 def replay_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot of the first date arrives after that of the second."""
     store, recent, second = started(spark, sf_dir)
@@ -433,6 +446,7 @@ def queries() -> dict[str, Query]:
         "classify_with_moves": classify_with_moves,
         "merged_summaries": merged_summaries,
         "overlapping_runs": overlapping_runs,
+        "replay_changes": replay_changes,
         "replay_late": replay_late,
         "replay_corrected": replay_corrected,
         "join_as_of": join_as_of,

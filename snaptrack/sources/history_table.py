@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from snaptrack.meta import (
     DEFAULT_META,
@@ -26,6 +26,9 @@ from snaptrack.sources.files import table_path
 from snaptrack.sources.run_log import ATTEMPT, DROPPED, FINISHED, LEFT_OUT, RUN, RunLog, StaleRun
 
 
+PART = "part"
+
+
 @dataclass(frozen=True)
 class HistoryTable:
     """Layout ``root/rows/run_date=D/attempt=A/<active>=true|false`` plus a log of runs.
@@ -48,12 +51,22 @@ class HistoryTable:
     then reads the active rows in their buckets and shuffles its snapshot alone. Take as many
     buckets as shuffle partitions or more, or Spark may prefer to shuffle both sides. The buckets
     are described to the session's own catalog for the time of a run; no metastore is needed.
+
+    With ``key`` and ``parts`` the rows of a run lie in that many folders by a hash of the key. A run
+    on a partial snapshot (``apply_changes``) then reads and writes the parts that its keys fall into;
+    the other parts of the active rows stay where earlier runs have written them, and the log names
+    who holds them. Shuffle partitions in a multiple of ``parts`` give one file a task.
     """
 
     root: str
     meta: MetaColumns = DEFAULT_META
     key: KeySpec | None = None
     buckets: int | None = None
+    parts: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.parts is not None and (self.key is None or self.buckets is not None):
+            raise ValueError("parts need a key, and cannot be combined with buckets")
 
     def log(self, spark: SparkSession) -> RunLog:
         return RunLog.read(spark, self._log_path())
@@ -79,24 +92,30 @@ class HistoryTable:
         checked: bool = False,
         base: Row | None = None,
         missing: str | None = None,
+        touched: Collection[int] | None = None,
     ) -> None:
         """Store the rows of a run and enter it in the log.
 
         ``checked`` says that the rows hold one active version per key, as those of ``run_rows``
         do; a run on top of others checks the keys again. ``base`` is the entry of the state that
         the rows were built on, by default the newest before the date; ``missing`` is what was
-        done with rows that the snapshot lacked, which a later correction must know.
+        done with rows that the snapshot lacked, which a later correction must know. ``touched`` are
+        the only parts that the rows are of; the base keeps the others.
         """
         spark, day = rows.sparkSession, as_day(run_date)
         base = base or self.base(spark, day)
         attempt = self.store(rows, day, checked)
         self._refuse_stale(spark, day, base)
-        self.enter(spark, day, attempt, rows, checked, base, missing)
+        held = None
+        if touched is not None and base is not None:
+            holders = self.log(spark).holders(base)
+            held = {part: holder for part, holder in holders.items() if part not in touched}
+        self.enter(spark, day, attempt, rows, checked, base, missing, held=held)
         self._find_overlap(spark, day, attempt, base)
 
     def store(self, rows: DataFrame, day: dt.date, checked: bool) -> str:
         """Write rows to a new attempt of a run, which no state reads before it is entered."""
-        taken = [name for name in rows.columns if name.lower() in (RUN, ATTEMPT)]
+        taken = [name for name in rows.columns if name.lower() in (RUN, ATTEMPT, PART)]
         if taken:
             raise ValueError(f"columns {taken} are named like the table's folders; rename them")
         if self.meta.active not in rows.columns:
@@ -105,7 +124,10 @@ class HistoryTable:
         folder = self._folder(day, attempt)
         # Unchecked rows may hold very many versions of a key, too many for one bucket.
         buckets = self._buckets(checked)
-        if buckets is None:
+        if self.parts is not None:
+            placed = rows.withColumn(PART, self.part_of())
+            placed.write.partitionBy(self.meta.active, PART).parquet(folder)
+        elif buckets is None:
             rows.write.partitionBy(self.meta.active).parquet(folder)
         else:
             name, keys = f"snaptrack_{attempt}", key_list(self.key)
@@ -124,8 +146,10 @@ class HistoryTable:
         base: Row | None,
         missing: str | None,
         state: str = FINISHED,
+        held: dict[int, tuple[dt.date, str]] | None = None,
     ) -> None:
-        """Enter a stored attempt in the log, from which moment on it counts."""
+        """Enter a stored attempt in the log, from which moment on it counts. ``held`` are the parts
+        of the active rows that other attempts hold."""
         self.log(spark).write(
             spark,
             self._log_path(),
@@ -138,8 +162,14 @@ class HistoryTable:
             base_date=base and base[RUN],
             base_attempt=base and base[ATTEMPT],
             missing=missing,
+            parts=self.parts,
+            held=json.dumps({part: (str(d), a) for part, (d, a) in held.items()}) if held else None,
         )
 
+    def part_of(self) -> Column:
+        """The part that a row belongs to."""
+        return F.pmod(F.hash(*refs(key_list(self.key))), F.lit(self.parts)).cast("int")
+
     def _buckets(self, checked: bool) -> int | None:
         return self.buckets if checked else None
 
@@ -224,14 +254,22 @@ class HistoryTable:
         """
         if keep < 1:
             raise ValueError("the newest run cannot be dropped")
-        whole = [entry for entry in self.log(spark).chain() if entry.state == FINISHED]
+        log = self.log(spark)
+        whole = [entry for entry in log.chain() if entry.state == FINISHED]
+        # A run that holds parts of a kept one keeps its rows.
+        needed = {holder for entry in whole[-keep:] for holder in log.holders(entry).values()}
         for entry in whole[:-keep]:
+            if (entry[RUN], entry[ATTEMPT]) in needed:
+                continue
             # First the log: a run whose rows are going must not be read any more.
             values = entry.asDict() | {"state": DROPPED}
             self.log(spark).write(spark, self._log_path(), **values)
             nothing = spark.createDataFrame([], _schema(entry)).drop(self.meta.active)
             path = f"{self._folder(entry[RUN], entry[ATTEMPT])}/{self.meta.active}=true"
-            nothing.write.mode("overwrite").parquet(path)
+            for part in range(entry.parts or 0):
+                nothing.write.mode("overwrite").parquet(f"{path}/{PART}={part}")
+            if not entry.parts:
+                nothing.write.mode("overwrite").parquet(path)
 
     def _state(
         self,
@@ -239,7 +277,23 @@ class HistoryTable:
         run_date: dt.date | str | None = None,
         closed_after: dt.date | str | None = None,
     ) -> DataFrame:
-        chain = self.log(spark).chain(as_day(run_date) if run_date is not None else None)
+        """The rows of a state, with the columns of its newest run."""
+        rows = self._placed(spark, run_date, closed_after)
+        return rows.drop(RUN, ATTEMPT, PART)
+
+    def parts_of(self, spark: SparkSession, entry: Row, parts: Collection[int]) -> DataFrame:
+        """The active rows of some parts of a run; no other folder is read."""
+        rows = self._placed(spark, entry[RUN]).filter(ref(self.meta.active) & F.col(PART).isin(*parts))
+        return rows.drop(RUN, ATTEMPT, PART)
+
+    def _placed(
+        self,
+        spark: SparkSession,
+        run_date: dt.date | str | None = None,
+        closed_after: dt.date | str | None = None,
+    ) -> DataFrame:
+        log = self.log(spark)
+        chain = log.chain(as_day(run_date) if run_date is not None else None)
         if not chain:
             raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
         newest = chain[-1]
@@ -251,17 +305,24 @@ class HistoryTable:
         closing = [
             entry for entry in chain if closed_after is None or entry[RUN] > as_day(closed_after)
         ]
-        used = closing if newest in closing else [*closing, newest]
+        current = (newest[RUN], newest[ATTEMPT])
+        holders: dict[tuple[dt.date, str], list[int]] = {current: []}
+        for part, holder in log.holders(newest).items():
+            holders.setdefault(holder, []).append(part)
+        if newest.parts:
+            folders.append(T.StructField(PART, T.IntegerType()))
         # One folder per run that matters, and no other is listed.
+        used = dict.fromkeys([*((entry[RUN], entry[ATTEMPT]) for entry in closing), *holders])
         reader = spark.read.schema(T.StructType([*columns.fields, *folders]))
         rows = reader.option("basePath", table_path(self.root, "rows")).parquet(
-            *[self._folder(entry[RUN], entry[ATTEMPT]) for entry in used]
+            *[self._folder(*attempt) for attempt in used]
         )
         active = F.coalesce(ref(self.meta.active), F.lit(False))
-        state = (active & (F.col(RUN) == date_of(newest[RUN]))) | (
-            ~active & F.col(RUN).isin([date_of(entry[RUN]) for entry in closing])
-        )
-        return rows.filter(state).select(*refs(columns.names))
+        state = ~active & F.col(RUN).isin([date_of(entry[RUN]) for entry in closing])
+        for (day, _), parts in holders.items():
+            own = F.col(RUN) == date_of(day)
+            state |= active & (own & F.col(PART).isin(parts) if newest.parts else own)
+        return rows.filter(state)
 
 
 def _name(entry: Row | None) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ RUN, ATTEMPT = "run_date", "attempt"
 LOG_SCHEMA = (
     f"{RUN} date, written_at timestamp, state string, columns string, {ATTEMPT} string, "
     "checked boolean, buckets int, sequence int, linked boolean, base_date date, "
-    "base_attempt string, missing string"
+    "base_attempt string, missing string, parts int, held string"
 )
 FINISHED, DROPPED = "finished", "dropped"
 CURRENT, REPLACED, LEFT_OUT = "current", "replaced", "left_out"
@@ -49,7 +50,7 @@ class RunLog:
 
     def write(self, spark: SparkSession, path: str, **entry) -> None:
         """Append an entry behind those that this log holds."""
-        values = dict.fromkeys(("base_date", "base_attempt", "missing", "buckets"))
+        values = dict.fromkeys(("base_date", "base_attempt", "missing", "buckets", "parts", "held"))
         values |= {"state": FINISHED, "checked": False, "linked": True, **entry}
         values["sequence"] = 1 + max((e.sequence or 0 for e in self.entries), default=0)
         columns = []
@@ -94,6 +95,12 @@ class RunLog:
             entry = self.before(entry)
         return [e for e in reversed(found) if upto is None or e[RUN] <= upto]
 
+    def holders(self, entry: Row) -> dict[int, tuple[dt.date, str]]:
+        """The attempt that holds each part of the active rows of a run stored in parts."""
+        own = (entry[RUN], entry[ATTEMPT])
+        held = {int(k): (dt.date.fromisoformat(d), a) for k, (d, a) in json.loads(entry.held or "{}").items()}
+        return {part: held.get(part, own) for part in range(entry.parts or 0)}
+
     def statuses(self) -> list[tuple[dt.date, str, dt.date | None, str]]:
         """``(date, attempt, base date, status)`` of every attempt: ``current`` ones make up the
         state, ``replaced`` ones gave way to another attempt of their date, and ``left_out`` ones
