@@ -41,19 +41,19 @@ def apply_snapshot(
         raise ValueError("a stored history is always built in full; mode cannot be chosen")
     if missing == "drop":
         raise ValueError("a stored history keeps or closes missing rows; drop would lose the past")
-    day = as_day(run_date)
-    runs = table.runs(spark)
+    day, log = as_day(run_date), table.log(spark)
+    runs = [entry[RUN] for entry in log.chain()]
     if late and runs and runs[0] < day < runs[-1]:
         insert_snapshot(spark, table, day, recent, key, missing, **options)
         return
     if runs and runs[-1] > day:
         raise ValueError(f"run date {day} is older than the newest run, {runs[-1]}")
-    base = table.base(spark, day)
+    base = table.base(spark, day, log)
     if base is None:
         raise ValueError(f"{table.root} has no state before {day}; write a first history")
     if table.key is not None and key_list(table.key) != key_list(key):
         raise ValueError(f"the table is bucketed by {key_list(table.key)}, the run has {key}")
-    with table.active_rows(spark, base[RUN]) as before:
+    with table.active_rows(spark, base[RUN], log) as before:
         # What run_rows wrote has one active row per key; what a caller wrote may not.
         trusted = bool(base.checked)
         rows = run_rows(

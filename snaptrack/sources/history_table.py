@@ -80,9 +80,12 @@ class HistoryTable:
         schema = f"{RUN} date, {ATTEMPT} string, base_date date, status string"
         return spark.createDataFrame(self.log(spark).statuses(), schema)
 
-    def base(self, spark: SparkSession, run_date: dt.date | str) -> Row | None:
-        """The run that one of ``run_date`` builds on."""
-        earlier = [e for e in self.log(spark).chain() if e[RUN] < as_day(run_date)]
+    def base(
+        self, spark: SparkSession, run_date: dt.date | str, log: RunLog | None = None
+    ) -> Row | None:
+        """The run that one of ``run_date`` builds on; ``log`` spares reading it again."""
+        chain = (log or self.log(spark)).chain()
+        earlier = [e for e in chain if e[RUN] < as_day(run_date)]
         return earlier[-1] if earlier else None
 
     def write(
@@ -105,12 +108,13 @@ class HistoryTable:
         spark, day = rows.sparkSession, as_day(run_date)
         base = base or self.base(spark, day)
         attempt = self.store(rows, day, checked)
-        self._refuse_stale(spark, day, base)
+        log = self.log(spark)
+        self._refuse_stale(spark, day, base, log)
         held = None
         if touched is not None and base is not None:
-            holders = self.log(spark).holders(base)
+            holders = log.holders(base)
             held = {part: holder for part, holder in holders.items() if part not in touched}
-        self.enter(spark, day, attempt, rows, checked, base, missing, held=held)
+        self.enter(spark, day, attempt, rows, checked, base, missing, held=held, log=log)
         self._find_overlap(spark, day, attempt, base)
 
     def store(self, rows: DataFrame, day: dt.date, checked: bool) -> str:
@@ -147,10 +151,11 @@ class HistoryTable:
         missing: str | None,
         state: str = FINISHED,
         held: dict[int, tuple[dt.date, str]] | None = None,
+        log: RunLog | None = None,
     ) -> None:
         """Enter a stored attempt in the log, from which moment on it counts. ``held`` are the parts
         of the active rows that other attempts hold."""
-        self.log(spark).write(
+        (log or self.log(spark)).write(
             spark,
             self._log_path(),
             run_date=day,
@@ -173,15 +178,17 @@ class HistoryTable:
     def _buckets(self, checked: bool) -> int | None:
         return self.buckets if checked else None
 
-    def _refuse_stale(self, spark: SparkSession, day: dt.date, base: Row | None) -> None:
+    def _refuse_stale(
+        self, spark: SparkSession, day: dt.date, base: Row | None, log: RunLog
+    ) -> None:
         """What was stored is entered only if its base is still the newest state before it."""
-        now = self.base(spark, day)
+        now = self.base(spark, day, log)
         if (now and now[ATTEMPT]) != (base and base[ATTEMPT]):
             raise StaleRun(
                 f"the run of {day} was built on {_name(base)}, but the newest run before it is "
                 f"now {_name(now)}; run it again"
             )
-        newest = self.log(spark).head()
+        newest = log.head()
         if newest is not None and newest[RUN] > day:
             raise StaleRun(f"a run of {newest[RUN]} was finished before that of {day}")
 
@@ -202,14 +209,17 @@ class HistoryTable:
             raise StaleRun(f"runs of {missed} overlapped that of {day} and are left out")
 
     @contextmanager
-    def active_rows(self, spark: SparkSession, run_date: dt.date) -> Iterator[DataFrame]:
+    def active_rows(
+        self, spark: SparkSession, run_date: dt.date, log: RunLog | None = None
+    ) -> Iterator[DataFrame]:
         """The active rows of a run, in their buckets if it was stored so."""
-        entry = self.log(spark).chain(run_date)[-1]
+        log = log or self.log(spark)
+        entry = log.chain(run_date)[-1]
         if entry.buckets is None or self.key is None:
-            yield self.read(spark, run_date)
+            yield self._state(spark, run_date, log=log)
             return
         stored = T.StructType([f for f in _schema(entry) if f.name != self.meta.active])
-        ddl = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(stored.json()).toDDL()
+        ddl = stored.toDDL()
         name = f"snaptrack_{entry.attempt}_{uuid.uuid4().hex[:8]}"
         keys = ", ".join(refs(key_list(self.key)))
         path = f"{self._folder(run_date, entry.attempt)}/{self.meta.active}=true"
@@ -276,9 +286,10 @@ class HistoryTable:
         spark: SparkSession,
         run_date: dt.date | str | None = None,
         closed_after: dt.date | str | None = None,
+        log: RunLog | None = None,
     ) -> DataFrame:
         """The rows of a state, with the columns of its newest run."""
-        rows = self._placed(spark, run_date, closed_after)
+        rows = self._placed(spark, run_date, closed_after, log)
         return rows.drop(RUN, ATTEMPT, PART)
 
     def parts_of(self, spark: SparkSession, entry: Row, parts: Collection[int]) -> DataFrame:
@@ -291,8 +302,9 @@ class HistoryTable:
         spark: SparkSession,
         run_date: dt.date | str | None = None,
         closed_after: dt.date | str | None = None,
+        log: RunLog | None = None,
     ) -> DataFrame:
-        log = self.log(spark)
+        log = log or self.log(spark)
         chain = log.chain(as_day(run_date) if run_date is not None else None)
         if not chain:
             raise ValueError(f"{self.root} has no finished run up to {run_date or 'now'}")
@@ -322,7 +334,7 @@ class HistoryTable:
         for (day, _), parts in holders.items():
             own = F.col(RUN) == date_of(day)
             state |= active & (own & F.col(PART).isin(parts) if newest.parts else own)
-        return rows.filter(state)
+        return rows.filter(state).select(*refs(columns.names), *[field.name for field in folders])
 
 
 def _name(entry: Row | None) -> str:
