@@ -302,15 +302,18 @@ def paragraphs_of(docs: DataFrame, needed: list[str]) -> DataFrame:
         )
         return F.greatest(taken["lines"], F.lit(least))
 
-    near = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), room - 1),
-            lambda i: F.when(
-                F.exists(F.slice("_hits", i + 1, F.lit(most)), lambda hit: hit),
-                F.struct(i.alias("line"), F.slice("_lines", i + 1, reach(i)).alias("group")),
-            ),
+    def hit_within(i: Column, lines: Column) -> Column:
+        return F.exists(F.slice("_hits", i + 1, lines), lambda hit: hit)
+
+    # Lines with a hit in the widest window, then those whose own reach holds it.
+    first = F.filter(F.sequence(F.lit(0), room - 1), lambda i: hit_within(i, F.lit(most)))
+    spans = F.transform(first, lambda i: F.struct(i.alias("line"), reach(i).alias("reach")))
+    spans = F.filter(spans, lambda span: hit_within(span["line"], span["reach"]))
+    near = F.transform(
+        spans,
+        lambda span: F.struct(
+            span["line"].alias("line"), F.slice("_lines", span["line"] + 1, span["reach"]).alias("group")
         ),
-        lambda found: found.isNotNull(),
     )
     rows = rows.select("_row", F.explode(near).alias("_near")).select("_row", "_near.*")
     empty = F.array_position(F.transform("group", lambda words: F.size(words) == 0), True)
@@ -572,9 +575,10 @@ def scan(docs: DataFrame) -> DataFrame:
             hits, lambda hit: (hit["line"] == hit["last"]) | ~F.exists(hits, lambda other: inside(hit, other))
         )
     count = F.size(F.filter(lines_of(F.col("text")), has_word)).cast("long")
+    counted = docs.select("_row", "doc_id", count.alias("n_paragraphs"))  # no text goes into the join
     return (
-        docs.join(hits, "_row", "left")
-        .select("doc_id", count.alias("n_paragraphs"), F.coalesce("predictions", none).alias("predictions"))
+        counted.join(hits, "_row", "left")
+        .select("doc_id", "n_paragraphs", F.coalesce("predictions", none).alias("predictions"))
         .select(
             "doc_id", "n_paragraphs",
             F.array_sort(F.array_distinct(F.transform(named, bsd))).alias("licenses"),
