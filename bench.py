@@ -42,8 +42,6 @@ HEADLINE = (
     "as_of_history_table",
     "join_as_of",
     "history_violations",
-    "replay_late",
-    "replay_changes",
 )
 # These read a stored history: it is written before the clock starts.
 READS = ("as_of", "as_of_history_table", "timeline", "join_as_of")
