@@ -125,6 +125,16 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path, no_broadcast):
         spark.sql(f"drop table {name}")
 
 
+def test_buckets_follow_the_size_in_memory(spark, tmp_path):
+    """Rows that all but vanish in a file still fill the memory of the task that sorts them."""
+    rows = spark.range(4000).selectExpr("id", "repeat('a', 1000) as note", "array(id, null) as ids")
+    rows.union(spark.sql("select null, null, null")).write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    least = 4000 * (8 + 3 * 8 + 1000)
+    assert least // 65_536 <= st.buckets_for(stored, 65_536) <= 1.1 * least // 65_536
+    assert st.buckets_for(stored, 2 * least) == st.buckets_for(stored.limit(0)) == 1
+
+
 def test_key_filter_shuffles_thinned_ids(spark, stored, no_broadcast):
     """Both inputs of the semi join are plain shuffles, which AQE can split."""
     recent, table = stored
