@@ -1,14 +1,21 @@
 """Scoring texts by a hashed maximum-entropy model with a class-factored softmax.
 
 The probability of a token is that of its class in its context, times that of the token in its
-class. The first factor is a log-linear model: a row of weights, one per class, for each active
-feature, summed and normalized over the classes. Features are the token before, the two before,
-the classes of the three before, and the token before the last (a skip); they are hashed to rows. The second factor is the closed form
-of a model with token features alone: ``(c + 1) / (n + v + 1)`` with c the token's count, n and v
-the counts of tokens and of distinct ones in its class; the one over is for all unknown tokens of
-the class, so that probabilities add up to one. The most frequent tokens are classes of their own.
-Others are put into classes by their last bytes: endings whose tokens have like neighbours form a
-class (k-means over the counts of hashed neighbours), so an unknown token has a class too.
+class and context. The first factor is a log-linear model: a row of weights, one per class, for each
+active feature, summed and normalized over the classes. Features are the token before, the two
+before, the classes of the three before, and the token before the last (a skip); they are hashed to
+rows. The most frequent tokens are classes of their own. Others are put into classes by their last
+bytes: endings whose tokens have like neighbours form a class (k-means over the counts of hashed
+neighbours), so an unknown token has a class too.
+
+The second factor is a log-linear model of the same features. As a class has thousands of tokens, it
+is divided in two again and again: its most frequent tokens and one leaf for all rarer ones are the
+leaves of a Huffman tree, and every fork is a softmax over its two sides, with a weight for each
+feature, hashed together with the fork. Forks start from the counts below them, so that without
+any weights a token has the share ``(c + 1) / (n + v + 1)`` of its class, with c the token's count, n
+and v the counts of tokens and of distinct ones in its class. Tokens of the leaf for rarer ones have
+the same closed form in it; the one over is for all unknown tokens of the class, so that
+probabilities add up to one.
 
 The weights are learnt by distributed gradient updates. In each round every task goes once over its
 share of the round's documents in small batches (with step lengths of its own for each row of
@@ -16,8 +23,9 @@ weights); then the changes of all tasks are averaged, each weighted by how often
 row. Sums are in whole numbers, so their order does not matter.
 
 What grows with the corpus stays in tables: the counts of all distinct tokens are a table that is
-joined with the tokens of documents. Tasks hold the ``HEAD`` most frequent counts and a table of
-weights, whose rows grow with the number of tokens up to ``MOST_ROWS``. Scores are computed in
+joined with the tokens of documents. Tasks hold the ``HEAD`` most frequent counts, their trees, and
+tables of weights: one whose rows grow with the number of tokens up to ``MOST_ROWS``, and ``SLOTS``
+weights of forks. Scores are computed in
 batches of numpy arrays; documents of any length are taken in parts.
 
 Defined results: a null text is empty, and an empty one has the end token alone; a null ``doc_id``
@@ -27,6 +35,7 @@ empty table gives no row; other columns are not read. Tokens are told apart by a
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snaptrack.llm.graph import task_totals
-from snaptrack.llm.ragged import SpanHasher, lowered, mixed, pieces, words
+from snaptrack.llm.ragged import SpanHasher, bounds, lowered, mixed, pieces, take, words
 from snaptrack.llm.tables import stored, table
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -51,9 +60,15 @@ LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 16
 TOKENS_PER_ROW = 1024
 ROUNDS = 2
 RATE = 0.4
+SLOTS = 1 << 18
+FORK_RATE = 0.2
+FORK_PLACE = np.uint64(64 - 18)
+ODD = np.uint64(0xD6E8FEB86659FD93)
 BATCH = 1 << 13
+FORK_BATCH = 1 << 14
 SCALE = 1 << 16
 FLUSH = 1 << 20
+PIECE = 1 << 19
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher):
@@ -80,15 +95,24 @@ def earlier(values: np.ndarray, at: np.ndarray, steps: int, start) -> np.ndarray
     return out
 
 
-def feature_rows(tokens: np.ndarray, classes: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
-    """Features x tokens: rows of the weight table; row 0 is active everywhere."""
+def contexts(tokens: np.ndarray, classes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Features x tokens: hashes of what stands before each token."""
     one, two = (earlier(tokens, at, k, START) for k in (1, 2))
     kinds = sum(earlier(classes, at, k, CLASSES) << (8 * k) for k in (1, 2, 3)).astype(np.uint64)
     keys = (
         one + np.uint64(1), mixed(one) + two * np.uint64(3), kinds + np.uint64(5),
         two + np.uint64(0x9E3779B9),
     )
-    return np.stack([mixed(key) % np.uint64(rows - 1) + np.uint64(1) for key in keys]).astype(np.int64)
+    return np.stack([mixed(key) for key in keys])
+
+
+def rows_of(features: np.ndarray, rows: int) -> np.ndarray:
+    """Rows of the weight table; row 0 is active everywhere."""
+    return (features % np.uint64(rows - 1) + np.uint64(1)).astype(np.int64)
+
+
+def feature_rows(tokens: np.ndarray, classes: np.ndarray, at: np.ndarray, rows: int) -> np.ndarray:
+    return rows_of(contexts(tokens, classes, at), rows)
 
 
 class Vocabulary(NamedTuple):
@@ -98,6 +122,7 @@ class Vocabulary(NamedTuple):
     distinct: int
     head: np.ndarray  # sorted hashes
     counts: np.ndarray  # of the head
+    home: np.ndarray  # endings of the head
     singles: np.ndarray  # sorted hashes of the tokens that are classes of their own
     groups: np.ndarray  # the class of each ending
     tokens: np.ndarray  # per class
@@ -111,16 +136,72 @@ class Vocabulary(NamedTuple):
         return found
 
     def in_head(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether a token is of the head, and its count there."""
+        """Whether a token is of the head, and its place there."""
         if not len(self.head):
             return np.zeros(len(tokens), bool), np.zeros(len(tokens), np.int64)
         place = np.minimum(np.searchsorted(self.head, tokens), len(self.head) - 1)
-        hit = self.head[place] == tokens
-        return hit, np.where(hit, self.counts[place], 0)
-
-    def log_sizes(self) -> np.ndarray:
-        """log10 of the denominators of classes."""
-        return np.log10(self.tokens + self.kinds + 1.0)
+        return self.head[place] == tokens, place
+
+    def leaves(self, tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The leaf of each token: its place in the head, or that of the rarer ones of its class."""
+        hit, place = self.in_head(tokens)
+        return np.where(hit, place, len(self.head) + classes)
+
+
+class Forks(NamedTuple):
+    """The way to each leaf, the head first and then the rarer tokens of each class."""
+
+    at: np.ndarray  # offsets of the ways
+    steps: np.ndarray  # twice the fork, and one if the way takes its second side
+    prior: np.ndarray  # of each fork: log odds of the second side by the counts
+    rarer: np.ndarray  # per class: log10 of the denominator of the leaf for rarer tokens
+
+    def ways(self, leaves: np.ndarray):
+        """The token of each step, its fork, and the side that it takes."""
+        sizes = self.at[leaves + 1] - self.at[leaves]
+        steps = take(self.steps, self.at[leaves], sizes)
+        return np.repeat(np.arange(len(leaves)), sizes), steps >> 1, (steps & 1).astype(np.float32)
+
+
+def huffman(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fork above each node (-1: none), its side there, and its size; leaves come first."""
+    up, side, size = [-1] * len(sizes), [0] * len(sizes), list(sizes)
+    heap = [(n, i) for i, n in enumerate(sizes)]
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        (n, a), (m, b) = heapq.heappop(heap), heapq.heappop(heap)
+        up[a] = up[b] = len(up)
+        side[b] = 1
+        heapq.heappush(heap, (n + m, len(up)))
+        up.append(-1)
+        side.append(0)
+        size.append(n + m)
+    return np.array(up), np.array(side), np.array(size, float)
+
+
+def forks(known: Vocabulary) -> Forks:
+    """A tree for each class that is more than one token."""
+    classes, weight, head = known.classes(known.head, known.home), known.counts + 1, len(known.head)
+    rest = known.tokens + known.kinds + 1
+    np.subtract.at(rest, classes, weight)
+    leaves, steps, prior = [], [], [np.zeros(0)]
+    for kind in range(SINGLES, CLASSES):
+        leaf = np.append(np.flatnonzero(classes == kind), head + kind)
+        up, side, size = huffman(np.append(weight[leaf[:-1]], rest[kind]).tolist())
+        node, count, first = np.arange(len(leaf)), len(leaf), sum(map(len, prior))
+        second = np.zeros(len(up) - count)
+        second[up[side == 1] - count] = size[side == 1]
+        prior.append(np.log(second / (size[count:] - second)))
+        while len(node):  # all leaves climb a step
+            below = up[node] >= 0
+            leaf, node = leaf[below], node[below]
+            leaves.append(leaf)
+            steps.append(2 * (first + up[node] - count) + side[node])
+            node = up[node]
+    leaf = np.concatenate(leaves)
+    at = bounds(np.bincount(leaf, minlength=head + CLASSES))
+    ways = np.concatenate(steps)[np.argsort(leaf, kind="stable")]
+    return Forks(at, ways.astype(np.int32), np.concatenate(prior).astype(np.float32), np.log10(rest))
 
 
 COUNTS = "word long, ending int, beside int, n long"
@@ -205,7 +286,7 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     top = listed.orderBy(F.desc("c"), "word").limit(head).collect()
     hashes = np.array([row["word"] for row in top], np.int64).view(np.uint64)
     sizes = np.array([row["c"] for row in top], np.int64)
-    home = np.array([row["ending"] for row in top[:SINGLES]], np.int64)
+    home = np.array([row["ending"] for row in top], np.int64)
     beside = np.zeros((ENDINGS, NEIGHBOURS))
     for row in counts.filter("word is null").collect():  # of a fixed size
         beside[row["ending"], row["beside"]] = row["c"]
@@ -216,13 +297,13 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
         tokens[groups[row["ending"]]] += row["tokens"]
         kinds[groups[row["ending"]]] += row["kinds"]
     total, distinct = int(tokens.sum()), int(kinds.sum())
-    np.subtract.at(tokens, groups[home], sizes[:SINGLES])
-    np.subtract.at(kinds, groups[home], 1)
+    np.subtract.at(tokens, groups[home[:SINGLES]], sizes[:SINGLES])
+    np.subtract.at(kinds, groups[home[:SINGLES]], 1)
     order, singles = np.argsort(hashes), np.sort(hashes[:SINGLES])
     place = np.searchsorted(singles, hashes[:SINGLES])
     tokens[place], kinds[place] = sizes[:SINGLES], 1
     return Vocabulary(
-        total, distinct, hashes[order], sizes[order], singles, groups, tokens, kinds
+        total, distinct, hashes[order], sizes[order], home[order], singles, groups, tokens, kinds
     )
 
 
@@ -260,48 +341,108 @@ def learn(weights, power, visits, rows: np.ndarray, classes: np.ndarray) -> None
     total = z.sum(0)
     power[0] += float((total**2).mean())
     visits[0] += len(classes)
-    changes = [(np.zeros(1, np.int64), total[None])]
+    changes = [(np.zeros(1, np.int64), total[None].copy())]
     for row in rows:
-        order = np.argsort(row, kind="stable")
+        order = np.argsort(row.astype(np.uint16), kind="stable")  # short numbers sort faster
         sorted_ = row[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        used, sums = sorted_[first], np.add.reduceat(z[order], first, axis=0)
-        power[used] += (sums**2).mean(1)
-        visits[used] += np.diff(np.append(first, len(row)))
+        used, times = sorted_[first], np.diff(np.append(first, len(row)))
+        sums, many = z.take(order[first], 0), times > 1
+        if many.any():
+            inside = z.take(order[np.repeat(many, times)], 0)
+            sums[many] = np.add.reduceat(inside, bounds(times[many])[:-1], axis=0)
+        power[used] += np.einsum("ij,ij->i", sums, sums) / CLASSES
+        visits[used] += times
         changes.append((used, sums))
     for used, sums in changes:
-        weights[used] -= RATE * sums / np.sqrt(power[used] + 1)[:, None]
+        sums *= (RATE / np.sqrt(power[used] + 1))[:, None]
+        weights[used] -= sums
 
 
-def trained(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """The weights after all rounds, each over its own part of the documents."""
-    weights = start_weights(known)
+# ---- the model of tokens in their class
+
+
+def fork_slots(features: np.ndarray, token: np.ndarray, fork: np.ndarray) -> np.ndarray:
+    """Features x steps: places of the weights of each fork in its token's context."""
+    codes = mixed(fork.astype(np.uint64) + np.uint64(1))
+    return ((features.take(token, 1) + codes) * ODD >> FORK_PLACE).view(np.int64)
+
+
+def learn_forks(own, power, visits, tree: Forks, features: np.ndarray, leaves: np.ndarray) -> None:
+    """One batch of updates, in place."""
+    token, fork, side = tree.ways(leaves)
+    slots = fork_slots(features, token, fork)
+    z = tree.prior[fork] + own.take(slots).sum(0)
+    wrong = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - side
+    change = np.zeros(len(own), np.float32)
+    for row in slots:
+        np.add.at(change, row, wrong)
+    visits += np.bincount(slots.ravel(), minlength=len(own))
+    power += change**2
+    own -= FORK_RATE * change / np.sqrt(power + 1)
+
+
+def fork_scores(weights, tree: Forks, features: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+    """log10 of the probability of every token's leaf in its class."""
+    out = np.zeros(len(leaves))
+    for low in range(0, len(leaves), BATCH):
+        part = slice(low, low + BATCH)
+        token, fork, side = tree.ways(leaves[part])
+        z = tree.prior[fork] + weights.take(fork_slots(features[:, part], token, fork)).sum(0)
+        logs = np.maximum((1 - 2 * side) * z, 0) + np.log(1 + np.exp(-np.abs(z)))
+        out[part] = -np.bincount(token, logs, len(leaves[part]))
+    return out / np.log(10)
+
+
+def fitted(
+    docs: DataFrame, known: Vocabulary, tree: Forks, rounds: int = ROUNDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of classes and of forks after all rounds, each over its own part of the documents."""
+    weights, inside = start_weights(known), np.zeros(SLOTS, np.float32)
     part = F.pmod(F.xxhash64("text"), F.lit(rounds))
     for turn in range(rounds):
-        weights = one_round(docs.filter(part == turn), known, weights)
-    return weights
+        weights, inside = one_round(docs.filter(part == turn), known, tree, weights, inside)
+    return weights, inside
 
 
-def one_round(docs: DataFrame, known: Vocabulary, weights: np.ndarray) -> np.ndarray:
+def trained(docs: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """The weights of classes alone."""
+    return fitted(docs, known, forks(known), rounds)[0]
+
+
+def one_round(
+    docs: DataFrame, known: Vocabulary, tree: Forks, weights: np.ndarray, inside: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     rows = len(weights)
+    cells = rows * CLASSES
+    at = np.cumsum([cells, rows, SLOTS])  # changes and visits of rows, then those of slots
 
     def update(batches, total):
         own, power = weights.copy(), np.zeros(rows, np.float32)
         visits, hasher = np.zeros(rows, np.int64), SpanHasher(SEED)
-        for _, data, offsets in pieces(batches):
-            tokens, endings, at = tokens_of(data, offsets, hasher)
+        slots, strength = inside.copy(), np.zeros(SLOTS, np.float32)
+        met = np.zeros(SLOTS, np.int64)
+        for _, data, offsets in pieces(batches, PIECE):
+            tokens, endings, ends = tokens_of(data, offsets, hasher)
             classes = known.classes(tokens, endings)
-            active = feature_rows(tokens, classes, at, rows)
+            leaves, features = known.leaves(tokens, classes), contexts(tokens, classes, ends)
+            active = rows_of(features, rows)
             for low in range(0, len(tokens), BATCH):
-                learn(own, power, visits, active[:, low : low + BATCH], classes[low : low + BATCH])
+                part = slice(low, low + BATCH)
+                learn(own, power, visits, active[:, part], classes[part])
+            for low in range(0, len(tokens), FORK_BATCH):
+                part = slice(low, low + FORK_BATCH)
+                learn_forks(slots, strength, met, tree, features[:, part], leaves[part])
         change = (own - weights).astype(float) * visits[:, None] * SCALE
-        total[: rows * CLASSES] = np.rint(change).ravel()
-        total[rows * CLASSES :] = visits
+        total[:cells] = np.rint(change).ravel()
+        total[cells : at[1]] = visits
+        total[at[1] : at[2]] = np.rint((slots - inside).astype(float) * met * SCALE)
+        total[at[2] :] = met
 
-    sums = task_totals(docs.select("text"), update, rows * (CLASSES + 1))
-    visits = np.maximum(sums[rows * CLASSES :], 1)[:, None]
-    change = sums[: rows * CLASSES].reshape(rows, CLASSES) / visits / SCALE
-    return (weights + change).astype(np.float32)
+    found = task_totals(docs.select("text"), update, rows * (CLASSES + 1) + 2 * SLOTS)
+    changes, visits, moved, met = np.split(found, at)
+    change = changes.reshape(rows, CLASSES) / np.maximum(visits, 1)[:, None] / SCALE
+    return (weights + change).astype(np.float32), (inside + moved / np.maximum(met, 1) / SCALE).astype(np.float32)
 
 
 # ---- scores
@@ -329,18 +470,23 @@ PARTS = (
 )
 
 
-def head_scores(docs: DataFrame, known: Vocabulary, weights: np.ndarray) -> DataFrame:
+def head_scores(
+    docs: DataFrame, known: Vocabulary, tree: Forks, weights: np.ndarray, inside: np.ndarray
+) -> DataFrame:
     """Per document all that needs no more than the head, and its other tokens with their numbers."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        hasher, sizes, alone = SpanHasher(SEED), known.log_sizes(), len(known.singles)
-        for part, data, offsets in pieces(batches):
+        hasher = SpanHasher(SEED)
+        for part, data, offsets in pieces(batches, PIECE):
             tokens, endings, at = tokens_of(data, offsets, hasher)
             classes = known.classes(tokens, endings)
-            hit, counts = known.in_head(tokens)
-            logs = np.log10(counts + 1.0)
-            score = class_scores(weights, feature_rows(tokens, classes, at, len(weights)), classes)
-            score += np.where(classes < alone, 0, logs - sizes[classes])
+            hit, place = known.in_head(tokens)
+            logs = np.zeros(len(tokens))
+            logs[hit] = np.log10(known.counts[place[hit]] + 1.0)
+            features, leaves = contexts(tokens, classes, at), np.where(hit, place, len(known.head) + classes)
+            score = class_scores(weights, rows_of(features, len(weights)), classes)
+            score += fork_scores(inside, tree, features, leaves)
+            score -= np.where(hit, 0, tree.rarer[classes])
             rest = np.flatnonzero(~hit)
             text = np.searchsorted(at, rest, "right") - 1
             order = np.lexsort((tokens[rest], text))
@@ -374,8 +520,9 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     training = docs.filter("not held_out").select(F.coalesce("text", F.lit("")).alias("text"))
     counts = stored(counted(training), "counts")
     known = vocabulary(counts)
-    weights = trained(training, known)
-    parts = stored(head_scores(docs, known, weights), "scores")
+    tree = forks(known)
+    weights, inside = fitted(training, known, tree)
+    parts = stored(head_scores(docs, known, tree, weights, inside), "scores")
     rest = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("rest"))
     rest = rest.select("row", F.col("rest.words").alias("word"), F.col("rest.times").alias("n"))
     # Only known tokens matter: an unknown one adds log10(0 + 1).

@@ -109,6 +109,50 @@ def test_probabilities_of_all_tokens_add_up(spark):
         assert spare < 1e-6
 
 
+def test_probabilities_inside_classes_add_up(spark):
+    """Over the tokens of the head, the rarer ones and one unknown token of every class."""
+    rng = random.Random(9)
+    names = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(names, weights=range(60, 0, -1), k=25)) for _ in range(60)]
+    docs = frame(spark, texts).select("text")
+    counts = lm.stored(lm.counted(docs), "counts")
+    known = lm.vocabulary(counts, 40)
+    tree = lm.forks(known)
+    _, inside = lm.fitted(docs, known, tree)
+    assert np.abs(inside).max() > 0.01
+    listed = counts.filter("word is not null").collect()
+    tokens = np.array([r["word"] for r in listed], np.int64).view(np.uint64)
+    classes = known.classes(tokens, np.array([r["ending"] for r in listed]))
+    sizes, hit = np.array([r["c"] for r in listed]), known.in_head(tokens)[0]
+    assert hit.sum() == 40 and len(listed) > 50
+    for seed in range(3):
+        features = np.full((4, len(tokens)), seed, np.uint64) * lm.ODD + np.arange(4, dtype=np.uint64)[:, None]
+        for weights, close in ((inside, 1e-5), (0 * inside, 1e-6)):
+            p = 10 ** lm.fork_scores(weights, tree, features, known.leaves(tokens, classes))
+            closed = (sizes + 1) / (known.tokens + known.kinds + 1)[classes]
+            p = np.where(hit, p, p * (sizes + 1) / 10 ** tree.rarer[classes])
+            for kind in set(classes.tolist()):
+                rarer = np.array([len(known.head) + kind])
+                unknown = 10 ** (lm.fork_scores(weights, tree, features[:, :1], rarer) - tree.rarer[kind])
+                total = p[classes == kind].sum() + (unknown[0] if kind >= lm.SINGLES else 0)
+                assert total == pytest.approx(1, abs=close)
+            if not weights.any():
+                assert p[classes >= lm.SINGLES] == pytest.approx(closed[classes >= lm.SINGLES], rel=1e-4)
+
+
+def test_a_token_depends_on_its_context_inside_its_class(spark, monkeypatch):
+    """Two tokens of one class and one frequency: only what stands before tells them apart."""
+    monkeypatch.setattr(lm, "class_scores", lambda weights, active, classes: 0.0 * classes)
+    held = [i for i in range(3000) if place(i) == 2][:4]
+    ids = [i for i in range(3000) if place(i) != 2]
+    fill = " ".join(f"f{i} f{i}" for i in range(lm.SINGLES + 4))
+    texts = [f"{i} {fill} one xa_same {fill} two xb_same" for i in ids]
+    asked = ["one xa_same", "one xb_same", "two xb_same", "two xa_same"]
+    scores = {r["doc_id"]: r["score"] for r in query(spark, frame(spark, texts + asked, ids + held))}
+    a, b, c, d = (scores[i] for i in held)
+    assert a > b + 0.1 and c > d + 0.1
+
+
 def test_score_is_the_sum_over_tokens(spark):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a bird", "the cat again"] * 8
     rows = query(spark, frame(spark, texts))
