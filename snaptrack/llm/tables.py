@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from snaptrack.sources.workspace import new_folder
 
 RANK_BUCKETS = 4096
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back: later steps never recompute it."""
+    """The frame written to the shared folder and read back: later steps never recompute it.
+
+    The files of its shuffles go as soon as it is written, not when the driver happens to collect
+    garbage: nothing reads them again.
+    """
     spark = df.sparkSession
-    path = new_folder(spark, label)
-    df.write.parquet(path)
+    path, before = new_folder(spark, label), spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,12 @@
 """Shared helpers."""
 
+import glob
+import os
+import tempfile
+
 from pyspark.sql import functions as F
 
+from snaptrack.llm import tables
 from snaptrack.llm.tables import first_ids, ranked
 
 
@@ -24,3 +29,21 @@ def test_ranks_are_gapless(spark):
     for row in sorted(found, key=lambda row: row["at"]):
         assert row["at"] == end
         end += row["w"]
+
+
+def test_stored_frames_leave_no_shuffle_files(spark, tmp_path):
+    folder = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir")
+    root = (folder or tempfile.gettempdir()).split(",")[0]
+
+    def files():
+        return set(glob.glob(f"{root}/**/shuffle_*.data", recursive=True))
+
+    rows = spark.range(1000).selectExpr("id % 7 as k", "id").groupBy("k").agg(F.sum("id").alias("s"))
+    before = files()
+    rows.write.parquet(f"{tmp_path}/plain")
+    plain = files()
+    assert plain - before
+    kept = tables.stored(rows, "kept")
+    assert not files() - plain
+    assert sorted(kept.collect()) == sorted(rows.collect())
+    assert spark.conf.get(tables.FREED) == "false"
