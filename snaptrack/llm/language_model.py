@@ -65,6 +65,8 @@ FORK_RATE = 0.2
 FORK_PLACE = np.uint64(64 - 18)
 ODD = np.uint64(0xD6E8FEB86659FD93)
 BATCH = 1 << 13
+FEW = 3
+STARTS = 17
 FORK_BATCH = 1 << 14
 SCALE = 1 << 16
 FLUSH = 1 << 20
@@ -115,6 +117,15 @@ def feature_rows(tokens: np.ndarray, classes: np.ndarray, at: np.ndarray, rows:
     return rows_of(contexts(tokens, classes, at), rows)
 
 
+def leading(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - STARTS)).view(np.int64)
+
+
+def head_starts(head: np.ndarray) -> np.ndarray:
+    """How many of the sorted hashes are below each value of the leading bits."""
+    return bounds(np.bincount(leading(head), minlength=1 << STARTS))[:-1]
+
+
 class Vocabulary(NamedTuple):
     """What tasks know of the counts: the most frequent tokens and the sizes of classes."""
 
@@ -127,6 +138,7 @@ class Vocabulary(NamedTuple):
     groups: np.ndarray  # the class of each ending
     tokens: np.ndarray  # per class
     kinds: np.ndarray  # per class
+    starts: np.ndarray  # the first place in the head of hashes with each leading STARTS bits
 
     def classes(self, tokens: np.ndarray, endings: np.ndarray) -> np.ndarray:
         found = self.groups[endings]
@@ -139,8 +151,16 @@ class Vocabulary(NamedTuple):
         """Whether a token is of the head, and its place there."""
         if not len(self.head):
             return np.zeros(len(tokens), bool), np.zeros(len(tokens), np.int64)
-        place = np.minimum(np.searchsorted(self.head, tokens), len(self.head) - 1)
-        return self.head[place] == tokens, place
+        last = len(self.head) - 1
+        place = np.minimum(self.starts.take(leading(tokens)), last)
+        found = self.head.take(place)
+        behind = np.flatnonzero(found < tokens)
+        while len(behind):  # a few steps: hashes spread evenly over their leading bits
+            place[behind] += 1
+            behind = behind[place[behind] <= last]
+            found[behind] = self.head[place[behind]]
+            behind = behind[found[behind] < tokens[behind]]
+        return found == tokens, np.minimum(place, last)
 
     def leaves(self, tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """The leaf of each token: its place in the head, or that of the rarer ones of its class."""
@@ -155,12 +175,14 @@ class Forks(NamedTuple):
     steps: np.ndarray  # twice the fork, and one if the way takes its second side
     prior: np.ndarray  # of each fork: log odds of the second side by the counts
     rarer: np.ndarray  # per class: log10 of the denominator of the leaf for rarer tokens
+    codes: np.ndarray  # of each fork: its part of the places of its weights
 
     def ways(self, leaves: np.ndarray):
-        """The token of each step, its fork, and the side that it takes."""
-        sizes = self.at[leaves + 1] - self.at[leaves]
-        steps = take(self.steps, self.at[leaves], sizes)
-        return np.repeat(np.arange(len(leaves)), sizes), steps >> 1, (steps & 1).astype(np.float32)
+        """The number of steps of each token, the fork of each step, and the side that it takes."""
+        starts = self.at.take(leaves)
+        sizes = self.at.take(leaves + 1) - starts
+        steps = take(self.steps, starts, sizes)
+        return sizes, steps >> 1, (steps & 1).astype(np.float32)
 
 
 def huffman(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -201,7 +223,9 @@ def forks(known: Vocabulary) -> Forks:
     leaf = np.concatenate(leaves)
     at = bounds(np.bincount(leaf, minlength=head + CLASSES))
     ways = np.concatenate(steps)[np.argsort(leaf, kind="stable")]
-    return Forks(at, ways.astype(np.int32), np.concatenate(prior).astype(np.float32), np.log10(rest))
+    odds = np.concatenate(prior).astype(np.float32)
+    codes = mixed(np.arange(1, len(odds) + 1, dtype=np.uint64)) * ODD
+    return Forks(at, ways.astype(np.int32), odds, np.log10(rest), codes)
 
 
 COUNTS = "word long, ending int, beside int, n long"
@@ -234,8 +258,11 @@ def counted(docs: DataFrame) -> DataFrame:
 
         for _, data, offsets in pieces(batches):
             tokens, endings, at = tokens_of(data, offsets, hasher)
-            found, first, times = np.unique(tokens, return_index=True, return_counts=True)
-            held.append((found, endings[first], times))
+            listed = pa.array(tokens).dictionary_encode()
+            found, place = listed.dictionary.to_numpy(), listed.indices.to_numpy()
+            home = np.zeros(len(found), np.int64)
+            home[place] = endings  # equal tokens end alike
+            held.append((found, home, np.bincount(place, minlength=len(found))))
             near = (tokens % np.uint64(NEIGHBOURS)).astype(np.int64)
             same = np.ones(max(len(tokens) - 1, 0), bool)
             same[at[1:-1] - 1] = False
@@ -303,7 +330,8 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     place = np.searchsorted(singles, hashes[:SINGLES])
     tokens[place], kinds[place] = sizes[:SINGLES], 1
     return Vocabulary(
-        total, distinct, hashes[order], sizes[order], home[order], singles, groups, tokens, kinds
+        total, distinct, hashes[order], sizes[order], home[order], singles, groups, tokens, kinds,
+        head_starts(hashes[order]),
     )
 
 
@@ -333,6 +361,23 @@ def log_odds(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return z
 
 
+def group_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each group. The groups of ``FEW`` rows or less, which most are, are
+    added row by row, in the order in which ``reduceat`` adds the others."""
+    sums = values.take(order.take(first), 0)
+    for size in range(2, FEW + 1):
+        group = np.flatnonzero(times == size)
+        rest = values.take(order.take(first[group] + 1), 0)
+        for k in range(2, size):
+            rest += values.take(order.take(first[group] + k), 0)
+        sums[group] += rest
+    many = times > FEW
+    if many.any():
+        inside = values.take(order[np.repeat(many, times)], 0)
+        sums[many] = np.add.reduceat(inside, bounds(times[many])[:-1], axis=0)
+    return sums
+
+
 def learn(weights, power, visits, rows: np.ndarray, classes: np.ndarray) -> None:
     """One batch of updates, in place."""
     z = np.exp(log_odds(weights, rows))
@@ -347,32 +392,33 @@ def learn(weights, power, visits, rows: np.ndarray, classes: np.ndarray) -> None
         sorted_ = row[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
         used, times = sorted_[first], np.diff(np.append(first, len(row)))
-        sums, many = z.take(order[first], 0), times > 1
-        if many.any():
-            inside = z.take(order[np.repeat(many, times)], 0)
-            sums[many] = np.add.reduceat(inside, bounds(times[many])[:-1], axis=0)
+        sums = group_sums(z, order, first, times)
         power[used] += np.einsum("ij,ij->i", sums, sums) / CLASSES
         visits[used] += times
         changes.append((used, sums))
     for used, sums in changes:
         sums *= (RATE / np.sqrt(power[used] + 1))[:, None]
-        weights[used] -= sums
+        moved = weights.take(used, 0)
+        moved -= sums
+        weights[used] = moved
 
 
 # ---- the model of tokens in their class
 
 
-def fork_slots(features: np.ndarray, token: np.ndarray, fork: np.ndarray) -> np.ndarray:
+def fork_slots(features: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Features x steps: places of the weights of each fork in its token's context."""
-    codes = mixed(fork.astype(np.uint64) + np.uint64(1))
-    return ((features.take(token, 1) + codes) * ODD >> FORK_PLACE).view(np.int64)
+    slots = np.repeat(features * ODD, sizes, 1)
+    slots += codes
+    slots >>= FORK_PLACE
+    return slots.view(np.int64)
 
 
 def learn_forks(own, power, visits, tree: Forks, features: np.ndarray, leaves: np.ndarray) -> None:
     """One batch of updates, in place."""
-    token, fork, side = tree.ways(leaves)
-    slots = fork_slots(features, token, fork)
-    z = tree.prior[fork] + own.take(slots).sum(0)
+    sizes, fork, side = tree.ways(leaves)
+    slots = fork_slots(features, sizes, tree.codes.take(fork))
+    z = tree.prior.take(fork) + own.take(slots).sum(0)
     wrong = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - side
     change = np.zeros(len(own), np.float32)
     for row in slots:
@@ -387,10 +433,11 @@ def fork_scores(weights, tree: Forks, features: np.ndarray, leaves: np.ndarray)
     out = np.zeros(len(leaves))
     for low in range(0, len(leaves), BATCH):
         part = slice(low, low + BATCH)
-        token, fork, side = tree.ways(leaves[part])
-        z = tree.prior[fork] + weights.take(fork_slots(features[:, part], token, fork)).sum(0)
+        sizes, fork, side = tree.ways(leaves[part])
+        slots = fork_slots(features[:, part], sizes, tree.codes.take(fork))
+        z = tree.prior.take(fork) + weights.take(slots).sum(0)
         logs = np.maximum((1 - 2 * side) * z, 0) + np.log(1 + np.exp(-np.abs(z)))
-        out[part] = -np.bincount(token, logs, len(leaves[part]))
+        out[part] = -np.bincount(np.repeat(np.arange(len(sizes)), sizes), logs, len(sizes))
     return out / np.log(10)
 
 

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snaptrack.llm import language_model as lm
-from snaptrack.llm.ragged import SpanHasher, flat
+from snaptrack.llm.ragged import SpanHasher, flat, lowered, words
 from tests.conftest import SMALL
 
 SCHEMA = "doc_id long, text string, row long, words string, times int"
@@ -178,6 +178,77 @@ def test_score_is_the_sum_over_tokens(spark):
         assert row["score"] == pytest.approx(total, rel=1e-4)
 
 
+def test_places_in_the_head_without_a_search(monkeypatch):
+    rng = np.random.default_rng(4)
+    head = np.unique(rng.integers(0, 1 << 64, 500, np.uint64))
+    head = np.unique(np.concatenate([head, head[250] + np.arange(40, dtype=np.uint64)]))  # one crowded place
+    tokens = np.concatenate([head, head + np.uint64(1), head - np.uint64(1), lm.END[None], np.uint64([0, (1 << 64) - 1])])
+    expected = np.minimum(np.searchsorted(head, tokens), len(head) - 1)
+    known = lm.Vocabulary(*[None] * 2, head, *[None] * 6, lm.head_starts(head))
+
+    def search(*_):
+        raise AssertionError("a binary search for every token")
+
+    monkeypatch.setattr(np, "searchsorted", search)
+    hit, place = known.in_head(tokens)
+    assert (place == expected).all() and (hit == np.isin(tokens, head)).all()
+    none = lm.Vocabulary(*[None] * 2, head[:0], *[None] * 6, lm.head_starts(head[:0]))
+    assert not none.in_head(tokens)[0].any()
+
+
+def test_group_sums_are_those_of_reduceat():
+    """To the last bit, whatever the sizes of the groups."""
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(3000, lm.CLASSES)).astype(np.float32)
+    for keys in (rng.zipf(1.4, 3000) % 900, np.arange(3000), np.zeros(3000, np.int64), rng.integers(0, 1000, 3000)):
+        order = np.argsort(keys, kind="stable")
+        _, first, times = np.unique(keys, return_index=True, return_counts=True)
+        first = np.searchsorted(keys[order], keys[first])
+        expected = np.add.reduceat(values[order], first, axis=0)
+        assert (lm.group_sums(values, order, first, times) == expected).all()
+
+
+def test_steps_are_not_scrambled_one_by_one(monkeypatch):
+    """Scoring and learning scramble forks once for the tree, and give the places of the plain formula."""
+    texts = [" ".join(f"w{i * k % 60}" for i in range(60)) for k in range(1, 8)]
+    data, offsets = flat(pa.array(texts))
+    tokens, endings, at = lm.tokens_of(data, offsets, SpanHasher(lm.SEED))
+    found, first, counts = np.unique(tokens, return_index=True, return_counts=True)
+    groups = np.arange(lm.ENDINGS) % (lm.CLASSES - lm.SINGLES) + lm.SINGLES
+    home = endings[first]
+    per = [np.bincount(groups[home], weights, lm.CLASSES).astype(np.int64) for weights in (counts, None)]
+    known = lm.Vocabulary(
+        int(counts.sum()), len(found), found, counts, home, found[:0], groups, *per, lm.head_starts(found)
+    )
+    tree, classes = lm.forks(known), known.classes(tokens, endings)
+    features, leaves = lm.contexts(tokens, classes, at), known.leaves(tokens, classes)
+    sizes, fork, _ = tree.ways(leaves)
+    spread = np.repeat(features, sizes, 1)
+    plain = (spread + lm.mixed(fork.astype(np.uint64) + np.uint64(1))) * lm.ODD >> lm.FORK_PLACE
+
+    def scrambled(*_):
+        raise AssertionError("a scramble for every step")
+
+    monkeypatch.setattr(lm, "mixed", scrambled)
+    assert (lm.fork_slots(features, sizes, tree.codes[fork]) == plain.astype(np.int64)).all()
+    weights, power, visits = np.zeros(lm.SLOTS, np.float32), np.zeros(lm.SLOTS, np.float32), np.zeros(lm.SLOTS, np.int64)
+    lm.learn_forks(weights, power, visits, tree, features, leaves)
+    assert visits.sum() == plain.size and (visits == np.bincount(plain.ravel().astype(np.int64), minlength=lm.SLOTS)).all()
+    assert (lm.fork_scores(weights, tree, features, leaves) < 0).any()
+
+
+def test_words_and_case_of_all_bytes():
+    """Bytes below 9, 128 and above, and all blanks, against plain tests of each byte."""
+    data = np.random.default_rng(6).integers(0, 256, 20_000).astype(np.uint8)
+    data = np.concatenate([np.arange(256, dtype=np.uint8), data])
+    low = [b + 32 if 65 <= b <= 90 else b for b in data.tolist()]
+    assert lowered(data).tolist() == low and lowered(data).dtype == np.uint8
+    starts, ends, at = words(data, np.array([0, 100, 100, len(data)]))
+    rows = (data[:100].tobytes(), b"", data[100:].tobytes())
+    expected = [w for row in rows for w in re.findall(rb"[^\x20\x09-\x0D]+", row)]
+    assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == expected and at[-1] == len(expected)
+
+
 def test_context_features():
     tokens = np.arange(1, 8, dtype=np.uint64)
     at = np.array([0, 3, 4, 7])
